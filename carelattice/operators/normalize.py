@@ -85,8 +85,18 @@ def entity_id() -> Column:
     return F.coalesce(blank_to_null(F.col("r.id")), stable_uuid(F.col("value")))
 
 
-def _tables(clean: DataFrame, resource_type: str, entity: list[str], bridges: dict) -> Tables:
-    """Split one pass over the records into entity, bridges, drops and rejects."""
+def staged(records: DataFrame, path: str) -> DataFrame:
+    """Write parsed records once, so that all tables of a type share a single JSON parse."""
+    records.write.mode("overwrite").parquet(path)
+    return records.sparkSession.read.parquet(path)
+
+
+def _tables(
+    clean: DataFrame, resource_type: str, entity: list[str], bridges: dict, stage: str | None
+) -> Tables:
+    """Split the records into entity, bridges, drops and rejects."""
+    if stage:
+        clean = staged(clean, f"{stage}/{resource_type}")
     accepted = clean.where(F.col("reject_reason").isNull())
     name = _table_name(resource_type)
     out: Tables = {
@@ -153,7 +163,6 @@ def practitioner_records(resources: DataFrame, race_default=None, ethnicity_defa
     legal, other = F.get(r["name"], F.lit(0)), F.get(r["name"], F.lit(1))
     names = F.slice(r["name"], 1, 2)
     return parse_resources(resources, "Practitioner").select(
-        "value",
         entity_id().alias("resource_uuid"),
         _version(),
         F.get(npis(r["identifier"]), F.lit(0)).alias("npi"),
@@ -209,7 +218,7 @@ PRACTITIONER_FIELDS = [
 ]
 
 
-def normalize_practitioner(resources: DataFrame, **defaults) -> Tables:
+def normalize_practitioner(resources: DataFrame, stage: str | None = None, **defaults) -> Tables:
     return _tables(
         practitioner_records(resources, **defaults),
         "Practitioner",
@@ -228,6 +237,7 @@ def normalize_practitioner(resources: DataFrame, **defaults) -> Tables:
                 },
             ),
         },
+        stage,
     )
 
 
@@ -262,7 +272,6 @@ def organization_records(resources: DataFrame) -> DataFrame:
     )
     address = flat_address(contact["address"])
     return parse_resources(resources, "Organization").select(
-        "value",
         entity_id().alias("resource_uuid"),
         _version(),
         F.lit(K.ORG_TYPE_PROV).alias("org_type_code"),
@@ -314,7 +323,7 @@ ORGANIZATION_FIELDS = [
 ]
 
 
-def normalize_organization(resources: DataFrame) -> Tables:
+def normalize_organization(resources: DataFrame, stage: str | None = None) -> Tables:
     """Clinical organizations plus the registry of every organization id that was accepted."""
     out = _tables(
         organization_records(resources),
@@ -329,6 +338,7 @@ def normalize_organization(resources: DataFrame) -> Tables:
             "clinical_organization_address": ("addresses", ADDRESS_BRIDGE),
             "clinical_organization_endpoint": ("endpoints", ENDPOINT_BRIDGE),
         },
+        stage,
     )
     out["organization"] = out["clinical_organization"].select(
         "resource_uuid", F.lit(K.ORG_TYPE_PROV).alias("org_type_code")
@@ -349,7 +359,6 @@ def role_records(resources: DataFrame) -> DataFrame:
     practitioner = ref_id(r["practitioner"]["reference"])
     organization = ref_id(r["organization"]["reference"])
     return parse_resources(resources, "PractitionerRole").select(
-        "value",
         entity_id().alias("resource_uuid"),
         _version(),
         r["active"].alias("active"),
@@ -393,7 +402,7 @@ ROLE_FIELDS = [
 ]
 
 
-def normalize_role(resources: DataFrame) -> Tables:
+def normalize_role(resources: DataFrame, stage: str | None = None) -> Tables:
     return _tables(
         role_records(resources),
         "PractitionerRole",
@@ -403,6 +412,7 @@ def normalize_role(resources: DataFrame) -> Tables:
             "practitioner_role_telecom": ("telecoms", TELECOM_BRIDGE),
             "practitioner_role_endpoint": ("endpoints", ENDPOINT_BRIDGE),
         },
+        stage,
     )
 
 
@@ -412,7 +422,6 @@ def affiliation_records(resources: DataFrame) -> DataFrame:
     primary = ref_id(r["organization"]["reference"])
     participating = ref_id(r["participatingOrganization"]["reference"])
     return parse_resources(resources, "OrganizationAffiliation").select(
-        "value",
         entity_id().alias("resource_uuid"),
         _version(),
         r["active"].alias("active"),
@@ -442,7 +451,7 @@ AFFILIATION_FIELDS = [
 ]
 
 
-def normalize_affiliation(resources: DataFrame) -> Tables:
+def normalize_affiliation(resources: DataFrame, stage: str | None = None) -> Tables:
     return _tables(
         affiliation_records(resources),
         "OrganizationAffiliation",
@@ -452,6 +461,7 @@ def normalize_affiliation(resources: DataFrame) -> Tables:
             "organization_affiliation_telecom": ("telecoms", TELECOM_BRIDGE),
             "organization_affiliation_endpoint": ("endpoints", ENDPOINT_BRIDGE),
         },
+        stage,
     )
 
 
@@ -475,7 +485,6 @@ def location_records(resources: DataFrame) -> DataFrame:
         with_url(r["extension"], K.BOUNDARY_URLS), lambda e: attachment_text(e["valueAttachment"])
     )
     return parse_resources(resources, "Location").select(
-        "value",
         entity_id().alias("resource_uuid"),
         _version(),
         r["status"].alias("status"),
@@ -519,7 +528,7 @@ LOCATION_FIELDS = [
 ]
 
 
-def normalize_location(resources: DataFrame) -> Tables:
+def normalize_location(resources: DataFrame, stage: str | None = None) -> Tables:
     return _tables(
         location_records(resources),
         "Location",
@@ -539,6 +548,7 @@ def normalize_location(resources: DataFrame) -> Tables:
                 {f: (lambda f: lambda x: x[f])(f) for f in ("code_system", "code_code", "code_display")},
             ),
         },
+        stage,
     )
 
 
@@ -560,7 +570,6 @@ def endpoint_records(resources: DataFrame) -> DataFrame:
         F.transform(r["payloadType"], payload), lambda p: p["payload_code"].isNotNull()
     )
     return parse_resources(resources, "Endpoint").select(
-        "value",
         entity_id().alias("resource_uuid"),
         _version(),
         r["status"].alias("status"),
@@ -594,7 +603,7 @@ ENDPOINT_FIELDS = [
 ]
 
 
-def normalize_endpoint(resources: DataFrame) -> Tables:
+def normalize_endpoint(resources: DataFrame, stage: str | None = None) -> Tables:
     return _tables(
         endpoint_records(resources),
         "Endpoint",
@@ -608,6 +617,7 @@ def normalize_endpoint(resources: DataFrame) -> Tables:
                 },
             )
         },
+        stage,
     )
 
 
@@ -629,16 +639,18 @@ RECORDS = {
 }
 
 
-def normalize_all(resources: dict[str, DataFrame]) -> Tables:
+def normalize_all(resources: dict[str, DataFrame], stage: str | None = None) -> Tables:
     """All types to all tables: entities, bridges, shared dimensions, placeholders, reports.
 
+    With ``stage``, a folder, each type is parsed once and its records written there.
+
     Types are independent except that a role must point at a stored practitioner and that missing
     targets get placeholder rows, which :func:`resolve_roles` adds.
     """
     out: Tables = {}
     drops, rejects = [], []
     for rtype, df in resources.items():
-        tables = NORMALIZERS[rtype](df)
+        tables = NORMALIZERS[rtype](df, stage)
         drops.append(tables.pop("drops"))
         rejects.append(tables.pop("rejects"))
         out.update(tables)
