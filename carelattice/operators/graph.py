@@ -22,9 +22,12 @@ Resources = dict[str, DataFrame]
 
 
 def _records(resources: Resources, rtype: str, *fields: str) -> DataFrame:
-    """One parsed record per non-empty id, so that repeated lines make one node."""
-    parsed = parse_resources(resources[rtype], rtype, ("id", *fields)).where(F.col("r.id") != "")
-    return keep_one(parsed.select(F.col("r.id").alias("id"), "r"), "id")
+    """One parsed record per non-empty id; of repeated lines the greatest text makes the node."""
+    lines = resources[rtype]
+    if "id" not in lines.columns:
+        lines = lines.withColumn("id", F.get_json_object("value", "$.id"))
+    unique = keep_one(lines.where("id <> ''").select("id", "value"), "id")
+    return parse_resources(unique, rtype, fields, keep=("id",))
 
 
 def _texts(items: Column) -> Column:
@@ -270,6 +273,15 @@ EDGE_RULES = {
 }
 
 
+def _edge_list(ids: Column, me: Column, other: str, rel: str, direction: str) -> Column:
+    def edge(i: Column) -> Column:
+        far = F.concat(F.lit(f"{other}/"), i)
+        src, dst = (far, me) if direction == "in" else (me, far)
+        return F.struct(src.alias("src"), F.lit(rel).alias("rel"), dst.alias("dst"))
+
+    return F.transform(F.filter(ids, lambda i: i.isNotNull()), edge)
+
+
 def wanted_edges(resources: Resources) -> DataFrame:
     """Every reference as a distinct (src, rel, dst, rank), whether or not its target exists."""
     out = None
@@ -291,19 +303,10 @@ def wanted_edges(resources: Resources) -> DataFrame:
         else:
             fields = tuple({f for f, *_ in rules})
             me = F.concat(F.lit(f"{rtype}/"), F.col("r.id"))
-            lists = []
-            for field, ids, other, rel, direction in rules:
-                far = lambda i, other=other: F.concat(F.lit(f"{other}/"), i)
-                lists.append(
-                    F.transform(
-                        F.filter(ids(F.col(f"r.{field}")), lambda i: i.isNotNull()),
-                        lambda i, far=far, rel=rel, direction=direction: F.struct(
-                            (far(i) if direction == "in" else me).alias("src"),
-                            F.lit(rel).alias("rel"),
-                            (me if direction == "in" else far(i)).alias("dst"),
-                        ),
-                    )
-                )
+            lists = [
+                _edge_list(ids(F.col(f"r.{field}")), me, other, rel, direction)
+                for field, ids, other, rel, direction in rules
+            ]
             all_lists = F.flatten(F.array_compact(F.array(*lists)))
             part = (
                 parse_resources(resources[rtype], rtype, ("id", *fields))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelattice.constants import ENDPOINT_STATUSES, MISSING_TYPE_LABEL
-from carelattice.sources.ndjson import with_header
+from carelattice.sources.ndjson import not_blank, with_header
 
 
 def type_counts(lines: DataFrame, by_file: bool = False) -> DataFrame:
@@ -37,11 +39,15 @@ def type_counts(lines: DataFrame, by_file: bool = False) -> DataFrame:
 
 def running_type_counts(lines: DataFrame) -> DataFrame:
     """Good lines per type; also valid on a stream in complete mode."""
+    # bad lines leave after the aggregation: a filter before it would parse every line twice
+    label = F.when(
+        F.col("line_status") == "OK", F.coalesce("resource_type", F.lit(MISSING_TYPE_LABEL))
+    )
     return (
         with_header(lines)
-        .where("line_status = 'OK'")
-        .groupBy(F.coalesce("resource_type", F.lit(MISSING_TYPE_LABEL)).alias("resource_type"))
+        .groupBy(label.alias("resource_type"))
         .agg(F.count(F.lit(1)).alias("lines"))
+        .where("resource_type IS NOT NULL")
     )
 
 
@@ -57,8 +63,7 @@ def file_stats(lines: DataFrame, expected_type: Column) -> DataFrame:
     has_id = F.coalesce(F.col("id"), F.lit("")) != ""
     # (file, type, id) first: a file or an id with very many lines is combined map-side
     per_id = (
-        with_header(lines.withColumn("expected_type", expected_type))
-        .where("line_status <> 'EMPTY'")
+        with_header(not_blank(lines).withColumn("expected_type", expected_type))
         .groupBy(
             "source_file",
             "expected_type",
@@ -135,8 +140,12 @@ def flatten_all(lines: DataFrame, schema: str) -> DataFrame:
 
 
 def inferred_schema(lines: DataFrame) -> str:
-    """Common schema of all lines, found in one distributed aggregation; only the DDL text returns."""
-    return lines.agg(F.expr("schema_of_json_agg(value)")).first()[0]
+    """Common schema of all lines, found in one distributed aggregation; only the DDL text returns.
+
+    Members that are always null, or differ in kind between lines, are read as text.
+    """
+    found = lines.agg(F.schema_of_variant_agg(F.try_parse_json("value"))).first()[0]
+    return re.sub(r"\b(?:VOID|VARIANT)\b", "STRING", found.replace("OBJECT<", "STRUCT<"))
 
 
 def _kind(value: Column, field: str) -> Column:

@@ -643,6 +643,12 @@ PATHWAYS = {
 }
 
 
+def _tagged_refs(refs: Column, pathway: str) -> Column:
+    return F.transform(
+        refs, lambda x: F.struct(F.lit(pathway).alias("pathway"), x["reference"].alias("ref"))
+    )
+
+
 def reference_counts(dfs) -> DataFrame:
     """(pathway, references, broken) of the five pathways.
 
@@ -652,13 +658,7 @@ def reference_counts(dfs) -> DataFrame:
     for rtype in ("PractitionerRole", "OrganizationAffiliation"):
         used = {p: f for p, (t, f, _) in PATHWAYS.items() if t == rtype}
         parsed = _parsed(dfs, rtype, *used.values())
-        refs = [
-            F.transform(
-                F.col(f) if f == "endpoint" else F.array(F.col(f)),
-                lambda x, p=p: F.struct(F.lit(p).alias("pathway"), x["reference"].alias("ref")),
-            )
-            for p, f in used.items()
-        ]
+        refs = [_tagged_refs(F.col(f) if f == "endpoint" else F.array(F.col(f)), p) for p, f in used.items()]
         part = parsed.select(F.explode(F.flatten(F.array_compact(F.array(*refs)))).alias("x")).select(
             "x.pathway", ref_id(F.col("x.ref")).alias("id"), F.col("x.ref").isNotNull().alias("_given")
         )
@@ -668,9 +668,9 @@ def reference_counts(dfs) -> DataFrame:
     for rtype in ("Practitioner", "Organization", "Endpoint"):
         part = _ids(dfs, rtype).select("id", F.lit(rtype).alias("target"))
         known = part if known is None else known.unionByName(part)
-    target = F.element_at(
-        F.create_map(*[F.lit(x) for p, (_, _, t) in PATHWAYS.items() for x in (p, t)]), F.col("pathway")
-    )
+    target = F.create_map(*[F.lit(x) for p, (_, _, t) in PATHWAYS.items() for x in (p, t)])[
+        F.col("pathway")
+    ]
     found = per_target.withColumn("target", target).join(known.withColumn("_hit", F.lit(True)), ["target", "id"], "left")
     return found.groupBy("pathway").agg(
         F.sum("n").alias("refs"),

@@ -29,6 +29,7 @@ from carelattice.constants import (
     RANK_URLS,
     ROLE_PECOS_URLS,
 )
+from carelattice.runtime import new_shared_path
 
 # fixed values: state of each nation key 0..24; the last one is no state
 STATES = (
@@ -307,8 +308,11 @@ RULES = {
 }
 
 
-def star_resources(spark: SparkSession, sf_dir: str, resource_type: str) -> DataFrame:
-    """Bronze rows ``(resource_type, id, value)`` of one type."""
+_AT_REST: dict[tuple[str, str, str], str] = {}
+
+
+def generate(spark: SparkSession, sf_dir: str, resource_type: str) -> DataFrame:
+    """Bronze rows ``(resource_type, id, value)`` of one type, straight from the star table."""
     table, key, prefix, expression = RULES[resource_type]
     return spark.read.parquet(f"{sf_dir}/{table}.parquet").selectExpr(
         f"'{resource_type}' AS resource_type",
@@ -317,6 +321,16 @@ def star_resources(spark: SparkSession, sf_dir: str, resource_type: str) -> Data
     )
 
 
+def star_resources(spark: SparkSession, sf_dir: str, resource_type: str) -> DataFrame:
+    """The same rows from a bronze table in the shared folder, written on first use."""
+    key = (spark.sparkContext.applicationId, sf_dir, resource_type)
+    if key not in _AT_REST:
+        path = new_shared_path(spark, f"bronze-{resource_type}")
+        generate(spark, sf_dir, resource_type).write.parquet(path)
+        _AT_REST[key] = path
+    return spark.read.parquet(_AT_REST[key])
+
+
 def star_bronze(spark: SparkSession, sf_dir: str, *types: str) -> DataFrame:
     parts = [star_resources(spark, sf_dir, t) for t in (types or RULES)]
     out = parts[0]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from carelattice.operators.profile import running_type_counts
-from carelattice.sources.ndjson import with_header
+from carelattice.sources.ndjson import not_blank, with_header
 from carelattice.sources.tables import keep_one
 
 
@@ -24,13 +24,16 @@ def stream_lines(spark: SparkSession, path: str, glob: str = "*", max_files: int
 
 
 def ingest(lines: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
-    """Append good lines of a stream to ``table``, one folder per batch; stops when caught up."""
+    """Append the lines of a stream to ``table``, one folder per batch; stops when caught up.
+
+    Bad lines are stored with their status and left out by :func:`current`.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = with_header(batch).where("line_status = 'OK' AND id <> ''")
-        rows.select("resource_type", "id", "last_updated", "value").write.mode("overwrite").parquet(
-            f"{table}/batch_id={batch_id}"
-        )
+        rows = with_header(not_blank(batch))
+        rows.select("line_status", "resource_type", "id", "last_updated", "value").write.mode(
+            "overwrite"
+        ).parquet(f"{table}/batch_id={batch_id}")
 
     return (
         lines.writeStream.foreachBatch(write)
@@ -42,7 +45,7 @@ def ingest(lines: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
 
 def current(spark: SparkSession, table: str) -> DataFrame:
     """Latest version of each resource: by update time, then by batch, then by text."""
-    rows = spark.read.parquet(table)
+    rows = spark.read.parquet(table).where("line_status = 'OK' AND id <> ''")
     latest = keep_one(
         rows.select("resource_type", "id", "last_updated", "value", "batch_id"),
         ["resource_type", "id"],
