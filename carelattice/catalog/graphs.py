@@ -1 +1,481 @@
-"""placeholder"""
+"""Graph, hierarchy, subset and network queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from carelattice.catalog.registry import query
+from carelattice.operators import graph, hierarchy, subset
+from carelattice.plans.checks import organization_tree
+from carelattice.runtime import new_shared_path
+from carelattice.sources.ndjson import parse_resources
+from carelattice.sources.star import star_bronze, star_set
+
+ONE = F.lit(1)
+_EDGES: dict[tuple, str] = {}
+
+
+def edges(spark, sf):
+    """The edge table, built once per session and folder and read back from there."""
+    at = (spark.sparkContext.applicationId, sf)
+    if at not in _EDGES:
+        path = new_shared_path(spark, "edges")
+        graph.build_edges(star_set(spark, sf)).write.parquet(path)
+        _EDGES[at] = path
+    return spark.read.parquet(_EDGES[at])
+
+
+@query("g01_edges", "SELECT src, rel, dst, rank FROM edges")
+def g01(spark, sf):
+    return graph.build_edges(star_set(spark, sf))
+
+
+for _id, _rel, _like in (
+    ("g01a_has_role", "HAS_ROLE", "%"), ("g01b_works_at", "WORKS_AT", "%"), ("g01c_at_location", "AT_LOCATION", "%"),
+    ("g01d_has_endpoint", "HAS_ENDPOINT", "%"), ("g01e_affiliations", "%AFFILIAT%", "%"), ("g01f_manages", "MANAGES", "%"), ("g01g_part_of", "PART_OF", "%"),
+):
+    query(_id, f"SELECT src, rel, dst, rank FROM edges WHERE rel LIKE '{_rel}'")(
+        lambda spark, sf, rel=_rel: edges(spark, sf).where(F.col("rel").like(rel)).select("src", "rel", "dst", "rank")
+    )
+
+
+@query(
+    "g02_organization_nodes",
+    """SELECT id, name, active, concat_ws(',', npi, npi2) AS npis, CASE type_code WHEN 'prov' THEN 'Healthcare Provider' ELSE 'Payer' END AS org_types, parent AS part_of_id,
+         CASE WHEN k % 4 IN (0, 2) THEN '700-' || lpad(CAST(k // 2 AS VARCHAR), 7, '0') ELSE '' END AS phones FROM org""",
+)
+def g02_org(spark, sf):
+    text = lambda c: F.coalesce(F.array_join(c, ","), F.lit("")).alias(c)
+    return graph.organization_nodes(star_set(spark, sf, "Organization")).select(
+        "id", "name", "active", text("npis"), text("org_types"), "part_of_id", text("phones")
+    )
+
+
+@query("g02_location_nodes", "SELECT id, name, status, coalesce(concat_ws(', ', line1, line2, CASE WHEN k % 12 = 0 AND has_address THEN 'Dock' END), '') AS line, city, st AS state, CAST(lat AS VARCHAR) AS latitude, parent AS part_of_id FROM loc")
+def g02_loc(spark, sf):
+    nodes = graph.location_nodes(star_set(spark, sf, "Location"))
+    return nodes.select("id", "name", "status", F.coalesce("line", F.lit("")).alias("line"), "city", "state", "latitude", "part_of_id")
+
+
+@query("g02_endpoint_nodes", "SELECT id, status, CASE WHEN address NOT LIKE '%@%' THEN address END AS fhir_address, CASE WHEN address LIKE '%@%' THEN address END AS direct_address, rank FROM ep")
+def g02_ep(spark, sf):
+    return graph.endpoint_nodes(star_set(spark, sf, "Endpoint")).select("id", "status", "fhir_address", "direct_address", "rank")
+
+
+@query("g02_role_nodes", "SELECT id, active, prac_id AS practitioner_id, org_id AS organization_id, nucc AS specialties, nucc_display AS specialty_displays FROM role")
+def g02_role(spark, sf):
+    return graph.role_nodes(star_set(spark, sf, "PractitionerRole")).select(
+        "id", "active", "practitioner_id", "organization_id",
+        F.array_join("specialties", ",").alias("specialties"), F.array_join("specialty_displays", ",").alias("specialty_displays"),
+    )
+
+
+@query("g02_affiliation_nodes", "SELECT id, active, org_id AS organization_id, part_id AS participating_organization_id, CASE WHEN has_code AND k % 3 = 0 THEN 'Member' ELSE '' END AS codes FROM aff")
+def g02_aff(spark, sf):
+    return graph.affiliation_nodes(star_set(spark, sf, "OrganizationAffiliation")).select(
+        "id", "active", "organization_id", "participating_organization_id", F.coalesce(F.array_join("codes", ","), F.lit("")).alias("codes")
+    )
+
+
+# --- state subset and practitioner network --------------------------------------------------
+
+SUBSET_SQL = """,
+s_loc AS (SELECT id FROM loc WHERE st IN ('WY', 'RI')),
+s_seed AS (SELECT id FROM org WHERE st IN ('WY', 'RI')),
+s_prac AS (SELECT id FROM prac WHERE st IN ('WY', 'RI')),
+s_added AS (SELECT id FROM org WHERE k % 9 = 2 AND id NOT IN (SELECT id FROM s_seed) AND 'loc-' || lpad(CAST(k * 5 AS VARCHAR), 8, '0') IN (SELECT id FROM s_loc)),
+s_org AS (SELECT id FROM s_seed UNION SELECT id FROM s_added),
+s_role AS (SELECT * FROM role WHERE prac_id IN (SELECT id FROM s_prac) OR org_id IN (SELECT id FROM s_org) OR loc1 IN (SELECT id FROM s_loc) OR loc2 IN (SELECT id FROM s_loc)),
+s_aff AS (SELECT id FROM aff WHERE org_id IN (SELECT id FROM s_org) OR part_id IN (SELECT id FROM s_org) OR loc_id IN (SELECT id FROM s_loc)),
+s_end AS (SELECT id FROM ep WHERE managing IN (SELECT id FROM s_org) OR id IN (SELECT end_id FROM s_role WHERE end_id IS NOT NULL)
+  OR id IN (SELECT 'end-' || lpad(CAST(o.k * m AS VARCHAR), 8, '0') FROM org o, (VALUES (1), (10)) t(m) WHERE o.id IN (SELECT id FROM s_added) AND ((m = 1 AND o.k % 2 = 0) OR (m = 10 AND o.k % 4 = 0)))),
+subset AS (SELECT 'Location' AS resource_type, id FROM s_loc UNION ALL SELECT 'Organization', id FROM s_org UNION ALL SELECT 'Practitioner', id FROM s_prac
+  UNION ALL SELECT 'PractitionerRole', id FROM s_role UNION ALL SELECT 'OrganizationAffiliation', id FROM s_aff UNION ALL SELECT 'Endpoint', id FROM s_end)
+"""
+
+
+@query("g03_state_subset", "SELECT resource_type, id FROM subset", extra=SUBSET_SQL)
+def g03(spark, sf):
+    return subset.state_subset_ids(star_set(spark, sf), ["wy", " RI"])
+
+
+@query("j05_subset_lines", "SELECT resource_type, count(*) AS lines FROM subset GROUP BY ALL", extra=SUBSET_SQL)
+def j05(spark, sf):
+    lines = subset.state_subset(star_set(spark, sf), star_bronze(spark, sf), ["WY", "RI"])
+    return lines.where(F.get_json_object("value", "$.id") == F.col("id")).groupBy("resource_type").agg(F.count(ONE).alias("lines"))
+
+
+def _org_refs(o: str) -> str:
+    return f"""SELECT 'Organization' AS rtype, parent AS id FROM {o} UNION ALL SELECT 'Endpoint', 'end-' || lpad(CAST(k AS VARCHAR), 8, '0') FROM {o} WHERE k % 2 = 0
+      UNION ALL SELECT 'Endpoint', 'end-' || lpad(CAST(k * 10 AS VARCHAR), 8, '0') FROM {o} WHERE k % 4 = 0
+      UNION ALL SELECT 'Location', 'loc-' || lpad(CAST(k * 5 AS VARCHAR), 8, '0') FROM {o} WHERE k % 9 = 2"""
+
+
+NETWORK_SQL = f""",
+me AS (SELECT id FROM prac WHERE npi = '1000000042'),
+my_role AS (SELECT * FROM role WHERE prac_id IN (SELECT id FROM me)),
+first_refs AS (SELECT 'Organization' AS rtype, org_id AS id FROM my_role UNION SELECT 'Location', loc1 FROM my_role UNION SELECT 'Location', loc2 FROM my_role UNION
+  SELECT 'Endpoint', end_id FROM my_role UNION SELECT 'Practitioner', prac_id FROM my_role),
+my_org AS (SELECT * FROM org WHERE id IN (SELECT id FROM first_refs)),
+my_loc AS (SELECT * FROM loc WHERE id IN (SELECT id FROM first_refs)),
+second_refs AS ({_org_refs('my_org')} UNION ALL SELECT 'Organization', managing FROM my_loc UNION ALL SELECT 'Location', parent FROM my_loc UNION ALL SELECT 'Endpoint', endpoint FROM my_loc),
+network AS (SELECT 'Practitioner/' || id AS node FROM me UNION SELECT 'PractitionerRole/' || id FROM my_role UNION
+  SELECT rtype || '/' || id FROM (SELECT * FROM first_refs UNION SELECT * FROM second_refs) WHERE rtype || '/' || id IN (SELECT node FROM nodes))
+"""
+
+
+@query("g04_practitioner_network", "SELECT split_part(node, '/', 1) AS resource_type, split_part(node, '/', 2) AS id FROM network", extra=NETWORK_SQL)
+def g04(spark, sf):
+    return subset.practitioner_network(star_bronze(spark, sf), "1000000042").select("resource_type", "id")
+
+
+# --- neighbourhoods -------------------------------------------------------------------------
+
+LINKS_SQL = """,
+links AS (SELECT src AS node, rel, dst AS other, src || '|' || rel || '|' || dst AS edge FROM edges
+  UNION ALL SELECT dst, rel, src, src || '|' || rel || '|' || dst FROM edges WHERE src <> dst)
+"""
+
+
+def paths_sql(seeds: str, hops: int, middle: str = "true") -> str:
+    one = "SELECT s.seed, 1 AS length, a.rel AS rels, a.other AS nodes, a.other AS \"end\" FROM seeds s JOIN links a ON a.node = s.seed"
+    two = f"""SELECT s.seed, 2, a.rel || '>' || b.rel, a.other || '>' || b.other, b.other FROM seeds s JOIN links a ON a.node = s.seed
+      JOIN links b ON b.node = a.other AND b.edge <> a.edge WHERE {middle}"""
+    body = one if hops == 1 else f"{one} UNION ALL {two}"
+    return f"{LINKS_SQL}, seeds AS (SELECT DISTINCT seed FROM ({seeds})), paths AS ({body})"
+
+
+NPI_SEEDS = "SELECT 'Practitioner/' || id AS seed FROM prac WHERE npi = '1000000042' UNION ALL SELECT 'Organization/' || id FROM org WHERE '1000000042' IN (npi, npi2)"
+HOSPITALS = "SELECT 'Organization/' || id AS seed FROM org WHERE name LIKE '%Hospital%'"
+DOMAIN = "SELECT 'Endpoint/' || id AS seed FROM ep WHERE address LIKE '%example.com%'"
+ALL = "SELECT * FROM paths"
+TOP = "SELECT * FROM paths ORDER BY length, seed, nodes, rels LIMIT {}"
+
+
+def by_npi(spark, sf):
+    return graph.seeds_by_npi(star_set(spark, sf, "Practitioner", "Organization", "PractitionerRole"), "1000000042")
+
+
+def hospitals(spark, sf):
+    return graph.seeds_where(graph.organization_nodes(star_set(spark, sf, "Organization")), "Organization", F.col("name").contains("Hospital"))
+
+
+def by_domain(spark, sf):
+    return graph.seeds_where(graph.endpoint_nodes(star_set(spark, sf, "Endpoint")), "Endpoint", F.col("address").contains("example.com"))
+
+
+for _name, _seeds, _sql, _hops, _limit in (
+    ("g05_npi_one_hop", by_npi, NPI_SEEDS, 1, None),
+    ("g05_npi_two_hops", by_npi, NPI_SEEDS, 2, None),
+    ("g05d_relationship_labels", by_npi, NPI_SEEDS, 1, None),
+    ("g05_domain_one_hop", by_domain, DOMAIN, 1, None),
+    ("g05a_domain_two_hops_top", by_domain, DOMAIN, 2, 100),
+    ("g05a_name_one_hop_top", hospitals, HOSPITALS, 1, 50),
+    ("g05_name_two_hops_top", hospitals, HOSPITALS, 2, 100),
+):
+
+    def _run(spark, sf, seeds=_seeds, hops=_hops, limit=_limit):
+        found = graph.k_hop(edges(spark, sf), seeds(spark, sf), hops)
+        return graph.first_paths(found, limit) if limit else found
+
+    query(_name, TOP.format(_limit) if _limit else ALL, extra=paths_sql(_sql, _hops))(_run)
+
+BRIDGES = ("PractitionerRole", "OrganizationAffiliation")
+
+
+@query(
+    "g05b_bridge_aware",
+    ALL,
+    extra=paths_sql(NPI_SEEDS, 2, "split_part(a.other, '/', 1) IN ('PractitionerRole', 'OrganizationAffiliation')"),
+)
+def g05b(spark, sf):
+    return graph.k_hop(edges(spark, sf), by_npi(spark, sf), 2, BRIDGES)
+
+
+NAME = "concat_ws(' ', first_given, family) LIKE '%Test%'"
+OWN = f"SELECT 'Practitioner/' || id AS seed FROM prac WHERE family = 'Test' AND st = 'CA'"
+AT = "SELECT 'Practitioner/' || prac_id AS seed FROM role WHERE prac_id IN (SELECT id FROM prac WHERE family = 'Test') AND (loc1 IN (SELECT id FROM loc WHERE st = 'CA') OR loc2 IN (SELECT id FROM loc WHERE st = 'CA'))"
+
+
+def named(spark, sf):
+    return graph.practitioner_nodes(star_set(spark, sf, "Practitioner")).where(F.col("name").contains("Test"))
+
+
+def own_state(spark, sf):
+    return named(spark, sf).where(F.array_contains("states", "CA")).select(F.concat(F.lit("Practitioner/"), "id").alias("seed"))
+
+
+def role_state(spark, sf):
+    there = graph.practitioners_at_state(edges(spark, sf), graph.location_nodes(star_set(spark, sf, "Location")), "CA")
+    return named(spark, sf).select(F.concat(F.lit("Practitioner/"), "id").alias("seed")).join(there, "seed", "left_semi")
+
+
+for _name, _sql, _seeds in (
+    ("g05c_name_and_own_state", OWN, own_state),
+    ("g05c_name_and_location_state", AT, role_state),
+    ("g05c_name_and_either_state", f"{OWN} UNION {AT}", lambda spark, sf: own_state(spark, sf).unionByName(role_state(spark, sf)).distinct()),
+):
+    query(_name, ALL, extra=paths_sql(_sql, 1))(
+        lambda spark, sf, seeds=_seeds: graph.k_hop(edges(spark, sf), seeds(spark, sf), 1)
+    )
+
+
+# --- hierarchy ------------------------------------------------------------------------------
+
+
+@query("g06_broken_parents", "SELECT id AS node, parent FROM org WHERE parent NOT IN (SELECT id FROM org)")
+def g06(spark, sf):
+    return hierarchy.broken_parents(organization_tree(star_set(spark, sf, "Organization")))
+
+
+# every location hangs below the one at a tenth of its key; those of keys 1..9 form a ring
+RING_SQL = """,
+ring AS (SELECT p_partkey AS k, 'n' || p_partkey AS id, CASE WHEN p_partkey = 0 THEN NULL WHEN p_partkey < 10 THEN 'n' || (p_partkey % 9 + 1) ELSE 'n' || (p_partkey // 10) END AS parent FROM part)
+"""
+
+
+def ring(spark, sf):
+    k = F.col("p_partkey")
+    n = lambda c: F.concat(F.lit("n"), c.cast("string"))
+    parent = F.when(k == 0, None).when(k < 10, n(k % 9 + 1)).otherwise(n(F.floor(k / 10)))
+    return spark.read.parquet(f"{sf}/part.parquet").select(n(k).alias("id"), parent.alias("parent_id"))
+
+
+@query("g07_cycle_members", "SELECT id AS node FROM ring WHERE k BETWEEN 1 AND 9", extra=RING_SQL)
+def g07(spark, sf):
+    return hierarchy.cycle_members(ring(spark, sf))
+
+
+CLIMB_SQL = """,
+climb AS (SELECT id AS node, CASE WHEN parent IN (SELECT id FROM {t}) THEN parent END AS up, CAST(1 AS BIGINT) AS depth FROM {t}
+  UNION ALL SELECT c.node, CASE WHEN o.parent IN (SELECT id FROM {t}) THEN o.parent END, c.depth + 1 FROM climb c JOIN {t} o ON o.id = c.up WHERE c.depth < 60)
+"""
+
+
+@query("g08_hierarchy_depth", "SELECT node, max(depth) AS depth FROM climb GROUP BY node", extra=CLIMB_SQL.format(t="org"))
+def g08(spark, sf):
+    return hierarchy.depths(organization_tree(star_set(spark, sf, "Organization")))
+
+
+@query("g08_depth_with_cycle", "SELECT node, CASE WHEN max(depth) < 60 THEN max(depth) END AS depth FROM climb GROUP BY node", extra=RING_SQL + CLIMB_SQL.format(t="ring"))
+def g08_cycle(spark, sf):
+    return hierarchy.depths(ring(spark, sf))
+
+
+@query("g08_deepest", "SELECT node, depth FROM climb ORDER BY depth DESC, node LIMIT 1", extra=CLIMB_SQL.format(t="org"))
+def g08_deepest(spark, sf):
+    return hierarchy.deepest(organization_tree(star_set(spark, sf, "Organization")))
+
+
+@query(
+    "g09_ancestors",
+    "SELECT node, ancestor, CAST(level AS INTEGER) AS level FROM up",
+    extra=""", up AS (SELECT o.id AS node, p.id AS ancestor, p.parent AS next, 1 AS level FROM org o JOIN org p ON p.id = o.parent
+      UNION ALL SELECT u.node, p.id, p.parent, u.level + 1 FROM up u JOIN org p ON p.id = u.next WHERE u.level < 5)""",
+)
+def g09(spark, sf):
+    return hierarchy.ancestors(organization_tree(star_set(spark, sf, "Organization")), 5)
+
+
+SOURCE, TARGET = "Practitioner/prac-00000003", "Practitioner/prac-00000101"
+
+
+@query(
+    "g10_shortest_path",
+    f"""SELECT '{SOURCE}' AS source, '{TARGET}' AS target, min(d) AS hops FROM bfs WHERE node = '{TARGET}' HAVING min(d) IS NOT NULL""",
+    extra=LINKS_SQL + f""", bfs AS (SELECT '{SOURCE}' AS node, 0 AS d UNION SELECT l.other, b.d + 1 FROM bfs b JOIN links l ON l.node = b.node WHERE b.d < 6)""",
+)
+def g10(spark, sf):
+    return graph.shortest_path(edges(spark, sf), SOURCE, TARGET).select("source", "target", F.col("hops").cast("int").alias("hops"))
+
+
+# --- fixed patterns -------------------------------------------------------------------------
+
+
+def role_pairs(spark, sf):
+    """(practitioner, role) by edges."""
+    return edges(spark, sf).where("rel = 'HAS_ROLE'").select(F.col("src").alias("practitioner"), F.col("dst").alias("role"))
+
+
+LIVE_ROLE = "(SELECT * FROM role WHERE prac_id IN (SELECT id FROM prac))"
+
+
+@query("g11_practitioners_of_organization", f"SELECT DISTINCT 'Practitioner/' || prac_id AS practitioner FROM {LIVE_ROLE} WHERE org_id = 'org-00000000'")
+def g11_org(spark, sf):
+    works = edges(spark, sf).where("rel = 'WORKS_AT' AND dst = 'Organization/org-00000000'").select(F.col("src").alias("role"))
+    return role_pairs(spark, sf).join(works, "role", "left_semi").select("practitioner").distinct()
+
+
+@query("g11_by_specialty_text", f"SELECT 'Practitioner/' || prac_id AS practitioner, count(*) AS roles FROM {LIVE_ROLE} WHERE nucc_display LIKE '%Medicine%' GROUP BY 1")
+def g11_specialty(spark, sf):
+    nodes = graph.role_nodes(star_set(spark, sf, "PractitionerRole")).where(F.exists("specialty_displays", lambda d: d.contains("Medicine")))
+    wanted = nodes.select(F.concat(F.lit("PractitionerRole/"), "id").alias("role"))
+    return role_pairs(spark, sf).join(wanted, "role", "left_semi").groupBy("practitioner").agg(F.count(ONE).alias("roles"))
+
+
+@query("g11_multiple_roles", f"SELECT p.id, p.npi, count(*) AS role_count FROM prac p JOIN {LIVE_ROLE} r ON r.prac_id = p.id WHERE p.active GROUP BY ALL HAVING count(*) > 1 ORDER BY role_count DESC, id LIMIT 25")
+def g11_multiple(spark, sf):
+    counts = role_pairs(spark, sf).groupBy(F.substring_index("practitioner", "/", -1).alias("id")).agg(F.count(ONE).alias("role_count")).where("role_count > 1")
+    active = graph.practitioner_nodes(star_set(spark, sf, "Practitioner")).where("active").select("id", "npi")
+    return active.join(counts, "id").select("id", "npi", "role_count").orderBy(F.desc("role_count"), "id").limit(25)
+
+
+@query(
+    "g11_organization_affiliations",
+    """SELECT o1.name AS primary_org, a.id AS affiliation, o2.name AS participating_org FROM aff a JOIN org o1 ON o1.id = a.org_id JOIN org o2 ON o2.id = a.part_id""",
+)
+def g11_aff(spark, sf):
+    all_edges = edges(spark, sf)
+    names = graph.organization_nodes(star_set(spark, sf, "Organization")).select(F.concat(F.lit("Organization/"), "id").alias("org"), "name")
+    first = all_edges.where("rel = 'HAS_AFFILIATION'").select(F.col("src").alias("org1"), F.col("dst").alias("affiliation"))
+    second = all_edges.where("rel = 'AFFILIATED_WITH'").select(F.col("src").alias("affiliation"), F.col("dst").alias("org2"))
+    return (
+        first.join(second, "affiliation")
+        .join(names.select(F.col("org").alias("org1"), F.col("name").alias("primary_org")), "org1")
+        .join(names.select(F.col("org").alias("org2"), F.col("name").alias("participating_org")), "org2")
+        .select("primary_org", F.substring_index("affiliation", "/", -1).alias("affiliation"), "participating_org")
+    )
+
+
+@query("g11_managing_many_locations", "SELECT managing AS organization, count(*) AS location_count FROM loc WHERE managing IN (SELECT id FROM org) GROUP BY 1 HAVING count(*) > 1 ORDER BY location_count DESC, organization LIMIT 25")
+def g11_managing(spark, sf):
+    manages = edges(spark, sf).where((F.col("rel") == "MANAGES") & F.col("dst").startswith("Location/"))
+    counts = manages.groupBy(F.substring_index("src", "/", -1).alias("organization")).agg(F.count(ONE).alias("location_count"))
+    return counts.where("location_count > 1").orderBy(F.desc("location_count"), "organization").limit(25)
+
+
+@query("g12_node_counts", "SELECT resource_type AS node_type, n FROM counts")
+def g12_nodes(spark, sf):
+    return graph.node_ids(star_set(spark, sf)).groupBy("node_type").agg(F.count(ONE).alias("n"))
+
+
+@query("g12_edge_counts", "SELECT rel, split_part(src, '/', 1) AS src_type, split_part(dst, '/', 1) AS dst_type, count(*) AS n FROM edges GROUP BY ALL")
+def g12_edges(spark, sf):
+    return (
+        edges(spark, sf)
+        .groupBy("rel", graph.node_type(F.col("src")).alias("src_type"), graph.node_type(F.col("dst")).alias("dst_type"))
+        .agg(F.count(ONE).alias("n"))
+    )
+
+
+@query(
+    "g12_identifier_systems",
+    """SELECT 'http://hl7.org/fhir/sid/us-npi' AS system, (SELECT count(npi) FROM prac) + (SELECT count(npi) + count(npi2) FROM org) AS n
+       UNION ALL SELECT 'http://example.org/license', count(*) FILTER (k % 6 = 1) FROM prac""",
+)
+def g12_systems(spark, sf):
+    pairs = graph.identifier_pairs(F.col("r.identifier"))
+    parts = [
+        parse_resources(df, t, ("identifier",)).select(F.explode(pairs).alias("p"))
+        for t, df in star_set(spark, sf, "Practitioner", "Organization").items()
+    ]
+    return parts[0].unionByName(parts[1]).groupBy(F.col("p.system").alias("system")).agg(F.count(ONE).alias("n"))
+
+
+@query("g12_org_types", "SELECT CASE type_code WHEN 'prov' THEN 'Healthcare Provider' ELSE 'Payer' END AS org_type, count(*) AS n FROM org GROUP BY 1")
+def g12_types(spark, sf):
+    return graph.organization_nodes(star_set(spark, sf, "Organization")).select(F.explode("org_types").alias("org_type")).groupBy("org_type").agg(F.count(ONE).alias("n"))
+
+
+@query("g12_org_states", "SELECT st AS state, CAST(sum(k % 3 + 1) AS BIGINT) AS n FROM org GROUP BY 1")
+def g12_states(spark, sf):
+    return graph.organization_nodes(star_set(spark, sf, "Organization")).select(F.explode("states").alias("state")).groupBy("state").agg(F.count(ONE).alias("n"))
+
+
+DEGREES_SQL = """, degree AS (SELECT node, count(*) AS degree FROM (SELECT src AS node FROM edges UNION ALL SELECT dst FROM edges WHERE src <> dst) GROUP BY node)"""
+
+
+@query("g13_hubs", "SELECT node, degree FROM degree WHERE degree > 10", extra=DEGREES_SQL)
+def g13(spark, sf):
+    return graph.degrees(edges(spark, sf)).where("degree > 10")
+
+
+@query("a17_degrees", "SELECT split_part(node, '/', 1) AS node_type, max(degree) AS max_degree, CAST(sum(degree) AS BIGINT) AS ends, count(*) AS nodes FROM degree GROUP BY 1", extra=DEGREES_SQL)
+def a17(spark, sf):
+    return (
+        graph.degrees(edges(spark, sf))
+        .groupBy(graph.node_type(F.col("node")).alias("node_type"))
+        .agg(F.max("degree").alias("max_degree"), F.sum("degree").alias("ends"), F.count(ONE).alias("nodes"))
+    )
+
+
+@query(
+    "g13_endpoint_usage",
+    """SELECT code AS connection_type, count(*) AS endpoint_count, CAST(sum(u) AS DOUBLE) / count(*) AS avg_usage, max(u) AS max_usage FROM (
+         SELECT e.code, count(x.dst) AS u FROM ep e LEFT JOIN edges x ON x.rel = 'HAS_ENDPOINT' AND x.dst = 'Endpoint/' || e.id GROUP BY e.id, e.code) GROUP BY code""",
+)
+def g13_usage(spark, sf):
+    # counted per endpoint before the join, so a much used endpoint is one row
+    used = edges(spark, sf).where("rel = 'HAS_ENDPOINT'").groupBy(F.substring_index("dst", "/", -1).alias("id")).agg(F.count(ONE).alias("u"))
+    nodes = graph.endpoint_nodes(star_set(spark, sf, "Endpoint")).select("id", "connection_type")
+    u = F.coalesce("u", F.lit(0))
+    return (
+        nodes.join(used, "id", "left")
+        .groupBy("connection_type")
+        .agg(F.count(ONE).alias("endpoint_count"), (F.sum(u).cast("double") / F.count(ONE)).alias("avg_usage"), F.max(u).alias("max_usage"))
+    )
+
+
+@query(
+    "a18_endpoint_types_per_organization",
+    """SELECT split_part(x.src, '/', 2) AS organization, e.code AS connection_type, count(*) AS endpoints FROM edges x JOIN ep e ON x.dst = 'Endpoint/' || e.id
+       WHERE x.rel = 'HAS_ENDPOINT' AND x.src LIKE 'Organization/%' GROUP BY ALL""",
+)
+def a18(spark, sf):
+    kinds = graph.endpoint_nodes(star_set(spark, sf, "Endpoint")).select(F.concat(F.lit("Endpoint/"), "id").alias("dst"), "connection_type")
+    owned = edges(spark, sf).where((F.col("rel") == "HAS_ENDPOINT") & F.col("src").startswith("Organization/"))
+    return (
+        owned.join(kinds, "dst")
+        .groupBy(F.substring_index("src", "/", -1).alias("organization"), "connection_type")
+        .agg(F.count(ONE).alias("endpoints"))
+    )
+
+
+EMPLOYMENT_SQL = """, bridge AS (SELECT DISTINCT 'Practitioner/' || r.prac_id AS p, 'Organization/' || r.org_id AS o FROM role r WHERE r.prac_id IN (SELECT id FROM prac) AND r.org_id IN (SELECT id FROM org))"""
+
+
+@query(
+    "j09_shared_employer_pairs",
+    "SELECT a.p AS practitioner_1, b.p AS practitioner_2, a.o AS organization FROM bridge a JOIN bridge b ON a.o = b.o AND a.p < b.p ORDER BY ALL LIMIT 25",
+    extra=EMPLOYMENT_SQL,
+)
+def j09_pairs(spark, sf):
+    return graph.shared_employer_pairs(graph.employment(edges(spark, sf)), 25)
+
+
+@query("j09_shared_employer_counts", "SELECT o AS organization, count(*) AS practitioners, CAST(count(*) * (count(*) - 1) / 2 AS BIGINT) AS pairs FROM bridge GROUP BY o", extra=EMPLOYMENT_SQL)
+def j09_counts(spark, sf):
+    return graph.shared_employer_counts(graph.employment(edges(spark, sf)))
+
+
+@query(
+    "j09_organizations_sharing_practitioners",
+    "SELECT a.o AS organization_1, b.o AS organization_2, count(*) AS shared_practitioners FROM bridge a JOIN bridge b ON a.p = b.p AND a.o < b.o GROUP BY ALL HAVING count(*) > 5",
+    extra=EMPLOYMENT_SQL,
+)
+def j09_sharing(spark, sf):
+    return graph.organizations_sharing(graph.employment(edges(spark, sf)), 5)
+
+
+@query(
+    "j10_network_assembly",
+    """SELECT 'Practitioner/' || p.id AS practitioner, r.node AS role, o.dst AS organization, l.dst AS location, e.dst AS endpoint
+       FROM prac p LEFT JOIN (SELECT src, dst AS node FROM edges WHERE rel = 'HAS_ROLE') r ON r.src = 'Practitioner/' || p.id
+       LEFT JOIN edges o ON o.src = r.node AND o.rel = 'WORKS_AT' LEFT JOIN edges l ON l.src = r.node AND l.rel = 'AT_LOCATION' LEFT JOIN edges e ON e.src = r.node AND e.rel = 'HAS_ENDPOINT'""",
+)
+def j10(spark, sf):
+    people = graph.node_ids(star_set(spark, sf, "Practitioner")).select(F.col("node").alias("practitioner"))
+    return graph.assemble_network(edges(spark, sf), people)
+
+
+@query(
+    "q29_graph_integrity",
+    """SELECT 'misclassified_nodes' AS metric, CAST(0 AS BIGINT) AS n FROM org WHERE id LIKE 'aff-%' HAVING count(*) >= 0
+       UNION ALL SELECT 'orphan_roles', count(*) FROM role WHERE prac_id IS NULL OR prac_id NOT IN (SELECT id FROM prac)
+       UNION ALL SELECT 'orphan_affiliations', count(*) FROM aff WHERE (org_id IS NULL OR org_id NOT IN (SELECT id FROM org)) AND part_id NOT IN (SELECT id FROM org)
+       UNION ALL SELECT 'nameless_practitioners', count(*) FROM prac WHERE family IS NULL AND first_given IS NULL
+       UNION ALL SELECT 'roles_with_reference', count(prac_id) FROM role
+       UNION ALL SELECT 'roles_with_edge', count(*) FROM role WHERE prac_id IN (SELECT id FROM prac)""",
+)
+def q29(spark, sf):
+    return graph.integrity(star_set(spark, sf), edges(spark, sf))

@@ -1 +1,48 @@
-"""placeholder"""
+"""Incremental ingest."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from carelattice.catalog.registry import query
+from carelattice.runtime import new_shared_path
+from carelattice.streaming import ingest
+
+
+def event_pages(spark, sf) -> str:
+    """Events as resource lines in page folders, one per day; each event id of a user is updated later."""
+    root = new_shared_path(spark, "pages")
+    line = F.to_json(
+        F.struct(
+            F.initcap("event_type").alias("resourceType"),
+            F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("id"),
+            F.struct(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("lastUpdated")).alias("meta"),
+            F.col("event_id"),
+        )
+    )
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    events.select(line.alias("value"), F.date_format("ts", "yyyyMMdd").alias("day")).write.partitionBy("day").text(root)
+    return root
+
+
+@query(
+    "st01_stream_upsert",
+    """SELECT resource_type, id, CAST(event_id AS BIGINT) AS event_id FROM (
+         SELECT upper(event_type[1]) || lower(event_type[2:]) AS resource_type, 'u' || user_id AS id, event_id,
+           row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1""",
+)
+def st01(spark, sf):
+    pages, table, checkpoint = event_pages(spark, sf), new_shared_path(spark, "table"), new_shared_path(spark, "offsets")
+    # twice: the second run finds nothing new, as after a restart
+    for _ in range(2):
+        ingest.ingest(ingest.stream_lines(spark, f"{pages}/*"), table, checkpoint).awaitTermination()
+    return ingest.current(spark, table).select(
+        "resource_type", "id", F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id")
+    )
+
+
+@query("st02_running_counts", "SELECT upper(event_type[1]) || lower(event_type[2:]) AS resource_type, count(*) AS lines FROM events GROUP BY 1")
+def st02(spark, sf):
+    pages, out, checkpoint = event_pages(spark, sf), new_shared_path(spark, "counts"), new_shared_path(spark, "offsets")
+    ingest.count_types(ingest.stream_lines(spark, f"{pages}/*"), out, checkpoint).awaitTermination()
+    return ingest.latest_counts(spark, out)

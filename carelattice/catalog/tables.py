@@ -35,11 +35,27 @@ def key(*columns: str) -> str:
     return "left(sha256(concat_ws(chr(31), " + ", ".join(f"coalesce({c}, '')" for c in columns) + ")), 32)"
 
 
-def table(rtype: str, name: str):
-    def run(spark, sf):
-        return NORMALIZERS[rtype](star_resources(spark, sf, rtype))[name]
+_PLANS: dict[tuple, dict] = {}
+
+
+def normalized(spark, sf, rtype: str) -> dict:
+    """Tables of one type; the plans are built once per session and folder, not run."""
+    at = (spark.sparkContext.applicationId, sf, rtype)
+    if at not in _PLANS:
+        _PLANS[at] = NORMALIZERS[rtype](star_resources(spark, sf, rtype))
+    return _PLANS[at]
 
-    return run
+
+def everything(spark, sf) -> dict:
+    """All tables of all types over records that were parsed and written once."""
+    at = (spark.sparkContext.applicationId, sf, "*")
+    if at not in _PLANS:
+        _PLANS[at] = normalize_all(star_set(spark, sf), new_shared_path(spark, "records"))
+    return _PLANS[at]
+
+
+def table(rtype: str, name: str):
+    return lambda spark, sf: normalized(spark, sf, rtype)[name]
 
 
 query(
@@ -155,7 +171,7 @@ query(
     extra="," + TELECOM_SQL,
 )(
     lambda spark, sf: _bridges(
-        NORMALIZERS["OrganizationAffiliation"](star_resources(spark, sf, "OrganizationAffiliation")),
+        normalized(spark, sf, "OrganizationAffiliation"),
         "organization_affiliation",
         {"specialty": "code", "telecom": "telecom_value", "endpoint": "endpoint_uuid"},
     )
@@ -187,7 +203,7 @@ query(
     extra="," + TELECOM_SQL,
 )(
     lambda spark, sf: _bridges(
-        NORMALIZERS["Location"](star_resources(spark, sf, "Location")),
+        normalized(spark, sf, "Location"),
         "location",
         {"telecom": "telecom_value", "hours_of_operation": "opening_time", "accessibility": "code_code"},
     )
@@ -206,10 +222,6 @@ query(
 )(table("Endpoint", "endpoint_payload_type"))
 
 
-def everything(spark, sf):
-    return normalize_all(star_set(spark, sf), new_shared_path(spark, "records"))
-
-
 @query(
     "n07_telecom_dimension",
     f"""SELECT DISTINCT {key('t', 'v')} AS telecom_key, t AS telecom_type, v AS telecom_value FROM (
@@ -352,7 +364,7 @@ def _joined(df, *lists):
     extra="," + TELECOM_SQL,
 )
 def n12_role(spark, sf):
-    t = NORMALIZERS["PractitionerRole"](star_resources(spark, sf, "PractitionerRole"), new_shared_path(spark, "records"))
+    t = normalized(spark, sf, "PractitionerRole")
     owner = "practitioner_role_uuid"
     record = serialize.denormalize(
         t["practitioner_role"].select("resource_uuid", "practitioner_uuid"),
@@ -372,7 +384,7 @@ def n12_role(spark, sf):
     extra="," + TELECOM_SQL,
 )
 def n12_affiliation(spark, sf):
-    t = NORMALIZERS["OrganizationAffiliation"](star_resources(spark, sf, "OrganizationAffiliation"))
+    t = normalized(spark, sf, "OrganizationAffiliation")
     owner = "organization_affiliation_uuid"
     record = serialize.denormalize(
         t["organization_affiliation"].select("resource_uuid", "primary_organization_uuid"),
@@ -392,7 +404,7 @@ def n12_affiliation(spark, sf):
     extra="," + TELECOM_SQL,
 )
 def n12_location(spark, sf):
-    t = NORMALIZERS["Location"](star_resources(spark, sf, "Location"))
+    t = normalized(spark, sf, "Location")
     owner = "location_uuid"
     record = serialize.denormalize(
         t["location"].select("resource_uuid", "name"),
@@ -410,7 +422,7 @@ def n12_location(spark, sf):
     extra="," + TELECOM_SQL,
 )
 def n12_endpoint(spark, sf):
-    t = NORMALIZERS["Endpoint"](star_resources(spark, sf, "Endpoint"))
+    t = normalized(spark, sf, "Endpoint")
     record = serialize.denormalize(
         t["endpoint"].select("resource_uuid", "status"),
         {"payload_types": (t["endpoint_payload_type"].select("endpoint_uuid", "payload_code"), "endpoint_uuid")},

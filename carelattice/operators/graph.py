@@ -570,3 +570,38 @@ def assemble_network(edges: DataFrame, practitioners: DataFrame) -> DataFrame:
         .join(side("HAS_ENDPOINT", "endpoint"), "role", "left")
         .select("practitioner", "role", "organization", "location", "endpoint")
     )
+
+
+def integrity(resources: Resources, edges: DataFrame) -> DataFrame:
+    """Counts that tell whether the graph holds what the resources say: (metric, n)."""
+    wrong = None
+    for rtype, df in resources.items():
+        part = df.select((F.get_json_object("value", "$.resourceType") != rtype).alias("w"))
+        wrong = part if wrong is None else wrong.unionByName(part)
+    misfiled = wrong.agg(F.count(F.when(F.col("w"), 1)).alias("n"))
+
+    def unlinked(rtype: str, *ends: tuple[str, str]) -> DataFrame:
+        linked = None
+        for rel, column in ends:
+            part = edges.where(F.col("rel") == rel).select(F.col(column).alias("node")).distinct()
+            linked = part if linked is None else linked.unionByName(part)
+        return node_ids({rtype: resources[rtype]}).join(linked, "node", "left_anti").agg(F.count(F.lit(1)).alias("n"))
+
+    nameless = practitioner_nodes(resources).where(F.coalesce("name", F.lit("")) == "")
+    referring = role_nodes(resources).where("practitioner_id IS NOT NULL")
+    linked = edges.where("rel = 'HAS_ROLE'").select("dst").distinct()
+    parts = {
+        "misclassified_nodes": misfiled,
+        "orphan_roles": unlinked("PractitionerRole", ("HAS_ROLE", "dst")),
+        "orphan_affiliations": unlinked(
+            "OrganizationAffiliation", ("HAS_AFFILIATION", "dst"), ("AFFILIATED_WITH", "src")
+        ),
+        "nameless_practitioners": nameless.agg(F.count(F.lit(1)).alias("n")),
+        "roles_with_reference": referring.agg(F.count(F.lit(1)).alias("n")),
+        "roles_with_edge": linked.agg(F.count(F.lit(1)).alias("n")),
+    }
+    out = None
+    for name, df in parts.items():
+        part = df.select(F.lit(name).alias("metric"), "n")
+        out = part if out is None else out.unionByName(part)
+    return out
