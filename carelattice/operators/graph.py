@@ -327,7 +327,7 @@ def build_edges(resources: Resources, nodes: DataFrame | None = None) -> DataFra
     """
     if nodes is None:
         nodes = node_ids(resources)
-    edges = wanted_edges(resources)
+    edges = cut_lineage(wanted_edges(resources), "edges")
     inward = F.col("rel").isin("HAS_ROLE", "HAS_AFFILIATION", "MANAGES")
     far = edges.withColumn("far", F.when(inward, F.col("src")).otherwise(F.col("dst")))
     return salted_lookup(far, nodes.select(F.col("node").alias("far")), "far").select(

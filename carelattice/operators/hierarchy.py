@@ -1,7 +1,7 @@
 """Parent hierarchies by pointer doubling.
 
 After round k every node points 2^k levels up, so a chain of depth d needs log2(d) joins instead
-of d. Each round is one join of the unresolved nodes, checkpointed in the shared folder.
+of d. Each round is one join of the unresolved nodes, written to the shared folder.
 """
 
 from __future__ import annotations
@@ -21,14 +21,16 @@ def parents(nodes: DataFrame, id_col: str = "id", parent_col: str = "parent_id")
     )
 
 
+def _missing_parents(tree: DataFrame) -> DataFrame:
+    """Parents that are no node. Parents are made distinct before the join."""
+    known = tree.select(F.col("node").alias("parent"))
+    return tree.where(F.col("parent").isNotNull()).select("parent").distinct().join(known, "parent", "left_anti")
+
+
 def broken_parents(nodes: DataFrame, id_col: str = "id", parent_col: str = "parent_id") -> DataFrame:
-    """Nodes whose parent does not exist. Parents are made distinct before the join."""
+    """Nodes whose parent does not exist."""
     tree = parents(nodes, id_col, parent_col)
-    known = tree.select(F.col("node").alias("parent"))
-    missing = (
-        tree.where(F.col("parent").isNotNull()).select("parent").distinct().join(known, "parent", "left_anti")
-    )
-    return tree.join(missing, "parent", "left_semi").select("node", "parent")
+    return tree.join(_missing_parents(tree), "parent", "left_semi").select("node", "parent")
 
 
 def _climb(tree: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -37,6 +39,7 @@ def _climb(tree: DataFrame) -> tuple[DataFrame, DataFrame]:
     A root has no parent or one that does not exist. The loop ends when a round resolves nothing:
     depths along a chain are contiguous, so no finite chain can be left then.
     """
+    tree = cut_lineage(tree)
     known = tree.select(F.col("node").alias("parent"), F.lit(True).alias("_known"))
     jumps = cut_lineage(
         salted_lookup(tree, known, "parent", "left").select(
@@ -62,6 +65,31 @@ def _climb(tree: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def facts(nodes: DataFrame, id_col: str = "id", parent_col: str = "parent_id") -> DataFrame:
+    """(node, parent, depth, broken, cyclic) of every node, from a single climb.
+
+    ``depth`` is 1 for a root and NULL on a cycle and below one; ``broken`` marks a parent that
+    does not exist; ``cyclic`` marks members of a cycle, not nodes that merely lead into one.
+    """
+    tree = cut_lineage(parents(nodes, id_col, parent_col))
+    resolved, stuck = _climb(tree)
+    known = resolved.unionByName(stuck.select("node", F.lit(None).cast("bigint").alias("depth")))
+    missing = _missing_parents(tree).withColumn("broken", F.lit(True))
+    members = _members(stuck).withColumn("cyclic", F.lit(True))
+    return (
+        tree.join(known, "node")
+        .join(members, "node", "left")
+        .join(missing, "parent", "left")
+        .select(
+            "node",
+            "parent",
+            "depth",
+            F.coalesce("broken", F.lit(False)).alias("broken"),
+            F.coalesce("cyclic", F.lit(False)).alias("cyclic"),
+        )
+    )
+
+
 def depths(nodes: DataFrame, id_col: str = "id", parent_col: str = "parent_id") -> DataFrame:
     """Depth of every node, 1 for a root; NULL on a cycle and below one."""
     resolved, stuck = _climb(parents(nodes, id_col, parent_col))
@@ -79,12 +107,13 @@ def deepest(nodes: DataFrame, id_col: str = "id", parent_col: str = "parent_id")
 
 
 def cycle_members(nodes: DataFrame, id_col: str = "id", parent_col: str = "parent_id") -> DataFrame:
-    """Nodes that lie on a cycle, not those that merely lead into one.
+    """Nodes that lie on a cycle, not those that merely lead into one."""
+    return _members(_climb(parents(nodes, id_col, parent_col))[1])
 
-    On the nodes that never reach a root, the images of a jump shrink to the cycles; doubling the
-    jump until the image stops shrinking leaves exactly the members.
-    """
-    _, jumps = _climb(parents(nodes, id_col, parent_col))
+
+def _members(jumps: DataFrame) -> DataFrame:
+    """On nodes that never reach a root, the images of a jump shrink to the cycles; doubling the
+    jump until the image stops shrinking leaves exactly the members."""
     image = cut_lineage(jumps.select(F.col("up").alias("node")).distinct())
     size = image.count()
     while size:
@@ -102,26 +131,20 @@ def ancestors(
     nodes: DataFrame, levels: int = 5, id_col: str = "id", parent_col: str = "parent_id"
 ) -> DataFrame:
     """(node, ancestor, level) for up to ``levels`` levels up; edges are never walked twice."""
-    tree = parents(nodes, id_col, parent_col)
+    tree = cut_lineage(parents(nodes, id_col, parent_col))
     known = tree.select(F.col("node").alias("ancestor"), F.col("parent").alias("_next"))
-    # the first level is the parent itself, where it exists
-    step = salted_lookup(
-        tree.where("parent IS NOT NULL").withColumnRenamed("parent", "ancestor"), known, "ancestor"
-    ).select("node", "ancestor", "_next", F.array("node").alias("_seen"))
-    found = [step.select("node", "ancestor", F.lit(1).alias("level"))]
-    for level in range(2, levels + 1):
+    step = tree.where("parent IS NOT NULL").select(
+        "node", F.col("parent").alias("ancestor"), F.array("node").alias("_seen")
+    )
+    out = None
+    for level in range(1, levels + 1):
+        step = cut_lineage(salted_lookup(step, known, "ancestor"))
+        found = step.select("node", "ancestor", F.lit(level).alias("level"))
+        out = found if out is None else out.unionByName(found)
         # an edge is named by its lower end: a walk may return to a node but not leave it twice
-        step = (
-            step.where(F.col("_next").isNotNull() & ~F.array_contains("_seen", F.col("ancestor")))
-            .select(
-                "node",
-                F.array_append("_seen", F.col("ancestor")).alias("_seen"),
-                F.col("_next").alias("ancestor"),
-            )
+        step = step.where(F.col("_next").isNotNull() & ~F.array_contains("_seen", F.col("ancestor"))).select(
+            "node",
+            F.col("_next").alias("ancestor"),
+            F.array_append("_seen", F.col("ancestor")).alias("_seen"),
         )
-        step = salted_lookup(step, known, "ancestor").select("node", "ancestor", "_next", "_seen")
-        found.append(step.select("node", "ancestor", F.lit(level).alias("level")))
-    out = found[0]
-    for part in found[1:]:
-        out = out.unionByName(part)
     return out

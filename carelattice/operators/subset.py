@@ -10,44 +10,67 @@ from pyspark.sql import functions as F
 from carelattice.functions.address import first_state, normalize_states
 from carelattice.functions.identity import npis
 from carelattice.functions.refs import all_refs, typed_ids
-from carelattice.runtime import salted_lookup
+from carelattice.runtime import cut_lineage, salted_lookup
 from carelattice.schemas import ADDRESSES
 from carelattice.sources.export import once_per_id
 from carelattice.sources.ndjson import parse_resources
 
-REF_FIELDS = (
-    "practitioner", "organization", "participatingOrganization", "location", "endpoint",
-    "managingOrganization",
-)
+# per type: the reference fields of a subset and the type each must name
+LINK_FIELDS = {
+    "Organization": {"location": "Location", "endpoint": "Endpoint"},
+    "PractitionerRole": {
+        "practitioner": "Practitioner",
+        "organization": "Organization",
+        "location": "Location",
+        "endpoint": "Endpoint",
+    },
+    "OrganizationAffiliation": {
+        "organization": "Organization",
+        "participatingOrganization": "Organization",
+        "location": "Location",
+    },
+    "Endpoint": {"managingOrganization": "Organization"},
+}
+ADDRESSED_TYPES = ("Location", "Organization", "Practitioner")
+
+
+def _read(df: DataFrame, rtype: str) -> DataFrame:
+    """(id, state, refs) of every resource with an id, in one parse.
+
+    Fields are read as JSON text, which keeps every shape they may have; ``refs`` holds the
+    ``Type/id`` targets of the type's reference fields.
+    """
+    links = LINK_FIELDS.get(rtype, {})
+    fields = [*links, *(["address"] if rtype in ADDRESSED_TYPES else [])]
+    ddl = ", ".join(f"{f} STRING" for f in ["id", *fields])
+    rows = df.select(F.from_json("value", ddl).alias("r")).select("r.*")
+    targets = [
+        F.transform(typed_ids(F.col(f), t), _prefixed(t)) for f, t in links.items()
+    ]
+    state = first_state(F.from_json("address", ADDRESSES)) if "address" in fields else F.lit(None)
+    return rows.select(
+        "id",
+        state.cast("string").alias("state"),
+        (F.concat(*targets) if targets else F.array().cast("array<string>")).alias("refs"),
+    )
 
 
-def _loose(df: DataFrame, *fields: str) -> DataFrame:
-    """id and some fields as JSON text, which keeps every shape a field may have."""
-    ddl = ", ".join(["id STRING", *[f"{f} STRING" for f in fields]])
-    return (
-        df.select(F.from_json("value", ddl).alias("r"))
-        .select("r.*")
-        .where(F.coalesce("id", F.lit("")) != "")
-    )
+def _prefixed(rtype: str):
+    return lambda i: F.concat(F.lit(f"{rtype}/"), i)
 
 
-def _links(df: DataFrame, fields: dict[str, str]) -> DataFrame:
-    """Distinct (id, target) pairs of the given fields, each with the wanted target type."""
-    rows = _loose(df, *fields)
-    targets = F.concat(*[typed_ids(F.col(f), t) for f, t in fields.items()])
-    return rows.select("id", F.explode(targets).alias("target")).distinct()
+def _links(rows: DataFrame) -> DataFrame:
+    """Distinct (id, ref) pairs."""
+    return rows.select("id", F.explode("refs").alias("ref")).distinct()
 
 
-def _by_state(df: DataFrame, states: list[str]) -> DataFrame:
-    rows = _loose(df, "address")
-    state = first_state(F.from_json("address", ADDRESSES))
-    return rows.where(state.isin(*states)).select("id").distinct()
+def _refs_of(ids: DataFrame, rtype: str) -> DataFrame:
+    return ids.select(F.concat(F.lit(f"{rtype}/"), "id").alias("ref"))
 
 
-def _touching(links: DataFrame, ids: DataFrame) -> DataFrame:
-    """Ids with a link into ``ids``. Links are distinct pairs; a hot target is salted."""
-    targets = ids.select(F.col("id").alias("target"))
-    return salted_lookup(links, targets, "target").select("id").distinct()
+def _touching(links: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Ids with a link into ``wanted``; a target that very many ids share is salted."""
+    return salted_lookup(links, wanted, "ref").select("id").distinct()
 
 
 def state_subset_ids(
@@ -61,67 +84,64 @@ def state_subset_ids(
     kept roles and of organizations added by location, or managed by a kept organization.
     ``expand`` adds what the plain subset leaves out: practitioners of kept roles and endpoints of
     every kept organization.
+
+    Each type is parsed once and its ids and links are written to the shared folder; the steps
+    after that are joins of those narrow tables.
     """
     wanted, _ = normalize_states(states)
-    locations = _by_state(resources["Location"], wanted)
-    seeds = _by_state(resources["Organization"], wanted)
-    practitioners = _by_state(resources["Practitioner"], wanted)
-
-    org_locations = _links(resources["Organization"], {"location": "Location"})
-    added = _touching(org_locations, locations).join(seeds, "id", "left_anti")
-    organizations = seeds.unionByName(added)
-
-    roles = resources["PractitionerRole"]
-    kept_roles = (
-        _touching(_links(roles, {"practitioner": "Practitioner"}), practitioners)
-        .unionByName(_touching(_links(roles, {"organization": "Organization"}), organizations))
-        .unionByName(_touching(_links(roles, {"location": "Location"}), locations))
-        .distinct()
-    )
-    affiliations = resources["OrganizationAffiliation"]
-    kept_affiliations = (
+    rows = {
+        t: cut_lineage(_read(resources[t], t).where(F.coalesce("id", F.lit("")) != ""), f"subset-{t}")
+        for t in ("Location", "Organization", "Practitioner", "PractitionerRole", "OrganizationAffiliation", "Endpoint")
+    }
+    links = {t: cut_lineage(_links(rows[t]), f"links-{t}") for t in LINK_FIELDS}
+
+    def seeds(rtype: str) -> DataFrame:
+        return rows[rtype].where(F.col("state").isin(*wanted)).select("id").distinct()
+
+    locations, org_seeds, practitioners = (seeds(t) for t in ADDRESSED_TYPES)
+    places = _refs_of(locations, "Location")
+    added = cut_lineage(_touching(links["Organization"], places).join(org_seeds, "id", "left_anti"))
+    organizations = org_seeds.unionByName(added)
+    owners = _refs_of(organizations, "Organization")
+
+    roles = cut_lineage(
         _touching(
-            _links(affiliations, {"organization": "Organization", "participatingOrganization": "Organization"}),
-            organizations,
-        )
-        .unionByName(_touching(_links(affiliations, {"location": "Location"}), locations))
-        .distinct()
-    )
-    endpoints = resources["Endpoint"]
-    existing = _loose(endpoints).select("id").distinct()
-    endpoint_owners = organizations if expand else added
-    referenced = (
-        _links(roles, {"endpoint": "Endpoint"})
-        .join(kept_roles, "id", "left_semi")
-        .unionByName(
-            _links(resources["Organization"], {"endpoint": "Endpoint"}).join(endpoint_owners, "id", "left_semi")
+            links["PractitionerRole"],
+            places.unionByName(owners).unionByName(_refs_of(practitioners, "Practitioner")),
         )
-        .select(F.col("target").alias("id"))
-        .distinct()
-        .join(existing, "id", "left_semi")
     )
-    managed = _touching(_links(endpoints, {"managingOrganization": "Organization"}), organizations)
-    kept_endpoints = referenced.unionByName(managed).distinct()
+    affiliations = _touching(links["OrganizationAffiliation"], places.unionByName(owners))
+
+    referenced = links["PractitionerRole"].join(roles, "id", "left_semi").select("ref")
+    from_owners = links["Organization"].join(organizations if expand else added, "id", "left_semi").select("ref")
+    all_refs_kept = cut_lineage(referenced.unionByName(from_owners).distinct())
+
+    def existing(rtype: str) -> DataFrame:
+        named = _ids_of(all_refs_kept, rtype)
+        return rows[rtype].select("id").distinct().join(named, "id", "left_semi")
+
+    endpoints = existing("Endpoint").unionByName(_touching(links["Endpoint"], owners)).distinct()
     if expand:
-        existing_people = _loose(resources["Practitioner"]).select("id").distinct()
-        practitioners = (
-            _links(roles, {"practitioner": "Practitioner"})
-            .join(kept_roles, "id", "left_semi")
-            .select(F.col("target").alias("id"))
-            .distinct()
-            .join(existing_people, "id", "left_semi")
-            .unionByName(practitioners)
-            .distinct()
-        )
-    parts = {
-        "Location": locations,
-        "Organization": organizations,
-        "Practitioner": practitioners,
-        "PractitionerRole": kept_roles,
-        "OrganizationAffiliation": kept_affiliations,
-        "Endpoint": kept_endpoints,
-    }
-    return _tagged(parts)
+        of_roles = _ids_of(referenced.distinct(), "Practitioner")
+        known = rows["Practitioner"].select("id").distinct().join(of_roles, "id", "left_semi")
+        practitioners = known.unionByName(practitioners).distinct()
+    return _tagged(
+        {
+            "Location": locations,
+            "Organization": organizations,
+            "Practitioner": practitioners,
+            "PractitionerRole": roles,
+            "OrganizationAffiliation": affiliations,
+            "Endpoint": endpoints,
+        }
+    )
+
+
+def _ids_of(refs: DataFrame, rtype: str) -> DataFrame:
+    start = len(rtype) + 2
+    return refs.where(F.col("ref").startswith(f"{rtype}/")).select(
+        F.substring("ref", start, 1_000_000).alias("id")
+    )
 
 
 def _tagged(parts: dict[str, DataFrame]) -> DataFrame:
@@ -160,7 +180,7 @@ def practitioner_network(bronze: DataFrame, npi: str) -> DataFrame:
     affiliations found so far refer to. ``bronze`` holds all types.
     """
     people = bronze.where(F.col("resource_type") == "Practitioner")
-    person = (
+    person = cut_lineage(
         find_npi(people, npi)
         .groupBy("resource_type")
         .agg(F.min("id").alias("id"))
@@ -173,13 +193,14 @@ def practitioner_network(bronze: DataFrame, npi: str) -> DataFrame:
         .join(wanted, "_ref", "left_semi")
         .select("resource_type", "id", "value")
     )
-    first = _referenced(roles)
-    level1 = bronze.join(first, ["resource_type", "id"], "left_semi")
-    second = _referenced(level1.where(F.col("resource_type").isin(*SECOND_HOP_FROM)))
+    roles = cut_lineage(roles)
+    first = cut_lineage(_referenced(roles))
+    middle = bronze.where(F.col("resource_type").isin(*SECOND_HOP_FROM))
+    second = _referenced(middle.join(first, ["resource_type", "id"], "left_semi"))
     ids = (
         person.unionByName(roles.select("resource_type", "id")).unionByName(first).unionByName(second).distinct()
     )
-    return lines_of(bronze, ids)
+    return lines_of(bronze, cut_lineage(ids))
 
 
 def _referenced(lines: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ in one aggregated row. Thresholds are literals, nothing is compared on the drive
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -46,9 +47,9 @@ class Metric:
     """One comparison. ``numerator``/``denominator`` are counts, ``value`` a ready number."""
 
     scope: str
-    metric: str
-    op: str
-    threshold: float
+    metric: str | None
+    op: str | None
+    threshold: float | None
     numerator: Column | None = None
     denominator: Column | None = None
     value: Column | None = None
@@ -96,72 +97,92 @@ def rows() -> Column:
     return F.count(F.lit(1))
 
 
-def _row(check_: Check, m: Metric) -> Column:
-    bigint = F.lit(None).cast("bigint")
-    num = bigint if m.numerator is None else m.numerator.cast("bigint")
-    den = bigint if m.denominator is None else m.denominator.cast("bigint")
+RAW_SCHEMA = (
+    "check_id STRING, title STRING, scope STRING, metric STRING, op STRING, threshold DOUBLE, "
+    "limit_text STRING, skip_below INT, empty STRING, forced STRING, note STRING, "
+    "numerator BIGINT, denominator BIGINT, observed DOUBLE"
+)
+
+
+def _text(value: str | None) -> str:
+    return "CAST(NULL AS STRING)" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _fixed(c: Check, m: Metric | None, forced: str | None = None, note: str | None = None) -> str:
+    """The parts of a result row that are known beforehand, as one SQL struct."""
+    if m is None:
+        m = Metric("all", None, None, None)
+    parts = {
+        "check_id": _text(c.check_id),
+        "title": _text(c.title),
+        "scope": _text(m.scope),
+        "metric": _text(m.metric),
+        "op": _text(m.op),
+        "threshold": f"CAST({'NULL' if m.threshold is None else repr(float(m.threshold))} AS DOUBLE)",
+        "limit_text": _text(None if m.threshold is None else f"{m.threshold:g}"),
+        "skip_below": str(int(m.skip_below)),
+        "empty": _text(m.empty),
+        "forced": _text(forced),
+        "note": _text(note),
+    }
+    return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in parts.items()) + ")"
+
+
+def _measured(m: Metric) -> Column:
+    num = F.lit(None) if m.numerator is None else m.numerator
+    den = F.lit(None) if m.denominator is None else m.denominator
     if m.value is not None:
-        observed = m.value.cast("double")
+        observed = m.value
     elif m.denominator is None:
-        observed = num.cast("double")
+        observed = num
     else:
-        observed = F.try_divide(num.cast("double"), den.cast("double"))
+        observed = F.try_divide(num, den)
     return F.struct(
-        F.lit(check_.check_id).alias("check_id"),
-        F.lit(check_.title).alias("title"),
-        F.lit(m.scope).alias("scope"),
-        F.lit(m.metric).alias("metric"),
-        num.alias("numerator"),
-        den.alias("denominator"),
-        observed.alias("observed"),
-        F.lit(m.op).alias("op"),
-        F.lit(float(m.threshold)).alias("threshold"),
-        F.lit(f"{m.threshold:g}").alias("_limit"),
-        F.lit(int(m.skip_below)).alias("_skip"),
-        F.lit(m.empty).alias("_empty"),
+        num.cast("bigint").alias("numerator"),
+        den.cast("bigint").alias("denominator"),
+        observed.cast("double").alias("observed"),
+    )
+
+
+def _stack(aggregated: list[tuple[Check, list[Metric]]], source: DataFrame) -> DataFrame:
+    """All metrics of one input in one aggregation, then one row each."""
+    flat = [(c, m) for c, metrics in aggregated for m in metrics]
+    fixed = F.expr("array(" + ", ".join(_fixed(c, m) for c, m in flat) + ")")
+    return (
+        source.agg(F.array(*[_measured(m) for _, m in flat]).alias("m"))
+        .select(F.inline(F.arrays_zip(fixed.alias("f"), F.col("m"))))
+        .select("f.*", "m.*")
     )
 
 
 def _judge(metrics: DataFrame) -> DataFrame:
-    seen = F.col("observed")
-    limit = F.col("threshold")
+    seen, limit = F.col("observed"), F.col("threshold")
     holds = (
         F.when(F.col("op") == "<=", seen <= limit)
         .when(F.col("op") == ">=", seen >= limit)
         .otherwise(seen == limit)
     )
     status = (
-        F.when(F.col("denominator") < F.col("_skip"), "SKIPPED")
-        .when(seen.isNull(), F.col("_empty"))
+        F.when(F.col("forced").isNotNull(), F.col("forced"))
+        .when(F.col("denominator") < F.col("skip_below"), "SKIPPED")
+        .when(seen.isNull(), F.col("empty"))
         .when(holds, "PASS")
         .otherwise("FAIL")
     )
-    text = F.concat(F.col("metric"), F.lit(" not "), F.col("op"), F.lit(" "), F.col("_limit"))
-    return (
-        metrics.withColumn("status", status)
-        .withColumn(
-            "message",
-            F.when(F.col("status") == "FAIL", text).when(F.col("status") == "ERROR", "no rows to judge"),
-        )
-        .select(*RESULT_COLUMNS)
+    text = F.concat("metric", F.lit(" not "), "op", F.lit(" "), "limit_text")
+    message = (
+        F.when(F.col("note").isNotNull(), F.col("note"))
+        .when(F.col("status") == "FAIL", text)
+        .when(F.col("status") == "ERROR", "no rows to judge")
     )
+    return metrics.withColumn("status", status).withColumn("message", message).select(*RESULT_COLUMNS)
 
 
-def _stack(aggregated: list[tuple[Check, list[Metric]]], source: DataFrame) -> DataFrame:
-    """All metrics of one input in one aggregation, then one row each."""
-    structs = [_row(c, m) for c, metrics in aggregated for m in metrics]
-    return _judge(source.agg(F.array(*structs).alias("m")).select(F.inline("m")))
-
-
-def _skipped(spark, check_: Check, reason: str, status: str = "SKIPPED") -> DataFrame:
-    return spark.range(1).select(
-        F.lit(check_.check_id).alias("check_id"), F.lit(check_.title).alias("title"),
-        F.lit("all").alias("scope"), F.lit(None).cast("string").alias("metric"),
-        F.lit(None).cast("bigint").alias("numerator"), F.lit(None).cast("bigint").alias("denominator"),
-        F.lit(None).cast("double").alias("observed"), F.lit(None).cast("string").alias("op"),
-        F.lit(None).cast("double").alias("threshold"), F.lit(status).alias("status"),
-        F.lit(reason).alias("message"),
-    )
+def _verdict_row(spark, c: Check, status: str, note: str) -> DataFrame:
+    row = F.inline(F.expr(f"array({_fixed(c, None, status, note)})"))
+    return spark.range(1).select(row).selectExpr(
+        "*", "CAST(NULL AS BIGINT) AS numerator", "CAST(NULL AS BIGINT) AS denominator", "CAST(NULL AS DOUBLE) AS observed"
+    )
 
 
 def plan_checks(
@@ -170,7 +191,7 @@ def plan_checks(
     """The jobs of a suite: one per resource type for its expression checks, one per other check.
 
     A check whose plan cannot be built becomes an ERROR row; a missing input or configuration a
-    SKIPPED row.
+    SKIPPED row. The rows are measured but not judged yet.
     """
     spark = next(iter(dfs.values())).sparkSession
     chosen = [REGISTRY[n] for n in (names or REGISTRY)]
@@ -178,9 +199,9 @@ def plan_checks(
     by_type: dict[str, list[Check]] = {}
     for c in chosen:
         if config is None:
-            jobs.append(([c], _skipped(spark, c, "no configuration")))
+            jobs.append(([c], _verdict_row(spark, c, "SKIPPED", "no configuration")))
         elif not set(c.needs) <= set(dfs):
-            jobs.append(([c], _skipped(spark, c, "input missing")))
+            jobs.append(([c], _verdict_row(spark, c, "SKIPPED", "input missing")))
         elif c.fields is not None:
             by_type.setdefault(c.needs[0], []).append(c)
         else:
@@ -188,14 +209,14 @@ def plan_checks(
                 source, metrics = c.build(dfs, settings(config))
                 jobs.append(([c], _stack([(c, metrics)], source)))
             except Exception as error:  # noqa: BLE001 - one broken check must not stop the suite
-                jobs.append(([c], _skipped(spark, c, type(error).__name__, "ERROR")))
+                jobs.append(([c], _verdict_row(spark, c, "ERROR", type(error).__name__)))
     for rtype, group in by_type.items():
         built = []
         for c in group:
             try:
                 built.append((c, c.build(F.col("r"), settings(config))))
             except Exception as error:  # noqa: BLE001
-                jobs.append(([c], _skipped(spark, c, type(error).__name__, "ERROR")))
+                jobs.append(([c], _verdict_row(spark, c, "ERROR", type(error).__name__)))
         fields = tuple({f for c, _ in built for f in c.fields})
         if built:
             source = parse_resources(dfs[rtype], rtype, fields)
@@ -210,7 +231,7 @@ def run_checks(
     out = None
     for _, df in plan_checks(dfs, config, names):
         out = df if out is None else out.unionByName(df)
-    return out
+    return _judge(out)
 
 
 class ChecksFailed(Exception):
@@ -223,27 +244,36 @@ def run_suite(
     names: list[str] | None = None,
     raise_on_fail: bool = False,
     skip: bool = False,
+    parallel: int = 4,
 ) -> DataFrame:
     """Run every job on its own, so that one failing at run time becomes ERROR rows.
 
-    Each job returns a fixed number of metric rows, which are all the driver ever sees.
+    The jobs are independent and a few run at once. Each returns a fixed number of metric rows,
+    which are all the driver ever sees.
     """
     spark = next(iter(dfs.values())).sparkSession
     if skip:
         return spark.createDataFrame([], RESULT_SCHEMA)
-    found = []
-    for checks, df in plan_checks(dfs, config, names):
+
+    def measure(job: tuple[list[Check], DataFrame]) -> list[tuple]:
+        checks, df = job
         try:
-            found += [tuple(row) for row in df.collect()]
+            return [tuple(row) for row in df.collect()]
         except Exception as error:  # noqa: BLE001
-            for c in checks:
-                found.append(
-                    (c.check_id, c.title, "all", None, None, None, None, None, None, "ERROR", type(error).__name__)
-                )
-    failed = sorted({row[0] for row in found if row[9] == "FAIL"})
-    if raise_on_fail and failed:
-        raise ChecksFailed(", ".join(failed))
-    return spark.createDataFrame(found, RESULT_SCHEMA)
+            gone = type(error).__name__
+            return [
+                (c.check_id, c.title, "all", None, None, None, None, 0, "ERROR", "ERROR", gone, None, None, None)
+                for c in checks
+            ]
+
+    with ThreadPoolExecutor(parallel) as pool:
+        found = [row for rows_ in pool.map(measure, plan_checks(dfs, config, names)) for row in rows_]
+    results = _judge(spark.createDataFrame(found, RAW_SCHEMA))
+    if raise_on_fail:
+        failed = [row[0] for row in results.where("status = 'FAIL'").select("check_id").distinct().collect()]
+        if failed:
+            raise ChecksFailed(", ".join(sorted(failed)))
+    return results
 
 
 def summarize(results: DataFrame) -> DataFrame:
@@ -586,23 +616,15 @@ def organization_tree(dfs) -> DataFrame:
 
 @check("q24_hierarchy", "The organization hierarchy is sound", "Organization")
 def _q24(dfs, cfg):
-    nodes = organization_tree(dfs)
-    tree = hierarchy.parents(nodes)
-    broken = hierarchy.broken_parents(nodes).select("node", F.lit(1).alias("broken"))
-    cyclic = hierarchy.cycle_members(nodes).select("node", F.lit(1).alias("cyclic"))
-    facts = (
-        tree.join(broken, "node", "left")
-        .join(cyclic, "node", "left")
-        .join(hierarchy.depths(nodes), "node", "left")
-    )
-    broken_n = count_if(F.col("broken").isNotNull())
+    facts = hierarchy.facts(organization_tree(dfs))
+    broken_n = count_if(F.col("broken"))
     with_parent = count_if(F.col("parent").isNotNull())
     return facts, [
         Metric(
             "Organization", "broken_parents", "<=", cfg["max_broken_parents"], broken_n, with_parent,
             value=F.coalesce(F.try_divide(broken_n.cast("double"), with_parent.cast("double")), F.lit(0.0)),
         ),
-        Metric("Organization", "cycle_members", "<=", cfg["max_cycles"], numerator=count_if(F.col("cyclic").isNotNull())),
+        Metric("Organization", "cycle_members", "<=", cfg["max_cycles"], numerator=count_if(F.col("cyclic"))),
         Metric("Organization", "max_depth", "<=", cfg["max_depth"], numerator=F.max("depth")),
     ]
 

@@ -33,13 +33,15 @@ def new_shared_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder, so that a lost executor costs no recomputation."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(os.path.join(shared_dir(spark), "checkpoints"))
-    return df.checkpoint(eager=True)
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back.
+
+    A lost executor then costs no recomputation, later passes read only the columns they need, and
+    Spark knows the true size when it chooses a join.
+    """
+    path = new_shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def salted_lookup(
@@ -55,7 +57,8 @@ def salted_lookup(
     The ``hot_keys`` most frequent keys of ``left`` are spread over ``salts`` partitions and
     their right rows repeated as often; every other key joins as usual, so the result is whole.
     The list of hot keys has at most ``hot_keys`` rows, hence the explicit broadcast. The salt
-    is a hash of the left row, so a recomputed task sends each row to the same place.
+    is a hash of the left row, so a recomputed task sends each row to the same place. ``left`` is
+    read twice: pass a table at rest, or one that ends in a shuffle Spark can reuse.
     """
     hot = (
         left.where(F.col(key).isNotNull())
