@@ -302,10 +302,12 @@ def g15(spark, sf):
 
 @query(
     "n10_placeholders",
-    """SELECT 'organization' AS entity, id FROM (SELECT org_id AS id FROM kept_role WHERE org_id NOT IN (SELECT id FROM org WHERE npi IS NOT NULL) GROUP BY 1)
-       UNION ALL SELECT 'location', id FROM (SELECT loc1 AS id FROM kept_role WHERE loc1 NOT IN (SELECT id FROM good_loc) GROUP BY 1)
+    """SELECT 'organization' AS entity, id FROM (SELECT org_id AS id FROM kept_role UNION SELECT managing FROM good_loc UNION SELECT org_id FROM good_aff UNION SELECT part_id FROM good_aff)
+         WHERE id NOT IN (SELECT id FROM org WHERE npi IS NOT NULL)
+       UNION ALL SELECT 'location', id FROM (SELECT loc1 AS id FROM kept_role UNION SELECT parent FROM good_loc WHERE parent IS NOT NULL) WHERE id NOT IN (SELECT id FROM good_loc)
        UNION ALL SELECT 'healthcare_service', hs FROM kept_role WHERE hs IS NOT NULL GROUP BY 1, 2
        UNION ALL SELECT 'endpoint', e FROM (SELECT end_id AS e FROM kept_role WHERE end_id IS NOT NULL UNION SELECT end_id FROM good_aff WHERE end_id IS NOT NULL
+         UNION SELECT endpoint FROM good_loc WHERE endpoint IS NOT NULL
          UNION SELECT 'end-' || lpad(CAST(k // 3 AS VARCHAR), 8, '0') FROM prac WHERE npi IS NOT NULL AND k % 10 <> 9
          UNION SELECT 'end-' || lpad(CAST(k AS VARCHAR), 8, '0') FROM org WHERE npi IS NOT NULL AND k % 2 = 0
          UNION SELECT 'end-' || lpad(CAST(k * 10 AS VARCHAR), 8, '0') FROM org WHERE npi IS NOT NULL AND k % 4 = 0) WHERE e NOT IN (SELECT id FROM good_ep)""",

@@ -535,6 +535,7 @@ def normalize_location(resources: DataFrame, stage: str | None = None) -> Tables
         LOCATION_FIELDS,
         {
             "location_telecom": ("telecoms", TELECOM_BRIDGE),
+            "location_endpoint": ("endpoints", ENDPOINT_BRIDGE),
             "location_hours_of_operation": (
                 "hours",
                 {
@@ -645,7 +646,7 @@ def normalize_all(resources: dict[str, DataFrame], stage: str | None = None) ->
     With ``stage``, a folder, each type is parsed once and its records written there.
 
     Types are independent except that a role must point at a stored practitioner and that missing
-    targets get placeholder rows, which :func:`resolve_roles` adds.
+    targets of references get placeholder rows.
     """
     out: Tables = {}
     drops, rejects = [], []
@@ -658,8 +659,8 @@ def normalize_all(resources: dict[str, DataFrame], stage: str | None = None) ->
     out["rejects"] = _union(rejects)
     if {"Practitioner", "PractitionerRole"} <= set(resources):
         out = resolve_roles(out)
-    out.update(dimensions(out))
-    return out
+    out = add_placeholders(out)
+    return {**out, **dimensions(out)}
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -670,7 +671,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def resolve_roles(tables: Tables) -> Tables:
-    """Roles without their practitioner are rejected; other missing targets become placeholders."""
+    """Roles whose practitioner is not stored are rejected, with their bridge rows."""
     roles, people = tables["practitioner_role"], tables["practitioner"].select(
         F.col("resource_uuid").alias("practitioner_uuid")
     )
@@ -689,37 +690,52 @@ def resolve_roles(tables: Tables) -> Tables:
         for name, df in tables.items()
         if name.startswith("practitioner_role_")
     }
-    out = {**tables, **bridges, "practitioner_role": kept}
-    out["rejects"] = tables["rejects"].unionByName(refused)
-    out["organization"] = with_placeholders(
-        tables.get("organization"), kept.select(F.col("organization_uuid").alias("resource_uuid")), {}
-    )
-    if "location" in tables:
-        out["location"] = with_placeholders(
-            tables["location"],
-            kept.select(F.col("location_uuid").alias("resource_uuid")),
-            {"status": "active", "name": K.PLACEHOLDER},
-        )
-    out["healthcare_service"] = (
-        kept.select(F.col("healthcare_service_uuid").alias("resource_uuid"))
-        .where(F.col("resource_uuid").isNotNull())
-        .distinct()
-    )
-    if "endpoint" in tables:
-        refs = [
-            out[b].select(F.col("endpoint_uuid").alias("resource_uuid"))
-            for b in (
-                "practitioner_role_endpoint",
-                "practitioner_endpoint",
-                "clinical_organization_endpoint",
-                "organization_affiliation_endpoint",
+    rejects = tables["rejects"].unionByName(refused)
+    return {**tables, **bridges, "practitioner_role": kept, "rejects": rejects}
+
+
+# registry -> (table, column) pairs that refer to it, and the values of a placeholder row
+PLACEHOLDERS = {
+    "organization": (
+        [
+            ("practitioner_role", "organization_uuid"),
+            ("organization_affiliation", "primary_organization_uuid"),
+            ("organization_affiliation", "participating_organization_uuid"),
+            ("location", "managing_organization_uuid"),
+        ],
+        {},
+    ),
+    "location": (
+        [("practitioner_role", "location_uuid"), ("location", "part_of_location_uuid")],
+        {"status": "active", "name": K.PLACEHOLDER},
+    ),
+    "endpoint": (
+        [
+            (f"{owner}_endpoint", "endpoint_uuid")
+            for owner in (
+                "practitioner", "practitioner_role", "clinical_organization", "organization_affiliation", "location",
             )
-            if b in out
+        ],
+        {"status": "active", "connection_type_code": K.PLACEHOLDER},
+    ),
+}
+
+
+def add_placeholders(tables: Tables) -> Tables:
+    """A row for every organization, location, service and endpoint that is referred to."""
+    out = dict(tables)
+    for registry, (sources, values) in PLACEHOLDERS.items():
+        refs = [
+            tables[t].select(F.col(c).alias("resource_uuid")) for t, c in sources if t in tables
         ]
-        out["endpoint"] = with_placeholders(
-            tables["endpoint"],
-            _union(refs),
-            {"status": "active", "connection_type_code": K.PLACEHOLDER},
+        if registry in tables and refs:
+            out[registry] = with_placeholders(tables[registry], _union(refs), values)
+    if "practitioner_role" in tables:
+        out["healthcare_service"] = (
+            tables["practitioner_role"]
+            .select(F.col("healthcare_service_uuid").alias("resource_uuid"))
+            .where(F.col("resource_uuid").isNotNull())
+            .distinct()
         )
     return out
 

@@ -129,7 +129,7 @@ def test_all_tables_with_placeholders(spark, lines, rows, tmp_path):
     }
     t = normalize_all(resources, str(tmp_path))
     assert rows(t["practitioner_role"], "resource_uuid") == [("r1",), ("r2",)]
-    assert rows(t["organization"]) == [("gone", None), ("o1", "prov")]
+    assert rows(t["organization"]) == [("gone", None), ("o1", "prov"), ("o2", None)]
     assert rows(t["location"], "resource_uuid", "status", "name") == [("l1", "active", "n"), ("l9", "active", "(placeholder)")]
     assert rows(t["endpoint"], "resource_uuid", "connection_type_code") == [("e1", "(placeholder)"), ("e5", "(placeholder)"), ("e9", "c")]
     assert rows(t["healthcare_service"]) == [("h",)]
