@@ -21,12 +21,14 @@ from carelattice.sources.tables import keep_one
 Resources = dict[str, DataFrame]
 
 
+def _with_id(lines: DataFrame) -> DataFrame:
+    """Bronze rows carry the id already; bare lines get it from their text."""
+    return lines if "id" in lines.columns else lines.withColumn("id", F.get_json_object("value", "$.id"))
+
+
 def _records(resources: Resources, rtype: str, *fields: str) -> DataFrame:
     """One parsed record per non-empty id; of repeated lines the greatest text makes the node."""
-    lines = resources[rtype]
-    if "id" not in lines.columns:
-        lines = lines.withColumn("id", F.get_json_object("value", "$.id"))
-    unique = keep_one(lines.where("id <> ''").select("id", "value"), "id")
+    unique = keep_one(_with_id(resources[rtype]).where("id <> ''").select("id", "value"), "id")
     return parse_resources(unique, rtype, fields, keep=("id",))
 
 
@@ -228,7 +230,8 @@ def node_ids(resources: Resources) -> DataFrame:
     out = None
     for rtype, df in resources.items():
         part = (
-            df.select(F.get_json_object("value", "$.id").alias("id"))
+            _with_id(df)
+            .select("id")
             .where(F.col("id") != "")
             .distinct()
             .select(F.concat(F.lit(f"{rtype}/"), "id").alias("node"), F.lit(rtype).alias("node_type"))
@@ -513,14 +516,17 @@ def organizations_sharing(bridge: DataFrame, more_than: int = 5) -> DataFrame:
 
     Exact prefix filtering: with practitioners ordered from rare to frequent, two organizations
     that share c of them must meet within the first size-c+1 of each. Very frequent practitioners
-    come last, so they make no candidate pairs. Candidates are then counted on all practitioners.
+    come last, so they make no candidate pairs. The join that finds candidates also counts what
+    their prefixes share; the few practitioners outside a prefix are looked up pair by pair.
     """
     from pyspark.sql import Window
 
     c = more_than + 1
+    bridge = cut_lineage(bridge)
     frequency = bridge.groupBy("practitioner").agg(F.count(F.lit(1)).alias("f"))
     size = bridge.groupBy("organization").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= c)
-    sized = salted_lookup(salted_lookup(bridge, frequency, "practitioner"), size, "organization")
+    ranked = cut_lineage(salted_lookup(bridge, frequency, "practitioner"))
+    sized = salted_lookup(ranked, size, "organization")
     # position from the frequent end, so that the window keeps at most c - 1 rows to drop
     order = Window.partitionBy("organization").orderBy(F.desc("f"), F.desc("practitioner"))
     last = (
@@ -528,22 +534,45 @@ def organizations_sharing(bridge: DataFrame, more_than: int = 5) -> DataFrame:
         .where(F.col("_r") <= c - 1)
         .select("organization", "practitioner")
     )
-    prefix = sized.select("organization", "practitioner").join(last, ["organization", "practitioner"], "left_anti")
+    prefix = cut_lineage(
+        sized.select("organization", "practitioner").join(last, ["organization", "practitioner"], "left_anti")
+    )
     left = prefix.select("practitioner", F.col("organization").alias("organization_1"))
     right = prefix.select("practitioner", F.col("organization").alias("organization_2"))
     candidates = (
         left.join(right, "practitioner")
         .where("organization_1 < organization_2")
-        .select("organization_1", "organization_2")
-        .distinct()
+        .groupBy("organization_1", "organization_2")
+        .agg(F.count(F.lit(1)).alias("_common"))
     )
-    members = sized.select("organization", "practitioner")
-    first = candidates.join(members.withColumnRenamed("organization", "organization_1"), "organization_1")
-    second = members.withColumnRenamed("organization", "organization_2")
-    return (
-        first.join(second, ["organization_2", "practitioner"])
+    # what the prefixes did not count: the at most c - 1 frequent practitioners of either side
+    tails = last.groupBy("organization").agg(F.collect_list("practitioner").alias("_tail"))
+
+    def tail(i: int) -> DataFrame:
+        return tails.select(F.col("organization").alias(f"organization_{i}"), F.col("_tail").alias(f"_tail_{i}"))
+
+    pairs = cut_lineage(candidates.join(tail(1), "organization_1", "left").join(tail(2), "organization_2", "left"))
+    empty = F.array().cast("array<string>")
+    tail_1, tail_2 = (F.coalesce(F.col(f"_tail_{i}"), empty) for i in (1, 2))
+
+    def questions(org: str, only: Column) -> Column:
+        return F.transform(only, lambda p: F.struct(F.col(org).alias("organization"), p.alias("practitioner")))
+
+    asked = F.concat(
+        questions("organization_2", F.array_except(tail_1, tail_2)),
+        questions("organization_1", F.array_except(tail_2, tail_1)),
+    )
+    found = (
+        pairs.select("organization_1", "organization_2", F.explode(asked).alias("q"))
+        .select("organization_1", "organization_2", "q.*")
+        .join(prefix, ["organization", "practitioner"], "left_semi")
         .groupBy("organization_1", "organization_2")
-        .agg(F.count(F.lit(1)).alias("shared_practitioners"))
+        .agg(F.count(F.lit(1)).alias("_found"))
+    )
+    shared = F.col("_common") + F.size(F.array_intersect(tail_1, tail_2)) + F.coalesce("_found", F.lit(0))
+    return (
+        pairs.join(found, ["organization_1", "organization_2"], "left")
+        .select("organization_1", "organization_2", shared.alias("shared_practitioners"))
         .where(F.col("shared_practitioners") > more_than)
     )
 

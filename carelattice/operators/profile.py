@@ -27,14 +27,18 @@ def type_counts(lines: DataFrame, by_file: bool = False) -> DataFrame:
         .groupBy(*group, F.when(F.col("line_status") == "OK", "TYPE").otherwise(F.col("line_status")).alias("kind"), label.alias("resource_type"))
         .agg(F.count(F.lit(1)).alias("lines"))
     )
-    # each (file, kind, type) is now one row; a second level adds the totals
-    total = (
-        counts.where("kind = 'TYPE'")
-        .groupBy(*group)
+    # each (file, kind, type) is now one row; typed rows count once more towards the total
+    kind, rtype = F.col("kind"), F.col("resource_type")
+    own = F.struct(kind.alias("kind"), rtype.alias("resource_type"))
+    total = F.struct(F.lit("TOTAL").alias("kind"), F.lit("TOTAL").alias("resource_type"))
+    return (
+        counts.select(
+            *group, "lines", F.explode(F.when(kind == "TYPE", F.array(own, total)).otherwise(F.array(own))).alias("k")
+        )
+        .groupBy(*group, "k.kind", "k.resource_type")
         .agg(F.sum("lines").alias("lines"))
-        .select(*group, F.lit("TOTAL").alias("kind"), F.lit("TOTAL").alias("resource_type"), "lines")
+        .orderBy(*group, "kind", F.desc("lines"), "resource_type")
     )
-    return counts.unionByName(total).orderBy(*group, "kind", F.desc("lines"), "resource_type")
 
 
 def running_type_counts(lines: DataFrame) -> DataFrame:

@@ -59,11 +59,6 @@ def _prefixed(rtype: str):
     return lambda i: F.concat(F.lit(f"{rtype}/"), i)
 
 
-def _links(rows: DataFrame) -> DataFrame:
-    """Distinct (id, ref) pairs."""
-    return rows.select("id", F.explode("refs").alias("ref")).distinct()
-
-
 def _refs_of(ids: DataFrame, rtype: str) -> DataFrame:
     return ids.select(F.concat(F.lit(f"{rtype}/"), "id").alias("ref"))
 
@@ -89,11 +84,16 @@ def state_subset_ids(
     after that are joins of those narrow tables.
     """
     wanted, _ = normalize_states(states)
-    rows = {
-        t: cut_lineage(_read(resources[t], t).where(F.coalesce("id", F.lit("")) != ""), f"subset-{t}")
-        for t in ("Location", "Organization", "Practitioner", "PractitionerRole", "OrganizationAffiliation", "Endpoint")
-    }
-    links = {t: cut_lineage(_links(rows[t]), f"links-{t}") for t in LINK_FIELDS}
+    types = ("Location", "Organization", "Practitioner", "PractitionerRole", "OrganizationAffiliation", "Endpoint")
+    every = None
+    for t in types:
+        part = _read(resources[t], t).where(F.coalesce("id", F.lit("")) != "").withColumn("resource_type", F.lit(t))
+        every = part if every is None else every.unionByName(part)
+    every = cut_lineage(every, "subset-rows", "resource_type")
+    linked = every.select("resource_type", "id", F.explode("refs").alias("ref")).distinct()
+    linked = cut_lineage(linked, "subset-links", "resource_type")
+    rows = {t: every.where(F.col("resource_type") == t).select("id", "state") for t in types}
+    links = {t: linked.where(F.col("resource_type") == t).select("id", "ref") for t in LINK_FIELDS}
 
     def seeds(rtype: str) -> DataFrame:
         return rows[rtype].where(F.col("state").isin(*wanted)).select("id").distinct()

@@ -187,40 +187,47 @@ def _verdict_row(spark, c: Check, status: str, note: str) -> DataFrame:
 
 def plan_checks(
     dfs: Mapping[str, DataFrame], config: Mapping | None, names: list[str] | None = None
-) -> list[tuple[list[Check], DataFrame]]:
+) -> list[tuple[list[Check], Callable[[], DataFrame]]]:
     """The jobs of a suite: one per resource type for its expression checks, one per other check.
 
-    A check whose plan cannot be built becomes an ERROR row; a missing input or configuration a
-    SKIPPED row. The rows are measured but not judged yet.
+    Calling a job gives its rows, measured but not judged yet. A check whose plan cannot be built
+    becomes an ERROR row; a missing input or configuration a SKIPPED row.
     """
     spark = next(iter(dfs.values())).sparkSession
     chosen = [REGISTRY[n] for n in (names or REGISTRY)]
-    jobs: list[tuple[list[Check], DataFrame]] = []
+    jobs: list[tuple[list[Check], Callable[[], DataFrame]]] = []
+
+    def verdict(c: Check, status: str, note: str) -> None:
+        jobs.append(([c], lambda: _verdict_row(spark, c, status, note)))
+
+    def alone(c: Check) -> DataFrame:
+        try:
+            source, metrics = c.build(dfs, settings(config))
+            return _stack([(c, metrics)], source)
+        except Exception as error:  # noqa: BLE001 - one broken check must not stop the suite
+            return _verdict_row(spark, c, "ERROR", type(error).__name__)
+
     by_type: dict[str, list[Check]] = {}
     for c in chosen:
         if config is None:
-            jobs.append(([c], _verdict_row(spark, c, "SKIPPED", "no configuration")))
+            verdict(c, "SKIPPED", "no configuration")
         elif not set(c.needs) <= set(dfs):
-            jobs.append(([c], _verdict_row(spark, c, "SKIPPED", "input missing")))
+            verdict(c, "SKIPPED", "input missing")
         elif c.fields is not None:
             by_type.setdefault(c.needs[0], []).append(c)
         else:
-            try:
-                source, metrics = c.build(dfs, settings(config))
-                jobs.append(([c], _stack([(c, metrics)], source)))
-            except Exception as error:  # noqa: BLE001 - one broken check must not stop the suite
-                jobs.append(([c], _verdict_row(spark, c, "ERROR", type(error).__name__)))
+            jobs.append(([c], lambda c=c: alone(c)))
     for rtype, group in by_type.items():
         built = []
         for c in group:
             try:
                 built.append((c, c.build(F.col("r"), settings(config))))
             except Exception as error:  # noqa: BLE001
-                jobs.append(([c], _verdict_row(spark, c, "ERROR", type(error).__name__)))
+                verdict(c, "ERROR", type(error).__name__)
         fields = tuple({f for c, _ in built for f in c.fields})
         if built:
             source = parse_resources(dfs[rtype], rtype, fields)
-            jobs.append(([c for c, _ in built], _stack(built, source)))
+            jobs.append(([c for c, _ in built], lambda b=built, s=source: _stack(b, s)))
     return jobs
 
 
@@ -229,8 +236,8 @@ def run_checks(
 ) -> DataFrame:
     """Result rows of all or some checks, lazily, as one DataFrame."""
     out = None
-    for _, df in plan_checks(dfs, config, names):
-        out = df if out is None else out.unionByName(df)
+    for _, job in plan_checks(dfs, config, names):
+        out = job() if out is None else out.unionByName(job())
     return _judge(out)
 
 
@@ -255,10 +262,10 @@ def run_suite(
     if skip:
         return spark.createDataFrame([], RESULT_SCHEMA)
 
-    def measure(job: tuple[list[Check], DataFrame]) -> list[tuple]:
-        checks, df = job
+    def measure(planned: tuple[list[Check], Callable[[], DataFrame]]) -> list[tuple]:
+        checks, job = planned
         try:
-            return [tuple(row) for row in df.collect()]
+            return [tuple(row) for row in job().collect()]
         except Exception as error:  # noqa: BLE001
             gone = type(error).__name__
             return [

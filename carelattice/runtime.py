@@ -33,14 +33,15 @@ def new_shared_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
-def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+def cut_lineage(df: DataFrame, name: str = "stage", partition_by: str | None = None) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back.
 
     A lost executor then costs no recomputation, later passes read only the columns they need, and
     Spark knows the true size when it chooses a join.
     """
     path = new_shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    writer = df.write.partitionBy(partition_by) if partition_by else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -6,6 +6,8 @@ organization, so every job that runs on these lines meets a hot key.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from carelattice.constants import (
@@ -311,32 +313,45 @@ RULES = {
 _AT_REST: dict[tuple[str, str, str], str] = {}
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table in fewer pieces than there are cores is spread over all of them."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def generate(spark: SparkSession, sf_dir: str, resource_type: str) -> DataFrame:
     """Bronze rows ``(resource_type, id, value)`` of one type, straight from the star table."""
     table, key, prefix, expression = RULES[resource_type]
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet").selectExpr(
+    rows = spread(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+    return rows.selectExpr(
         f"'{resource_type}' AS resource_type",
         f"'{prefix}-' || lpad(CAST({key} AS STRING), 8, '0') AS id",
         f"{expression} AS value",
     )
 
 
-def star_resources(spark: SparkSession, sf_dir: str, resource_type: str) -> DataFrame:
-    """The same rows from a bronze table in the shared folder, written on first use."""
-    key = (spark.sparkContext.applicationId, sf_dir, resource_type)
-    if key not in _AT_REST:
-        path = new_shared_path(spark, f"bronze-{resource_type}")
-        generate(spark, sf_dir, resource_type).write.parquet(path)
-        _AT_REST[key] = path
-    return spark.read.parquet(_AT_REST[key])
+def _bronze_root(spark: SparkSession, sf_dir: str, types: Iterable[str]) -> str:
+    """Bronze table of a star folder, one partition folder per type; types are added on first use."""
+    app = spark.sparkContext.applicationId
+    root = _AT_REST.setdefault((app, sf_dir, ""), new_shared_path(spark, "bronze"))
+    for rtype in types:
+        if (app, sf_dir, rtype) not in _AT_REST:
+            path = f"{root}/resource_type={rtype}"
+            generate(spark, sf_dir, rtype).drop("resource_type").write.parquet(path)
+            _AT_REST[(app, sf_dir, rtype)] = path
+    return root
 
 
 def star_bronze(spark: SparkSession, sf_dir: str, *types: str) -> DataFrame:
-    parts = [star_resources(spark, sf_dir, t) for t in (types or RULES)]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    """Bronze rows ``(resource_type, id, value)`` of some or all types, in one scan."""
+    wanted = types or tuple(RULES)
+    root = _bronze_root(spark, sf_dir, wanted)
+    paths = [f"{root}/resource_type={t}" for t in wanted]
+    return spark.read.option("basePath", root).parquet(*paths).select("resource_type", "id", "value")
+
+
+def star_resources(spark: SparkSession, sf_dir: str, resource_type: str) -> DataFrame:
+    return star_bronze(spark, sf_dir, resource_type)
 
 
 def star_set(spark: SparkSession, sf_dir: str, *types: str) -> dict[str, DataFrame]:
