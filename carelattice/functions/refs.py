@@ -28,13 +28,15 @@ def ref_type(ref: Column) -> Column:
 
 
 def parse_ref(ref: Column, want_type: str | None = None) -> Column:
-    """Id of a typed reference, NULL when it is contained (``#x``), untyped or of another type."""
-    text = strip(ref)
-    parts = F.split(F.regexp_extract(text, r"^[^?#]*", 0), "/")
-    found = (F.size(parts) >= 2) & (F.element_at(parts, -1) != "")
-    if want_type:
-        found = found & (F.lower(F.try_element_at(parts, F.lit(-2))) == want_type.lower())
-    return F.when(~text.startswith("#") & found, F.element_at(parts, -1))
+    """Id of a typed reference, NULL when it is contained (``#x``), untyped or of another type.
+
+    One pattern per value: the last two ``/`` parts before any ``?`` or ``#``, the first of them
+    equal to the wanted type in any case.
+    """
+    wanted = f"(?i:{want_type})" if want_type else "[^/?#]*"
+    return blank_to_null(
+        F.regexp_extract(strip(ref), rf"(?s)^(?:[^?#]*/)?{wanted}/([^/?#]+)(?:[?#].*)?$", 1)
+    )
 
 
 def ref_texts(raw: Column) -> Column:

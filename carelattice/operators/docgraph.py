@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carelattice.runtime import salted_lookup
-
 
 def filter_docgraph(
     graph: DataFrame,
@@ -17,16 +15,18 @@ def filter_docgraph(
 ) -> DataFrame:
     """Edges with one end (``either``) or both ends (``both``) in the key set and enough patients.
 
-    The patient floor is applied first. The key set is made distinct; each lookup is salted, so a
-    provider on a third of all edges is spread over many tasks.
+    One pass over the edges: the patient floor is applied in the scan, then each end is looked up
+    in the distinct key set. Spark broadcasts the set when its measured size allows; a larger set is
+    joined by shuffle, where adaptive execution splits the partitions of a provider that is on very
+    many edges. The key side has one row per key, so such a split repeats one row only.
     """
     if mode not in ("either", "both"):
         raise ValueError(mode)
     wanted = keys.where(F.col(key_col).isNotNull()).select(F.col(key_col).cast("bigint").alias("k")).distinct()
-    flagged = graph.where(F.col("patient_count") >= patient_floor)
+    kept = graph.where(F.col("patient_count") >= patient_floor)
     for end in ("from_npi", "to_npi"):
         hit = wanted.select(F.col("k").alias(end), F.lit(True).alias(f"_{end}"))
-        flagged = salted_lookup(flagged, hit, end, "inner" if mode == "both" else "left")
+        kept = kept.join(hit, end, "left_semi" if mode == "both" else "left")
     if mode == "either":
-        flagged = flagged.where(F.coalesce("_from_npi", "_to_npi"))
-    return flagged.select(*graph.columns)
+        kept = kept.where(F.coalesce("_from_npi", "_to_npi"))
+    return kept.select(*graph.columns)

@@ -459,8 +459,13 @@ def shortest_path(edges: DataFrame, source: str, target: str, max_hops: int = 10
             F.lit(source).alias("source"), F.lit(target).alias("target"),
             F.lit(0).alias("hops"), F.lit("").alias("path"),
         )
-    path = spark.range(1).select(F.lit(target).alias("node"), F.lit(target).alias("path"))
-    for level in reversed(levels[1:]):
+    if len(levels) == 1:
+        path = level.select("node", F.col("node").alias("path"))
+    else:
+        path = levels[-1].where(F.col("node") == target).select(
+            F.col("prev").alias("node"), F.concat_ws(">", "prev", "node").alias("path")
+        )
+    for level in reversed(levels[1:-1]):
         path = path.join(level, "node").select(
             F.col("prev").alias("node"), F.concat_ws(">", "prev", "path").alias("path")
         )
