@@ -207,7 +207,7 @@ def o2(spark, sf):
     # places are numbered within the hundred rows that are left
     from pyspark.sql import Window
 
-    return top.select("k", F.row_number().over(Window.orderBy(F.abs("z").desc_nulls_last(), "k")).alias("place"))
+    return top.select("k", F.row_number().over(Window.orderBy(F.abs("z").desc_nulls_last(), "k")).cast("bigint").alias("place"))
 
 
 @query("a05_gender_shares", "SELECT gender, count(*) AS n, count(*) / CAST((SELECT count(*) FROM prac WHERE gender IS NOT NULL) AS DOUBLE) AS share FROM prac WHERE gender IS NOT NULL GROUP BY gender")

@@ -261,7 +261,7 @@ def q27(spark, sf):
          SELECT 'Location', count(*), count(name), 0 FROM loc UNION ALL
          SELECT 'Endpoint', count(*), count(*) FILTER (status IS NOT NULL AND status <> 'bogus' AND has_connection AND address IS NOT NULL), 0 FROM ep UNION ALL
          SELECT 'Unknown', count(*), 0, 0 FROM org UNION ALL
-         SELECT NULL, sum(n), 0, sum(n) FROM messy WHERE line_status <> 'OK')""",
+         SELECT NULL, CAST(sum(n) AS BIGINT), 0, CAST(sum(n) AS BIGINT) FROM messy WHERE line_status <> 'OK')""",
     extra="," + MESSY_SQL,
 )
 def q28(spark, sf):
@@ -280,6 +280,11 @@ def q30(spark, sf):
     return checks.summarize(checks.run_suite(star_set(spark, sf), {}))
 
 
-@query("q30_no_configuration")
-def q30_skipped(spark, sf):
-    return checks.summarize(checks.run_checks(star_set(spark, sf), None))
+@query(
+    "q30_suite_results",
+    "SELECT check_id, metric, status FROM (" + " UNION ALL ".join(f"({verdict_sql(n)})" for n in CHECKS) + ")",
+    extra=TREE_SQL,
+)
+def q30_results(spark, sf):
+    results = checks.run_suite(star_set(spark, sf), {})
+    return results.where("check_id <> 'q12_top_specialties'").select("check_id", "metric", "status")

@@ -133,7 +133,7 @@ def s05(spark, sf):
 @query(
     "s06_test_production_split",
     """SELECT 'test' AS split, count(*) AS lines FROM loc UNION ALL
-       SELECT 'production', sum(n) FROM counts WHERE resource_type NOT IN ('Location', 'PractitionerRole')""",
+       SELECT 'production', CAST(sum(n) AS BIGINT) FROM counts WHERE resource_type NOT IN ('Location', 'PractitionerRole')""",
 )
 def s06(spark, sf):
     lines = named_lines(spark, write_named(spark, sf, STYLES))

@@ -594,15 +594,17 @@ def assemble_network(edges: DataFrame, practitioners: DataFrame) -> DataFrame:
             F.col("src").alias("role"), F.col("dst").alias(name)
         )
 
+    people = practitioners.select("practitioner").distinct()
     roles = edges.where("rel = 'HAS_ROLE'").select(F.col("src").alias("practitioner"), F.col("dst").alias("role"))
+    # roles are the large side: looked up from there, a practitioner with very many roles is spread
+    held = salted_lookup(roles, people, "practitioner")
+    lonely = people.join(roles.select("practitioner").distinct(), "practitioner", "left_anti")
     return (
-        practitioners.select("practitioner")
-        .distinct()
-        .join(roles, "practitioner", "left")
-        .join(side("WORKS_AT", "organization"), "role", "left")
+        held.join(side("WORKS_AT", "organization"), "role", "left")
         .join(side("AT_LOCATION", "location"), "role", "left")
         .join(side("HAS_ENDPOINT", "endpoint"), "role", "left")
         .select("practitioner", "role", "organization", "location", "endpoint")
+        .unionByName(lonely, allowMissingColumns=True)
     )
 
 

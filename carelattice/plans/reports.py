@@ -24,17 +24,19 @@ def gender_by_specialty(
         .join(known.select("npi", "provider_sex_code").distinct(), "npi")
     )
 
-    def who(sex: str):
-        return F.countDistinct(F.when(F.col("provider_sex_code") == sex, F.col("npi")))
-
     male, female, total = F.col("male_count"), F.col("female_count"), F.col("total_count")
 
     def pct(n):
         return n.cast("double") * 100.0 / total
 
+    def holds(sex: str):
+        return F.max((F.col("provider_sex_code") == sex).cast("bigint"))
+
+    # one row per person and specialty makes plain sums of the distinct counts
+    persons = facts.groupBy("id", "provider_type", "npi").agg(holds("M").alias("m"), holds("F").alias("f"))
     counts = (
-        facts.groupBy("id", "provider_type")
-        .agg(who("M").alias("male_count"), who("F").alias("female_count"), F.countDistinct("npi").alias("total_count"))
+        persons.groupBy("id", "provider_type")
+        .agg(F.sum("m").alias("male_count"), F.sum("f").alias("female_count"), F.count(F.lit(1)).alias("total_count"))
         .where((total >= min_total) & (male > 0) & (female > 0))
     )
     shares = counts.select(
