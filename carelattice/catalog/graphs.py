@@ -192,7 +192,6 @@ def g05b(spark, sf):
     return graph.k_hop(edges(spark, sf), by_npi(spark, sf), 2, BRIDGES)
 
 
-NAME = "concat_ws(' ', first_given, family) LIKE '%Test%'"
 OWN = f"SELECT 'Practitioner/' || id AS seed FROM prac WHERE family = 'Test' AND st = 'CA'"
 AT = "SELECT 'Practitioner/' || prac_id AS seed FROM role WHERE prac_id IN (SELECT id FROM prac WHERE family = 'Test') AND (loc1 IN (SELECT id FROM loc WHERE st = 'CA') OR loc2 IN (SELECT id FROM loc WHERE st = 'CA'))"
 

@@ -11,9 +11,7 @@ from carelattice.operators import profile, serialize, views
 from carelattice.operators.normalize import RECORDS
 from carelattice.runtime import new_shared_path
 from carelattice.sources import export, ndjson, tables
-from carelattice.sources.star import RULES, star_bronze, star_resources, star_set
-
-NDH = "http://hl7.org/fhir/us/ndh/StructureDefinition/"
+from carelattice.sources.star import RULES, star_bronze, star_resources
 
 
 def messy_lines(spark, sf) -> DataFrame:
@@ -436,7 +434,3 @@ query(
     """SELECT id AS resource_uuid, status, coalesce(code, '(missing)') AS connection_type_code, display AS connection_type_display, name,
          rank AS endpoint_rank FROM ep WHERE status IS NOT NULL AND has_connection AND (code IS NOT NULL OR display IS NOT NULL)""",
 )(_round_trip("Endpoint", "status", "connection_type_code", "connection_type_display", "name", "endpoint_rank"))
-
-
-def resources(spark, sf, *types):
-    return star_set(spark, sf, *types)
