@@ -9,7 +9,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -79,8 +78,6 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
     copies = int(os.environ.get("BENCH_REPLICAS", "0"))
     spark = session(cpus)
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
     queries, _ = catalog.load()
     seconds = {"prepare_bronze": timed(lambda: run(star_bronze(spark, sf)))}
     source = lines_of_practitioners(spark, sf, 1)
