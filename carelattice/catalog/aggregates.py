@@ -15,7 +15,7 @@ from carelattice.plans import checks, reports
 from carelattice.sources.star import PRIORITY_NUCC, STATES, star_bronze, star_resources, star_set
 from carelattice.sources.tables import keep_first, keep_one
 
-ONE = F.lit(1)
+ONE = "*"
 
 
 @query(

@@ -14,7 +14,14 @@ from carelattice.schemas import ADDRESSES
 from carelattice.sources.ndjson import parse_resources
 from carelattice.sources.star import star_bronze, star_resources, star_set
 
-R = F.col("r")
+class _Record:
+    """The parsed record; its columns are made on use, because registration needs no session."""
+
+    def __getitem__(self, field: str):
+        return F.col("r")[field]
+
+
+R = _Record()
 
 
 def records(spark, sf, rtype, *fields):

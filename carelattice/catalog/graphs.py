@@ -11,7 +11,7 @@ from carelattice.runtime import new_shared_path
 from carelattice.sources.ndjson import parse_resources
 from carelattice.sources.star import star_bronze, star_set
 
-ONE = F.lit(1)
+ONE = "*"
 _EDGES: dict[tuple, str] = {}
 
 

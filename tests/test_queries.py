@@ -1,6 +1,9 @@
 """Some registered queries against their SQL; tools/check_oracle.py runs all of them."""
 
 import re
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -34,3 +37,9 @@ def test_query_matches_its_sql(spark, name):
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["state", "gender", "practitioners", "with_npi", "share"] and df.count() > 0
+
+
+def test_registration_needs_no_session():
+    code = "import __spark_entry__ as e; assert len(e.queries()) > 150 and len(e.oracle_sql()) > 150"
+    root = Path(__file__).resolve().parent.parent
+    subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=60)
