@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelattice.llm import neardup, rule_ledger, sharding
+from carelattice.llm import decontamination, neardup, rule_ledger, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -38,6 +38,11 @@ def op2_sharding(spark, sf_dir):
     )
 
 
+@query("op3_decontamination")
+def op3_decontamination(spark, sf_dir):
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op4_minhash_tensor")
 def op4_minhash_tensor(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
