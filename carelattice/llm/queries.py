@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelattice.llm import decontamination, neardup, rule_ledger, sharding
+from carelattice.llm import decontamination, license_vote, neardup, rule_ledger, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +48,11 @@ def op4_minhash_tensor(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op8_license_scan")
+def op8_license_scan(spark, sf_dir):
+    return license_vote.scan(table(spark, sf_dir, "documents"))
+
+
 @query(
     "op9_quality_rules",
     r"""
