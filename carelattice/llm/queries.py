@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelattice.llm import decontamination, license_vote, neardup, rule_ledger, sharding
+from carelattice.llm import decontamination, license_vote, neardup, ngram_trie, rule_ledger, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,3 +78,8 @@ def op9_quality_rules(spark, sf_dir):
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         (~rule_ledger.passes(rule_ledger.BASE)).alias("base_failed"), rule_ledger.passes(rule_ledger.CURRENT).alias("kept"), "n_lines", "failed_bits",
     )
+
+
+@query("op10_ngram_lm")
+def op10_ngram_lm(spark, sf_dir):
+    return ngram_trie.fit_and_score(table(spark, sf_dir, "documents"))
