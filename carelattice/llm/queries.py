@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelattice.llm import decontamination, license_vote, neardup, ngram_trie, rule_ledger, sharding
+import corpus_pipeline
+from carelattice.llm import decontamination, license_vote, neardup, ngram_trie, piece_lattice, rule_ledger, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -48,6 +49,12 @@ def op4_minhash_tensor(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op7_sentencepiece")
+def op7_sentencepiece(spark, sf_dir):
+    coded = piece_lattice.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), piece_lattice.public_pieces())
+    return coded.select("doc_id", F.size("piece_ids").cast("long").alias("n_pieces"), "piece_ids", "round_trip")
+
+
 @query("op8_license_scan")
 def op8_license_scan(spark, sf_dir):
     return license_vote.scan(table(spark, sf_dir, "documents"))
@@ -83,3 +90,6 @@ def op9_quality_rules(spark, sf_dir):
 @query("op10_ngram_lm")
 def op10_ngram_lm(spark, sf_dir):
     return ngram_trie.fit_and_score(table(spark, sf_dir, "documents"))
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
