@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from carelattice.llm import decontamination, license_vote, neardup, ngram_trie, piece_lattice, rule_ledger, sharding
+from carelattice.llm import decontamination, license_vote, neardup, ngram_trie, piece_lattice, rule_ledger, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +28,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query(
+    "op1_warc",
+    """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, strlen(h) AS n, sha256(h) AS digest FROM p),
+g AS (SELECT digest, min(page_id) AS first, count(*) AS c FROM q WHERE n >= 100 GROUP BY digest)
+SELECT q.page_id, q.n::BIGINT AS payload_bytes, q.digest AS payload_digest,
+       CASE WHEN g.c > 1 AND q.page_id IS DISTINCT FROM g.first AND g.first IS NOT NULL THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN g.c > 1 AND q.page_id IS DISTINCT FROM g.first THEN g.first END AS refers_to
+FROM q LEFT JOIN g ON q.digest = g.digest AND q.n >= 100
+""",
+)
+def op1_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 @query("op2_sharding")
 def op2_sharding(spark, sf_dir):
     text = F.coalesce("text", F.lit(""))

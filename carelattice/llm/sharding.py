@@ -112,7 +112,7 @@ def communication(sizes: DataFrame, total: int, shards: int, seed: int, partitio
     spark = sizes.sparkSession
     levels = max(1, math.ceil(math.log(max(partitions, 2), FAN_OUT)))
     margin = F.transform(F.sequence(F.lit(0), F.lit(shards - 1)), lambda j: (F.lit(total // shards) + (j < total % shards).cast("int")).cast("long"))
-    nodes = spark.range(1).select(F.lit(0).cast("long").alias("node"), margin.alias("counts"))
+    nodes = spark.range(1).select(F.col("id").alias("node"), margin.alias("counts"))
     for level in range(levels - 1, -1, -1):
         width = FAN_OUT**level
         children = (
