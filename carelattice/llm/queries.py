@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from carelattice.llm import decontamination, license_vote, neardup, ngram_trie, piece_lattice, rule_ledger, sharding, warc
+from carelattice.llm import decontamination, html_layout, license_vote, neardup, ngram_trie, piece_lattice, rule_ledger, sharding, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -65,6 +65,13 @@ def op4_minhash_tensor(spark, sf_dir):
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query("op5_html_layout")
+def op5_html_layout(spark, sf_dir):
+    shown = html_layout.extract(table(spark, sf_dir, "pages").select("page_id", "html"))
+    lines = F.when(F.col("text") == "", F.lit(0)).otherwise(F.size(F.split("text", "\n")))
+    return shown.select("page_id", "text", F.length("text").cast("long").alias("n_chars"), lines.cast("long").alias("n_lines"))
+
+
 @query("op7_sentencepiece")
 def op7_sentencepiece(spark, sf_dir):
     coded = piece_lattice.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), piece_lattice.public_pieces())
