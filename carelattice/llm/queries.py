@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from carelattice.llm import decontamination, html_layout, license_vote, neardup, ngram_trie, piece_lattice, rule_ledger, sharding, warc
+from carelattice.llm import decontamination, html_layout, license_vote, neardup, ngram_trie, piece_lattice, rule_ledger, sharding, training_order, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -72,6 +72,12 @@ def op5_html_layout(spark, sf_dir):
     return shown.select("page_id", "text", F.length("text").cast("long").alias("n_chars"), lines.cast("long").alias("n_lines"))
 
 
+@query("op6_training_order")
+def op6_training_order(spark, sf_dir):
+    order = training_order.materialise(table(spark, sf_dir, "documents"))
+    return training_order.read(spark, order, ids=False)
+
+
 @query("op7_sentencepiece")
 def op7_sentencepiece(spark, sf_dir):
     coded = piece_lattice.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), piece_lattice.public_pieces())
