@@ -10,7 +10,8 @@ set; every pair of a tuple of the first with a tuple of the second is a table ke
 3. Pairs whose signatures agree five standard deviations below the threshold are dropped; all others are confirmed on
    the full sets, rebuilt from the whole texts. Members of a centre are dealt in blocks, the centre's text once per block.
 4. Confirmed links are contracted to components. Further rounds draw other centres per key and look only at pairs of
-   different components, until a round finds nothing: large groups of copies are then one component and cost nothing.
+   different components. From the third round on a component takes part, with those it shares buckets with, only while the
+   round before has found it a link; the rounds end when one finds nothing.
 
 A pair with similarity s shares a key with probability 1 - 2(1 - s**rows)**side at least: 0.9999 at 0.75 and 0.99999 at 0.8
 with the defaults; every bucket it shares gives it a chance to be compared in every round.
@@ -234,6 +235,26 @@ def confirmed(pairs: DataFrame, texts: DataFrame, banding: Banding) -> DataFrame
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def _of_components(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``pairs`` with the components of both sides."""
+    known = lambda x: labels.select(F.col("id").alias(x), F.col("comp").alias(f"comp_{x}"))
+    return pairs.join(known("a"), "a").join(known("b"), "b")
+
+
+def _still_open(nodes: DataFrame, found: DataFrame, links: DataFrame, labels: DataFrame) -> DataFrame:
+    """Nodes that take part in the next round: a component stays in until a round finds no link for it.
+
+    With it stay the components it still shares a bucket with, as its missing links would lead there.
+    """
+    gained = _of_components(links, labels).select(F.explode(F.array("comp_a", "comp_b")).alias("comp")).distinct()
+    pairs = _of_components(found, labels).select("comp_a", "comp_b").where("comp_a <> comp_b").distinct()
+    both = pairs.unionByName(pairs.select(F.col("comp_b").alias("comp_a"), F.col("comp_a").alias("comp_b")))
+    near = both.join(gained.select(F.col("comp").alias("comp_a")), "comp_a", "left_semi")
+    comps = near.select(F.explode(F.array("comp_a", "comp_b")).alias("comp")).distinct()
+    ids = labels.join(comps, "comp", "left_semi").select("id")
+    return cut_lineage(nodes.join(ids, "id", "left_semi"), "open-nodes")
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", banding: Banding | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``; kept is doc_id = component_id.
 
@@ -265,13 +286,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         links = cut_lineage(confirmed(likely, texts, banding), "links")
         fresh = links.count()
         tried = likely if tried is None else tried.unionByName(likely)
+        if not fresh and round_ > 1:
+            break
         if fresh:
-            known = lambda x: labels.select(F.col("id").alias(x), F.col("comp").alias(f"comp_{x}"))
-            merged = links.join(known("a"), "a").join(known("b"), "b").select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
+            merged = _of_components(links, labels).select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
             new = components(merged).select(F.col("node").alias("comp"), "component")
             labels = cut_lineage(labels.join(new, "comp", "left").select("id", F.coalesce("component", "comp").alias("comp")), "labels")
-        elif round_ > 1:
-            break
+        if round_ > 1:
+            nodes = _still_open(nodes, found, links, labels)
         round_ += 1
         found = cut_lineage(candidates(nodes.drop("comp").join(labels, "id"), banding, round_), "candidates")
 
