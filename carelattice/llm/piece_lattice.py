@@ -29,10 +29,12 @@ from carelattice.runtime import cut_lineage
 
 BLANK = "▁"
 UNIT = f"{BLANK}*[^{BLANK}\n]+|\n|{BLANK}+"
-MOST_UNITS = 500_000
+MOST_UNITS = 200_000
 LONGEST = 64
 #: Documents whose distinct rare units are merged together.
-SLICE = 2048
+SLICE = 512
+#: Rare units a task remembers.
+REMEMBERED = 100_000
 
 
 @dataclass(frozen=True)
@@ -308,12 +310,15 @@ def encode(docs: DataFrame, pieces: Pieces, text: str = "text", ids: str = "piec
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         units_in = re.compile(UNIT).findall
         table, merger, texts = known.value, Merger(pieces), pieces.texts
+        rare: dict[str, bytes] = {}
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE):
                 batch = whole.slice(at, SLICE)
                 originals = [t.as_py() or "" for t in batch.column(position)]
                 cut = [units_in(BLANK + t.replace(" ", BLANK)) if t else [] for t in originals]
-                rare = merger.encode(list({u for units in cut for u in units if u not in table}))
+                if len(rare) > REMEMBERED:
+                    rare.clear()
+                rare |= merger.encode(list({u for units in cut for u in units if u not in table and u not in rare}))
                 blobs = [b"".join([table[u] if u in table else rare[u] for u in units]) for units in cut]
                 flat = np.frombuffer(b"".join(blobs), np.int32)
                 ends = np.cumsum([0, *(len(b) // 4 for b in blobs)]).astype(np.int32)
