@@ -101,7 +101,7 @@ def frequent_units(docs: DataFrame, most: int = MOST_UNITS) -> DataFrame:
     counts = cut_lineage(counted.where((F.col("n") > 1) & (F.length("unit") <= LONGEST)), "units")
     steps = counts.groupBy(F.least("n", F.lit(100_000)).alias("n")).agg(F.count(F.lit(1)).alias("units")).orderBy(F.desc("n"))
     least, taken = 1 << 62, 0
-    for row in steps.toLocalIterator():
+    for row in steps.collect():
         taken += row["units"]
         if taken > most:
             break
@@ -302,7 +302,7 @@ def encode(docs: DataFrame, pieces: Pieces, text: str = "text", ids: str = "piec
     spark = docs.sparkSession
     plain = docs.drop(ids, "round_trip")
     chosen = encode_units(frequent_units(plain.select(F.col(f"`{text}`").alias("text")), most), pieces)
-    known = spark.sparkContext.broadcast({r["unit"]: np.array(r["ids"], np.int32).tobytes() for r in chosen.toLocalIterator()})
+    known = spark.sparkContext.broadcast({r["unit"]: np.array(r["ids"], np.int32).tobytes() for r in chosen.collect()})
     names = plain.columns
     schema = ", ".join(f"`{c}` {plain.schema[c].dataType.simpleString()}" for c in names) + f", `{ids}` array<int>, round_trip boolean"
     position = names.index(text)

@@ -91,21 +91,24 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(whole, "\n"), lambda line: F.trim(line, F.lit(BLANKS)) != "")
+    found = {
+        "n_words": F.size("_words"),
+        "word_chars": F.length(F.array_join("_words", "")),
+        "n_symbols": F.size(F.split(whole, "[#*$%&|<>]", -1)) - 1,
+        "n_lines": F.size("_lines"),
+        "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
+        "n_repeat_words": repeated_words(F.col("_windows")),
+    }
+    # out of an explode of one element, which no filter on a measure is pushed through: each is computed once
+    once = F.explode(F.array(F.struct(*[value.cast("long").alias(name) for name, value in found.items()])))
     return (
-        docs.withColumns({"_words": words(F.col(text)), "_lines": lines})
-        .withColumns({"_hashes": F.transform("_words", lambda w: F.xxhash64(w)), "_chars": F.length(F.array_join("_words", ""))})
+        docs.drop(*found)
+        .withColumns({"_words": words(F.col(text)), "_lines": lines})
+        .withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
         .withColumn("_windows", windows(F.col("_hashes"), WINDOW))
-        .withColumns(
-            {
-                "n_words": F.size("_words").cast("long"),
-                "word_chars": F.col("_chars").cast("long"),
-                "n_symbols": (F.size(F.split(whole, "[#*$%&|<>]", -1)) - 1).cast("long"),
-                "n_lines": F.size("_lines").cast("long"),
-                "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-                "n_repeat_words": repeated_words(F.col("_windows")),
-            }
-        )
-        .drop("_words", "_lines", "_hashes", "_chars", "_windows")
+        .withColumn("_found", once)
+        .withColumns({name: F.col(f"_found.{name}") for name in found})
+        .drop("_words", "_lines", "_hashes", "_windows", "_found")
     )
 
 
