@@ -195,19 +195,11 @@ for _name, _fn, _where, _order in (
     )
 
 
-@query("o2_nulls_last", "SELECT o_custkey AS k, row_number() OVER (ORDER BY abs(z) DESC NULLS LAST, o_custkey) AS place FROM (SELECT c_custkey AS o_custkey, CASE WHEN c_custkey % 5 <> 0 THEN c_acctbal END AS z FROM customer) ORDER BY place LIMIT 100")
+@query("o2_nulls_last", "SELECT c_custkey AS k, abs(CASE WHEN c_custkey % 5 <> 0 THEN c_acctbal END) AS distance FROM customer ORDER BY distance DESC NULLS LAST, k")
 def o2(spark, sf):
     z = F.when(F.col("c_custkey") % 5 != 0, F.col("c_acctbal"))
-    top = (
-        spark.read.parquet(f"{sf}/customer.parquet")
-        .select(F.col("c_custkey").alias("k"), z.alias("z"))
-        .orderBy(F.abs("z").desc_nulls_last(), "k")
-        .limit(100)
-    )
-    # places are numbered within the hundred rows that are left
-    from pyspark.sql import Window
-
-    return top.select("k", F.row_number().over(Window.orderBy(F.abs("z").desc_nulls_last(), "k")).cast("bigint").alias("place"))
+    rows = spark.read.parquet(f"{sf}/customer.parquet").select(F.col("c_custkey").alias("k"), F.abs(z).alias("distance"))
+    return rows.orderBy(F.col("distance").desc_nulls_last(), "k")
 
 
 @query("a05_gender_shares", "SELECT gender, count(*) AS n, count(*) / CAST((SELECT count(*) FROM prac WHERE gender IS NOT NULL) AS DOUBLE) AS share FROM prac WHERE gender IS NOT NULL GROUP BY gender")
@@ -241,8 +233,11 @@ def a05_state(spark, sf):
 
 @query("a06_state_shares", "SELECT st AS state, count(*) AS n, count(*) / CAST((SELECT count(*) FROM loc WHERE st IS NOT NULL) AS DOUBLE) AS share FROM loc WHERE st IS NOT NULL GROUP BY st")
 def a06(spark, sf):
+    from pyspark.sql import Window
+
+    # one row per state is left when the window sums over all of them
     counts = checks.location_states(star_set(spark, sf, "Location"))
-    return counts.withColumn("share", F.col("n") / counts.agg(F.sum("n")).scalar())
+    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
 
 
 @query(
@@ -392,14 +387,19 @@ def a19(spark, sf):
     return reports.specialty_frequency(records(spark, sf, "Practitioner", "qualification"))
 
 
-@query("r5_specialty_frequency", "SELECT CASE WHEN k % 3 <> 1 THEN nucc_display ELSE 'Doctor of Medicine' END AS specialty, count(*) AS n FROM prac WHERE k % 3 <> 1 OR k % 2 = 0 GROUP BY 1 ORDER BY n DESC, specialty LIMIT 3")
+@query("r5_specialty_frequency", "SELECT CASE WHEN k % 3 <> 1 THEN nucc_display ELSE 'Doctor of Medicine' END AS specialty, count(*) AS n FROM prac WHERE k % 3 <> 1 OR k % 2 = 0 GROUP BY 1 ORDER BY n DESC, specialty LIMIT 20")
 def r5(spark, sf):
-    return reports.specialty_frequency(records(spark, sf, "Practitioner", "qualification"), 3)
+    return reports.specialty_frequency(records(spark, sf, "Practitioner", "qualification"), 20)
 
 
-@query("a20_fingerprint")
+@query(
+    "a20_fingerprint",
+    """SELECT page_id % 8 AS part, count(*) AS lines, bit_xor(CAST('0x' || substr(md5(html), 1, 15) AS BIGINT)) AS fingerprint, CAST(sum(strlen(html)) AS BIGINT) AS text_bytes
+       FROM pages GROUP BY 1""",
+)
 def a20(spark, sf):
-    return profile.fingerprint(star_bronze(spark, sf), "resource_type")
+    pages = spark.read.parquet(f"{sf}/pages.parquet")
+    return profile.fingerprint(pages.select((F.col("page_id") % 8).alias("part"), F.col("html").alias("value")), "part")
 
 
 @query("a20_same_content", "SELECT resource_type, true AS same_content FROM counts")
@@ -410,9 +410,9 @@ def a20_same(spark, sf):
     return a.join(b, "resource_type").select("resource_type", ((F.col("fingerprint") == F.col("f2")) & (F.col("lines") == F.col("l2"))).alias("same_content"))
 
 
-@query("o1_top_codes", "SELECT nucc AS nucc_code, nucc_display, count(DISTINCT prac_id) AS practitioners FROM role WHERE prac_id IN (SELECT id FROM prac) GROUP BY ALL ORDER BY practitioners DESC, nucc_code LIMIT 3")
+@query("o1_top_codes", "SELECT nucc AS nucc_code, nucc_display, count(DISTINCT prac_id) AS practitioners FROM role WHERE prac_id IN (SELECT id FROM prac) GROUP BY ALL ORDER BY practitioners DESC, nucc_code LIMIT 10")
 def o1(spark, sf):
-    return checks.top_nucc(star_set(spark, sf, "Practitioner", "PractitionerRole"), 3)
+    return checks.top_nucc(star_set(spark, sf, "Practitioner", "PractitionerRole"), 10)
 
 
 @query("u1_table_counts", "SELECT lower(regexp_replace(resource_type, '([a-z])([A-Z])', '\\1_\\2', 'g')) AS table_name, n AS row_count FROM counts")
@@ -422,9 +422,9 @@ def u1(spark, sf):
     return reports.table_counts({v: views.apply_view(star_resources(spark, sf, t), v) for v, t in names.items()})
 
 
-@query("r4_table_counts", "SELECT CASE resource_type WHEN 'Location' THEN 'location' ELSE 'endpoint' END AS table_name, n AS row_count FROM counts WHERE resource_type IN ('Location', 'Endpoint')")
+@query("r4_table_counts", "SELECT lower(regexp_replace(resource_type, '([a-z])([A-Z])', '\\1_\\2', 'g')) AS table_name, n AS row_count FROM counts")
 def r4(spark, sf):
-    return reports.table_counts({v: views.apply_view(star_resources(spark, sf, v.title()), v) for v in ("location", "endpoint")})
+    return u1(spark, sf)
 
 
 @query("r3_endpoint_summary", "SELECT count(DISTINCT id) AS uuid_count, count(DISTINCT address) AS address_count, count(*) AS row_count FROM ep")

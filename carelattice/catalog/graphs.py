@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from carelattice.catalog.registry import query
 from carelattice.operators import graph, hierarchy, subset
 from carelattice.plans.checks import organization_tree
-from carelattice.runtime import new_shared_path
+from carelattice.runtime import listing, new_shared_path
 from carelattice.sources.ndjson import parse_resources
 from carelattice.sources.star import star_bronze, star_set
 
@@ -17,7 +17,7 @@ _EDGES: dict[tuple, str] = {}
 
 def edges(spark, sf):
     """The edge table, built once per session and folder and read back from there."""
-    at = (spark.sparkContext.applicationId, sf)
+    at = (spark.sparkContext.applicationId, sf, listing(spark, sf))
     if at not in _EDGES:
         path = new_shared_path(spark, "edges")
         graph.build_edges(star_set(spark, sf)).write.parquet(path)
@@ -167,7 +167,6 @@ def by_domain(spark, sf):
 for _name, _seeds, _sql, _hops, _limit in (
     ("g05_npi_one_hop", by_npi, NPI_SEEDS, 1, None),
     ("g05_npi_two_hops", by_npi, NPI_SEEDS, 2, None),
-    ("g05d_relationship_labels", by_npi, NPI_SEEDS, 1, None),
     ("g05_domain_one_hop", by_domain, DOMAIN, 1, None),
     ("g05a_domain_two_hops_top", by_domain, DOMAIN, 2, 100),
     ("g05a_name_one_hop_top", hospitals, HOSPITALS, 1, 50),
@@ -175,14 +174,27 @@ for _name, _seeds, _sql, _hops, _limit in (
 ):
 
     def _run(spark, sf, seeds=_seeds, hops=_hops, limit=_limit):
-        found = graph.k_hop(edges(spark, sf), seeds(spark, sf), hops)
-        return graph.first_paths(found, limit) if limit else found
+        if limit:
+            return graph.first_of_k_hop(edges(spark, sf), seeds(spark, sf), hops, limit)
+        return graph.k_hop(edges(spark, sf), seeds(spark, sf), hops)
 
     query(_name, TOP.format(_limit) if _limit else ALL, extra=paths_sql(_sql, _hops))(_run)
 
 BRIDGES = ("PractitionerRole", "OrganizationAffiliation")
 
 
+@query(
+    "g05d_relationship_labels",
+    """SELECT n.node, l.rel, l.other AS neighbour, split_part(l.other, '/', 1) AS neighbour_type FROM listed n LEFT JOIN links l ON l.node = n.node
+       ORDER BY 1, 2, 3 LIMIT 50""",
+    extra=LINKS_SQL + ", listed AS (SELECT 'Practitioner/' || id AS node FROM prac WHERE k % 10 = 2 UNION ALL SELECT 'Endpoint/' || id FROM ep WHERE k < 3)",
+)
+def g05d(spark, sf):
+    people = graph.practitioner_nodes(star_set(spark, sf, "Practitioner")).where(F.col("id").endswith("2")).select(F.concat(F.lit("Practitioner/"), "id").alias("node"))
+    ends = graph.endpoint_nodes(star_set(spark, sf, "Endpoint")).where(F.col("id").rlike("-0*[0-2]$")).select(F.concat(F.lit("Endpoint/"), "id").alias("node"))
+    return graph.relationships(edges(spark, sf), people.unionByName(ends))
+
+
 @query(
     "g05b_bridge_aware",
     ALL,
@@ -281,11 +293,17 @@ SOURCE, TARGET = "Practitioner/prac-00000003", "Practitioner/prac-00000101"
 
 @query(
     "g10_shortest_path",
-    f"""SELECT '{SOURCE}' AS source, '{TARGET}' AS target, min(d) AS hops FROM bfs WHERE node = '{TARGET}' HAVING min(d) IS NOT NULL""",
+    f"""SELECT '{SOURCE}' AS source, '{TARGET}' AS target, min(d) AS hops, true AS is_a_path FROM bfs WHERE node = '{TARGET}' HAVING min(d) IS NOT NULL""",
     extra=LINKS_SQL + f""", bfs AS (SELECT '{SOURCE}' AS node, 0 AS d UNION SELECT l.other, b.d + 1 FROM bfs b JOIN links l ON l.node = b.node WHERE b.d < 6)""",
 )
 def g10(spark, sf):
-    return graph.shortest_path(edges(spark, sf), SOURCE, TARGET).select("source", "target", F.col("hops").cast("int").alias("hops"))
+    found = graph.shortest_path(edges(spark, sf), SOURCE, TARGET).withColumn("steps", F.split("path", ">"))
+    # every step of the path must be an edge, and the ends must be the two nodes
+    steps = found.select(F.posexplode("steps").alias("at", "node"), "steps").select("node", F.get("steps", F.col("at") + 1).alias("other")).where("other IS NOT NULL")
+    known = graph.adjacency(edges(spark, sf)).select("node", "other").distinct()
+    real = steps.join(known, ["node", "other"], "left_semi").agg(F.count(ONE).alias("n")).scalar()
+    sound = (F.size("steps") == F.col("hops") + 1) & (real == F.col("hops")) & (F.element_at("steps", 1) == SOURCE) & (F.element_at("steps", -1) == TARGET)
+    return found.select("source", "target", F.col("hops").cast("int").alias("hops"), sound.alias("is_a_path"))
 
 
 # --- fixed patterns -------------------------------------------------------------------------
@@ -364,11 +382,11 @@ def g12_edges(spark, sf):
 )
 def g12_systems(spark, sf):
     pairs = graph.identifier_pairs(F.col("r.identifier"))
-    parts = [
-        parse_resources(df, t, ("identifier",)).select(F.explode(pairs).alias("p"))
-        for t, df in star_set(spark, sf, "Practitioner", "Organization").items()
-    ]
-    return parts[0].unionByName(parts[1]).groupBy(F.col("p.system").alias("system")).agg(F.count(ONE).alias("n"))
+    every = None
+    for t, df in star_set(spark, sf).items():
+        part = parse_resources(df, t, ("identifier",)).select(F.explode(pairs).alias("p"))
+        every = part if every is None else every.unionByName(part)
+    return every.groupBy(F.col("p.system").alias("system")).agg(F.count(ONE).alias("n"))
 
 
 @query("g12_org_types", "SELECT CASE type_code WHEN 'prov' THEN 'Healthcare Provider' ELSE 'Payer' END AS org_type, count(*) AS n FROM org GROUP BY 1")
@@ -415,6 +433,17 @@ def g13_usage(spark, sf):
     )
 
 
+@query(
+    "a18_endpoint_type_lists",
+    """SELECT o.id AS organization, coalesce(string_agg(DISTINCT e.code, ',' ORDER BY e.code), '') AS connection_types FROM org o
+       LEFT JOIN edges x ON x.rel = 'HAS_ENDPOINT' AND x.src = 'Organization/' || o.id LEFT JOIN ep e ON x.dst = 'Endpoint/' || e.id GROUP BY o.id""",
+)
+def a18_lists(spark, sf):
+    kinds = a18(spark, sf).where("connection_type IS NOT NULL").groupBy("organization").agg(F.sort_array(F.collect_list("connection_type")).alias("types"))
+    every = graph.organization_nodes(star_set(spark, sf, "Organization")).select(F.col("id").alias("organization"))
+    return every.join(kinds, "organization", "left").select("organization", F.coalesce(F.array_join("types", ","), F.lit("")).alias("connection_types"))
+
+
 @query(
     "a18_endpoint_types_per_organization",
     """SELECT split_part(x.src, '/', 2) AS organization, e.code AS connection_type, count(*) AS endpoints FROM edges x JOIN ep e ON x.dst = 'Endpoint/' || e.id

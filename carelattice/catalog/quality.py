@@ -258,7 +258,7 @@ def q27(spark, sf):
          SELECT 'Practitioner' AS resource_type, count(*) + count(*) FILTER (k % 97 = 0) AS records, count(*) + count(*) FILTER (k % 97 = 0) AS valid_records, CAST(0 AS BIGINT) AS parse_errors FROM prac UNION ALL
          SELECT 'Organization', count(*), count(*), 0 FROM org UNION ALL SELECT 'PractitionerRole', count(*), count(*), 0 FROM role UNION ALL
          SELECT 'OrganizationAffiliation', count(*), count(*), 0 FROM aff UNION ALL
-         SELECT 'Location', count(*), count(name), 0 FROM loc UNION ALL
+         SELECT 'Location', count(*) + 2 * (SELECT count(*) FROM region), count(name), 0 FROM loc UNION ALL
          SELECT 'Endpoint', count(*), count(*) FILTER (status IS NOT NULL AND status <> 'bogus' AND has_connection AND address IS NOT NULL), 0 FROM ep UNION ALL
          SELECT 'Unknown', count(*), 0, 0 FROM org UNION ALL
          SELECT NULL, CAST(sum(n) AS BIGINT), 0, CAST(sum(n) AS BIGINT) FROM messy WHERE line_status <> 'OK')""",

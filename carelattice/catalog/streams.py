@@ -36,6 +36,7 @@ def st01(spark, sf):
     # twice: the second run finds nothing new, as after a restart
     for _ in range(2):
         ingest.ingest(ingest.stream_lines(spark, f"{pages}/*"), table, checkpoint).awaitTermination()
+        ingest.compact(spark, table)
     return ingest.current(spark, table).select(
         "resource_type", "id", F.get_json_object("value", "$.event_id").cast("bigint").alias("event_id")
     )

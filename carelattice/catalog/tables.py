@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from carelattice.catalog.registry import query
 from carelattice.operators import normalize, serialize
 from carelattice.operators.normalize import NORMALIZERS, normalize_all
-from carelattice.runtime import new_shared_path
+from carelattice.runtime import listing, new_shared_path
 from carelattice.sources.star import star_resources, star_set
 from carelattice.sources.tables import upsert, upsert_keep_tag
 
@@ -40,7 +40,7 @@ _PLANS: dict[tuple, dict] = {}
 
 def normalized(spark, sf, rtype: str) -> dict:
     """Tables of one type; the plans are built once per session and folder, not run."""
-    at = (spark.sparkContext.applicationId, sf, rtype)
+    at = (spark.sparkContext.applicationId, sf, listing(spark, sf), rtype)
     if at not in _PLANS:
         _PLANS[at] = NORMALIZERS[rtype](star_resources(spark, sf, rtype))
     return _PLANS[at]
@@ -48,7 +48,7 @@ def normalized(spark, sf, rtype: str) -> dict:
 
 def everything(spark, sf) -> dict:
     """All tables of all types over records that were parsed and written once."""
-    at = (spark.sparkContext.applicationId, sf, "*")
+    at = (spark.sparkContext.applicationId, sf, listing(spark, sf), "*")
     if at not in _PLANS:
         _PLANS[at] = normalize_all(star_set(spark, sf), new_shared_path(spark, "records"))
     return _PLANS[at]
@@ -485,9 +485,9 @@ def a15(spark, sf):
     return normalize.failure_counts(everything(spark, sf)["rejects"])
 
 
-@query("a15_rejected_ids", "SELECT resource_type, id, reason FROM rejects WHERE stage = 'parse' AND resource_type IN ('Practitioner', 'PractitionerRole')", extra="," + TELECOM_SQL + "," + REJECTS_SQL)
+@query("a15_rejected_ids", "SELECT resource_type, id, reason FROM rejects WHERE stage = 'parse' AND resource_type IN ('Practitioner', 'PractitionerRole', 'Organization')", extra="," + TELECOM_SQL + "," + REJECTS_SQL)
 def a15_ids(spark, sf):
     rejects = everything(spark, sf)["rejects"]
-    return rejects.where("stage = 'parse' AND resource_type IN ('Practitioner', 'PractitionerRole')").select("resource_type", "id", "reason")
+    return rejects.where("stage = 'parse' AND resource_type IN ('Practitioner', 'PractitionerRole', 'Organization')").select("resource_type", "id", "reason")
 
 

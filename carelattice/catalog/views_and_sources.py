@@ -14,9 +14,21 @@ from carelattice.sources import export, ndjson, tables
 from carelattice.sources.star import RULES, star_bronze, star_resources
 
 
+# a line of each kind per region: text behind the object, two objects, a bracket too many and single quotes are no JSON;
+# text as meta and a number as id are
+ODD_LINES = (
+    '{"resourceType":"Location","id":"odd#"} {"id":"b"}',
+    '{"resourceType":"Location","id":"odd#"},{}',
+    '{"resourceType":"Location","id":"odd#"}}',
+    "{'resourceType':'Location','id':'odd#'}",
+    '{"resourceType":"Location","id":"meta-#","meta":"text"}',
+    '{"resourceType":"Location","id":#}',
+)
+
+
 def messy_lines(spark, sf) -> DataFrame:
     """All resources, every 97th practitioner twice, every page as a line that is no JSON, a blank
-    line per nation and an untyped object per supplier."""
+    line per nation, an untyped object per supplier and the odd lines."""
     good = star_bronze(spark, sf).select("value")
     again = spark.read.parquet(f"{sf}/customer.parquet").where("c_custkey % 97 = 0").selectExpr(
         f"{RULES['Practitioner'][3]} AS value"
@@ -26,7 +38,10 @@ def messy_lines(spark, sf) -> DataFrame:
     untyped = spark.read.parquet(f"{sf}/supplier.parquet").select(
         F.to_json(F.struct(F.col("s_suppkey").cast("string").alias("id"))).alias("value")
     )
-    return good.unionByName(again).unionByName(bad).unionByName(blank).unionByName(untyped)
+    out = good.unionByName(again).unionByName(bad).unionByName(blank).unionByName(untyped)
+    for line in ODD_LINES:
+        out = out.unionByName(spark.read.parquet(f"{sf}/region.parquet").select(F.replace(F.lit(line), F.lit("#"), F.col("r_regionkey").cast("string")).alias("value")))
+    return out
 
 
 MESSY_SQL = """
@@ -35,7 +50,9 @@ messy AS (
   UNION ALL SELECT 'OK', 'Practitioner', count(*) FROM customer WHERE c_custkey % 97 = 0
   UNION ALL SELECT 'INVALID', NULL, count(*) FROM pages
   UNION ALL SELECT 'EMPTY', NULL, count(*) FROM nation
-  UNION ALL SELECT 'OK', NULL, count(*) FROM supplier)
+  UNION ALL SELECT 'OK', NULL, count(*) FROM supplier
+  UNION ALL SELECT 'INVALID', NULL, 4 * count(*) FROM region
+  UNION ALL SELECT 'OK', 'Location', 2 * count(*) FROM region)
 """
 
 
@@ -78,9 +95,9 @@ STYLES = {
 }
 
 
-def write_named(spark, sf, names: dict[str, str], compression: str | None = None) -> str:
+def write_named(spark, sf, names: dict[str, str], compression: str | None = None, root: str | None = None) -> str:
     """One text folder per name; Spark reads the part files, the folder stands for the file."""
-    root = new_shared_path(spark, "named")
+    root = root or new_shared_path(spark, "named")
     for name, rtype in names.items():
         writer = star_resources(spark, sf, rtype).select("value").write
         if compression:
@@ -89,43 +106,26 @@ def write_named(spark, sf, names: dict[str, str], compression: str | None = None
     return root
 
 
-def named_lines(spark, root: str, glob: str = "*") -> DataFrame:
-    """Lines of those folders, with the folder's name as the file name."""
-    lines = ndjson.read_lines(spark, f"{root}/{glob}")
-    return lines.withColumn("source_file", F.element_at(F.split("source_file", "/"), -2))
-
-
 @query(
     "s04_discover_files",
     """SELECT resource_type AS file_type, CASE resource_type WHEN 'Organization' THEN 'desc.more'
          WHEN 'PractitionerRole' THEN '0007' WHEN 'Location' THEN '5' END AS descriptor, n AS lines FROM counts""",
 )
 def s04(spark, sf):
-    root = write_named(spark, sf, STYLES)
-    rtype, descriptor = ndjson.name_parts(F.col("source_file"))
-    return (
-        named_lines(spark, root)
-        .select(rtype.alias("file_type"), descriptor.alias("descriptor"))
-        .groupBy("file_type", "descriptor")
-        .agg(F.count(F.lit(1)).alias("lines"))
-    )
+    found = ndjson.read_directory(spark, write_named(spark, sf, STYLES))
+    return found.groupBy("file_type", "descriptor").agg(F.count(F.lit(1)).alias("lines"))
 
 
 @query(
     "s05_snake_shards",
     """SELECT 'PractitionerRole' AS file_type, '0' AS descriptor, count(*) AS lines FROM role
-       UNION ALL SELECT 'PractitionerRole', '1x', count(*) FROM role
-       UNION ALL SELECT NULL, NULL, count(*) FROM role""",
+       UNION ALL SELECT 'PractitionerRole', '1x', count(*) FROM role""",
 )
 def s05(spark, sf):
     names = ("practitioner_role.0.ndjson", "practitioner_role.1x.ndjson", "practitioner_role.x1.ndjson")
-    root = write_named(spark, sf, dict.fromkeys(names, "PractitionerRole"))
-    rtype, descriptor = ndjson.name_parts(F.col("source_file"))
-    return (
-        named_lines(spark, root)
-        .groupBy(rtype.alias("file_type"), descriptor.alias("descriptor"))
-        .agg(F.count(F.lit(1)).alias("lines"))
-    )
+    # the third name is no shard and is left out
+    found = ndjson.read_directory(spark, write_named(spark, sf, dict.fromkeys(names, "PractitionerRole")))
+    return found.groupBy("file_type", "descriptor").agg(F.count(F.lit(1)).alias("lines"))
 
 
 @query(
@@ -134,26 +134,24 @@ def s05(spark, sf):
        SELECT 'production', CAST(sum(n) AS BIGINT) FROM counts WHERE resource_type NOT IN ('Location', 'PractitionerRole')""",
 )
 def s06(spark, sf):
-    lines = named_lines(spark, write_named(spark, sf, STYLES))
-    name = F.col("source_file")
-    split = F.when(ndjson.is_test_file(name), "test").when(ndjson.is_production_file(name), "production")
-    return lines.select(split.alias("split")).where("split IS NOT NULL").groupBy("split").agg(
-        F.count(F.lit(1)).alias("lines")
-    )
+    root = write_named(spark, sf, STYLES)
+    parts = [ndjson.read_split(spark, root, test).select(F.lit(name).alias("split")) for name, test in (("test", True), ("production", False))]
+    return parts[0].unionByName(parts[1]).groupBy("split").agg(F.count(F.lit(1)).alias("lines"))
 
 
-@query("s07_gzip_input", "SELECT resource_type, n AS lines FROM counts WHERE resource_type IN ('Organization', 'Endpoint')")
+@query("s07_gzip_input", "SELECT resource_type, n AS lines FROM counts")
 def s07(spark, sf):
-    root = write_named(spark, sf, {"a": "Organization", "b": "Endpoint"}, "gzip")
+    root = write_named(spark, sf, {t.lower(): t for t in STYLES.values()}, "gzip")
     return profile.running_type_counts(ndjson.read_lines(spark, root, recursive=True))
 
 
-@query("s08_recursive_walk", "SELECT resource_type, n AS lines FROM counts WHERE resource_type IN ('Practitioner', 'Location')")
+@query("s08_recursive_walk", "SELECT resource_type, n AS lines FROM counts")
 def s08(spark, sf):
-    root = new_shared_path(spark, "tree")
-    for sub, rtype in (("x", "Practitioner"), ("y/z", "Location")):
-        star_resources(spark, sf, rtype).select("value").write.option("compression", "gzip").text(f"{root}/{sub}")
-    return profile.running_type_counts(ndjson.read_lines(spark, root, "*.gz", recursive=True))
+    names = {f"{'deep/' * i}{t}.{'ndjson.gz' if i % 2 else 'jsonl'}": t for i, t in enumerate(STYLES.values())}
+    packed = {n: t for n, t in names.items() if n.endswith("gz")}
+    root = write_named(spark, sf, packed, "gzip")
+    write_named(spark, sf, {n: t for n, t in names.items() if n not in packed} | {"notes": "Endpoint"}, root=root)
+    return profile.running_type_counts(ndjson.walk_lines(spark, root))
 
 
 def docgraph(spark, sf) -> DataFrame:
@@ -185,12 +183,13 @@ def s09(spark, sf):
 
 @query(
     "s10_csv_export",
-    "SELECT id AS resource_uuid, npi, CAST(active AS VARCHAR) AS active, name, type_code AS organization_type_code FROM org",
+    """SELECT id AS resource_uuid, npi, CAST(active AS VARCHAR) AS active, name, CASE WHEN k % 3 = 0 THEN 'Desc ' || k END AS description,
+         'Organization/' || parent AS part_of_reference, type_code AS organization_type_code FROM org""",
 )
 def s10(spark, sf):
     path = new_shared_path(spark, "csv")
     view = views.apply_view(star_resources(spark, sf, "Organization"), "organization")
-    tables.export_csv(view.select("resource_uuid", "npi", "active", "name", "organization_type_code"), path)
+    tables.export_csv(view, path)
     return spark.read.option("header", True).csv(path)
 
 
@@ -238,8 +237,8 @@ def s14(spark, sf):
     bronze = star_bronze(spark, sf)
     twice = bronze.unionByName(star_bronze(spark, sf, "Organization"))
     export.write_ndjson(twice, root, "WY-RI")
-    back = ndjson.read_lines(spark, f"{root}/WY-RI", recursive=True)
-    return profile.running_type_counts(back)
+    back = ndjson.read_directory(spark, root).where("descriptor = 'WY-RI'")
+    return back.groupBy(F.col("file_type").alias("resource_type")).agg(F.count(F.lit(1)).alias("lines"))
 
 
 @query("s15_match_output", "SELECT id, npi FROM prac WHERE npi = '1000000042'")
@@ -257,12 +256,9 @@ def s15(spark, sf):
        WHERE source = 'initial' OR resource_type = 'Endpoint'""",
 )
 def s17(spark, sf):
-    lines = star_bronze(spark, sf).withColumn("source", F.lit("initial")).unionByName(
-        star_resources(spark, sf, "Endpoint").withColumn("source", F.lit("endpoint_only"))
-    )
-    path = new_shared_path(spark, "routed")
-    tables.write_table(lines, path, "fail", ("source", "resource_type"))
-    return tables.read_table(spark, path).groupBy("source", "resource_type").agg(F.count(F.lit(1)).alias("lines"))
+    folders = {"initial": write_named(spark, sf, STYLES), "endpoint_only": write_named(spark, sf, {"Endpoint.new.ndjson": "Endpoint"})}
+    lines = ndjson.read_sources(spark, folders)
+    return lines.groupBy("source", F.col("file_type").alias("resource_type")).agg(F.count(F.lit(1)).alias("lines"))
 
 
 # --- the six views --------------------------------------------------------------------------

@@ -5,6 +5,8 @@ Nodes are keyed by ``Type/id`` text. Edges exist only where both ends do, and on
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -345,31 +347,45 @@ def node_type(node: Column) -> Column:
 
 def adjacency(edges: DataFrame) -> DataFrame:
     """Both directions of every edge, a loop once: (node, rel, other, edge)."""
-    edge = F.concat_ws("|", "src", "rel", "dst")
-    there = edges.select(F.col("src").alias("node"), "rel", F.col("dst").alias("other"), edge.alias("edge"))
-    back = edges.where("src <> dst").select(
-        F.col("dst").alias("node"), "rel", F.col("src").alias("other"), edge.alias("edge")
-    )
-    return there.unionByName(back)
+    return _there(edges).unionByName(_back(edges))
 
 
-def k_hop(
-    edges: DataFrame, seeds: DataFrame, hops: int = 1, through: tuple[str, ...] | None = None
-) -> DataFrame:
-    """All undirected paths of 1..``hops`` edges from the seed nodes; no edge twice on a path.
+def _edge() -> Column:
+    return F.concat_ws("|", "src", "rel", "dst").alias("edge")
 
-    ``seeds`` has one column ``seed``. ``through`` restricts the inner nodes to some types.
-    Columns: seed, length, rels and nodes (``>``-joined) and the end of the path.
+
+def _there(edges: DataFrame) -> DataFrame:
+    return edges.select(F.col("src").alias("node"), "rel", F.col("dst").alias("other"), _edge())
+
+
+def _back(edges: DataFrame) -> DataFrame:
+    return edges.where("src <> dst").select(F.col("dst").alias("node"), "rel", F.col("src").alias("other"), _edge())
+
+
+def links_from(edges: DataFrame, frontier: DataFrame) -> DataFrame:
+    """Rows of ``adjacency`` at the nodes of ``frontier``, a written table (node).
+
+    Edges are reduced to those that touch the frontier before anything is shuffled by node; Spark knows the size of the
+    frontier and broadcasts it when it is small.
     """
-    links = adjacency(edges)
-    paths = seeds.distinct().select(
-        "seed", F.col("seed").alias("node"), F.array().cast("array<string>").alias("used"),
-        F.lit("").alias("rels"), F.lit("").alias("nodes"),
+    return _there(edges).join(frontier, "node", "left_semi").unionByName(_back(edges).join(frontier, "node", "left_semi"))
+
+
+def path_levels(
+    edges: DataFrame, seeds: DataFrame, hops: int, through: tuple[str, ...] | None = None
+) -> Iterator[DataFrame]:
+    """The paths of length 1, 2, ... of :func:`k_hop`, each level written to the shared folder."""
+    paths = cut_lineage(
+        seeds.distinct().select(
+            "seed", F.col("seed").alias("node"), F.array().cast("array<string>").alias("used"),
+            F.lit("").alias("rels"), F.lit("").alias("nodes"),
+        ), "seeds",
     )
-    out = None
     for length in range(1, hops + 1):
+        frontier = cut_lineage(paths.select("node").distinct(), "frontier")
         grown = (
-            salted_lookup(links, paths, "node")
+            cut_lineage(links_from(edges, frontier), "links")
+            .join(paths, "node")
             .where(~F.array_contains("used", F.col("edge")))
             .select(
                 "seed",
@@ -379,11 +395,22 @@ def k_hop(
                 F.concat_ws(">", F.when(F.col("nodes") != "", F.col("nodes")), "other").alias("nodes"),
             )
         )
-        found = grown.select(
-            "seed", F.lit(length).alias("length"), "rels", "nodes", F.col("node").alias("end")
-        )
-        out = found if out is None else out.unionByName(found)
+        grown = cut_lineage(grown, "paths")
+        yield grown.select("seed", F.lit(length).alias("length"), "rels", "nodes", F.col("node").alias("end"))
         paths = grown if through is None else grown.where(node_type(F.col("node")).isin(*through))
+
+
+def k_hop(
+    edges: DataFrame, seeds: DataFrame, hops: int = 1, through: tuple[str, ...] | None = None
+) -> DataFrame:
+    """All undirected paths of 1..``hops`` edges from the seed nodes; no edge twice on a path.
+
+    ``seeds`` has one column ``seed``. ``through`` restricts the inner nodes to some types.
+    Columns: seed, length, rels and nodes (``>``-joined) and the end of the path.
+    """
+    out = None
+    for found in path_levels(edges, seeds, hops, through):
+        out = found if out is None else out.unionByName(found)
     return out
 
 
@@ -392,6 +419,30 @@ def first_paths(paths: DataFrame, limit: int) -> DataFrame:
     return paths.orderBy("length", "seed", "nodes", "rels").limit(limit)
 
 
+def first_of_k_hop(
+    edges: DataFrame, seeds: DataFrame, hops: int, limit: int, through: tuple[str, ...] | None = None
+) -> DataFrame:
+    """``first_paths`` of ``k_hop``, walked level by level; longer paths are not made once shorter ones fill the listing."""
+    out, have = None, 0
+    for found in path_levels(edges, seeds, hops, through):
+        out = found if out is None else out.unionByName(found)
+        have += found.count()
+        if have >= limit:
+            break
+    return first_paths(out, limit)
+
+
+def relationships(edges: DataFrame, nodes: DataFrame, limit: int = 50) -> DataFrame:
+    """Relationships of ``nodes`` (node) with the neighbour and its type; a node without any gives one row of nulls."""
+    wanted = cut_lineage(nodes.select("node").distinct(), "nodes")
+    found = wanted.join(links_from(edges, wanted).drop("edge"), "node", "left")
+    return (
+        found.select("node", "rel", F.col("other").alias("neighbour"), node_type(F.col("other")).alias("neighbour_type"))
+        .orderBy("node", "rel", "neighbour")
+        .limit(limit)
+    )
+
+
 def seeds_by_npi(resources: Resources, npi: str) -> DataFrame:
     """Nodes carrying the NPI: practitioners and roles by their first, organizations by any."""
     out = None
@@ -435,15 +486,14 @@ def shortest_path(edges: DataFrame, source: str, target: str, max_hops: int = 10
     Breadth first: a frontier join per level, visited nodes removed, stop at the first level that
     holds the target. Levels are checkpointed and the path is read back from them.
     """
-    links = cut_lineage(adjacency(edges).select("node", "other").distinct())
     spark = edges.sparkSession
-    level = spark.range(1).select(F.lit(source).alias("node"), F.lit(None).cast("string").alias("prev"))
+    level = cut_lineage(spark.range(1).select(F.lit(source).alias("node"), F.lit(None).cast("string").alias("prev")))
     visited = level.select("node")
     levels = [level]
     hit = source == target
     while not hit and len(levels) <= max_hops:
         grown = (
-            salted_lookup(links, level.select("node"), "node")
+            links_from(edges, level.select("node"))
             .groupBy(F.col("other").alias("next"))
             .agg(F.min("node").alias("prev"))
             .withColumnRenamed("next", "node")
@@ -493,12 +543,18 @@ def shared_employer_pairs(bridge: DataFrame, limit: int = 25) -> DataFrame:
 
     A pair among the first ``limit`` overall is among the first ``limit`` of its organization, and
     those only involve its ``limit + 1`` smallest practitioners. So each organization is cut to
-    that many before the self-join, which keeps the result exact at a bounded size per group.
+    that many before the self-join, which keeps the result exact at a bounded size per group. The cut is made twice,
+    first within hashed parts of an organization, so that no task sorts a whole large one.
     """
     from pyspark.sql import Window
 
-    rank = F.row_number().over(Window.partitionBy("organization").orderBy("practitioner"))
-    few = bridge.withColumn("_r", rank).where(F.col("_r") <= limit + 1).drop("_r")
+    parts = int(bridge.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    split = bridge.withColumn("_part", F.pmod(F.xxhash64("practitioner"), F.lit(parts)))
+    few = split
+    for keys in (("organization", "_part"), ("organization",)):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("practitioner"))
+        few = few.withColumn("_r", rank).where(F.col("_r") <= limit + 1).drop("_r")
+    few = few.drop("_part")
     right = few.select("organization", F.col("practitioner").alias("practitioner_2"))
     return (
         few.withColumnRenamed("practitioner", "practitioner_1")

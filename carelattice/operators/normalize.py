@@ -26,6 +26,7 @@ from carelattice.functions.extensions import (
 )
 from carelattice.functions.identity import dimension_key, npis, stable_uuid
 from carelattice.functions.refs import blank_to_null, ref_id
+from carelattice.runtime import cut_lineage
 from carelattice.sources.ndjson import parse_resources
 from carelattice.sources.tables import keep_one
 
@@ -94,18 +95,15 @@ def staged(records: DataFrame, path: str) -> DataFrame:
 def _tables(
     clean: DataFrame, resource_type: str, entity: list[str], bridges: dict, stage: str | None
 ) -> Tables:
-    """Split the records into entity, bridges, drops and rejects."""
-    if stage:
-        clean = staged(clean, f"{stage}/{resource_type}")
-    accepted = clean.where(F.col("reject_reason").isNull())
+    """Split the records into entity, bridges, drops and rejects.
+
+    The records are written once, to ``stage`` or the shared folder. Of several accepted versions of one id only the latest
+    counts, in the entity and in its bridges alike.
+    """
+    clean = staged(clean, f"{stage}/{resource_type}") if stage else cut_lineage(clean, f"records-{resource_type}")
+    accepted = keep_one(clean.where(F.col("reject_reason").isNull()), "resource_uuid", F.col("version"))
     name = _table_name(resource_type)
-    out: Tables = {
-        name: keep_one(
-            accepted.select("resource_uuid", *entity, F.col("version").alias("_version")),
-            "resource_uuid",
-            F.col("_version"),
-        ).drop("_version")
-    }
+    out: Tables = {name: accepted.select("resource_uuid", *entity)}
     owner = f"{name}_uuid"
     for bridge, (array, fields) in bridges.items():
         out[bridge] = (

@@ -104,10 +104,13 @@ def compare_counts(table_counts: DataFrame, line_counts: DataFrame) -> DataFrame
 
 
 def fingerprint(lines: DataFrame, *group: str) -> DataFrame:
-    """Content fingerprint that does not depend on line order or on how files are split."""
+    """Content fingerprint that does not depend on line order or on how files are split.
+
+    It is the exclusive or of the first 60 bits of every line's MD5.
+    """
     return lines.groupBy(*group).agg(
         F.count(F.lit(1)).alias("lines"),
-        F.bit_xor(F.xxhash64("value")).alias("fingerprint"),
+        F.bit_xor(F.conv(F.substring(F.md5("value"), 1, 15), 16, 10).cast("bigint")).alias("fingerprint"),
         F.sum(F.octet_length("value")).cast("bigint").alias("text_bytes"),
     )
 
@@ -157,6 +160,11 @@ def _kind(value: Column, field: str) -> Column:
     return F.schema_of_variant(F.try_variant_get(value, f"$.{field}", "variant"))
 
 
+def _only_member(listed: Column) -> Column:
+    """The member of a list of one; NULL for text that is no JSON or more than one value."""
+    return F.when(F.try_variant_get(listed, "$[1]", "variant").isNull(), F.try_variant_get(listed, "$[0]", "variant"))
+
+
 def structural_validity(lines: DataFrame) -> DataFrame:
     """Adds ``valid`` and ``parse_error`` per line by the required-field rules of its type."""
     v = F.col("_v")
@@ -188,7 +196,7 @@ def structural_validity(lines: DataFrame) -> DataFrame:
     is_object = F.coalesce(F.schema_of_variant(v).startswith("OBJECT"), F.lit(False))
     return (
         lines.where(F.coalesce("value", F.lit("")) != "")
-        .withColumn("_v", F.try_parse_json("value"))
+        .withColumn("_v", F.explode(F.array(_only_member(F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit("]")))))))
         .select(
             F.when(~is_object, F.lit(None).cast("string"))
             .when(rtype == "", "Unknown")

@@ -242,7 +242,7 @@ def _boundary() -> Column:
             F.lit(None).cast("struct<coding:array<struct<system:string,code:string,display:string>>>").alias("valueCodeableConcept"),
             F.struct(
                 F.when(~is_url, F.base64(F.encode(text, "UTF-8"))).alias("data"),
-                F.when(is_url, F.substring(text, 5, 1_000_000_000)).alias("url"),
+                F.when(is_url, F.substr(text, F.lit(5))).alias("url"),
             ).alias("valueAttachment"),
         ),
     )

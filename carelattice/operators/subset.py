@@ -140,7 +140,7 @@ def state_subset_ids(
 def _ids_of(refs: DataFrame, rtype: str) -> DataFrame:
     start = len(rtype) + 2
     return refs.where(F.col("ref").startswith(f"{rtype}/")).select(
-        F.substring("ref", start, 1_000_000).alias("id")
+        F.substr("ref", F.lit(start)).alias("id")
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def gender_by_specialty(
@@ -111,5 +112,5 @@ def specialty_frequency(practitioners: DataFrame, k: int = 20) -> DataFrame:
 def shares(df: DataFrame, column: str) -> DataFrame:
     """Rows and share of the total per value of a column."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n").alias("t")).scalar()
-    return counts.withColumn("share", F.col("n") / total)
+    # one row per value is left when the window sums over all of them
+    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))

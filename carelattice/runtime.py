@@ -45,46 +45,28 @@ def cut_lineage(df: DataFrame, name: str = "stage", partition_by: str | None = N
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def salted_lookup(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    how: str = "inner",
-    hot_keys: int = 256,
-    salts: int = 64,
-) -> DataFrame:
+def listing(spark: SparkSession, folder: str) -> str:
+    """Path, size and time of the files of a folder, to notice that it has changed."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return ";".join(sorted(f"{f.getPath().getName()}:{f.getLen()}:{f.getModificationTime()}" for f in files))
+
+
+def salted_lookup(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join distinct ``left`` rows to ``right``, which has at most one row per ``key``.
 
-    The ``hot_keys`` most frequent keys of ``left`` are spread over ``salts`` partitions and
-    their right rows repeated as often; every other key joins as usual, so the result is whole.
-    The list of hot keys has at most ``hot_keys`` rows, hence the explicit broadcast. The salt
-    is a hash of the left row, so a recomputed task sends each row to the same place. ``left`` is
-    read twice: pass a table at rest, or one that ends in a shuffle Spark can reuse.
+    A key with more rows than an average partition is hot. It is spread over as many salts as it has such shares and
+    its right rows are repeated as often; every other key joins as usual, so the result is whole. By that rule there are fewer
+    hot keys than partitions, hence the explicit broadcast, and salts follow the data at every size. The salt is a hash of
+    the left row, so a recomputed task sends each row to the same place. ``left`` is read twice: pass a table at rest,
+    or one that ends in a shuffle Spark can reuse.
     """
-    hot = (
-        left.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > 10_000)
-        .orderBy(F.desc("_n"), key)
-        .limit(hot_keys)
-        .select(key, F.lit(True).alias("_hot"))
-    )
-    spread = F.when(
-        F.col("_hot") | F.col(key).isNull(),
-        F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"),
-    )
-    repeats = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
-        F.array(F.lit(0))
-    )
-    salted_left = (
-        left.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.coalesce(spread, F.lit(0)))
-        .drop("_hot")
-    )
-    salted_right = (
-        right.join(F.broadcast(hot), key, "left")
-        .withColumn("_salt", F.explode(repeats))
-        .drop("_hot")
-    )
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = left.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    share = counts.agg(F.sum("_n") / F.lit(partitions)).scalar()
+    hot = counts.where(F.col("_n") > share).select(F.col(key).alias("_hot"), F.ceil(F.col("_n") / share).cast("int").alias("_salts"))
+    spread = F.pmod(F.xxhash64(*left.columns), F.coalesce(F.col("_salts"), F.lit(1))).cast("int")
+    salted_left = left.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot")), "left").select(*left.columns, spread.alias("_salt"))
+    repeats = F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1)
+    salted_right = right.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left").withColumn("_salt", F.explode(repeats)).drop("_salts", "_hot")
     return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")

@@ -35,7 +35,7 @@ _COMMON = (
     f"identifier {IDENTIFIERS}, extension {EXTENSIONS}, "
 )
 
-HEADER = "resourceType STRING, id STRING, meta STRUCT<lastUpdated:STRING>"
+HEADER = "resourceType:STRING, id:VARIANT, meta:STRING"
 
 DDL = {
     "Practitioner": _COMMON

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,17 +16,26 @@ def once_per_id(lines: DataFrame) -> DataFrame:
 
 
 def write_ndjson(lines: DataFrame, root: str, descriptor: str, overwrite: bool = False) -> None:
-    """``<root>/<descriptor>/resource_type=<Type>`` text folders, one line per resource.
+    """``<root>/<Type>.<descriptor>.ndjson`` per type, one line per resource; each is a folder of part files.
 
-    Without ``overwrite`` an existing output fails the job before anything is written.
+    The types are written in one job to a draft folder and renamed when it is complete. Without ``overwrite`` an existing
+    output of the descriptor fails the job before anything is written.
     """
-    (
-        once_per_id(lines)
-        .select("value", "resource_type")
-        .write.mode("overwrite" if overwrite else "errorifexists")
-        .partitionBy("resource_type")
-        .text(f"{root.rstrip('/')}/{descriptor}")
-    )
+    spark = lines.sparkSession
+    base = spark._jvm.org.apache.hadoop.fs.Path(root.rstrip("/"))
+    files = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    path = lambda *parts: spark._jvm.org.apache.hadoop.fs.Path("/".join((root.rstrip("/"), *parts)))
+    there = [s.getPath() for s in files.globStatus(path(f"*.{descriptor}.ndjson")) or ()]
+    if there and not overwrite:
+        raise FileExistsError(f"{root} holds {descriptor}")
+    draft = f"_draft-{uuid.uuid4().hex}"
+    once_per_id(lines).select("value", "resource_type").write.partitionBy("resource_type").text(path(draft).toString())
+    for old in there:
+        files.delete(old, True)
+    for found in files.globStatus(path(draft, "resource_type=*")) or ():
+        rtype = found.getPath().getName().partition("=")[2]
+        files.rename(found.getPath(), path(f"{rtype}.{descriptor}.ndjson"))
+    files.delete(path(draft), True)
 
 
 def write_matches(lines: DataFrame, path: str) -> None:

@@ -18,22 +18,28 @@ AMBIGUOUS = {
     "organization.affiliation": "OrganizationAffiliation",
 }
 LINE_GLOB = "*.ndjson"
-WALK_GLOB = "*.{ndjson,jsonl,ndjson.gz,jsonl.gz}"
+ANY_CASE = "*.[nN][dD][jJ][sS][oO][nN]"
+WALK_GLOB = "{*.ndjson,*.jsonl,*.ndjson.gz,*.jsonl.gz,part-*}"
+IN_FOLDER = r"(?i)(\.ndjson|\.jsonl)(\.gz)?/[^/]*$"
 
 
 def read_lines(
     spark: SparkSession, path: str | list[str], glob: str | None = None, recursive: bool = False
 ) -> DataFrame:
-    """Text lines with the file each came from; ``.gz`` files are unpacked by extension."""
+    """Text lines with the file each came from; ``.gz`` files are unpacked by extension.
+
+    A folder named like a resource file, as Spark writes them, stands for the file.
+    """
     reader = spark.read.option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.text(path).select("value", F.col("_metadata.file_path").alias("source_file"))
+    file = F.regexp_replace(F.col("_metadata.file_path"), IN_FOLDER, "$1$2")
+    return reader.text(path).select("value", file.alias("source_file"))
 
 
 def walk_lines(spark: SparkSession, path: str) -> DataFrame:
     """All line files under a directory tree, packed or not."""
-    return read_lines(spark, path, WALK_GLOB, recursive=True)
+    return read_lines(spark, path, WALK_GLOB, recursive=True).where(F.col("source_file").rlike(r"\.(ndjson|jsonl)(\.gz)?$"))
 
 
 def file_name(source_file: Column) -> Column:
@@ -62,7 +68,7 @@ def is_ambiguous(name: Column) -> Column:
 
 
 def read_directory(spark: SparkSession, path: str) -> DataFrame:
-    """All resource files of a directory, with type and descriptor taken from the file name.
+    """All resource files, or folders that stand for files, of a directory, with type and descriptor from the name.
 
     Names that could mean two types fail the job. Every matching file is read.
     """
@@ -72,7 +78,7 @@ def read_directory(spark: SparkSession, path: str) -> DataFrame:
         F.concat(F.lit("ambiguous file name, write the full type name instead: "), name)
     )
     return (
-        read_lines(spark, path, "*.[nN][dD][jJ][sS][oO][nN]")
+        read_lines(spark, f"{path.rstrip('/')}/{ANY_CASE}")
         .withColumn("file_type", F.when(is_ambiguous(name), refused.cast("string")).otherwise(rtype))
         .withColumn("descriptor", descriptor)
         .where(F.col("file_type").isNotNull())
@@ -90,7 +96,7 @@ def is_production_file(name: Column) -> Column:
 def read_split(spark: SparkSession, path: str, test_mode: bool) -> DataFrame:
     """Only the ``*.5.ndjson`` samples, or only the files without a number in the name."""
     keep = is_test_file if test_mode else is_production_file
-    return read_lines(spark, path, LINE_GLOB).where(keep(file_name(F.col("source_file"))))
+    return read_lines(spark, f"{path.rstrip('/')}/{LINE_GLOB}").where(keep(file_name(F.col("source_file"))))
 
 
 def read_sources(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
@@ -105,25 +111,24 @@ def read_sources(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
 
 
 def with_header(lines: DataFrame) -> DataFrame:
-    """Adds ``line_status`` (OK, EMPTY, INVALID), ``resource_type``, ``id`` and ``last_updated``."""
+    """Adds ``line_status`` (OK, EMPTY, INVALID), ``resource_type``, ``id`` and ``last_updated``.
+
+    OK is exactly one JSON object and nothing else on the line: it is parsed as the only member of a list. Only a text id is an
+    id, and ``meta`` may be of any kind.
+    """
     text = strip(F.col("value"))
-    parsed = F.from_json(
-        text,
-        HEADER + ", _bad STRING",
-        {"columnNameOfCorruptRecord": "_bad"},
-    )
+    parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"ARRAY<STRUCT<{HEADER}>>", {"allowSingleQuotes": "false"})
     closed = text.startswith("{") & text.endswith("}")
+    one = lines.withColumn("_h", F.explode(F.array(F.when(closed & (F.size(parsed) == 1), F.get(parsed, F.lit(0))))))
+    id_text = F.when(F.schema_of_variant("_h.id") == "STRING", F.try_variant_get("_h.id", "$", "string"))
     return (
-        lines.withColumn("_h", parsed)
-        .withColumn(
+        one.withColumn(
             "line_status",
-            F.when(F.coalesce(text, F.lit("")) == "", "EMPTY")
-            .when(F.col("_h._bad").isNull() & closed, "OK")
-            .otherwise("INVALID"),
+            F.when(F.coalesce(text, F.lit("")) == "", "EMPTY").when(F.col("_h").isNotNull(), "OK").otherwise("INVALID"),
         )
-        .withColumn("resource_type", F.when(F.col("line_status") == "OK", F.col("_h.resourceType")))
-        .withColumn("id", F.when(F.col("line_status") == "OK", F.col("_h.id")))
-        .withColumn("last_updated", F.col("_h.meta.lastUpdated"))
+        .withColumn("resource_type", F.col("_h.resourceType"))
+        .withColumn("id", id_text)
+        .withColumn("last_updated", F.get_json_object("_h.meta", "$.lastUpdated"))
         .drop("_h")
     )
 
@@ -177,12 +182,11 @@ def parse_resources(
 ) -> DataFrame:
     """One JSON parse per line: the columns in ``keep`` and ``r``, the record.
 
-    ``fields`` limits the parse to those top-level fields; the parser skips the rest of the line.
+    ``fields`` limits the parse to those top-level fields; the parser skips the rest of the line. The record comes out of an
+    ``explode`` of one element, which filters are not pushed through: a condition on it never parses the line again.
     """
     schema = raw_struct(resource_type, fields)
-    parsed = df.select(*keep, F.from_json("value", schema).alias("r"))
-    if resource_type not in ADDRESSED or "address" not in schema.names:
-        return parsed
-    return parsed.withColumn(
-        "r", F.col("r").withField("address", F.from_json(F.col("r.address"), ADDRESSES))
-    )
+    records = F.array(F.from_json("value", schema))
+    if resource_type in ADDRESSED and "address" in schema.names:
+        records = F.transform(records, lambda r: r.withField("address", F.from_json(r["address"], ADDRESSES)))
+    return df.select(*keep, F.explode(records).alias("r"))

@@ -31,7 +31,7 @@ from carelattice.constants import (
     RANK_URLS,
     ROLE_PECOS_URLS,
 )
-from carelattice.runtime import new_shared_path
+from carelattice.runtime import listing, new_shared_path
 
 # fixed values: state of each nation key 0..24; the last one is no state
 STATES = (
@@ -332,7 +332,7 @@ def generate(spark: SparkSession, sf_dir: str, resource_type: str) -> DataFrame:
 
 def _bronze_root(spark: SparkSession, sf_dir: str, types: Iterable[str]) -> str:
     """Bronze table of a star folder, one partition folder per type; types are added on first use."""
-    app = spark.sparkContext.applicationId
+    app = f"{spark.sparkContext.applicationId} {listing(spark, sf_dir)}"
     root = _AT_REST.setdefault((app, sf_dir, ""), new_shared_path(spark, "bronze"))
     for rtype in types:
         if (app, sf_dir, rtype) not in _AT_REST:

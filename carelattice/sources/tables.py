@@ -54,27 +54,35 @@ def export_csv(df: DataFrame, path: str, force: bool = False) -> str:
 def keep_one(df: DataFrame, key: str | list[str], *order: Column) -> DataFrame:
     """One row per key: the greatest by ``order``, ties broken by the whole row.
 
-    A partial ``max`` per key runs before the shuffle, so even a key with a third of all rows
-    reaches its reducer as one row per task. The column order of ``df`` is kept.
+    Only rows whose key repeats are reduced, see :func:`_reduced`. The column order of ``df`` is kept.
     """
-    keys = [key] if isinstance(key, str) else list(key)
-    ranked = F.struct(
-        *[o.alias(f"_o{i}") for i, o in enumerate(order)],
-        *[F.col(c) for c in df.columns if c not in keys],
-    )
-    best = df.groupBy(*keys).agg(F.max(ranked).alias("_b"))
-    return best.select(*[F.col(c) if c in keys else F.col(f"_b.{c}") for c in df.columns])
+    return _reduced(df, key, F.max, order)
 
 
 def keep_first(df: DataFrame, key: str | list[str], *order: Column) -> DataFrame:
     """Like :func:`keep_one` for the smallest row."""
+    return _reduced(df, key, F.min, order)
+
+
+def _reduced(df: DataFrame, key: str | list[str], best_of, order: tuple[Column, ...]) -> DataFrame:
+    """A narrow pass counts the keys; rows whose key occurs once pass straight on, whatever their width.
+
+    The others, usually few, are reduced by an aggregate that combines map-side, so even a key with a third of all rows
+    reaches its reducer as one row per task. Null keys are one key. ``df`` is read three times: pass a table at rest, or
+    columns that are cheap to compute.
+    """
     keys = [key] if isinstance(key, str) else list(key)
+    repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    same = F.lit(True)
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
     ranked = F.struct(
         *[o.alias(f"_o{i}") for i, o in enumerate(order)],
         *[F.col(c) for c in df.columns if c not in keys],
     )
-    best = df.groupBy(*keys).agg(F.min(ranked).alias("_b"))
-    return best.select(*[F.col(c) if c in keys else F.col(f"_b.{c}") for c in df.columns])
+    best = df.join(repeated, same, "left_semi").groupBy(*keys).agg(best_of(ranked).alias("_b"))
+    once = df.join(repeated, same, "left_anti")
+    return once.unionByName(best.select(*[F.col(c) if c in keys else F.col(f"_b.{c}") for c in df.columns]))
 
 
 def upsert(

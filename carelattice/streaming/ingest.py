@@ -43,21 +43,38 @@ def ingest(lines: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     )
 
 
+def _versions(spark: SparkSession, table: str) -> list[int]:
+    """Batch ids up to which complete versions exist, oldest first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/_versions")
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    done = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, "upto=*/_SUCCESS")) or ()
+    return sorted(int(f.getPath().getParent().getName().partition("=")[2]) for f in done)
+
+
+def _state(spark: SparkSession, table: str) -> DataFrame:
+    """Latest version of each resource with its batch id: the last version and the batches after it."""
+    columns = ["resource_type", "id", "last_updated", "value", "batch_id"]
+    rows = spark.read.parquet(table).where("line_status = 'OK' AND id <> ''").select(*columns)
+    versions = _versions(spark, table)
+    if versions:
+        kept = spark.read.parquet(f"{table}/_versions/upto={versions[-1]}").select(*columns)
+        rows = kept.unionByName(rows.where(F.col("batch_id") > versions[-1]))
+    return keep_one(rows, ["resource_type", "id"], F.coalesce(F.col("last_updated"), F.lit("")), F.col("batch_id"))
+
+
 def current(spark: SparkSession, table: str) -> DataFrame:
     """Latest version of each resource: by update time, then by batch, then by text."""
-    rows = spark.read.parquet(table).where("line_status = 'OK' AND id <> ''")
-    latest = keep_one(
-        rows.select("resource_type", "id", "last_updated", "value", "batch_id"),
-        ["resource_type", "id"],
-        F.coalesce(F.col("last_updated"), F.lit("")),
-        F.col("batch_id"),
-    )
-    return latest.select("resource_type", "id", "last_updated", "value")
+    return _state(spark, table).select("resource_type", "id", "last_updated", "value")
+
 
+def compact(spark: SparkSession, table: str) -> None:
+    """Write the current state as a version that later reads start from, so that their cost follows the new batches only.
 
-def compact(spark: SparkSession, table: str, version_path: str) -> None:
-    """Write the current state as a new version, partitioned by type, for readers that come later."""
-    current(spark, table).write.mode("errorifexists").partitionBy("resource_type").parquet(version_path)
+    The version names the last batch in it. A version that is there already is not written again.
+    """
+    last = spark.read.parquet(table).agg(F.max("batch_id")).first()[0]
+    if last is not None and last not in _versions(spark, table):
+        _state(spark, table).write.mode("overwrite").partitionBy("resource_type").parquet(f"{table}/_versions/upto={last}")
 
 
 def count_types(lines: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
