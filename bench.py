@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from carelattice import catalog  # noqa: E402
+from carelattice.catalog.graphs import edges  # noqa: E402
 from carelattice.operators import views  # noqa: E402
 from carelattice.runtime import new_shared_path  # noqa: E402
 from carelattice.sources import ndjson  # noqa: E402
@@ -40,6 +42,7 @@ def session(cpus: str) -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "12g"))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -85,17 +88,19 @@ def main() -> None:
     seconds["vw1_load"] = timed(lambda: load_practitioners(spark, source))
     rows = spark.read.text(source).count()
     extra = {"vw1_rows": rows, "vw1_rows_per_sec": round(rows / seconds["vw1_load"])}
+    # the edge table the graph queries read is built once, under its own name
+    seconds["edge_table"] = timed(lambda: edges(spark, sf))
     for name in QUERIES:
         seconds[name] = timed(lambda name=name: run(queries[name](spark, sf)))
     if copies:
         many = lines_of_practitioners(spark, sf, copies)
         took = timed(lambda: load_practitioners(spark, many))
         extra |= {"replicated_rows": rows * copies, "replicated_sec": took, "replicated_rows_per_sec": round(rows * copies / took)}
-    counted = {k: v for k, v in seconds.items() if k not in ("prepare_bronze", "vw1_load_cold")}
+    counted = {k: v for k, v in seconds.items() if k != "vw1_load_cold"}
     print(
         json.dumps(
             {
-                "metric": "total seconds of headline jobs",
+                "metric": "total seconds of all parts",
                 "value": round(sum(counted.values()), 3),
                 "unit": "sec",
                 "queries": seconds,
