@@ -9,9 +9,10 @@ set; every pair of a tuple of the first with a tuple of the second is a table ke
    row per key through the shuffle, then among the centres of the batches. A bucket never makes all its pairs.
 3. Pairs whose signatures agree five standard deviations below the threshold are dropped; all others are confirmed on
    the full sets, rebuilt from the whole texts. Members of a centre are dealt in blocks, the centre's text once per block.
-4. Confirmed links are contracted to components. Further rounds draw other centres per key and look only at pairs of
-   different components. From the third round on a component takes part, with those it shares buckets with, only while the
-   round before has found it a link; the rounds end when one finds nothing.
+4. Confirmed links are contracted to components, and further rounds with other centres look only at pairs of different
+   components. A few rounds share one order of centres over all keys, which joins large groups at about one pair per
+   member; then every key draws its own, until a round finds nothing. A component leaves when its buckets hold no other, or a
+   round has found no link for it and those it shares buckets with.
 
 A pair with similarity s shares a key with probability 1 - 2(1 - s**rows)**side at least: 0.9999 at 0.75 and 0.99999 at 0.8
 with the defaults; every bucket it shares gives it a chance to be compared in every round.
@@ -29,13 +30,13 @@ from pyspark.sql import functions as F
 
 from carelattice.llm.components import components
 from carelattice.llm.hashing import WordHashes, constants, mix, windows
+from carelattice.llm.small import if_few
 from carelattice.runtime import cut_lineage
 
 #: Members of a centre that are confirmed in one block; the centre's text travels once per block.
 BLOCK = 256
-#: Rows up to which a list of ids is broadcast (16 MB of longs); longer lists are joined through a shuffle.
-BROADCAST_IDS = 2_000_000
-
+#: Rounds at most in which all keys share one order of centres.
+SHARED_ROUNDS = 3
 
 @dataclass(frozen=True)
 class Banding:
@@ -131,17 +132,17 @@ def _stars(keys, prio, ids, comps):
     return order[first], pairs
 
 
-def candidates(nodes: DataFrame, banding: Banding, round_: int) -> DataFrame:
+def candidates(nodes: DataFrame, banding: Banding, round_: int, per_key: bool) -> DataFrame:
     """Distinct pairs (a, b) of ``nodes`` (id, comp, sig) that a bucket's centre makes, components differing.
 
-    In the first round the centre is the member with the smallest hashed id, so most buckets of a group share it and few
-    distinct pairs arise; later rounds draw it per key.
+    The centre is the member with the smallest hashed id, so most buckets of a group share it and few distinct pairs arise, or,
+    ``per_key``, one that every key draws for itself.
     """
     schema = "k long, prio long, a long, b long, comp long"
 
     def priority(ids: np.ndarray, keys: np.ndarray) -> np.ndarray:
         salted = ids.astype(np.uint64) + np.uint64(round_)
-        return mix(salted if round_ == 1 else salted ^ keys) >> np.uint64(1)
+        return mix(salted ^ keys if per_key else salted) >> np.uint64(1)
 
     def rows(k, prio, a, b, comp) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(k.astype(np.int64)), pa.array(prio.astype(np.int64)), pa.array(a), b, pa.array(comp)], names=["k", "prio", "a", "b", "comp"])
@@ -241,16 +242,19 @@ def _of_components(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.join(known("a"), "a").join(known("b"), "b")
 
 
-def _still_open(nodes: DataFrame, found: DataFrame, links: DataFrame, labels: DataFrame) -> DataFrame:
-    """Nodes that take part in the next round: a component stays in until a round finds no link for it.
+def _still_open(nodes: DataFrame, found: DataFrame, labels: DataFrame, links: DataFrame | None) -> DataFrame:
+    """Nodes that take part in the next round.
 
-    With it stay the components it still shares a bucket with, as its missing links would lead there.
+    In a bucket of several components all of them appear in its pairs ``found``; a component without a pair that
+    still leads to another one is done. With ``links`` it also needs one of them, or such a pair with a component that has
+    one: a component stays in until a round finds no link for it or its neighbours.
     """
-    gained = _of_components(links, labels).select(F.explode(F.array("comp_a", "comp_b")).alias("comp")).distinct()
     pairs = _of_components(found, labels).select("comp_a", "comp_b").where("comp_a <> comp_b").distinct()
-    both = pairs.unionByName(pairs.select(F.col("comp_b").alias("comp_a"), F.col("comp_a").alias("comp_b")))
-    near = both.join(gained.select(F.col("comp").alias("comp_a")), "comp_a", "left_semi")
-    comps = near.select(F.explode(F.array("comp_a", "comp_b")).alias("comp")).distinct()
+    if links is not None:
+        gained = _of_components(links, labels).select(F.explode(F.array("comp_a", "comp_b")).alias("comp_a")).distinct()
+        both = pairs.unionByName(pairs.select(F.col("comp_b").alias("comp_a"), F.col("comp_a").alias("comp_b")))
+        pairs = both.join(gained, "comp_a", "left_semi")
+    comps = pairs.select(F.explode(F.array("comp_a", "comp_b")).alias("comp")).distinct()
     ids = labels.join(comps, "comp", "left_semi").select("id")
     return cut_lineage(nodes.join(ids, "id", "left_semi"), "open-nodes")
 
@@ -271,31 +275,30 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     members = cut_lineage(full.join(reps, sets).select("id", "n", "rep", F.when(F.col("id") == F.col("rep"), F.col("sig")).alias("sig")), "members")
     nodes = members.where("sig IS NOT NULL").select("id", "n", "sig", F.col("id").alias("comp"))
 
-    found = cut_lineage(candidates(nodes, banding, 1), "candidates")
+    found = cut_lineage(candidates(nodes, banding, 1, per_key=False), "candidates")
     touched = cut_lineage(found.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "touched")
     touched_n = touched.count()
-    few = F.broadcast(touched) if touched_n <= BROADCAST_IDS else touched
-    texts = cut_lineage(plain.join(few, "id", "left_semi"), "touched-texts")
+    texts = cut_lineage(plain.join(if_few(touched, touched_n), "id", "left_semi"), "touched-texts")
     nodes = cut_lineage(nodes.join(touched, "id", "left_semi"), "touched-nodes")
     labels = nodes.select("id", "comp").distinct()
     tried = None
-    round_ = 1
+    round_, per_key = 1, False
     while touched_n:
         likely = plausible(found, nodes, banding)
         likely = cut_lineage(likely if tried is None else likely.join(tried, ["a", "b"], "left_anti"), "likely")
         links = cut_lineage(confirmed(likely, texts, banding), "links")
         fresh = links.count()
         tried = likely if tried is None else tried.unionByName(likely)
-        if not fresh and round_ > 1:
+        if per_key and not fresh:
             break
         if fresh:
             merged = _of_components(links, labels).select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
             new = components(merged).select(F.col("node").alias("comp"), "component")
             labels = cut_lineage(labels.join(new, "comp", "left").select("id", F.coalesce("component", "comp").alias("comp")), "labels")
-        if round_ > 1:
-            nodes = _still_open(nodes, found, links, labels)
+        nodes = _still_open(nodes, found, labels, links if per_key else None)
+        per_key = per_key or not fresh or round_ >= SHARED_ROUNDS
         round_ += 1
-        found = cut_lineage(candidates(nodes.drop("comp").join(labels, "id"), banding, round_), "candidates")
+        found = cut_lineage(candidates(nodes.drop("comp").join(labels, "id"), banding, round_, per_key), "candidates")
 
     final = labels.select(F.col("id").alias("rep"), "comp")
     known = members.select("id", "n", "rep").join(final, "rep", "left").select("id", "n", F.coalesce("comp", "rep").alias("comp"))
