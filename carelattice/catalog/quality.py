@@ -230,6 +230,16 @@ def q12(spark, sf):
     return rows.select("check_id", "numerator", "status")
 
 
+@query(
+    "q15_q16_owner_messages",
+    """SELECT 'q15_max_addresses' AS check_id, 'max_addresses not <= 1 at ' || (SELECT id FROM org ORDER BY k % 3 DESC, id LIMIT 1) AS message UNION ALL
+       SELECT 'q16_max_telecom', 'max_telecom not <= 1 at ' || (SELECT id FROM org WHERE k % 4 = 2 ORDER BY id LIMIT 1)""",
+)
+def owner_messages(spark, sf):
+    strict = {"max_addresses": 1, "max_telecom": 1}
+    return checks.run_checks(star_set(spark, sf, "Organization"), strict, ["q15_max_addresses", "q16_max_telecom"]).select("check_id", "message")
+
+
 @query(
     "q27_download_completeness",
     """SELECT resource_type, line_count, unique_ids, duplicate_ids, parse_errors, missing_ids, expected_total, abs(expected_total - unique_ids) AS delta,

@@ -154,7 +154,7 @@ def _tagged(parts: dict[str, DataFrame]) -> DataFrame:
 
 def lines_of(bronze: DataFrame, ids: DataFrame) -> DataFrame:
     """Whole lines of the chosen (resource_type, id), once each, text unchanged."""
-    return once_per_id(bronze.join(ids, ["resource_type", "id"], "left_semi"))
+    return once_per_id(cut_lineage(bronze.join(ids, ["resource_type", "id"], "left_semi"), "subset-text"))
 
 
 def state_subset(resources: dict[str, DataFrame], bronze: DataFrame, states: Iterable[str]) -> DataFrame:

@@ -45,7 +45,10 @@ RESULT_COLUMNS = [part.split()[0] for part in RESULT_SCHEMA.split(", ")]
 
 @dataclass(frozen=True)
 class Metric:
-    """One comparison. ``numerator``/``denominator`` are counts, ``value`` a ready number."""
+    """One comparison. ``numerator``/``denominator`` are counts, ``value`` a ready number.
+
+    ``owner`` names the resource behind an extreme; a failure's message tells it.
+    """
 
     scope: str
     metric: str | None
@@ -56,6 +59,7 @@ class Metric:
     value: Column | None = None
     skip_below: int = 0
     empty: str = "ERROR"
+    owner: Column | None = None
 
 
 @dataclass(frozen=True)
@@ -101,7 +105,7 @@ def rows() -> Column:
 RAW_SCHEMA = (
     "check_id STRING, title STRING, scope STRING, metric STRING, op STRING, threshold DOUBLE, "
     "limit_text STRING, skip_below INT, empty STRING, forced STRING, note STRING, "
-    "numerator BIGINT, denominator BIGINT, observed DOUBLE"
+    "numerator BIGINT, denominator BIGINT, observed DOUBLE, owner STRING"
 )
 
 
@@ -142,6 +146,7 @@ def _measured(m: Metric) -> Column:
         num.cast("bigint").alias("numerator"),
         den.cast("bigint").alias("denominator"),
         observed.cast("double").alias("observed"),
+        (F.lit(None) if m.owner is None else m.owner).cast("string").alias("owner"),
     )
 
 
@@ -170,7 +175,7 @@ def _judge(metrics: DataFrame) -> DataFrame:
         .when(holds, "PASS")
         .otherwise("FAIL")
     )
-    text = F.concat("metric", F.lit(" not "), "op", F.lit(" "), "limit_text")
+    text = F.concat("metric", F.lit(" not "), "op", F.lit(" "), "limit_text", F.coalesce(F.concat(F.lit(" at "), "owner"), F.lit("")))
     message = (
         F.when(F.col("note").isNotNull(), F.col("note"))
         .when(F.col("status") == "FAIL", text)
@@ -182,7 +187,7 @@ def _judge(metrics: DataFrame) -> DataFrame:
 def _verdict_row(spark, c: Check, status: str, note: str) -> DataFrame:
     row = F.inline(F.expr(f"array({_fixed(c, None, status, note)})"))
     return spark.range(1).select(row).selectExpr(
-        "*", "CAST(NULL AS BIGINT) AS numerator", "CAST(NULL AS BIGINT) AS denominator", "CAST(NULL AS DOUBLE) AS observed"
+        "*", "CAST(NULL AS BIGINT) AS numerator", "CAST(NULL AS BIGINT) AS denominator", "CAST(NULL AS DOUBLE) AS observed", "CAST(NULL AS STRING) AS owner"
     )
 
 
@@ -276,7 +281,7 @@ def run_suite(
         except Exception as error:  # noqa: BLE001
             gone = error_text(error)
             return [
-                (c.check_id, c.title, "all", None, None, None, None, 0, "ERROR", "ERROR", gone, None, None, None)
+                (c.check_id, c.title, "all", None, None, None, None, 0, "ERROR", "ERROR", gone, None, None, None, None)
                 for c in checks
             ]
 
@@ -387,16 +392,22 @@ def _q11(r, cfg):
     ]
 
 
-@check("q15_max_addresses", "No organization has too many addresses", "Organization", ("address",))
+def _largest(r: Column, field: str, limit: float) -> list[Metric]:
+    """The largest list of a field; its owner is the smallest id that has one of that size."""
+    n = size0(r[field])
+    most = F.coalesce(F.max(n), F.lit(0))
+    owner = F.min(F.struct((-n).alias("n"), r["id"].alias("id")))["id"]
+    return [Metric("Organization", f"max_{field}" if field == "telecom" else "max_addresses", "<=", limit, numerator=most, owner=owner)]
+
+
+@check("q15_max_addresses", "No organization has too many addresses", "Organization", ("id", "address"))
 def _q15(r, cfg):
-    most = F.coalesce(F.max(size0(r["address"])), F.lit(0))
-    return [Metric("Organization", "max_addresses", "<=", cfg["max_addresses"], numerator=most)]
+    return _largest(r, "address", cfg["max_addresses"])
 
 
-@check("q16_max_telecom", "No organization has too many telecom entries", "Organization", ("telecom",))
+@check("q16_max_telecom", "No organization has too many telecom entries", "Organization", ("id", "telecom"))
 def _q16(r, cfg):
-    most = F.coalesce(F.max(size0(r["telecom"])), F.lit(0))
-    return [Metric("Organization", "max_telecom", "<=", cfg["max_telecom"], numerator=most)]
+    return _largest(r, "telecom", cfg["max_telecom"])
 
 
 def _flat_codings(concepts: Column) -> Column:
