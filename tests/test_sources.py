@@ -120,11 +120,30 @@ def test_written_lines_are_unchanged_and_not_overwritten(spark, tmp_path):
     text = '{"id": "1",  "resourceType":"Location", "x":"\\u00e9 \\"q\\""}'
     df = spark.createDataFrame([("Location", "1", text), ("Location", "1", text)], "resource_type STRING, id STRING, value STRING")
     export.write_ndjson(df, str(tmp_path), "WY")
-    back = ndjson.read_lines(spark, str(tmp_path / "WY"), recursive=True)
-    assert [r.value for r in back.collect()] == [text]
-    with pytest.raises(PySparkException):
+    back = ndjson.read_directory(spark, str(tmp_path))
+    assert [(r.value, r.file_type, r.descriptor) for r in back.collect()] == [(text, "Location", "WY")]
+    with pytest.raises(FileExistsError):
         export.write_ndjson(df, str(tmp_path), "WY")
+    export.write_ndjson(df, str(tmp_path), "RI")
     export.write_ndjson(df, str(tmp_path), "WY", overwrite=True)
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["Location.RI.ndjson", "Location.WY.ndjson"]
+
+
+def test_header_takes_one_object_and_text_ids_only(spark):
+    cases = {
+        '{"resourceType":"A","id":"x"} {"id":"b"}': ("INVALID", None, None),
+        '{"resourceType":"A","id":"x"},{}': ("INVALID", None, None),
+        '{"resourceType":"A","id":"x"}}': ("INVALID", None, None),
+        "{'resourceType':'A'}": ("INVALID", None, None),
+        '["x"]': ("INVALID", None, None),
+        "": ("EMPTY", None, None),
+        '{"resourceType":"A","id":"x","meta":"text"}': ("OK", "A", "x"),
+        '{"resourceType":"A","id":7,"meta":{"lastUpdated":"2024"}}': ("OK", "A", None),
+        ' {"id":"x","more":[1,{"a":"}"}]} ': ("OK", None, "x"),
+    }
+    got = ndjson.with_header(spark.createDataFrame([(c,) for c in cases], "value STRING")).collect()
+    assert {r.value: (r.line_status, r.resource_type, r.id) for r in got} == cases
+    assert {r.value: r.last_updated for r in got}['{"resourceType":"A","id":7,"meta":{"lastUpdated":"2024"}}'] == "2024"
 
 
 def test_csv_export_states(spark, tmp_path):
