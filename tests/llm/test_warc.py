@@ -50,7 +50,8 @@ def test_filters_are_decided_on_headers(spark, pages, compression):
         ("not target_uri = 'u'", lambda r: r["target_uri"] not in (None, "u")),
     ):
         assert warc.read(spark, path).where(condition).count() == sum(map(test, everything)), condition
-    plan = warc.read(spark, path).where("record_type = 'revisit'")._jdf.queryExecution().executedPlan().toString()
+    found = warc.read(spark, path).where("record_type = 'revisit'")
+    plan = spark._sc._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "formatted")
     assert "EqualTo(record_type,revisit)" in plan
     assert all(r["payload"] is None for r in warc.read(spark, path, payload=False).collect())
 
