@@ -46,7 +46,7 @@ def feistel(index: np.ndarray, total: int, key: int) -> np.ndarray:
     """Slots of ``index`` (0 to total - 1): a permutation of that range chosen by ``key``."""
     half = np.uint64(max(1, -(-max(total - 1, 1).bit_length() // 2)))
     mask = (np.uint64(1) << half) - np.uint64(1)
-    keys = mix(np.arange(1, ROUNDS + 1, dtype=np.uint64) + np.uint64(key % (1 << 64)) * np.uint64(0x9E3779B97F4A7C15))
+    keys = mix(np.arange(1, ROUNDS + 1, dtype=np.uint64) + np.uint64(key * 0x9E3779B97F4A7C15 % (1 << 64)))
     out = index.astype(np.uint64).copy()
     todo = np.arange(len(out))
     while len(todo):
