@@ -1,11 +1,11 @@
 """Token sequences in training order: fixed-stride shards behind a keyed permutation.
 
-Documents are encoded to byte-level BPE ids and cut into sequences of ``length`` ids. Every sequence has an index (the
-sequences before its task's, then its place in the task), and a keyed Feistel network with cycle-walking permutes the indices
-to global slots without any sort or table. Slot ranges are the shards: a sequence goes straight to partition slot div
-per_shard, is sorted there, and the shard is written as records of one fixed size. The record of slot s lies at byte
-(s mod per_shard) * stride of shard s div per_shard, so training reads sequentially, resumes at any slot and seeks to any
-sequence. A shard appears at once under its final name; a lost task writes the same bytes again.
+Documents are encoded to byte-level BPE ids and cut into sequences of ``length`` ids. A sequence is numbered by its task and
+its place there, and a keyed Feistel network with cycle-walking permutes all such numbers without any table, count or second
+pass. Ranges of the permuted numbers are the shards: a sequence goes straight to its range, is sorted there, and the shard is
+written as records of one fixed size. Its global slot is its rank: the records of the shards before plus its place in the
+shard, so slots are gapless, and the record of a slot lies at place * stride of its shard. Training reads sequentially,
+resumes at any slot and seeks to any sequence. A shard appears at once under its final name; a lost task writes the same again.
 
 Record, little-endian: doc_id int64, place of the sequence in its document int32, number of ids int32, CRC-32 of the ids
 uint32, 4 bytes of zeros, then ``length`` uint16 ids, padded with zeros.
@@ -17,8 +17,11 @@ import base64
 import struct
 import uuid
 import zlib
+from array import array
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +29,6 @@ import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from carelattice.llm.elias_fano import local_path
 from carelattice.llm.hashing import mix
@@ -35,10 +37,13 @@ from carelattice.runtime import cut_lineage, new_shared_path
 HEAD = "<qiiII"
 HEAD_BYTES = struct.calcsize(HEAD)
 LENGTH = 256
-PER_SHARD = 65_536
+#: Bytes of text per shard.
+SHARD_TEXT = 32 << 20
 ROUNDS = 8
-#: Distinct words whose ids a task remembers.
-REMEMBERED = 300_000
+#: Sequences a task can number.
+TASK_SPAN = 1 << 32
+#: Distinct words whose ids a worker remembers.
+REMEMBERED = 600_000
 NO_ID = -(1 << 63)
 
 
@@ -74,66 +79,56 @@ class Vocabulary:
         return cls(str(path or public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
 
     def encoder(self):
-        """text to ids as bytes of uint16; words already met are looked up."""
-        import tiktoken
+        """text to ids as bytes of uint16."""
+        return _encoder(self.path, self.pattern)
 
-        with open(self.path, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-        if max(ranks.values()) > 0xFFFF:
-            raise ValueError("ids must fit 16 bits")
-        own = tiktoken.Encoding("own", pat_str=self.pattern, mergeable_ranks=ranks, special_tokens={})
-        split = regex.compile(self.pattern).findall
 
-        class Words(dict):
-            def __missing__(self, word: str) -> bytes:
-                if len(self) >= REMEMBERED:
-                    self.clear()
-                value = self[word] = np.array(own.encode_ordinary(word), np.uint16).tobytes()
-                return value
+@lru_cache(1)
+def _encoder(path: str, pattern: str):
+    """Made once per worker; the ids of words already met are looked up, the memory of them is bounded."""
+    import tiktoken
 
-        words = Words()
-        return lambda text: b"".join(map(words.__getitem__, split(text)))
+    with open(path, "rb") as f:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    if max(ranks.values()) > 0xFFFF:
+        raise ValueError("ids must fit 16 bits")
+    own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    split = regex.compile(pattern).findall
 
+    class Words(dict):
+        def __missing__(self, word: str) -> bytes:
+            value = array("H", own.encode_ordinary(word)).tobytes()
+            if len(self) < REMEMBERED:
+                self[word] = value
+            return value
 
-def encoded(docs: DataFrame, vocabulary: Vocabulary, length: int) -> DataFrame:
-    """(part, first, doc_id, n_tokens, ids binary): first counts the sequences before the document in its part."""
+    words = Words()
+    return lambda text: b"".join(map(words.__getitem__, split(text)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, done = vocabulary.encoder(), TaskContext.get().partitionId(), 0
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                batch = whole.slice(at, 1024)
-                ids = [encode(t.as_py() or "") for t in batch.column("text")]
-                n = np.fromiter((len(b) // 2 for b in ids), np.int64, len(ids))
-                ends = np.cumsum(-(-n // length)) + done
-                first = np.concatenate([[done], ends[:-1]])
-                done = int(ends[-1])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(ids), part, np.int64)), pa.array(first), batch.column("doc_id"), pa.array(n), pa.array(ids, pa.binary())],
-                    names=["part", "first", "doc_id", "n_tokens", "ids"],
-                )
-
-    return docs.select("doc_id", "text").mapInArrow(run, "part long, first long, doc_id long, n_tokens long, ids binary")
 
-
-def sequences(rows: DataFrame, total: int, length: int, key: int) -> DataFrame:
-    """(slot, record) of (start, doc_id, ids): start is the index of the document's first sequence."""
-    size = HEAD_BYTES + 2 * length
+def sequences(docs: DataFrame, vocabulary: Vocabulary, length: int, key: int, parts: int, shards: int) -> DataFrame:
+    """(shard, v, record) of every sequence of (doc_id, text): v is its permuted number, shard the range v lies in."""
+    size, total = HEAD_BYTES + 2 * length, parts * TASK_SPAN
+    width = -(-total // shards)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode, part, done = vocabulary.encoder(), TaskContext.get().partitionId(), 0
+        if part >= parts:
+            raise RuntimeError("more partitions than were planned")
         for whole in batches:
-            for at in range(0, whole.num_rows, 1024):
-                batch = whole.slice(at, 1024)
-                index, records = [], []
-                for start, doc, ids in zip(*(batch.column(c) for c in ("start", "doc_id", "ids")), strict=True):
-                    ids, doc = ids.as_py(), doc.as_py()
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                records = []
+                for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+                    ids = encode(text.as_py() or "")
                     for k in range(-(-len(ids) // (2 * length))):
-                        part = ids[2 * length * k : 2 * length * (k + 1)]
-                        index.append(start.as_py() + k)
-                        records.append((struct.pack(HEAD, NO_ID if doc is None else doc, k, len(part) // 2, zlib.crc32(part), 0) + part).ljust(size, b"\0"))
-                yield pa.RecordBatch.from_arrays([pa.array(feistel(np.array(index, np.int64), total, key)), pa.array(records, pa.binary())], names=["slot", "record"])
+                        own = ids[2 * length * k : 2 * length * (k + 1)]
+                        records.append((struct.pack(HEAD, NO_ID if doc is None else doc, k, len(own) // 2, zlib.crc32(own), 0) + own).ljust(size, b"\0"))
+                v = feistel(np.arange(done, done + len(records)) + part * TASK_SPAN, total, key)
+                done += len(records)
+                yield pa.RecordBatch.from_arrays([pa.array((v // width).astype(np.int32)), pa.array(v), pa.array(records, pa.binary())], names=["shard", "v", "record"])
 
-    return rows.select("start", "doc_id", "ids").mapInArrow(run, "slot long, record binary")
+    return docs.select("doc_id", "text").mapInArrow(run, "shard int, v long, record binary")
 
 
 def _store(path: str):
@@ -143,90 +138,84 @@ def _store(path: str):
     return (fs.LocalFileSystem(), name) if name is not None else fs.FileSystem.from_uri(path)
 
 
-def _written(folder: str, per_shard: int):
+def _written(folder: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, base = _store(folder)
         store.create_dir(base, recursive=True)
-        shard, out, draft, n, size = None, None, "", 0, 0
-        reports: list[tuple[int, int, int]] = []
+        shard, out, draft, n = None, None, "", 0
+        reports: list[tuple[int, int]] = []
 
         def finish() -> None:
             out.close()
             store.move(draft, f"{base}/{shard:08d}.seq")
-            reports.append((shard, n, size))
+            reports.append((shard, n))
 
         for batch in batches:
-            for slot, record in zip(batch.column("slot").to_pylist(), batch.column("record"), strict=True):
-                if slot // per_shard != shard:
+            for own, record in zip(batch.column("shard").to_pylist(), batch.column("record"), strict=True):
+                if own != shard:
                     if out is not None:
                         finish()
-                    shard, draft, n, size = slot // per_shard, f"{base}/_{uuid.uuid4().hex}", 0, 0
+                    shard, draft, n = own, f"{base}/_{uuid.uuid4().hex}", 0
                     out = store.open_output_stream(draft)
-                data = record.as_py()
-                if slot != shard * per_shard + n:
-                    raise ValueError(f"slot {slot} where {shard * per_shard + n} was due")
-                out.write(data)
+                out.write(record.as_py())
                 n += 1
-                size += len(data)
         if out is not None:
             finish()
-        yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in reports], pa.int64()) for c in range(3)], names=["shard", "n", "bytes"])
+        yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in reports], pa.int64()) for c in range(2)], names=["shard", "n"])
 
     return run
 
 
 @dataclass(frozen=True)
 class Order:
-    """Shards of ``total`` sequences under ``folder``."""
+    """Shards under ``folder``; shard i holds the slots from ``offsets[i]`` up to ``offsets[i + 1]``."""
 
     folder: str
-    total: int
+    offsets: tuple[int, ...]
     length: int
-    per_shard: int
 
     @property
     def stride(self) -> int:
         return HEAD_BYTES + 2 * self.length
 
+    @property
+    def total(self) -> int:
+        return self.offsets[-1]
+
     @property
     def shards(self) -> int:
-        return -(-self.total // self.per_shard)
+        return len(self.offsets) - 1
 
 
-def materialise(docs: DataFrame, folder: str | None = None, vocabulary: Vocabulary | None = None, length: int = LENGTH, per_shard: int = PER_SHARD, key: int = 1) -> Order:
+def materialise(docs: DataFrame, folder: str | None = None, vocabulary: Vocabulary | None = None, length: int = LENGTH, shard_text: int = SHARD_TEXT, key: int = 1) -> Order:
     """Write the sequences of ``docs`` (doc_id, text) in training order.
 
     Null and empty texts have no sequence; rows that repeat are separate documents; a null doc_id is kept as null; other
-    columns are ignored. An empty table gives no shard. Encoded documents are written once, so the index of a sequence is
-    the same for every later task.
+    columns are ignored. An empty table gives empty shards. The driver sees one number per shard.
     """
     spark = docs.sparkSession
     folder = folder or new_shared_path(spark, "training-order")
-    coded = cut_lineage(encoded(docs, vocabulary or Vocabulary.public(), length), "token-ids")
-    parts = coded.groupBy("part").agg(F.max(F.col("first") + F.ceil(F.col("n_tokens") / length)).cast("long").alias("n"))
-    # one row per task of the encoding
-    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = cut_lineage(parts.select("part", before.alias("before"), "n"), "part-offsets")
-    total = offsets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    order = Order(folder, total, length, per_shard)
-    if total:
-        rows = coded.join(offsets, "part").select((F.col("first") + F.col("before")).alias("start"), "doc_id", "ids")
-        dealt = sequences(rows, total, length, key).repartitionById(order.shards, F.floor(F.col("slot") / per_shard).cast("int"))
-        done = cut_lineage(dealt.sortWithinPartitions("slot").mapInArrow(_written(folder, per_shard), "shard long, n long, bytes long"), "shards-written")
-        if done.agg(F.sum("n")).first()[0] != total:
-            raise RuntimeError("shards are incomplete")
-    return order
+    plain = docs.select("doc_id", "text")
+    size = plain.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).cast("long")).first()[0]
+    shards, parts = max(1, -(-size // shard_text)), max(1, plain.rdd.getNumPartitions())
+    dealt = sequences(plain, vocabulary or Vocabulary.public(), length, key, parts, shards).repartitionById(shards, F.col("shard"))
+    done = cut_lineage(dealt.sortWithinPartitions("shard", "v").mapInArrow(_written(folder), "shard long, n long"), "shards-written")
+    sizes = np.zeros(shards, np.int64)
+    for row in done.collect():
+        sizes[row["shard"]] = row["n"]
+    return Order(folder, (0, *np.cumsum(sizes).tolist()), length)
 
 
 def read_slots(order: Order, start: int, count: int) -> Iterator[tuple[int, int | None, int, np.ndarray]]:
     """(slot, doc_id, place, ids) of the slots from ``start``, one seek and then sequential reads."""
     slot, last = start, min(start + count, order.total)
     while slot < last:
-        shard = slot // order.per_shard
+        shard = bisect_right(order.offsets, slot) - 1
         store, base = _store(order.folder)
-        with store.open_input_file(f"{base}/{shard:08d}.seq") as f:
-            f.seek((slot - shard * order.per_shard) * order.stride)
-            while slot < min(last, (shard + 1) * order.per_shard):
+        with store.open_input_stream(f"{base}/{shard:08d}.seq") if slot == order.offsets[shard] else store.open_input_file(f"{base}/{shard:08d}.seq") as f:
+            if slot > order.offsets[shard]:
+                f.seek((slot - order.offsets[shard]) * order.stride)
+            while slot < min(last, order.offsets[shard + 1]):
                 record = f.read(order.stride)
                 doc, place, n, crc, _ = struct.unpack_from(HEAD, record)
                 ids = record[HEAD_BYTES : HEAD_BYTES + 2 * n]
@@ -246,8 +235,9 @@ def read(spark: SparkSession, order: Order, ids: bool = True) -> DataFrame:
         for batch in batches:
             for shard in batch.column("id").to_pylist():
                 rows = []
-                for slot, doc, place, found in read_slots(order, shard * order.per_shard, order.per_shard):
-                    head = (slot, shard, (slot - shard * order.per_shard) * order.stride, doc, place, len(found), zlib.crc32(found.tobytes()))
+                first = order.offsets[shard]
+                for slot, doc, place, found in read_slots(order, first, order.offsets[shard + 1] - first):
+                    head = (slot, shard, (slot - first) * order.stride, doc, place, len(found), zlib.crc32(found.tobytes()))
                     rows.append(head + (found.astype(np.int32),) * ids)
                     if len(rows) == 8192:
                         yield _batch(rows, names, kinds)
@@ -255,7 +245,7 @@ def read(spark: SparkSession, order: Order, ids: bool = True) -> DataFrame:
                 if rows:
                     yield _batch(rows, names, kinds)
 
-    return spark.range(0, max(order.shards, 1), 1, max(order.shards, 1)).where(F.col("id") < order.shards).mapInArrow(run, schema)
+    return spark.range(0, order.shards, 1, order.shards).mapInArrow(run, schema)
 
 
 def _batch(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
