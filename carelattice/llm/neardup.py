@@ -11,7 +11,7 @@ set; every pair of a tuple of the first with a tuple of the second is a table ke
    the full sets, rebuilt from the whole texts. Members of a centre are dealt in blocks, the centre's text once per block.
 4. Confirmed links are contracted to components, and further rounds with other centres look only at pairs of different
    components. A few rounds share one order of centres over all keys, which joins large groups at about one pair per
-   member; then every key draws its own, until a round finds nothing. A component leaves when its buckets hold no other, or a
+   member; then the keys are spread over many orders, until a round finds nothing. A component leaves when its buckets hold no other, or a
    round has found no link for it and those it shares buckets with.
 
 A pair with similarity s shares a key with probability 1 - 2(1 - s**rows)**side at least: 0.9999 at 0.75 and 0.99999 at 0.8
@@ -35,6 +35,8 @@ from carelattice.runtime import cut_lineage
 
 #: Members of a centre that are confirmed in one block; the centre's text travels once per block.
 BLOCK = 256
+#: Orders of centres over which the keys are spread in later rounds.
+ORDERS = 16
 #: Rounds at most in which all keys share one order of centres.
 SHARED_ROUNDS = 3
 
@@ -135,14 +137,14 @@ def _stars(keys, prio, ids, comps):
 def candidates(nodes: DataFrame, banding: Banding, round_: int, per_key: bool) -> DataFrame:
     """Distinct pairs (a, b) of ``nodes`` (id, comp, sig) that a bucket's centre makes, components differing.
 
-    The centre is the member with the smallest hashed id, so most buckets of a group share it and few distinct pairs arise, or,
-    ``per_key``, one that every key draws for itself.
+    The centre is the member with the smallest hashed id, so most buckets of a group share it and few distinct pairs arise;
+    ``per_key`` the keys of a document draw theirs by ORDERS different orders.
     """
     schema = "k long, prio long, a long, b long, comp long"
 
     def priority(ids: np.ndarray, keys: np.ndarray) -> np.ndarray:
         salted = ids.astype(np.uint64) + np.uint64(round_)
-        return mix(salted ^ keys if per_key else salted) >> np.uint64(1)
+        return mix(salted ^ (keys % np.uint64(ORDERS) << np.uint64(40)) if per_key else salted) >> np.uint64(1)
 
     def rows(k, prio, a, b, comp) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(k.astype(np.int64)), pa.array(prio.astype(np.int64)), pa.array(a), b, pa.array(comp)], names=["k", "prio", "a", "b", "comp"])
@@ -284,8 +286,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     tried = None
     round_, per_key = 1, False
     while touched_n:
-        likely = plausible(found, nodes, banding)
-        likely = cut_lineage(likely if tried is None else likely.join(tried, ["a", "b"], "left_anti"), "likely")
+        fresh_pairs = found if tried is None else found.join(tried, ["a", "b"], "left_anti")
+        likely = cut_lineage(plausible(fresh_pairs, nodes, banding), "likely")
         links = cut_lineage(confirmed(likely, texts, banding), "links")
         fresh = links.count()
         tried = likely if tried is None else tried.unionByName(likely)
