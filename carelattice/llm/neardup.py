@@ -13,9 +13,12 @@ set; every pair of a tuple of the first with a tuple of the second is a table ke
    components. A few rounds share one order of centres over all keys, which joins large groups at about one pair per
    member; then the keys are spread over many orders, until a round finds nothing. A component leaves when its buckets hold no other, or a
    round has found no link for it and those it shares buckets with.
+5. The rounds only make the components few. All documents whose buckets held several components before the first component
+   left for want of links are then joined by an exact prefix filter on their shingles, so that no pair of them is lost for
+   never having met a centre.
 
 A pair with similarity s shares a key with probability 1 - 2(1 - s**rows)**side at least: 0.9999 at 0.75 and 0.99999 at 0.8
-with the defaults; every bucket it shares gives it a chance to be compared in every round.
+with the defaults. Every pair that shares one ends in one component by the rounds, or is compared by the last step.
 """
 
 from __future__ import annotations
@@ -39,6 +42,14 @@ BLOCK = 256
 ORDERS = 16
 #: Rounds at most in which all keys share one order of centres.
 SHARED_ROUNDS = 3
+#: Cells at most of the table of shingle frequencies, two bytes each; every task of the last step holds it.
+MOST_CELLS = 1 << 23
+#: Cells in one row of that table.
+CELL_BLOCK = 1 << 14
+#: Indexed documents of a shingle that one group compares with all others; more are dealt to several groups.
+LEADS = 4096
+#: Pairs a task holds before it hands the distinct ones on.
+HELD_PAIRS = 1 << 20
 
 @dataclass(frozen=True)
 class Banding:
@@ -261,6 +272,128 @@ def _still_open(nodes: DataFrame, found: DataFrame, labels: DataFrame, links: Da
     return cut_lineage(nodes.join(ids, "id", "left_semi"), "open-nodes")
 
 
+def frequencies(texts: DataFrame, cells: int, banding: Banding) -> np.ndarray:
+    """How many sets of ``texts`` (id, text) have a shingle in each of ``cells`` cells of hashes, at most 65,535."""
+
+    def rows(total: np.ndarray) -> Iterator[pa.RecordBatch]:
+        blocks = total.reshape(-1, min(CELL_BLOCK, cells))
+        some = np.flatnonzero(blocks.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([blocks[b].tobytes() for b in some], pa.binary())], names=["block", "counts"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache, total = WordHashes(), np.zeros(cells, np.int64)
+        for batch in batches:
+            for text in batch.column("text"):
+                np.add.at(total, (shingles(text.as_py() or b"", cache, banding.width) & np.uint64(cells - 1)).astype(np.int64), 1)
+        yield from rows(np.minimum(total, 65535).astype(np.uint16))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts"), strict=True):
+                sums[block] = sums.get(block, 0) + np.frombuffer(counts.as_py(), np.uint16).astype(np.int64)
+        least = [np.minimum(x, 65535).astype(np.uint16).tobytes() for x in sums.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int64()), pa.array(least, pa.binary())], names=["block", "counts"])
+
+    schema = "block long, counts binary"
+    total = np.zeros((cells // min(CELL_BLOCK, cells), min(CELL_BLOCK, cells)), np.uint16)
+    for row in texts.select("text").mapInArrow(count, schema).repartition("block").mapInArrow(add, schema).collect():
+        total[row["block"]] = np.frombuffer(row["counts"], np.uint16)
+    return total.ravel()
+
+
+def _meeting(group, lead, n, pos, ids, comps, percent: int) -> Iterator[np.ndarray]:
+    """Pairs (a, b) of a leading row and a later one of its group that sizes, places and components allow.
+
+    Arguments are flat, parallel and sorted by group, n and id. ``pos`` is the shingle's place in the set's order: if it is the
+    first the pair has in common, no more than the smaller rest is common.
+    """
+    left, step, out, held = np.flatnonzero(lead), 0, [], 0
+    while len(left):
+        step += 1
+        left = left[left + step < len(group)]
+        right = left + step
+        near = (group[left] == group[right]) & (100 * n[left] >= percent * n[right])
+        left, right = left[near], right[near]
+        rest = np.minimum(n[left] - pos[left], n[right] - pos[right])
+        good = ((100 + percent) * rest >= percent * (n[left] + n[right])) & (comps[left] != comps[right])
+        if good.any():
+            out.append(np.stack([ids[left[good]], ids[right[good]]], axis=1))
+            held += len(out[-1])
+        if held > HELD_PAIRS:
+            yield np.unique(np.sort(np.concatenate(out), axis=1), axis=0)
+            out, held = [], 0
+    if out:
+        yield np.unique(np.sort(np.concatenate(out), axis=1), axis=0)
+
+
+def prefix_pairs(nodes: DataFrame, texts: DataFrame, banding: Banding) -> DataFrame:
+    """Distinct pairs (a, b), a < b, of ``nodes`` (id, comp) of different components; holds all whose sets are linked.
+
+    Sets are ordered by the frequency of their shingles, rare ones first. Of a linked pair the larger set (or an equal one)
+    has a shingle among its first n - percent * n + 1 that stands among the first n - 2 * percent / (1 + percent) * n + 1 of the other
+    (those are indexed): else too few are left to be common. Shingles of one set only are not sent. The indexed sets of a
+    frequent shingle are dealt to groups that all get its other sets.
+    """
+    p = banding.percent
+    source = cut_lineage(nodes.select("id", "comp").distinct().join(texts, "id"), "prefix-texts")
+    words = source.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).cast("long")).first()[0]
+    cells = min(MOST_CELLS, 1 << max(10, int(words).bit_length()))
+    table = source.sparkSession.sparkContext.broadcast(frequencies(source, cells, banding).tobytes())
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cache, counts = WordHashes(), np.frombuffer(table.value, np.uint16)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                columns: list[list[np.ndarray]] = [[np.empty(0, np.int64)] for _ in range(6)]
+                for i, comp, text in zip(batch.column("id").to_pylist(), batch.column("comp").to_pylist(), batch.column("text"), strict=True):
+                    found = shingles(text.as_py() or b"", cache, banding.width)
+                    often = counts[(found & np.uint64(cells - 1)).astype(np.int64)]
+                    order, n = np.argsort(often, kind="stable"), len(found)
+                    pos = np.arange(n - -(-p * n // 100) + 1 if n else 0)
+                    pos = pos[often[order[pos]] > 1]
+                    for column, values in zip(
+                        columns, (found[order[pos]].view(np.int64), pos < n - -(-2 * p * n // (100 + p)) + 1, np.full(len(pos), n), pos, np.full(len(pos), i), np.full(len(pos), comp)), strict=True
+                    ):
+                        column.append(values.astype(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in columns], names=["k", "indexed", "n", "pos", "id", "comp"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def pairs(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+            k, salt, lead, *rest = rows
+            new = np.ones(len(k), bool)
+            new[1:] = (k[1:] != k[:-1]) | (salt[1:] != salt[:-1])
+            for both in _meeting(np.cumsum(new), lead == 1, *rest, p):
+                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+
+        for batch in batches:
+            if batch.num_rows:
+                rows = np.stack([c.to_numpy() for c in batch.columns])
+                other = np.flatnonzero((rows[0] != rows[0, -1]) | (rows[1] != rows[1, -1]))
+                begin = int(other[-1]) + 1 if len(other) else 0  # where the group begins that the next batch may go on with
+                if begin or (held and (held[-1][:2, -1] != rows[:2, 0]).any()):
+                    yield from pairs(np.concatenate([*held, rows[:, :begin]], axis=1))
+                    held = []
+                held.append(rows[:, begin:])
+        if held:
+            yield from pairs(np.concatenate(held, axis=1))
+
+    posted = cut_lineage(source.mapInArrow(post, "k long, indexed long, n long, pos long, id long, comp long"), "prefixes")
+    frequent = cut_lineage(posted.where("indexed = 1").groupBy("k").agg(F.ceil(F.count(F.lit(1)) / LEADS).cast("long").alias("groups")).where("groups > 1"), "frequent-shingles")
+    if frequent.isEmpty():
+        dealt = posted.select("k", F.lit(0).cast("long").alias("salt"), F.col("indexed").alias("lead"), "n", "pos", "id", "comp")
+    else:
+        groups = posted.join(F.broadcast(frequent), "k", "left").withColumn("groups", F.coalesce("groups", F.lit(1).cast("long")))
+        copies = groups.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)))
+        own = (F.col("indexed") == 1) & (F.pmod(F.xxhash64("id"), F.col("groups")) == F.col("salt"))
+        dealt = copies.select("k", "salt", own.cast("long").alias("lead"), "n", "pos", "id", "comp")
+    sorted_ = dealt.repartition("k", "salt").sortWithinPartitions("k", "salt", "n", "id")
+    return sorted_.mapInArrow(meet, "a long, b long").where("a <> b").distinct()
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", banding: Banding | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of ``docs``; kept is doc_id = component_id.
 
@@ -283,8 +416,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     texts = cut_lineage(plain.join(if_few(touched, touched_n), "id", "left_semi"), "touched-texts")
     nodes = cut_lineage(nodes.join(touched, "id", "left_semi"), "touched-nodes")
     labels = nodes.select("id", "comp").distinct()
-    tried = None
+    tried = waiting = None
     round_, per_key = 1, False
+
+    def contracted(links: DataFrame) -> DataFrame:
+        merged = _of_components(links, labels).select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
+        new = components(merged).select(F.col("node").alias("comp"), "component")
+        return cut_lineage(labels.join(new, "comp", "left").select("id", F.coalesce("component", "comp").alias("comp")), "labels")
+
     while touched_n:
         fresh_pairs = found if tried is None else found.join(tried, ["a", "b"], "left_anti")
         likely = cut_lineage(plausible(fresh_pairs, nodes, banding), "likely")
@@ -294,14 +433,19 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         if per_key and not fresh:
             break
         if fresh:
-            merged = _of_components(links, labels).select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
-            new = components(merged).select(F.col("node").alias("comp"), "component")
-            labels = cut_lineage(labels.join(new, "comp", "left").select("id", F.coalesce("component", "comp").alias("comp")), "labels")
+            labels = contracted(links)
         nodes = _still_open(nodes, found, labels, links if per_key else None)
+        waiting = waiting if per_key else nodes
         per_key = per_key or not fresh or round_ >= SHARED_ROUNDS
         round_ += 1
         found = cut_lineage(candidates(nodes.drop("comp").join(labels, "id"), banding, round_, per_key), "candidates")
 
+    if waiting is not None and not waiting.isEmpty():
+        left = prefix_pairs(waiting.drop("comp").join(labels, "id"), texts, banding).join(tried, ["a", "b"], "left_anti")
+        links = cut_lineage(confirmed(cut_lineage(plausible(left, waiting, banding), "likely"), texts, banding), "links")
+        if not links.isEmpty():
+            labels = contracted(links)
+
     final = labels.select(F.col("id").alias("rep"), "comp")
     known = members.select("id", "n", "rep").join(final, "rep", "left").select("id", "n", F.coalesce("comp", "rep").alias("comp"))
     rest = sketches.where("n = 0 OR id IS NULL").select("id", "n", F.col("id").alias("comp"))

@@ -59,3 +59,27 @@ def test_tensored_keys_match_when_a_tuple_of_either_half_does():
     b[2:4], b[6:8] = a[2:4], a[6:8]  # second tuple of the first half, first of the second
     keys = neardup.table_keys(np.stack([a, b]), banding)
     assert keys.shape == (2, 9) and np.flatnonzero(keys[0] == keys[1]).tolist() == [3]
+
+
+def test_pairs_within_a_template_below_the_threshold(docs):
+    rng = random.Random(8)
+    template = [f"t{k}" for k in range(204)]
+    rows = []
+    for k in range(600):  # 0.73 to each other; every tenth shares four more shingles with the one after it, 0.756
+        private = [f"p{k}x{i}" for i in range(37)]
+        if k % 10 == 1:
+            private[:4] = [f"p{k - 1}x{i}" for i in range(4)]
+        rows.append((k, " ".join(template + private)))
+    rng.shuffle(rows)
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs(rows, 5)).collect()}
+    assert got == {k: k - 1 if k % 10 == 1 else k for k in range(600)}
+
+
+def test_frequent_shingles_are_dealt_to_groups(docs, monkeypatch):
+    monkeypatch.setattr(neardup, "LEADS", 2)
+    rows = corpus(6)
+    plain = docs(rows, 4).selectExpr("doc_id AS id", "CAST(text AS BINARY) AS text")
+    pairs = {(r["a"], r["b"]) for r in neardup.prefix_pairs(plain.selectExpr("id", "id AS comp"), plain, neardup.Banding()).collect()}
+    sets = [(i, brute.shingle_set(t)) for i, t in rows]
+    linked = {(i, j) for i, s in sets for j, u in sets if i < j and 4 * len(s & u) >= 3 * len(s | u)}
+    assert linked and linked <= pairs
