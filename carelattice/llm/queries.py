@@ -130,7 +130,7 @@ def op9_quality_rules(spark, sf_dir):
 
 @query("op10_ngram_lm")
 def op10_ngram_lm(spark, sf_dir):
-    return ngram_trie.fit_and_score(table(spark, sf_dir, "documents"))
+    return ngram_trie.fit_and_score(table(spark, sf_dir, "documents"), order=3, keep=1)
 
 
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from carelattice.llm import ngram_trie as G
+from carelattice.llm import queries
 from carelattice.llm.elias_fano import EliasFano, open_arrays, write_arrays
 
 END = b" end "
@@ -60,6 +61,16 @@ def test_against_dictionaries(docs, odd_rows, order):
         assert r["score"] == pytest.approx(plain.score(text), abs=5e-4 * r["n_tokens"])
 
 
+def test_query_uses_trigrams_and_those_seen_once(spark):
+    sf = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    plain = Plain([t for i, t in texts.items() if zlib.crc32(str(i).encode()) % 10], 3, 1)
+    got = queries.QUERIES["op10_ngram_lm"](spark, sf).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert r["score"] == pytest.approx(plain.score(texts[r["doc_id"]]), abs=5e-4 * r["n_tokens"])
+
+
 def test_empty_tables(docs):
     source = docs([(k, "a b") for k in range(5)])
     assert G.fit_and_score(source.where("false")).collect() == []
