@@ -5,7 +5,10 @@ lower-cased: a question whose numbers or names were exchanged keeps its template
 hash-joined with those of the benchmark; hits are counted per (document, item, offset), so that only windows in one and the
 same alignment add up. Before a pair is reported its slots are compared: along the alignment every value of the item must
 stand for one value of the document and the other way round, as a re-parameterised copy has it, and a chance overlap of
-templates has not.
+templates has not. Only slots inside the windows met are compared.
+
+Beside them go windows of the lower-cased tokens themselves, whatever they are made of: they find copies of items that are mostly
+slots, copies in other letter case, and whole items shorter than a window. They agree in every token, so no slot is compared.
 
 All of it is column expressions. The only wide intermediate, one row per window of a document, is consumed by the join in
 the stage that makes it when the benchmark's windows are within ``BROADCAST_WINDOWS``; beyond that it is a shuffled join.
@@ -60,13 +63,41 @@ def tokens(text: Column) -> Column:
     return F.filter(each, lambda t: ~t["template"].isin(".", "!", "?", ":", "\n"))
 
 
-def template_windows(rows: DataFrame, key: str) -> DataFrame:
-    """(key, pos, h) of every window with enough literal tokens; ``rows`` has ``_tokens``."""
+def token_windows(rows: DataFrame, key: str, short: tuple[int, ...] | None = None) -> DataFrame:
+    """(key, pos, h, typed, plain) of every window; ``rows`` has ``_tokens``.
+
+    typed: a window of template tokens with enough literal ones; plain: one of the lower-cased tokens. A window without slots is
+    both in one row. ``short``: further widths of plain windows; by default the whole sequence, if it is below WIDTH.
+    """
     literal = F.transform("_tokens", lambda t: (~t["template"].isin(NUMBER, UNIT, NAME)).cast("int"))
-    hashed = rows.select(key, F.transform("_tokens", lambda t: F.xxhash64(t["template"])).alias("_h"), literal.alias("_lit"))
-    hashed = hashed.select(key, "_lit", windows(F.col("_h"), WIDTH).alias("_w"), (F.aggregate("_lit", F.lit(0), lambda a, x: a + x) < F.size("_lit")).alias("_slots"))
-    exploded = hashed.select(key, F.posexplode(F.when(F.col("_slots"), _enough(F.col("_w"), F.col("_lit"))).otherwise(F.col("_w"))).alias("pos", "h"))
-    return exploded.where(F.col("h").isNotNull())
+    low = F.transform("_tokens", lambda t: F.xxhash64(F.lower(t["raw"])))
+    hashed = rows.select(key, F.transform("_tokens", lambda t: F.xxhash64(t["template"])).alias("_h"), low.alias("_p"), literal.alias("_lit"))
+    slots = F.aggregate("_lit", F.lit(0), lambda a, x: a + x) < F.size("_lit")
+    hashed = hashed.select(key, "_p", "_lit", slots.alias("_slots"), windows(F.col("_h"), WIDTH).alias("_w"))
+    typed = F.when(F.col("_slots"), _enough(F.col("_w"), F.col("_lit"))).otherwise(F.col("_w"))
+    plain = F.when(F.col("_slots"), windows(F.col("_p"), WIDTH)).otherwise(F.col("_w"))
+    both = F.zip_with(typed, plain, lambda t, p: F.struct(t.alias("t"), p.alias("p")))
+    if short is None:
+        extra = F.when(F.size("_p") < WIDTH, _whole(F.col("_p")))
+        fewer = F.when(F.size("_p") > 0, F.transform(extra, lambda h: F.struct(F.lit(None).cast("long").alias("t"), h.alias("p"))))
+        each = hashed.select(key, F.posexplode(F.coalesce(F.when(F.size("_p") < WIDTH, fewer), both)).alias("pos", "x"))
+    else:
+        each = hashed.select(key, F.posexplode(both).alias("pos", "x"))
+        for width in short:
+            narrow = F.transform(windows(F.col("_p"), width), lambda h: F.struct(F.lit(None).cast("long").alias("t"), h.alias("p")))
+            each = each.unionByName(hashed.select(key, F.posexplode(narrow).alias("pos", "x")))
+    one = lambda h, t, p: F.struct(h.alias("h"), F.lit(t).alias("typed"), F.lit(p).alias("plain"))
+    t, p = F.col("x.t"), F.col("x.p")
+    kinds = F.when(t == p, F.array(one(p, True, True))).when(t.isNull(), F.array(one(p, False, True))).otherwise(F.array(one(t, True, False), one(p, False, True)))
+    return each.select(key, "pos", F.inline(kinds))
+
+
+def _whole(hashes: Column) -> Column:
+    """The only window of a sequence below WIDTH, as ``windows`` of its length hashes it."""
+    found = F.lit(None).cast("array<long>")
+    for width in range(1, WIDTH):
+        found = F.when(F.size(hashes) == width, windows(hashes, width)).otherwise(found)
+    return found
 
 
 def _enough(hashes: Column, literal: Column) -> Column:
@@ -80,31 +111,47 @@ def _enough(hashes: Column, literal: Column) -> Column:
 
 
 def alignments(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """(row, item, shift, hits, n_windows): distinct item windows met per document, item and offset.
+    """(row, item, shift, hits, places, n_windows, n_plain): item windows met per document, item and offset.
 
+    hits counts typed windows, places are those of the plain ones; n_windows and n_plain are what the item has of either.
     ``docs`` (row, text) and ``items`` (item, text), row and item unique. A hash that many documents share is not grouped
     by; rows are counted per (row, item, shift) with partial aggregates.
     """
-    windows_of_items = cut_lineage(template_windows(items.select("item", tokens(F.col("text")).alias("_tokens")), "item"), "item-windows")
-    of_item = windows_of_items.groupBy("item").agg(F.count(F.lit(1)).alias("n_windows"))
-    side = windows_of_items.select("item", F.col("pos").alias("at"), "h")
+    listed = items.select("item", tokens(F.col("text")).alias("_tokens"))
+    short = tuple(sorted(r[0] for r in listed.select(F.size("_tokens")).distinct().collect() if 0 < r[0] < WIDTH))
+    windows_of_items = cut_lineage(token_windows(listed, "item"), "item-windows")
+    number = lambda flag: F.sum(F.col(flag).cast("long"))
+    of_item = windows_of_items.groupBy("item").agg(number("typed").alias("n_windows"), number("plain").alias("n_plain"))
+    side = windows_of_items.select("item", F.col("pos").alias("at"), "h", F.col("typed").alias("item_typed"), F.col("plain").alias("item_plain"))
     if side.count() <= BROADCAST_WINDOWS:
         side = F.broadcast(side)
-    found = template_windows(docs.select("row", tokens(F.col("text")).alias("_tokens")), "row").join(side, "h")
-    votes = found.groupBy("row", "item", (F.col("pos") - F.col("at")).alias("shift")).agg(F.count(F.lit(1)).alias("hits"))
-    return votes.join(of_item, "item")
+    found = token_windows(docs.select("row", tokens(F.col("text")).alias("_tokens")), "row", short).join(side, "h")
+    typed, plain = F.col("typed") & F.col("item_typed"), F.col("plain") & F.col("item_plain")
+    votes = found.where(typed | plain).groupBy("row", "item", (F.col("pos") - F.col("at")).alias("shift"))
+    return votes.agg(F.sum(typed.cast("long")).alias("hits"), F.collect_set(F.when(plain, F.col("at"))).alias("places")).join(of_item, "item")
 
 
 def consistent(doc: Column, item: Column, shift: Column) -> Column:
     """(slots, changed, clash) of two token arrays aligned by ``shift``.
 
-    slots are the placeholders of equal type at aligned places, changed those whose values differ, and clash those that
+    slots are the placeholders of equal type at aligned places inside typed windows that both have, changed those whose values differ, and clash those that
     contradict the first pairing of either value: the values must map one to one.
     """
-    pairs = F.filter(
-        F.transform(item, lambda t, i: F.struct(t["template"].alias("type"), t["raw"].alias("from"), F.get(doc, i + shift).alias("to"))),
-        lambda p: p["type"].isin(NUMBER, UNIT, NAME) & (p["to"]["template"] == p["type"]),
-    )
+    aligned = F.transform(item, lambda t, i: F.struct(t["template"].alias("type"), t["raw"].alias("from"), F.get(doc, i + shift).alias("to")))
+
+    def met(a: Column) -> Column:
+        same = F.transform(a, lambda p: F.coalesce(p["to"]["template"] == p["type"], F.lit(False)).cast("int"))
+        literal = F.transform(a, lambda p: (~p["type"].isin(NUMBER, UNIT, NAME)).cast("int"))
+
+        def window(both: Column, i: Column) -> Column:
+            equal, literals = (sum((F.coalesce(F.get(both[c], i + k), F.lit(0)) for k in range(1, WIDTH)), F.get(both[c], i)) for c in ("same", "literal"))
+            return (equal == WIDTH) & (literals >= LITERALS)
+
+        hit = let(F.struct(same.alias("same"), literal.alias("literal")), lambda both: F.transform(both["same"], lambda _, i: window(both, i)))
+        inside = lambda h, i: F.exists(F.slice(h, F.greatest(i - (WIDTH - 2), F.lit(1)), F.least(i + 1, F.lit(WIDTH))), lambda x: x)
+        return let(hit, lambda h: F.filter(a, lambda p, i: p["type"].isin(NUMBER, UNIT, NAME) & (p["to"]["template"] == p["type"]) & inside(h, i)))
+
+    pairs = let(aligned, met)
     pairs = F.transform(pairs, lambda p: F.struct(p["type"].alias("type"), p["from"].alias("from"), p["to"]["raw"].alias("to")))
 
     def weigh(p: Column) -> Column:
@@ -120,24 +167,36 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """(row, item, hits, n_windows, slots, changed, clash, kind) of every document that holds an item, one row per pair.
 
     ``docs`` (row, text) and ``items`` (item, text). A pair is reported when its best alignment meets COVERED percent of the
-    item's windows, or RUN windows, and its slots are consistent: a clash is allowed only where all literal windows agree
+    item's typed windows, or RUN windows, and its slots are consistent: a clash is allowed only where all literal windows agree
     and no more than a fifth of the slots clash. kind is "verbatim" when no slot was changed, else "reparameterised".
-    Null or empty texts and items of fewer than WIDTH tokens hold no window and are never reported; empty tables give none.
+    It is also reported, as verbatim, when as large a share of the plain windows is met at different places, whatever their case
+    and slots; hits and n_windows are those of the plain windows then. An item of fewer than WIDTH tokens is one plain window.
+    Null or empty texts and items without a token are never reported; empty tables give none.
     """
     votes = alignments(docs, items)
     # an insertion or a repeated passage makes several offsets; the best one is compared, ties go to the earliest
-    best = votes.groupBy("row", "item", "n_windows").agg(
-        F.max_by(F.struct("shift", "hits"), F.struct("hits", -F.col("shift"))).alias("top"), F.sum("hits").alias("all_hits")
-    )
-    likely = best.select("row", "item", "n_windows", F.col("top.shift").alias("shift"), F.least("all_hits", "n_windows").alias("hits")).where(
-        (100 * F.col("hits") >= COVERED * F.col("n_windows")) | (F.col("hits") >= RUN)
+    best = votes.groupBy("row", "item", "n_windows", "n_plain").agg(
+        F.max_by(F.struct("shift", "hits"), F.struct("hits", F.size("places"), -F.col("shift"))).alias("top"),
+        F.sum("hits").alias("all_hits"),
+        F.flatten(F.collect_list("places")).alias("at"),
+        F.flatten(F.collect_list(F.transform("places", lambda at: at + F.col("shift")))).alias("pos"),
     )
+    # a window that an item or a document repeats counts as often as both have it
+    met = F.least(F.size(F.array_distinct("at")), F.size(F.array_distinct("pos"))).cast("long")
+    best = best.select("row", "item", "n_windows", "n_plain", F.col("top.shift").alias("shift"), F.least("all_hits", "n_windows").alias("hits"), met.alias("met"))
+    enough = lambda hits, n: (F.col(n) > 0) & ((100 * F.col(hits) >= COVERED * F.col(n)) | (F.col(hits) >= RUN))
+    likely = best.withColumn("typed", enough("hits", "n_windows")).withColumn("plain", enough("met", "n_plain")).where("typed OR plain")
     likely = cut_lineage(likely, "likely-leaks")
     theirs = docs.join(likely.select("row").distinct(), "row", "left_semi").select("row", tokens(F.col("text")).alias("_doc"))
     pairs = likely.join(items.select("item", tokens(F.col("text")).alias("_item")), "item").join(theirs, "row")
-    checked = pairs.select("row", "item", "hits", "n_windows", consistent(F.col("_doc"), F.col("_item"), F.col("shift")).alias("c")).select("row", "item", "hits", "n_windows", "c.*")
+    checked = pairs.select(*likely.columns, consistent(F.col("_doc"), F.col("_item"), F.col("shift")).alias("c")).select(*likely.columns, "c.*")
     sound = (F.col("clash") == 0) | ((F.col("hits") >= F.col("n_windows")) & (5 * F.col("clash") <= F.col("slots"))) | (F.col("changed") == 0)
-    return checked.where(sound).withColumn("kind", F.when(F.col("changed") == 0, "verbatim").otherwise("reparameterised"))
+    told = checked.withColumn("sound", F.col("typed") & sound).where("sound OR plain")
+    verbatim = ~F.col("sound") | (F.col("changed") == 0) | (F.col("met") >= F.col("n_plain"))
+    number = lambda typed, plain: F.when(F.col("sound"), F.col(typed)).otherwise(F.col(plain)).alias(typed)
+    return told.select(
+        "row", "item", number("hits", "met"), number("n_windows", "n_plain"), "slots", "changed", "clash", F.when(verbatim, "verbatim").otherwise("reparameterised").alias("kind")
+    )
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -32,3 +32,23 @@ def test_shuffled_join_gives_the_same(spark, docs, monkeypatch):
     broadcast = found(spark, docs, rows, items)
     monkeypatch.setattr(D, "BROADCAST_WINDOWS", 0)
     assert found(spark, docs, rows, items) == broadcast
+
+
+NUMBERS = "3 + 4 = 7; 12 * 5 = 60; 81 / 9 = 9; 7 - 2 = 5; 6 * 6 = 36; what is 5 + 5?"
+
+
+def test_plain_windows(spark, docs):
+    names = "Then Alice, Robert, Laura, Peter, Maria, Simon, Helen, Oscar and Nina met Victor, Daniel, Thomas, Walter, Julia."
+    short = "Define Gibbs entropy now"
+    rows = [
+        (54, ITEM.lower()), (55, ITEM.upper()), (60, f"Numbers. {NUMBERS} End."), (61, NUMBERS.replace("1", "2").replace("6", "8")), (62, f"So {names}"),
+        (63, "One line: define gibbs ENTROPY now, please."), (64, "Define entropy now"), (65, "0 0 0 0 0 0 0 0"), (66, "Alice and Robert met Laura and Peter."),
+    ]
+    got = found(spark, docs, rows, [(7, ITEM), (10, NUMBERS), (11, names), (12, short), (13, "0 " * 60), (14, "")])
+    assert got == {(i, k): "verbatim" for i, k in [(54, 7), (55, 7), (60, 10), (62, 11), (63, 12)]}
+
+
+def test_slots_outside_the_windows_met_are_not_compared(spark, docs):
+    item = "the old farmer named Alice keeps 12 apples in the small barn behind the house where nobody ever goes and Alice sold 12 of those"
+    doc = "the old farmer named Robert keeps 17 apples in the small barn behind the house where nobody ever goes while Laura ate 21 pears"
+    assert found(spark, docs, [(1, doc)], [(7, item)]) == {(1, 7): "reparameterised"}
