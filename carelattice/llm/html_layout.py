@@ -5,7 +5,7 @@ items, table rows and cells, the head), and hands text to the flow of the innerm
 (scripts, styles, the head), ``hidden``, ``display: none`` and ``visibility: hidden`` emit nothing. Blocks begin new
 lines, paragraphs and their like keep a blank line around them, list items are indented behind a bullet or number, ``pre`` keeps its
 white space, and the cells of a table are padded to common column widths, spans included. Nothing recurses, so nesting depth is
-bounded by memory only. All visible text is emitted, in document order; a table's stray text comes before the table.
+bounded by memory only. Formulas (MathML) and the labels of inline SVG are running text, a blank between their parts. All visible text is emitted, in document order; a table's stray text comes before the table.
 """
 
 from __future__ import annotations
@@ -21,13 +21,18 @@ from pyspark.sql import functions as F
 TAG = re.compile(r"""<(?:!--(?P<comment>.*?)(?:--!?>|\Z)|(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|[!?/][^>]*+(?:>|\Z))""", re.S)
 LOOSE = re.compile(r"<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<attrs>[^>]*)>")
 ATTR = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
-TELLING = re.compile(r"hidden|style|span|start|value|open|reversed", re.I)
+TELLING = re.compile(r"hidden|style|span|start|value|open|reversed|display|visibility", re.I)
 SPACES = re.compile(r"[ \t\n\f\r]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style xmp iframe noembed noframes noscript".split())
 ESCAPABLE = frozenset("title textarea".split())
-NEVER = frozenset("head script style template iframe noembed noframes noscript title object audio video canvas datalist svg math".split())
+NEVER = frozenset("head script style template iframe noembed noframes noscript title object audio video canvas datalist".split())
+#: Never shown inside svg or math, besides these.
+NEVER_FOREIGN = frozenset("annotation annotation-xml defs metadata desc mphantom".split())
+#: Parts of svg and math that stand apart in a browser; a blank keeps their texts apart.
+APART = frozenset("svg math text mi mn mo ms mtext".split())
+FOREIGN = frozenset("svg math foreignobject".split())
 IN_HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 SPACED = HEADINGS | frozenset("p ul ol dl blockquote pre table figure hr fieldset xmp plaintext menu dir".split())
@@ -209,6 +214,8 @@ class Page:
                 table.grid[-1].append((at, span, lines))
             elif e.off:
                 continue
+            elif e.data == "apart":
+                flow.space = True
             elif e.name == "table":
                 flow.rows(e.data.rendered())
             elif e.name in BLOCKS:
@@ -221,6 +228,10 @@ class Page:
     def nested_list(self, name: str) -> bool:
         return name in LISTS and self.find({"li"}, SCOPE) >= 0
 
+    def foreign(self) -> bool:
+        """Inside svg or math, and not in HTML that stands there."""
+        return bool(self.count.get("svg") or self.count.get("math")) and self.open[self.find(FOREIGN, frozenset())].name != "foreignobject"
+
     def close_if(self, names: set[str], stop: frozenset[str]) -> None:
         if (i := self.find(names, stop)) > 0:
             self.close(i)
@@ -268,7 +279,10 @@ class Page:
             self.close(row_at + 1)
         parent = self.open[-1]
         style = attrs.get("style", "").lower().replace(" ", "")
-        off = parent.off or name in NEVER or "hidden" in attrs or "display:none" in style
+        foreign = self.foreign()
+        if foreign:  # there they are attributes as well
+            style += "".join(f";{k}:{attrs[k].strip().lower()}" for k in ("display", "visibility") if k in attrs and k + ":" not in style)
+        off = parent.off or name in NEVER or (foreign and name in NEVER_FOREIGN) or "hidden" in attrs or "display:none" in style
         if parent.name == "details" and name != "summary" and parent.data is False:
             off = True
         seen = parent.seen
@@ -286,8 +300,12 @@ class Page:
             if name == "hr":
                 flow.block(True)
             return
+        if foreign and ended:
+            return
         pre = parent.pre or name in ("pre", "textarea", "xmp", "plaintext") or "white-space:pre" in style
         data = None
+        if name in APART and (foreign or name in FOREIGN):
+            flow.space, data = True, "apart"
         if name in BLOCKS and name != "table":
             flow.block(name in SPACED and not self.nested_list(name))
         if name in LISTS:
@@ -373,12 +391,19 @@ def rendered(source: str) -> str:
         at = tag.end()
         name = tag["name"]
         if not name:
+            if source.startswith("<![CDATA[", begin) and page.foreign():
+                close = source.find("]]>", begin)
+                page.said(html.escape(source[begin + 9 : close if close >= 0 else n]))
+                at = close + 3 if close >= 0 else n
             continue
         name = name.lower()
         if tag["end"]:
             page.end(name)
             continue
-        page.start(name, tag["attrs"], tag["attrs"].endswith("/"))
+        ended = tag["attrs"].endswith("/")
+        page.start(name, tag["attrs"], ended)
+        if ended and page.foreign():
+            continue
         if name in RAW or name in ESCAPABLE:
             close = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(source, at)
             body = source[at : close.start() if close else n]

@@ -20,6 +20,9 @@ CASES = {
     "<td>loose</td></table></p>end": "loose\n\nend",
     "<table><tr><td><table><tr><td>in<td>ner</table><td>out</table>": "in | ner | out",
     "": "",
+    "<p>So <math><mi>E</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac><semantics><annotation>no</annotation></semantics></math>, q.e.d.": "So E = 1 2 , q.e.d.",
+    "<svg><title/><desc>no</desc><defs><text>no</text></defs><rect visibility='hidden'/><text x=1>Jan</text><text display='none'>no</text><text><![CDATA[a<b]]></text></svg>end": "Jan a<b end",
+    "<svg><title>no</title><foreignObject><div/>in</foreignObject></svg><desc>kept</desc>": "in\nkept",
 }
 
 
