@@ -5,6 +5,11 @@ hit votes for a diagonal (position in the document minus position in the templat
 votes on one diagonal, and an inserted or missing word moves the rest to a neighbouring one. Votes are counted per (document,
 template, diagonal), neighbouring diagonals are merged, and what remains is verified on the whole text by the share of
 template words found in order. Short phrases are looked up exactly at every place.
+
+Votes of k-grams miss text that changes a word every few words or inserts many. Therefore every stretch of twice a template's
+words that holds MATCHED of them, counted one by one and in any order, is verified as well: no stretch that verifies has fewer. There
+a template below OWN_BELOW words must keep the words that no other label's template has, as "under the ... license" alone is 60 %
+of one of them and names no license.
 """
 
 from __future__ import annotations
@@ -32,6 +37,8 @@ NEAR = 4
 VOTES = 0.4
 #: Share of template words that must stand in order in a verified span.
 MATCHED = 0.6
+#: Templates with fewer words are met without votes only where their own words stand.
+OWN_BELOW = 10
 
 #: Phrase and label, found wherever the words stand consecutively.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
@@ -83,17 +90,24 @@ def phrase_places(hashes: np.ndarray, phrase: np.ndarray) -> np.ndarray:
 
 
 def phrases_found(rows: DataFrame, phrases=PHRASES) -> DataFrame:
-    """(row, doc_id, n_words, n_base, first_word, last_word, found array<string>) per row of (row, doc_id, text)."""
+    """(row, doc_id, n_words, n_base, first_word, last_word, found array<string>, loose) per row of (row, doc_id, text).
+
+    loose: the places (label, start, end, share) that follow a template whatever their votes.
+    """
     numbers = ("n_words", "n_base", "first_word", "last_word")
     kind = rows.schema["doc_id"].dataType.simpleString()
+    place = pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("share", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         known = [(label, _hashes(words_of(phrase), cache)) for phrase, label in phrases]
+        follow = Loose(cache)
         for batch in batches:
-            out: dict[str, list] = {c: [] for c in (*numbers, "found")}
+            out: dict[str, list] = {c: [] for c in (*numbers, "found", "loose")}
             for text in batch.column("text"):
-                hashes = _hashes(words_of(text.as_py()), cache)
+                words = words_of(text.as_py())
+                hashes = _hashes(words, cache)
+                out["loose"].append(follow.places(words, hashes))
                 places = [(label, phrase_places(hashes, p)) for label, p in known]
                 starts = np.concatenate([p for _, p in places])
                 out["n_words"].append(len(hashes))
@@ -101,10 +115,10 @@ def phrases_found(rows: DataFrame, phrases=PHRASES) -> DataFrame:
                 out["first_word"].append(int(starts.min()) if len(starts) else None)
                 out["last_word"].append(int(starts.max()) if len(starts) else None)
                 out["found"].append(sorted({label for label, p in places if len(p)}))
-            arrays = [pa.array(out[c], pa.int64()) for c in numbers] + [pa.array(out["found"], pa.list_(pa.string()))]
+            arrays = [pa.array(out[c], pa.int64()) for c in numbers] + [pa.array(out["found"], pa.list_(pa.string())), pa.array(out["loose"], pa.list_(place))]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), *arrays], names=["row", "doc_id", *out])
 
-    schema = f"row long, doc_id {kind}, " + ", ".join(f"{c} long" for c in numbers) + ", found array<string>"
+    schema = f"row long, doc_id {kind}, " + ", ".join(f"{c} long" for c in numbers) + ", found array<string>, loose array<struct<label: string, start: long, end: long, share: double>>"
     return rows.select("row", "doc_id", "text").mapInArrow(run, schema)
 
 
@@ -144,6 +158,85 @@ def spans(rolled: DataFrame, templates=TEMPLATES, k: int = K) -> DataFrame:
     return merged.join(F.broadcast(sizes), "template").where(F.col("votes") >= F.lit(VOTES) * F.col("n_grams")).drop("_alignment", "n_grams")
 
 
+def own_words(templates=TEMPLATES) -> list[set[str]]:
+    """Per template the words that no template of another label has; empty from OWN_BELOW words on."""
+    each = [(label, words_of(text)) for label, text in templates]
+    return [set(words).difference(*(w for other, w in each if other != label)) if len(words) < OWN_BELOW else set() for label, words in each]
+
+
+def least_matched(size: int) -> int:
+    """Fewest words of a template of ``size`` words that make a share of MATCHED."""
+    return next(m for m in range(1, size + 1) if m / size >= MATCHED)
+
+
+def stretches(hashes: np.ndarray, want: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Maximal runs (start, end) of windows of twice the template's words that hold enough of them, in any order.
+
+    Windows begin at a template word, so every window in which the words stand in order lies in one of them.
+    """
+    need, width = least_matched(len(want)), 2 * len(want)
+    kinds, most = np.unique(want, return_counts=True)
+    at = np.minimum(np.searchsorted(kinds, hashes), len(kinds) - 1)
+    places = np.flatnonzero(kinds[at] == hashes)
+    if len(places) < need:
+        return
+    ends = np.searchsorted(places, places + width)
+    start = end = -1
+    for i in np.flatnonzero(ends - np.arange(len(places)) >= need):
+        held = np.bincount(at[places[i : ends[i]]], minlength=len(kinds))
+        if np.minimum(held, most).sum() >= need:
+            if start >= 0 and places[i] >= end:
+                yield start, end
+                start = -1
+            start, end = int(places[i]) if start < 0 else start, int(places[ends[i] - 1]) + 1
+    if start >= 0:
+        yield start, end
+
+
+def followed(want: list[str], own: set[str], words: list[str], start: int, end: int) -> list[tuple[int, int, float]]:
+    """(start, end, share) of the places in words[start:end] that follow the template, the best ones first, none overlapping.
+
+    Every window of twice the template's words that begins at one of them is tried.
+    """
+    found, kinds = [], set(want)
+    matcher = SequenceMatcher(None, want, autojunk=False)
+    for i in range(start, end):
+        if words[i] not in kinds:
+            continue
+        got = words[i : min(end, i + 2 * len(want))]
+        if not own <= set(got):
+            continue
+        matcher.set_seqs(want, got)
+        if matcher.quick_ratio() * (len(want) + len(got)) / 2 < MATCHED * len(want) - 1e-9:
+            continue
+        blocks = [m for m in matcher.get_matching_blocks() if m.size]
+        share = sum(m.size for m in blocks) / len(want)
+        if share >= MATCHED and own <= {w for m in blocks for w in want[m.a : m.a + m.size]}:
+            found.append((i + blocks[0].b, i + blocks[-1].b + blocks[-1].size, share))
+    out: list[tuple[int, int, float]] = []
+    for first, last, share in sorted(set(found), key=lambda x: (-x[2], x[1] - x[0], x[0])):
+        if all(last <= f or e <= first for f, e, _ in out):
+            out.append((first, last, share))
+    return out
+
+
+class Loose:
+    """Places that follow a template whatever their votes."""
+
+    def __init__(self, cache: WordHashes, templates=TEMPLATES) -> None:
+        self.wanted = [words_of(text) for _, text in templates]
+        self.each = list(zip([label for label, _ in templates], self.wanted, own_words(templates), [_hashes(want, cache) for want in self.wanted], strict=True))
+        self.known = np.unique(np.concatenate([code for *_, code in self.each]))
+        self.fewest = min(least_matched(len(want)) for want in self.wanted)
+
+    def places(self, words: list[str], hashes: np.ndarray) -> list[dict]:
+        at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
+        if np.count_nonzero(self.known[at] == hashes) < self.fewest:
+            return []
+        out = {(label, *place) for label, want, own, code in self.each for run in stretches(hashes, code) for place in followed(want, own, words, *run)}
+        return [{"label": label, "start": start, "end": end, "share": share} for label, start, end, share in sorted(out)]
+
+
 def verified(found: DataFrame, rows: DataFrame, templates=TEMPLATES) -> DataFrame:
     """``found`` with the text of ``rows`` (row, text): spans whose words follow the template, with label and share."""
     wanted = [words_of(text) for _, text in templates]
@@ -179,15 +272,16 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
     wanted = cut_lineage(found.select("row").distinct(), "license-rows")
     texts = rows.join(if_few(wanted), "row", "left_semi").groupBy("row").agg(F.min("text").alias("text"))
     sure = cut_lineage(verified(found, texts), "license-verified")
-    per_row = sure.groupBy("row").agg(
-        F.collect_set("label").alias("more"), F.max("share").alias("share"), F.sort_array(F.collect_list(F.struct("label", "start", "end", "share"))).alias("spans")
-    )
-    joined = phrases_found(rows).join(per_row, "row", "left")
-    none = F.array().cast("array<string>")
+    per_row = sure.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("label", "start", "end", "share"))).alias("voted"))
+    joined = phrases_found(rows).join(per_row, "row", "left").withColumn("voted", F.coalesce("voted", F.array().cast(per_row.schema["voted"].dataType)))
+    # a place that votes have found is told once, with the bounds of the votes
+    told = lambda x: F.exists("voted", lambda v: (v["label"] == x["label"]) & (x["start"] < v["end"]) & (v["start"] < x["end"]))
+    spans_ = F.sort_array(F.concat("voted", F.filter("loose", lambda x: ~told(x))))
+    joined = joined.withColumn("spans", spans_)
     return joined.select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",
         F.array_join("found", ",").alias("base_labels"),
-        F.array_join(F.array_sort(F.array_union("found", F.coalesce("more", none))), ",").alias("labels"),
-        F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce("share", F.lit(0.0))).alias("score"),
-        F.coalesce("spans", F.array().cast(per_row.schema["spans"].dataType)).alias("spans"),
+        F.array_join(F.array_sort(F.array_union("found", F.col("spans.label"))), ",").alias("labels"),
+        F.when(F.col("n_base") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max("spans.share"), F.lit(0.0))).alias("score"),
+        "spans",
     )

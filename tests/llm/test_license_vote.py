@@ -1,4 +1,6 @@
+import random
 import re
+from difflib import SequenceMatcher
 
 from carelattice.llm import license_vote as L
 
@@ -35,3 +37,38 @@ def test_scan(docs, odd_rows):
 
 def test_empty_table(docs):
     assert L.scan(docs([(1, "a")]).where("false")).collect() == []
+
+
+def test_notices_without_enough_votes(docs):
+    bsd = L.words_of(dict(L.TEMPLATES)["bsd"])
+    changed = " ".join(w if i % 3 else "other" for i, w in enumerate(bsd))
+    apart = " ".join([*bsd[:7], "which of course includes every copy made", *bsd[7:13], "as we have said many times before", *bsd[13:]])
+    rows = [
+        (1, "Released under the Expat MIT License"), (2, "Released under an MIT License"), (3, "long prose before it " * 40 + changed + " and after it" * 40), (4, apart),
+        (7, "Released under an MIT License. " * 2), (5, "It is distributed under the terms of the usual license"), (6, "Released under the Apache License"),
+    ]
+    got = L.scan(docs(rows)).collect()
+    labels = {r["doc_id"]: r["labels"] for r in got}
+    assert [(s["label"], s["start"], s["end"]) for r in got if r["doc_id"] == 7 for s in r["spans"]] == [("mit", 0, 5), ("mit", 5, 10)]
+    assert {k: labels[k] for k in range(1, 6)} == {1: "mit", 2: "mit", 3: "bsd", 4: "bsd", 5: ""} and "mit" not in labels[6]
+
+
+def test_no_window_that_verifies_is_dropped():
+    rng = random.Random(4)
+    cache = L.WordHashes()
+    for _ in range(150):
+        t = rng.randrange(len(L.TEMPLATES))
+        want, own = L.words_of(L.TEMPLATES[t][1]), L.own_words()[t]
+        words = [f"x{k}" for k in range(rng.randrange(30))]
+        for w in want:
+            words += [w] * (rng.random() < 0.75) + [rng.choice(want) if rng.random() < 0.3 else "y"] * (rng.random() < 0.4)
+        words += ["z"] * rng.randrange(30)
+        exact = []
+        for i in range(len(words)):
+            got = words[i : i + 2 * len(want)]
+            blocks = SequenceMatcher(None, want, got, autojunk=False).get_matching_blocks()
+            share = sum(m.size for m in blocks) / len(want)
+            if share >= L.MATCHED and own <= {w for m in blocks for w in want[m.a : m.a + m.size]}:
+                exact.append(share)
+        found = [x for s in L.stretches(L._hashes(words, cache), L._hashes(want, cache)) for x in L.followed(want, own, words, *s)]
+        assert max((x[2] for x in found), default=0) == max(exact, default=0)
