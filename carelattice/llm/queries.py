@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from carelattice.llm import decontamination, html_layout, license_vote, neardup, ngram_trie, piece_lattice, rule_ledger, sharding, training_order, warc
+from carelattice.llm import decontamination, html_layout, license_vote, merkle, neardup, ngram_trie, piece_lattice, rule_ledger, sharding, speculative_bpe, training_order, va_file, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -133,4 +133,80 @@ def op10_ngram_lm(spark, sf_dir):
     return ngram_trie.fit_and_score(table(spark, sf_dir, "documents"), order=3, keep=1)
 
 
+def _cluster_sql(k: int = 40, rounds: int = 5) -> str:
+    far = "list_sum(list_transform(list_zip(v.v, c.c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    sql = f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id) NULLS LAST, v) - 1 AS n, v AS c FROM v QUALIFY n < {k})"""
+    for r in range(rounds + 1):
+        sql += f""",
+a{r} AS MATERIALIZED (SELECT rid, arg_min(n, (d, n)) AS n, min(d) AS d FROM (SELECT v.rid, c.n, {far} AS d FROM v, c{r} c) GROUP BY rid)"""
+        if r < rounds:
+            sql += f""",
+m{r} AS (SELECT n, i, floor(sum(x)::DOUBLE / count(*))::BIGINT AS guess, sum(x)::BIGINT AS s, count(*) AS q
+  FROM (SELECT a.n, unnest(range(1, 65)) AS i, unnest(v.v) AS x FROM a{r} a JOIN v USING (rid)) GROUP BY n, i),
+c{r + 1} AS MATERIALIZED (SELECT c.n, coalesce(m.c, c.c) AS c FROM c{r} c LEFT JOIN (
+  SELECT n, list(guess + CASE WHEN guess * q > s THEN -1 WHEN (guess + 1) * q <= s THEN 1 ELSE 0 END ORDER BY i) AS c FROM m{r} GROUP BY n) m USING (n))"""
+    return sql + f"""
+SELECT v.vec_id, a.n::INT AS cluster, a.d::BIGINT AS distance, (sum(a.d) OVER (PARTITION BY a.n))::BIGINT AS cluster_inertia, (sum(a.d) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(c.c, ',')) AS centroid_sha256 FROM v JOIN a{rounds} a USING (rid) JOIN c{rounds} c ON c.n = a.n
+"""
+
+
+@query("op11_va_file", _cluster_sql())
+def op11_va_file(spark, sf_dir):
+    return va_file.report(va_file.cluster(table(spark, sf_dir, "embeddings")))
+
+
+def _merkle_sql(levels: int = 8) -> str:
+    """Trees of up to 16 ** levels rows a source, level by level."""
+    field = "coalesce(strlen({0}::VARCHAR) || ':' || {0}::VARCHAR, '-')"
+    low = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    head = " || ".join(field.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    crc = (
+        "xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT)), lambda a, b: "
+        "list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"
+    )
+    sql = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || source, '-') AS tree, sha256({head} || {field.format("text")}) AS leaf,
+  CASE WHEN coalesce({crc} % 5 = 0, FALSE) THEN sha256({head} || {field.format(low)}) END AS changed FROM documents),
+a0 AS (SELECT rid, tree, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, rid) - 1 AS i, leaf AS h FROM d),
+b0 AS (SELECT rid, doc_id, tree, i, leaf, '' AS proof, coalesce(changed, leaf) AS f FROM d JOIN a0 USING (rid, tree))"""
+
+    def level(t: str, k: int) -> str:
+        """Nodes a of the next level, rows b with their proof and folded digest; a tree of one node goes on unchanged."""
+        return f""",
+{t}n{k} AS (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {t}{k}),
+{t}{k + 1} AS (SELECT tree, i // 16 AS i, CASE WHEN max(n) = 1 THEN max(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h FROM {t}n{k} GROUP BY 1, i // 16),
+b{t}{k + 1} AS (SELECT b.rid, b.doc_id, b.tree, b.own, b.i // 16 AS i, b.leaf, b.sub,
+  b.proof || CASE WHEN max(x.n) = 1 THEN '' ELSE coalesce(string_agg(x.h, '' ORDER BY x.i) FILTER (x.i <> b.i), '') END AS proof,
+  CASE WHEN max(x.n) = 1 THEN b.f ELSE sha256(string_agg(CASE WHEN x.i = b.i THEN b.f ELSE x.h END, '' ORDER BY x.i)) END AS f
+  FROM b{t}{k} b JOIN {t}n{k} x ON x.tree = b.tree AND x.i // 16 = b.i // 16 GROUP BY ALL)"""
+
+    sql = sql.replace("b0 AS (SELECT rid, doc_id, tree, i,", "ba0 AS (SELECT rid, doc_id, tree, tree AS own, '' AS sub, i,")
+    sql += "".join(level("a", k) for k in range(levels))
+    sql += f""",
+t0 AS (SELECT '' AS tree, tree AS own, row_number() OVER (ORDER BY tree) - 1 AS i, h FROM a{levels}),
+bt0 AS (SELECT b.rid, b.doc_id, t.tree, t.own, t.h AS sub, t.i, b.leaf, b.proof, b.f FROM ba{levels} b JOIN t0 t ON t.own = b.tree)"""
+    sql += "".join(level("t", k) for k in range(levels))
+    return sql + f"""
+SELECT doc_id, leaf, sub AS subroot, r.h AS root, sha256(proof) AS proof_sha256, f AS folded_root, f = r.h AS verified FROM bt{levels}, t{levels} r
+"""
+
+
+@query("op12_merkle_manifest", _merkle_sql())
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle.audit(table(spark, sf_dir, "documents"))
+
+
+@query("op13_speculative_bpe")
+def op13_speculative_bpe(spark, sf_dir):
+    bpe = speculative_bpe.public_bpe()
+    coded = speculative_bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), bpe, packed=True, keep=["doc_id"])
+    back = speculative_bpe.decode(coded, bpe, text="decoded")
+    n = F.shiftright(F.octet_length("token_ids"), 2).cast("long")
+    return back.select("doc_id", n.alias("n_tokens"), F.sha2("token_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
