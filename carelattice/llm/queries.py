@@ -182,7 +182,7 @@ b0 AS (SELECT rid, doc_id, tree, i, leaf, '' AS proof, coalesce(changed, leaf) A
 b{t}{k + 1} AS (SELECT b.rid, b.doc_id, b.tree, b.own, b.i // 16 AS i, b.leaf, b.sub,
   b.proof || CASE WHEN max(x.n) = 1 THEN '' ELSE coalesce(string_agg(x.h, '' ORDER BY x.i) FILTER (x.i <> b.i), '') END AS proof,
   CASE WHEN max(x.n) = 1 THEN b.f ELSE sha256(string_agg(CASE WHEN x.i = b.i THEN b.f ELSE x.h END, '' ORDER BY x.i)) END AS f
-  FROM b{t}{k} b JOIN {t}n{k} x ON x.tree = b.tree AND x.i // 16 = b.i // 16 GROUP BY ALL)"""
+  FROM b{t}{k} b JOIN {t}n{k} x ON x.tree = b.tree AND x.i // 16 = b.i // 16 GROUP BY b.rid, b.doc_id, b.tree, b.own, b.i, b.leaf, b.sub, b.proof, b.f)"""
 
     sql = sql.replace("b0 AS (SELECT rid, doc_id, tree, i,", "ba0 AS (SELECT rid, doc_id, tree, tree AS own, '' AS sub, i,")
     sql += "".join(level("a", k) for k in range(levels))
