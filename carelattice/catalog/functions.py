@@ -289,6 +289,15 @@ def f24(spark, sf):
     ).select("r.id")
 
 
+def escaped_ways(lines):
+    """The same JSON written in several ways, with members that only look like references."""
+    k = F.regexp_extract("id", "([0-9]+)$", 1).cast("bigint")
+    value = F.when(k % 7 == 0, F.replace("value", F.lit("/"), F.lit("\\/"))).when(k % 7 == 1, F.replace("value", F.lit("/"), F.lit("\\u002f")))
+    value = value.when(k % 7 == 2, F.replace("value", F.lit('"reference":'), F.lit('"r\\u0065ference" : ')))
+    like = r'{"note":"\\ \"reference\":\"Text/1\" \\","reference":{"x":"Object/1"},"more":[{"reference":7},{"reference":null},"reference",":","List/1"],'
+    return lines.withColumn("value", F.concat(F.lit(like), F.substr(F.coalesce(value, F.col("value")), F.lit(2))))
+
+
 @query(
     "f25_all_references",
     """SELECT ref, count(*) AS resources FROM (
@@ -300,7 +309,7 @@ def f24(spark, sf):
 )
 def f25(spark, sf):
     return (
-        star_resources(spark, sf, "PractitionerRole")
+        escaped_ways(star_resources(spark, sf, "PractitionerRole"))
         .select(F.explode(refs.all_refs(F.col("value"))).alias("ref"))
         .groupBy("ref")
         .agg(F.count(F.lit(1)).alias("resources"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from carelattice.catalog.functions import escaped_ways
 from carelattice.catalog.registry import query
 from carelattice.operators import graph, hierarchy, subset
 from carelattice.plans.checks import organization_tree
@@ -126,7 +127,7 @@ network AS (SELECT 'Practitioner/' || id AS node FROM me UNION SELECT 'Practitio
 
 @query("g04_practitioner_network", "SELECT split_part(node, '/', 1) AS resource_type, split_part(node, '/', 2) AS id FROM network", extra=NETWORK_SQL)
 def g04(spark, sf):
-    return subset.practitioner_network(star_bronze(spark, sf), "1000000042").select("resource_type", "id")
+    return subset.practitioner_network(escaped_ways(star_bronze(spark, sf)), "1000000042").select("resource_type", "id")
 
 
 # --- neighbourhoods -------------------------------------------------------------------------
@@ -187,12 +188,11 @@ BRIDGES = ("PractitionerRole", "OrganizationAffiliation")
     "g05d_relationship_labels",
     """SELECT n.node, l.rel, l.other AS neighbour, split_part(l.other, '/', 1) AS neighbour_type FROM listed n LEFT JOIN links l ON l.node = n.node
        ORDER BY 1, 2, 3 LIMIT 50""",
-    extra=LINKS_SQL + ", listed AS (SELECT 'Practitioner/' || id AS node FROM prac WHERE k % 10 = 2 UNION ALL SELECT 'Endpoint/' || id FROM ep WHERE k < 3)",
+    extra=LINKS_SQL + ", listed AS (SELECT node FROM nodes)",
 )
 def g05d(spark, sf):
-    people = graph.practitioner_nodes(star_set(spark, sf, "Practitioner")).where(F.col("id").endswith("2")).select(F.concat(F.lit("Practitioner/"), "id").alias("node"))
-    ends = graph.endpoint_nodes(star_set(spark, sf, "Endpoint")).where(F.col("id").rlike("-0*[0-2]$")).select(F.concat(F.lit("Endpoint/"), "id").alias("node"))
-    return graph.relationships(edges(spark, sf), people.unionByName(ends))
+    """Relationships of every node, the first 50 in order."""
+    return graph.relationships(edges(spark, sf), graph.all_nodes(star_set(spark, sf)))
 
 
 @query(

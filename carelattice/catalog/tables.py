@@ -8,8 +8,8 @@ from carelattice.catalog.registry import query
 from carelattice.operators import normalize, serialize
 from carelattice.operators.normalize import NORMALIZERS, normalize_all
 from carelattice.runtime import listing, new_shared_path
+from carelattice.sources.buckets import BucketTable
 from carelattice.sources.star import star_resources, star_set
-from carelattice.sources.tables import upsert, upsert_keep_tag
 
 
 # telecom rows of each type: (type, value) pairs by the star rules, per owner
@@ -282,7 +282,9 @@ def n08(spark, sf):
 def n09(spark, sf):
     rows = table("Location", "location")(spark, sf).select("resource_uuid", "name", "status")
     number = F.regexp_extract("resource_uuid", "([0-9]+)$", 1).cast("bigint")
-    return upsert(rows, rows.where(number % 2 == 0).withColumn("status", F.lit("closed")))
+    stored = BucketTable.create(rows, new_shared_path(spark, "locations"), "resource_uuid", 8)
+    stored.upsert(rows.where(number % 2 == 0).withColumn("status", F.lit("closed")))
+    return stored.read()
 
 
 @query(
@@ -297,7 +299,9 @@ def g15(spark, sf):
     new = rows.where((number % 3 == 0) | (number % 2 == 0)).select(
         "resource_uuid", F.lit("second").alias("import_tag"), F.lit("new").alias("body")
     )
-    return upsert_keep_tag(old, new, "resource_uuid")
+    stored = BucketTable.create(old, new_shared_path(spark, "tagged"), "resource_uuid", 8)
+    stored.upsert(new, known=("import_tag",))
+    return stored.read()
 
 
 @query(
@@ -333,23 +337,66 @@ query("j07_placeholder_roles", f"SELECT {ROLE_COLUMNS} FROM kept_role", extra=",
 )
 
 
-@query(
-    "n11_all_tables",
-    """SELECT 'practitioner' AS table_name, count(*) AS row_count FROM prac WHERE npi IS NOT NULL UNION ALL SELECT 'clinical_organization', count(*) FROM org WHERE npi IS NOT NULL
-       UNION ALL SELECT 'practitioner_role', count(*) FROM kept_role UNION ALL SELECT 'organization_affiliation', count(*) FROM good_aff
-       UNION ALL SELECT 'practitioner_role_telecom', count(*) FROM kept_role UNION ALL SELECT 'practitioner_telecom', count(*) FROM prac_telecom
-       UNION ALL SELECT 'practitioner_role_endpoint', count(end_id) FROM kept_role""",
-    extra="," + TELECOM_SQL,
-)
+ADDRESSES_SQL = """SELECT (k // 2) || ' Main St' AS line1, 'Suite ' || nk AS line2, 'City' || nk AS city, raw_state AS state, lpad(CAST(nk AS VARCHAR), 5, '0') AS postal FROM prac WHERE npi IS NOT NULL
+  UNION ALL SELECT (k + i) || ' Oak Ave', CASE WHEN i = 1 THEN 'Unit 1' END, 'City' || nk, st, CASE WHEN k % 10 <> 4 THEN lpad(CAST(nk AS VARCHAR), 5, '0') END
+    FROM org, (VALUES (0), (1), (2)) t(i) WHERE npi IS NOT NULL AND i <= k % 3
+  UNION ALL SELECT line1, line2, city, st, postal FROM good_loc WHERE has_address"""
+# what the rows of every relational table are
+ROWS_SQL = {
+    "practitioner": "prac WHERE npi IS NOT NULL",
+    "practitioner_telecom": "(SELECT DISTINCT id, t, v FROM prac_telecom)",
+    "practitioner_address": "prac WHERE npi IS NOT NULL",
+    "practitioner_clinician_type": "prac WHERE npi IS NOT NULL",
+    "practitioner_credential": "(SELECT k FROM prac WHERE npi IS NOT NULL AND k % 3 <> 1 UNION ALL SELECT k FROM prac WHERE npi IS NOT NULL AND k % 2 = 0)",
+    "practitioner_endpoint": "prac WHERE npi IS NOT NULL AND k % 10 <> 9",
+    "language_proficiency": "(SELECT k FROM prac WHERE npi IS NOT NULL AND k % 7 = 0 UNION ALL SELECT k FROM prac WHERE npi IS NOT NULL AND k % 14 = 0)",
+    "clinical_organization": "org WHERE npi IS NOT NULL",
+    "clinical_organization_alias": "org, (VALUES (0), (1)) t(i) WHERE npi IS NOT NULL AND k % 6 = 0",
+    "clinical_organization_telecom": "(SELECT DISTINCT id, t, v FROM org_telecom)",
+    "clinical_organization_address": "org, (VALUES (0), (1), (2)) t(i) WHERE npi IS NOT NULL AND i <= k % 3",
+    "clinical_organization_endpoint": "(SELECT id, k FROM org WHERE npi IS NOT NULL AND k % 2 = 0 UNION SELECT id, k * 10 FROM org WHERE npi IS NOT NULL AND k % 4 = 0)",
+    "practitioner_role": "kept_role",
+    "practitioner_role_specialty": "(SELECT k FROM kept_role UNION ALL SELECT k FROM kept_role WHERE k % 6 = 0)",
+    "practitioner_role_telecom": "kept_role",
+    "practitioner_role_endpoint": "kept_role WHERE end_id IS NOT NULL",
+    "organization_affiliation": "good_aff",
+    "organization_affiliation_specialty": "good_aff",
+    "organization_affiliation_telecom": "aff_telecom",
+    "organization_affiliation_endpoint": "good_aff WHERE end_id IS NOT NULL",
+    "location_telecom": "loc_telecom",
+    "location_endpoint": "good_loc WHERE endpoint IS NOT NULL",
+    "location_hours_of_operation": "good_loc WHERE k % 4 = 0",
+    "location_accessibility": "good_loc WHERE k % 9 = 0 AND k % 27 <> 0",
+    "endpoint_payload_type": "(SELECT k FROM good_ep WHERE k % 4 <> 3 UNION ALL SELECT k FROM good_ep WHERE k % 3 = 0)",
+    "organization": "(SELECT id FROM org WHERE npi IS NOT NULL UNION SELECT org_id FROM kept_role UNION SELECT managing FROM good_loc UNION SELECT org_id FROM good_aff UNION SELECT part_id FROM good_aff) WHERE id IS NOT NULL",
+    "location": "(SELECT id FROM good_loc UNION SELECT loc1 FROM kept_role UNION SELECT parent FROM good_loc) WHERE id IS NOT NULL",
+    "healthcare_service": "(SELECT DISTINCT hs FROM kept_role WHERE hs IS NOT NULL)",
+    "endpoint": """(SELECT id FROM good_ep UNION SELECT end_id FROM kept_role UNION SELECT end_id FROM good_aff UNION SELECT endpoint FROM good_loc
+      UNION SELECT 'end-' || lpad(CAST(k // 3 AS VARCHAR), 8, '0') FROM prac WHERE npi IS NOT NULL AND k % 10 <> 9
+      UNION SELECT 'end-' || lpad(CAST(k AS VARCHAR), 8, '0') FROM org WHERE npi IS NOT NULL AND k % 2 = 0
+      UNION SELECT 'end-' || lpad(CAST(k * 10 AS VARCHAR), 8, '0') FROM org WHERE npi IS NOT NULL AND k % 4 = 0) WHERE id IS NOT NULL""",
+    "telecom": """(SELECT t, v FROM prac_telecom UNION SELECT t, v FROM org_telecom UNION SELECT t, v FROM role_telecom WHERE id IN (SELECT id FROM kept_role)
+      UNION SELECT t, v FROM aff_telecom UNION SELECT t, v FROM loc_telecom)""",
+    "specialty": "(SELECT nucc FROM kept_role UNION SELECT 'general' FROM kept_role WHERE k % 6 = 0 UNION SELECT nucc FROM good_aff)",
+    "clinician_type": "(SELECT DISTINCT nucc FROM prac WHERE npi IS NOT NULL)",
+    "credential": "(SELECT nucc FROM prac WHERE npi IS NOT NULL AND k % 3 <> 1 UNION SELECT 'MD' FROM prac WHERE npi IS NOT NULL AND k % 2 = 0)",
+    "address": f"(SELECT DISTINCT {key('line1', 'line2', 'city', 'trim(state)', 'postal')} FROM ({ADDRESSES_SQL}))",
+}
+
+
+@query("n11_all_tables", " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {rows}" for t, rows in ROWS_SQL.items()), extra="," + TELECOM_SQL)
 def n11(spark, sf):
+    """Rows of every relational table; drops and rejects are reports of their own."""
     from carelattice.plans.reports import table_counts
 
-    t = everything(spark, sf)
-    wanted = (
-        "practitioner", "clinical_organization", "practitioner_role", "organization_affiliation",
-        "practitioner_role_telecom", "practitioner_telecom", "practitioner_role_endpoint",
-    )
-    return table_counts({n: t[n] for n in wanted})
+    return table_counts({name: t for name, t in everything(spark, sf).items() if name not in ("drops", "rejects")})
+
+
+query(
+    "n05_location_endpoint",
+    "SELECT id AS location_uuid, endpoint AS endpoint_uuid FROM good_loc WHERE endpoint IS NOT NULL",
+    extra="," + TELECOM_SQL,
+)(table("Location", "location_endpoint"))
 
 
 # --- denormalization ------------------------------------------------------------------------

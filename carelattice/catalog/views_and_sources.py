@@ -10,7 +10,7 @@ from carelattice.functions.identity import fit_bigint
 from carelattice.operators import profile, serialize, views
 from carelattice.operators.normalize import RECORDS
 from carelattice.runtime import new_shared_path
-from carelattice.sources import export, ndjson, tables
+from carelattice.sources import buckets, export, ndjson, tables
 from carelattice.sources.star import RULES, star_bronze, star_resources
 
 
@@ -228,7 +228,9 @@ def s13(spark, sf):
     key = F.regexp_extract("resource_uuid", "([0-9]+)$", 1).cast("bigint")
     old = view.where(key % 2 == 0).withColumn("version", F.lit("old"))
     new = view.where(key % 3 == 0).withColumn("version", F.lit("new"))
-    return tables.upsert(old, new.unionByName(new))
+    table = buckets.BucketTable.create(old, new_shared_path(spark, "practitioners"), "resource_uuid", 8)
+    table.upsert(new.unionByName(new))
+    return table.read()
 
 
 @query("s14_ndjson_writer", "SELECT resource_type, n AS lines FROM counts")
@@ -360,18 +362,47 @@ def v09b(spark, sf):
     return flat.select("id", "resourceType", "status", F.col("`connectionType.code`").alias("connection_code"), "extension")
 
 
+ALWAYS = "true"
+# type -> its rows, and when each field is there
+FIELDS_SQL = {
+    "Practitioner": ("prac", {
+        "name": ALWAYS, "telecom": ALWAYS, "address": ALWAYS, "specialty": ALWAYS, "identifier": "k % 6 = 1 OR k % 50 <> 0", "active": "active IS NOT NULL", "gender": "gender IS NOT NULL",
+        "communication": "k % 7 = 0", "qualification": "k % 3 <> 1 OR k % 2 = 0", "extension": "k % 10 <> 9 OR k % 11 < 8 OR k % 17 = 0",
+    }),
+    "Organization": ("org", {
+        "type": ALWAYS, "name": ALWAYS, "address": ALWAYS, "identifier": "npi IS NOT NULL", "active": "active IS NOT NULL", "alias": "k % 6 = 0", "_alias": "k % 6 = 0", "description": "k % 3 = 0",
+        "telecom": "k % 4 <> 3", "partOf": "parent IS NOT NULL", "contact": "k % 5 = 0", "endpoint": "k % 2 = 0", "location": "k % 9 = 2", "extension": "k % 3 = 0 OR k % 4 = 0 OR k % 5 < 3 OR k % 7 = 0",
+    }),
+    "Location": ("loc", {
+        "mode": ALWAYS, "telecom": ALWAYS, "managingOrganization": ALWAYS, "active": "active IS NOT NULL", "status": "status IS NOT NULL", "name": "name IS NOT NULL", "description": "description IS NOT NULL",
+        "address": "has_address", "position": "lat IS NOT NULL", "partOf": "parent IS NOT NULL", "endpoint": "endpoint IS NOT NULL", "hoursOfOperation": "k % 4 = 0",
+        "availabilityExceptions": "exceptions IS NOT NULL", "extension": "k % 7 = 0 OR k % 9 = 0",
+    }),
+    "Endpoint": ("ep", {
+        "name": ALWAYS, "status": "status IS NOT NULL", "connectionType": "has_connection", "address": "address IS NOT NULL", "payloadType": "k % 4 <> 3 OR k % 3 = 0 OR k % 11 = 0",
+        "managingOrganization": "managing IS NOT NULL", "extension": "rank IS NOT NULL",
+    }),
+    "PractitionerRole": ("role", {
+        "organization": ALWAYS, "specialty": ALWAYS, "location": ALWAYS, "endpoint": ALWAYS, "telecom": ALWAYS, "active": "active IS NOT NULL", "practitioner": "prac_id IS NOT NULL",
+        "code": "code IS NOT NULL", "healthcareService": "hs IS NOT NULL", "extension": "k % 5 <> 4 OR k % 7 = 0 OR k % 9 = 0",
+    }),
+    "OrganizationAffiliation": ("aff", {
+        "active": ALWAYS, "participatingOrganization": ALWAYS, "specialty": ALWAYS, "telecom": ALWAYS, "organization": "org_id IS NOT NULL", "code": "has_code", "location": "loc_id IS NOT NULL",
+        "endpoint": "end_id IS NOT NULL",
+    }),
+}
+HEADER_FIELDS = {"resourceType": ALWAYS, "id": ALWAYS, "meta": ALWAYS}
+
+
 @query(
     "v10_field_profile",
-    """SELECT 'OrganizationAffiliation' AS resource_type, field, lines FROM (
-         SELECT 'resourceType' AS field, count(*) AS lines FROM aff UNION ALL SELECT 'id', count(*) FROM aff UNION ALL
-         SELECT 'meta', count(*) FROM aff UNION ALL SELECT 'active', count(*) FROM aff UNION ALL
-         SELECT 'organization', count(org_id) FROM aff UNION ALL SELECT 'participatingOrganization', count(*) FROM aff UNION ALL
-         SELECT 'code', count(*) FILTER (has_code) FROM aff UNION ALL SELECT 'specialty', count(*) FROM aff UNION ALL
-         SELECT 'location', count(loc_id) FROM aff UNION ALL SELECT 'endpoint', count(end_id) FROM aff UNION ALL
-         SELECT 'telecom', count(*) FROM aff)""",
-)
+    "SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT '{rtype}' AS resource_type, '{field}' AS field, count(*) AS lines FROM {rows} WHERE {there}"
+        for rtype, (rows, fields) in FIELDS_SQL.items() for field, there in (HEADER_FIELDS | fields).items()
+    ) + ") WHERE lines > 0",
+)
 def v10(spark, sf):
-    return profile.field_profile(star_resources(spark, sf, "OrganizationAffiliation"))
+    return profile.field_profile(star_bronze(spark, sf))
 
 
 def _round_trip(rtype: str, *columns: str):

@@ -64,10 +64,12 @@ PROFILES = {
 
 # fixed values: state codes
 STATES_AND_DC = (
-    "AL AK AZ AR CA CO CT DE FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO MT NE NV NH NJ "
-    "NM NY NC ND OH OK OR PA RI SC SD TN TX UT VT VA WA WV WI WY DC"
-).split()
-TERRITORIES = "PR VI GU AS MP".split()
+    "AL", "AK", "AZ", "AR", "CA", "CO", "CT", "DE", "FL", "GA", "HI", "ID", "IL", "IN", "IA", "KS",
+    "KY", "LA", "ME", "MD", "MA", "MI", "MN", "MS", "MO", "MT", "NE", "NV", "NH", "NJ", "NM", "NY",
+    "NC", "ND", "OH", "OK", "OR", "PA", "RI", "SC", "SD", "TN", "TX", "UT", "VT", "VA", "WA", "WV",
+    "WI", "WY", "DC",
+)
+TERRITORIES = ("PR", "VI", "GU", "AS", "MP")
 STATES_DC_TERRITORIES = STATES_AND_DC + TERRITORIES
 LARGEST_STATES = ("CA", "TX", "FL", "NY", "PA")
 
@@ -167,3 +169,6 @@ THRESHOLDS = {
     "max_total_broken_refs": 100,
     "allow_delta": 0,
 }
+
+# fixed value: rows beyond an announced total after which a paged ingest ends
+MOST_OVERRUN = 100_000

@@ -58,15 +58,27 @@ def typed_ids(raw: Column, want_type: str) -> Column:
     )
 
 
+# a member named reference with a text value, the name possibly spelled with escapes, in a line without escaped quotes
+REFERENCE_MEMBER = r'"(?:reference|[^"\\]*\\u[^"]*)"\s*:\s*"[^"]*"'
+# stand for a backslash and a quote inside a text; JSON holds no raw control characters
+BACKSLASH_MARK, QUOTE_MARK = "\x01b", "\x01q"
+
+
 def all_refs(value: Column) -> Column:
-    """Distinct ``Type/id`` references of a whole resource line, at any depth.
+    """Distinct ``Type/id`` references of a whole resource line, at any depth, escapes decoded.
 
-    Matching the text covers unbounded depth; quotes inside strings are escaped in JSON, so an
-    unescaped ``"reference":"…"`` can only be a real member.
+    Once escaped backslashes and quotes are replaced, every quote of the line begins or ends a text, and outside of texts
+    there are neither letters of a name nor backslashes. So the pattern can only match members, at whatever depth; the name inside
+    another text, and references that are no text, do not match. Each match is decoded as JSON of its own.
     """
-    found = F.regexp_extract_all(
-        value, F.lit(r'(?<!\\)"reference"\s*:\s*"([^"/\\]+/[^"\\]+)"'), F.lit(1)
-    )
+    bare = F.replace(F.replace(value, F.lit("\\\\"), F.lit(BACKSLASH_MARK)), F.lit('\\"'), F.lit(QUOTE_MARK))
+    members = F.regexp_extract_all(bare, F.lit(REFERENCE_MEMBER), F.lit(0))
+
+    def decoded(member: Column) -> Column:
+        text = F.replace(F.replace(member, F.lit(QUOTE_MARK), F.lit('\\"')), F.lit(BACKSLASH_MARK), F.lit("\\\\"))
+        return F.from_json(F.concat(F.lit("{"), text, F.lit("}")), "map<string,string>")["reference"]
+
+    found = F.filter(F.transform(members, decoded), lambda r: F.coalesce(r.rlike(r"(?s)^[^/]+/."), F.lit(False)))
     return F.array_distinct(found)
 
 

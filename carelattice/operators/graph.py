@@ -432,9 +432,21 @@ def first_of_k_hop(
     return first_paths(out, limit)
 
 
+def all_nodes(resources: Resources) -> DataFrame:
+    """(node) of every resource that has an id."""
+    out = None
+    for rtype, lines in resources.items():
+        part = lines.where("id <> ''").select(F.concat(F.lit(f"{rtype}/"), "id").alias("node"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def relationships(edges: DataFrame, nodes: DataFrame, limit: int = 50) -> DataFrame:
-    """Relationships of ``nodes`` (node) with the neighbour and its type; a node without any gives one row of nulls."""
-    wanted = cut_lineage(nodes.select("node").distinct(), "nodes")
+    """The first relationships of ``nodes`` (node) with the neighbour and its type; a node without any gives one row of nulls.
+
+    Every node gives a row and rows are listed by node, so no more than the ``limit`` smallest nodes can be listed.
+    """
+    wanted = cut_lineage(nodes.select("node").distinct().orderBy("node").limit(limit), "nodes")
     found = wanted.join(links_from(edges, wanted).drop("edge"), "node", "left")
     return (
         found.select("node", "rel", F.col("other").alias("neighbour"), node_type(F.col("other")).alias("neighbour_type"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -103,18 +104,47 @@ def compare_counts(table_counts: DataFrame, line_counts: DataFrame) -> DataFrame
     )
 
 
+def _half(start: int) -> Column:
+    """Sum over all lines of one half of their MD5, modulo 2 ** 64."""
+    number = F.conv(F.substring(F.md5("value"), start, 16), 16, 10).cast("decimal(20,0)").cast("decimal(38,0)")
+    return (F.sum(number) % F.lit(Decimal(1 << 64))).cast("decimal(20,0)").cast("string")
+
+
 def fingerprint(lines: DataFrame, *group: str) -> DataFrame:
     """Content fingerprint that does not depend on line order or on how files are split.
 
-    It is the exclusive or of the first 60 bits of every line's MD5.
+    The two halves of every line's MD5 are added modulo 2 ** 64. A sum counts repeated lines, which an exclusive or would
+    cancel, and partial sums combine map-side and across files.
     """
     return lines.groupBy(*group).agg(
         F.count(F.lit(1)).alias("lines"),
-        F.bit_xor(F.conv(F.substring(F.md5("value"), 1, 15), 16, 10).cast("bigint")).alias("fingerprint"),
+        F.concat_ws(":", _half(1), _half(17)).alias("fingerprint"),
         F.sum(F.octet_length("value")).cast("bigint").alias("text_bytes"),
     )
 
 
+def differences(left: DataFrame, right: DataFrame, key: str = "id", ranges: int = 4096) -> DataFrame:
+    """(key, status) of the keys whose lines are not the same multiset: left_only, right_only or changed.
+
+    Keys are dealt to ``ranges`` by their hash and only ranges whose fingerprints differ are compared by key, so that two
+    nearly equal inputs are read twice but hardly shuffled. ``ranges`` bounds the list that is broadcast; null keys are one
+    key.
+    """
+    in_range = F.pmod(F.xxhash64(key), F.lit(ranges)).cast("int").alias("_range")
+    sides = [x.select(key, "value", in_range) for x in (left, right)]
+
+    def digests(x: DataFrame, side: int, *by: str) -> DataFrame:
+        return fingerprint(x, *by).select(*[F.col(c).alias(f"{c}{side}") for c in by], F.struct("lines", "fingerprint").alias(f"_digest{side}"))
+
+    a, b = (digests(x, i, "_range") for i, x in enumerate(sides))
+    unlike = a.join(b, F.col("_range0") == F.col("_range1"), "full").where(~F.col("_digest0").eqNullSafe(F.col("_digest1")))
+    unlike = F.broadcast(unlike.select(F.coalesce("_range0", "_range1").alias("_range")))
+    a, b = (digests(x.join(unlike, "_range", "left_semi"), i, key) for i, x in enumerate(sides))
+    both = a.join(b, F.col(f"{key}0").eqNullSafe(F.col(f"{key}1")), "full").where(~F.col("_digest0").eqNullSafe(F.col("_digest1")))
+    status = F.when(F.col("_digest1").isNull(), "left_only").when(F.col("_digest0").isNull(), "right_only").otherwise("changed")
+    return both.select(F.when(F.col("_digest0").isNull(), F.col(f"{key}1")).otherwise(F.col(f"{key}0")).alias(key), status.alias("status"))
+
+
 def field_profile(lines: DataFrame) -> DataFrame:
     """Top-level fields per resource type, with the number of lines that have each."""
     return (

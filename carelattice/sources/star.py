@@ -35,8 +35,9 @@ from carelattice.runtime import listing, new_shared_path
 
 # fixed values: state of each nation key 0..24; the last one is no state
 STATES = (
-    "CA TX FL NY PA WY RI WA OR NV AZ CO UT ID MT NM KS NE IA MO AR LA MS PR XX"
-).split()
+    "CA", "TX", "FL", "NY", "PA", "WY", "RI", "WA", "OR", "NV", "AZ", "CO", "UT",
+    "ID", "MT", "NM", "KS", "NE", "IA", "MO", "AR", "LA", "MS", "PR", "XX",
+)
 # fixed values: taxonomy code and label of each order priority and market segment
 PRIORITY_NUCC = {
     "1-URGENT": ("207Q00000X", "Family Medicine"),

@@ -7,11 +7,13 @@ that folder with the same rows, so the state holds every line exactly once.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from carelattice.operators.profile import running_type_counts
+from carelattice.runtime import cut_lineage
+from carelattice.sources.buckets import BucketTable
 from carelattice.sources.ndjson import not_blank, with_header
 from carelattice.sources.tables import keep_one
 
@@ -43,38 +45,53 @@ def ingest(lines: DataFrame, table: str, checkpoint: str) -> StreamingQuery:
     )
 
 
-def _versions(spark: SparkSession, table: str) -> list[int]:
-    """Batch ids up to which complete versions exist, oldest first."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/_versions")
+COLUMNS = ["resource_type", "id", "last_updated", "value", "batch_id"]
+
+
+def _newest() -> list[Column]:
+    return [F.coalesce(F.col("last_updated"), F.lit("")), F.col("batch_id")]
+
+
+def _merged(spark: SparkSession, table: str) -> list[int]:
+    """Batch ids up to which the state holds everything, oldest first."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/_state_upto")
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    done = files.globStatus(spark._jvm.org.apache.hadoop.fs.Path(folder, "upto=*/_SUCCESS")) or ()
-    return sorted(int(f.getPath().getParent().getName().partition("=")[2]) for f in done)
+    return sorted(int(f.getPath().getName()) for f in files.listStatus(folder)) if files.exists(folder) else []
 
 
-def _state(spark: SparkSession, table: str) -> DataFrame:
-    """Latest version of each resource with its batch id: the last version and the batches after it."""
-    columns = ["resource_type", "id", "last_updated", "value", "batch_id"]
-    rows = spark.read.parquet(table).where("line_status = 'OK' AND id <> ''").select(*columns)
-    versions = _versions(spark, table)
-    if versions:
-        kept = spark.read.parquet(f"{table}/_versions/upto={versions[-1]}").select(*columns)
-        rows = kept.unionByName(rows.where(F.col("batch_id") > versions[-1]))
-    return keep_one(rows, ["resource_type", "id"], F.coalesce(F.col("last_updated"), F.lit("")), F.col("batch_id"))
+def _rows(spark: SparkSession, table: str) -> DataFrame:
+    """Good lines with an id in the batches that the state does not hold yet."""
+    rows = spark.read.parquet(table).where("line_status = 'OK' AND id <> ''").select(*COLUMNS)
+    upto = _merged(spark, table)
+    return rows.where(F.col("batch_id") > upto[-1]) if upto else rows
 
 
 def current(spark: SparkSession, table: str) -> DataFrame:
     """Latest version of each resource: by update time, then by batch, then by text."""
-    return _state(spark, table).select("resource_type", "id", "last_updated", "value")
+    rows = _rows(spark, table)
+    if _merged(spark, table):
+        state = BucketTable.open(spark, f"{table}/_state").read().select(*COLUMNS)
+        rows = state.unionByName(rows)
+    return keep_one(rows, ["resource_type", "id"], *_newest()).select("resource_type", "id", "last_updated", "value")
 
 
-def compact(spark: SparkSession, table: str) -> None:
-    """Write the current state as a version that later reads start from, so that their cost follows the new batches only.
+def compact(spark: SparkSession, table: str, buckets: int = 64) -> None:
+    """Merge the new batches into the state, a bucketed table, of which only the buckets of their resources are rewritten.
 
-    The version names the last batch in it. A version that is there already is not written again.
+    A marker names the last batch in the state. Stopped before the marker is written, the same batches are merged again,
+    which changes nothing.
     """
     last = spark.read.parquet(table).agg(F.max("batch_id")).first()[0]
-    if last is not None and last not in _versions(spark, table):
-        _state(spark, table).write.mode("overwrite").partitionBy("resource_type").parquet(f"{table}/_versions/upto={last}")
+    if last is None or last in _merged(spark, table):
+        return
+    # the key holds both parts whole: a type has no slash
+    keyed = cut_lineage(keep_one(_rows(spark, table), ["resource_type", "id"], *_newest()).withColumn("key", F.concat_ws("/", F.coalesce("resource_type", F.lit("")), "id")), "new-state")
+    if BucketTable.exists(spark, f"{table}/_state"):
+        BucketTable.open(spark, f"{table}/_state").upsert(keyed, F.struct(*_newest()), newest=True)
+    else:
+        BucketTable.create(keyed, f"{table}/_state", "key", buckets)
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{table}/_state_upto/{last}")
+    marker.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(marker)
 
 
 def count_types(lines: DataFrame, out: str, checkpoint: str) -> StreamingQuery:

@@ -1,5 +1,6 @@
 import base64
 import re
+import json
 import uuid
 from urllib.parse import urlparse
 
@@ -34,6 +35,20 @@ def test_all_references_at_any_depth(spark):
     assert sorted(evaluate(spark, [value], refs.all_refs)[0]) == ["X/1", "Y/2", "Y/2/_history/3"]
 
 
+def test_references_written_with_escapes(spark):
+    values = [
+        r'{"reference":"Organization\/1"}',
+        r'{"reference":"Organization\u002f2"}',
+        r'{"r\u0065f\u0065rence" : "Location/3"}',
+        r'{"note":"\\","a":{"reference":"X/\"4\\"}}',
+        r'{"note":"\\\",\"reference\":\"No/1\"","reference":{"reference":7},"b":["reference","No/2",{"reference":null},{"reference":["No/3"]}]}',
+        '{"reference":"bare"}', '{"reference":"/x"}', '{"reference":"X/"}', "", "no json", None,
+        json.dumps({"text": "\n\t\\ \"" * 20_000, "deep": {"reference": "Deep/5"}}),
+    ]
+    found = evaluate(spark, values, refs.all_refs)
+    assert found == [["Organization/1"], ["Organization/2"], ["Location/3"], ['X/"4\\'], [], [], [], [], [], [], None, ["Deep/5"]]
+
+
 def test_uuid_equals_the_standard_library(spark):
     values = ["HansSolo", "a", "é", "11111111-1111-1111-1111-111111111111", "ABCDEF00-0000-4000-8000-000000000000", "org-1"]
     want = []

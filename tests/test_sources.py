@@ -1,10 +1,11 @@
 import gzip
+import hashlib
 
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from carelattice.operators.profile import file_stats, fingerprint, type_counts
+from carelattice.operators.profile import differences, file_stats, fingerprint, type_counts
 from carelattice.plans.checks import download_completeness
 from carelattice.sources import export, ndjson, tables
 
@@ -96,6 +97,28 @@ def test_fingerprint_ignores_order(spark):
     assert fingerprint(a).collect() == fingerprint(b).collect()
 
 
+def test_fingerprint_counts_repeated_lines(spark, rows):
+    def of(*lines):
+        return fingerprint(spark.createDataFrame([(x,) for x in lines], "value STRING")).first()
+
+    assert of("aa", "aa").fingerprint != of("bb", "bb").fingerprint
+    assert of("aa", "aa").fingerprint != of("aa").fingerprint
+    want = [sum(int(hashlib.md5(x.encode()).hexdigest()[k : k + 16], 16) for x in ("x", "y", "y")) % 2**64 for k in (0, 16)]
+    assert of("y", "x", "y").fingerprint == f"{want[0]}:{want[1]}"
+
+
+def test_differing_ids_are_listed(spark, rows):
+    schema = "id STRING, value STRING"
+    left = spark.createDataFrame([("same", "a"), ("twice", "b"), ("gone", "c"), ("other", "d"), (None, "n"), ("multi", "1"), ("multi", "2")], schema)
+    right = spark.createDataFrame([("same", "a"), ("twice", "b"), ("twice", "b"), ("other", "e"), ("new", "f"), (None, "m"), ("multi", "2"), ("multi", "1")], schema)
+    for ranges in (1, 3, 4096):
+        assert rows(differences(left, right, ranges=ranges)) == sorted(
+            [("twice", "changed"), ("gone", "left_only"), ("other", "changed"), ("new", "right_only"), (None, "changed")], key=repr
+        )
+    assert differences(left, left.repartition(3)).isEmpty()
+    assert differences(left.where("false"), right.where("false")).isEmpty()
+
+
 def test_upsert_twice_is_once(spark, rows):
     old = spark.createDataFrame([("1", "a"), ("2", "b")], "resource_uuid STRING, v STRING")
     new = spark.createDataFrame([("2", "c"), ("2", "d"), ("3", "e")], "resource_uuid STRING, v STRING")
