@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelattice.constants import ENDPOINT_STATUSES, MISSING_TYPE_LABEL
-from carelattice.sources.ndjson import not_blank, with_header
+from carelattice.sources.ndjson import not_blank, with_header, with_type
 
 
 def type_counts(lines: DataFrame, by_file: bool = False) -> DataFrame:
@@ -24,7 +24,7 @@ def type_counts(lines: DataFrame, by_file: bool = False) -> DataFrame:
         .otherwise(F.col("resource_type"))
     )
     counts = (
-        with_header(lines)
+        with_type(lines)
         .groupBy(*group, F.when(F.col("line_status") == "OK", "TYPE").otherwise(F.col("line_status")).alias("kind"), label.alias("resource_type"))
         .agg(F.count(F.lit(1)).alias("lines"))
     )
@@ -49,7 +49,7 @@ def running_type_counts(lines: DataFrame) -> DataFrame:
         F.col("line_status") == "OK", F.coalesce("resource_type", F.lit(MISSING_TYPE_LABEL))
     )
     return (
-        with_header(lines)
+        with_type(lines)
         .groupBy(label.alias("resource_type"))
         .agg(F.count(F.lit(1)).alias("lines"))
         .where("resource_type IS NOT NULL")

@@ -110,22 +110,29 @@ def read_sources(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     return out
 
 
-def with_header(lines: DataFrame) -> DataFrame:
-    """Adds ``line_status`` (OK, EMPTY, INVALID), ``resource_type``, ``id`` and ``last_updated``.
+def _only_object(lines: DataFrame, fields: str) -> DataFrame:
+    """Adds ``line_status`` and the line's object ``_h`` with ``fields``.
 
-    OK is exactly one JSON object and nothing else on the line: it is parsed as the only member of a list. Only a text id is an
-    id, and ``meta`` may be of any kind.
+    OK is exactly one JSON object and nothing else on the line: it is parsed as the only member of a list.
     """
     text = strip(F.col("value"))
-    parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"ARRAY<STRUCT<{HEADER}>>", {"allowSingleQuotes": "false"})
+    parsed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"ARRAY<STRUCT<{fields}>>", {"allowSingleQuotes": "false"})
     closed = text.startswith("{") & text.endswith("}")
     one = lines.withColumn("_h", F.explode(F.array(F.when(closed & (F.size(parsed) == 1), F.get(parsed, F.lit(0))))))
+    status = F.when(F.coalesce(text, F.lit("")) == "", "EMPTY").when(F.col("_h").isNotNull(), "OK").otherwise("INVALID")
+    return one.withColumn("line_status", status)
+
+
+def with_type(lines: DataFrame) -> DataFrame:
+    """Adds ``line_status`` (OK, EMPTY, INVALID) and ``resource_type``; nothing else of the line is built."""
+    return _only_object(lines, "resourceType STRING").withColumn("resource_type", F.col("_h.resourceType")).drop("_h")
+
+
+def with_header(lines: DataFrame) -> DataFrame:
+    """Like :func:`with_type`, also ``id`` and ``last_updated``. Only a text id is an id, and ``meta`` may be of any kind."""
     id_text = F.when(F.schema_of_variant("_h.id") == "STRING", F.try_variant_get("_h.id", "$", "string"))
     return (
-        one.withColumn(
-            "line_status",
-            F.when(F.coalesce(text, F.lit("")) == "", "EMPTY").when(F.col("_h").isNotNull(), "OK").otherwise("INVALID"),
-        )
+        _only_object(lines, HEADER)
         .withColumn("resource_type", F.col("_h.resourceType"))
         .withColumn("id", id_text)
         .withColumn("last_updated", F.get_json_object("_h.meta", "$.lastUpdated"))
