@@ -492,49 +492,50 @@ def practitioners_at_state(edges: DataFrame, locations: DataFrame, state: str) -
     )
 
 
+def _next_level(edges: DataFrame, levels: list[DataFrame]) -> DataFrame:
+    """(node, prev) one step beyond the last level; neighbours of a level lie in it, in the one before or in the next."""
+    grown = links_from(edges, levels[-1].select("node")).groupBy(F.col("other").alias("next")).agg(F.min("node").alias("prev")).withColumnRenamed("next", "node")
+    for known in levels[-2:]:
+        grown = grown.join(known.select("node"), "node", "left_anti")
+    return cut_lineage(grown, "level")
+
+
+def _trail(levels: list[DataFrame], node: str) -> list[str]:
+    """Nodes from the first level to ``node`` in the last one: one lookup per level."""
+    out = [node]
+    for level in levels[:0:-1]:
+        out.append(level.where(F.col("node") == out[-1]).agg(F.min("prev")).first()[0])
+    return out[::-1]
+
+
 def shortest_path(edges: DataFrame, source: str, target: str, max_hops: int = 10) -> DataFrame:
     """One shortest undirected path as (source, target, hops, path); no row if none is short enough.
 
-    Breadth first: a frontier join per level, visited nodes removed, stop at the first level that
-    holds the target. Levels are checkpointed and the path is read back from them.
+    Breadth first from both ends. Each step expands the end whose last level has fewer adjacent edges, so a hub is only read
+    when nothing smaller is left. Both ends hold whole levels, so the first level that meets the other end's last one
+    ends the search at the sum of the depths. Of several meeting nodes and of several ways to a node the smallest is taken.
     """
     spark = edges.sparkSession
-    level = cut_lineage(spark.range(1).select(F.lit(source).alias("node"), F.lit(None).cast("string").alias("prev")))
-    visited = level.select("node")
-    levels = [level]
-    hit = source == target
-    while not hit and len(levels) <= max_hops:
-        grown = (
-            links_from(edges, level.select("node"))
-            .groupBy(F.col("other").alias("next"))
-            .agg(F.min("node").alias("prev"))
-            .withColumnRenamed("next", "node")
-        )
-        level = cut_lineage(grown.join(visited, "node", "left_anti"))
+    ends = (source, target)
+    sides = [[cut_lineage(spark.range(1).select(F.lit(x).alias("node"), F.lit(None).cast("string").alias("prev")), "level")] for x in ends]
+    adjacent: list[int | None] = [None, None]
+    meet = source if source == target else None
+    while meet is None and sum(map(len, sides)) - 2 < max_hops:
+        for i, levels in enumerate(sides):
+            if adjacent[i] is None:
+                adjacent[i] = links_from(edges, levels[-1].select("node")).count()
+        side = 0 if adjacent[0] <= adjacent[1] else 1
+        level = _next_level(edges, sides[side])
         if level.isEmpty():
             break
-        levels.append(level)
-        visited = visited.unionByName(level.select("node"))
-        hit = not level.where(F.col("node") == target).isEmpty()
-    if not hit:
-        return spark.range(0).select(
-            F.lit(source).alias("source"), F.lit(target).alias("target"),
-            F.lit(0).alias("hops"), F.lit("").alias("path"),
-        )
-    if len(levels) == 1:
-        path = level.select("node", F.col("node").alias("path"))
-    else:
-        path = levels[-1].where(F.col("node") == target).select(
-            F.col("prev").alias("node"), F.concat_ws(">", "prev", "node").alias("path")
-        )
-    for level in reversed(levels[1:-1]):
-        path = path.join(level, "node").select(
-            F.col("prev").alias("node"), F.concat_ws(">", "prev", "path").alias("path")
-        )
-    return path.select(
-        F.lit(source).alias("source"), F.lit(target).alias("target"),
-        F.lit(len(levels) - 1).alias("hops"), "path",
-    )
+        sides[side].append(level)
+        adjacent[side] = None
+        meet = level.join(sides[1 - side][-1].select("node"), "node", "left_semi").agg(F.min("node")).first()[0]
+    found = []
+    if meet is not None:
+        path = _trail(sides[0], meet) + _trail(sides[1], meet)[-2::-1]
+        found = [(source, target, len(path) - 1, ">".join(path))]
+    return spark.createDataFrame(found, "source string, target string, hops int, path string")
 
 
 def degrees(edges: DataFrame) -> DataFrame:

@@ -106,6 +106,24 @@ def test_paths_against_brute_force(spark, rows, through):
     assert rows(got) == brute_paths(edges, seeds, 3, through)
 
 
+def test_shortest_path_reads_a_hub_last(spark, monkeypatch):
+    """Both ends hang on long, thin ways; the near end's way goes past a hub of thousands."""
+    way = [(f"N/{i}", "R", f"N/{i + 1}", None) for i in range(6)]
+    hub = [("N/1", "R", "H/0", None)] + [("H/0", "R", f"L/{i}", None) for i in range(3000)]
+    df = spark.createDataFrame(way + hub, "src string, rel string, dst string, rank int").cache()
+    read = []
+    links_from = graph.links_from
+
+    def counted(edges, frontier):
+        out = links_from(edges, frontier)
+        read.append(out.count())
+        return out
+
+    monkeypatch.setattr(graph, "links_from", counted)
+    assert graph.shortest_path(df, "N/0", "N/6").first().path == ">".join(f"N/{i}" for i in range(7))
+    assert sum(read) < 100  # one-sided, the level after N/1 reads the hub's 3,001 edges
+
+
 def test_shortest_paths_against_brute_force(spark):
     edges = random_edges(5)
     df = frame(spark, edges, "src STRING, rel STRING, dst STRING")

@@ -91,6 +91,16 @@ def test_type_counts(spark, rows):
     ]
 
 
+def test_first_rows_without_a_whole_sort(spark):
+    ids = [None] * 30 + [f"role-{k:05d}" for k in range(0, 900, 3)] + ["role-00300"] * 80 + ["a", "", "é", "role-", "zz"]
+    data = [(i, f"v{k % 37}") for k, i in enumerate(ids)]
+    df = spark.createDataFrame(data, "id STRING, value STRING").repartition(5)
+    order = sorted(data, key=lambda r: (r[0] is not None, (r[0] or "").encode(), r[1]))
+    for n in (0, 1, 12, 29, 30, 31, 100, 135, 150, 200, 214, 215, 400, len(data) - 1, len(data), 9999):
+        got = [tuple(r) for r in ndjson.first_rows(df, n, few=10).collect()]
+        assert sorted(got, key=repr) == sorted(order[:n], key=repr), n
+
+
 def test_fingerprint_ignores_order(spark):
     a = spark.createDataFrame([("x",), ("y",), ("y",)], "value STRING")
     b = spark.createDataFrame([("y",), ("x",), ("y",)], "value STRING").repartition(3)
