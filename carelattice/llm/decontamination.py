@@ -23,6 +23,8 @@ from carelattice.llm.words import let, windows
 from carelattice.runtime import cut_lineage
 
 WIDTH = 8
+#: Items of fewer tokens than this are no evidence inside a text: only a document that is nothing else holds them.
+LEAST = 4
 #: Windows with fewer literal tokens are no evidence.
 LITERALS = 4
 #: Benchmark windows up to which the hash table is broadcast (about 24 bytes each).
@@ -67,7 +69,8 @@ def token_windows(rows: DataFrame, key: str, short: tuple[int, ...] | None = Non
     """(key, pos, h, typed, plain) of every window; ``rows`` has ``_tokens``.
 
     typed: a window of template tokens with enough literal ones; plain: one of the lower-cased tokens. A window without slots is
-    both in one row. ``short``: further widths of plain windows; by default the whole sequence, if it is below WIDTH.
+    both in one row. ``short``: further widths of plain windows, LEAST at least; a whole sequence below LEAST is one window. By default a
+    whole sequence below WIDTH is one.
     """
     literal = F.transform("_tokens", lambda t: (~t["template"].isin(NUMBER, UNIT, NAME)).cast("int"))
     low = F.transform("_tokens", lambda t: F.xxhash64(F.lower(t["raw"])))
@@ -77,15 +80,15 @@ def token_windows(rows: DataFrame, key: str, short: tuple[int, ...] | None = Non
     typed = F.when(F.col("_slots"), _enough(F.col("_w"), F.col("_lit"))).otherwise(F.col("_w"))
     plain = F.when(F.col("_slots"), windows(F.col("_p"), WIDTH)).otherwise(F.col("_w"))
     both = F.zip_with(typed, plain, lambda t, p: F.struct(t.alias("t"), p.alias("p")))
-    if short is None:
-        extra = F.when(F.size("_p") < WIDTH, _whole(F.col("_p")))
-        fewer = F.when(F.size("_p") > 0, F.transform(extra, lambda h: F.struct(F.lit(None).cast("long").alias("t"), h.alias("p"))))
-        each = hashed.select(key, F.posexplode(F.coalesce(F.when(F.size("_p") < WIDTH, fewer), both)).alias("pos", "x"))
+    alone = F.transform(_whole(F.col("_p")), lambda h: F.struct(F.lit(None).cast("long").alias("t"), h.alias("p")))
+    if not short:
+        fewer = F.when((F.size("_p") > 0) & (F.size("_p") < (WIDTH if short is None else LEAST)), alone)
+        each = hashed.select(key, F.posexplode(F.coalesce(fewer, both)).alias("pos", "x"))
     else:
-        each = hashed.select(key, F.posexplode(both).alias("pos", "x"))
-        for width in short:
-            narrow = F.transform(windows(F.col("_p"), width), lambda h: F.struct(F.lit(None).cast("long").alias("t"), h.alias("p")))
-            each = each.unionByName(hashed.select(key, F.posexplode(narrow).alias("pos", "x")))
+        placed = lambda a: F.transform(a, lambda x, i: F.struct(i.alias("pos"), x["t"].alias("t"), x["p"].alias("p")))
+        narrow = [F.transform(windows(F.col("_p"), w), lambda h: F.struct(F.lit(None).cast("long").alias("t"), h.alias("p"))) for w in short]
+        fewer = F.when((F.size("_p") > 0) & (F.size("_p") < LEAST), placed(alone))
+        each = hashed.select(key, F.explode(F.coalesce(fewer, F.concat(placed(both), *map(placed, narrow)))).alias("x")).select(key, "x.pos", "x")
     one = lambda h, t, p: F.struct(h.alias("h"), F.lit(t).alias("typed"), F.lit(p).alias("plain"))
     t, p = F.col("x.t"), F.col("x.p")
     kinds = F.when(t == p, F.array(one(p, True, True))).when(t.isNull(), F.array(one(p, False, True))).otherwise(F.array(one(t, True, False), one(p, False, True)))
@@ -118,7 +121,8 @@ def alignments(docs: DataFrame, items: DataFrame) -> DataFrame:
     by; rows are counted per (row, item, shift) with partial aggregates.
     """
     listed = items.select("item", tokens(F.col("text")).alias("_tokens"))
-    short = tuple(sorted(r[0] for r in listed.select(F.size("_tokens")).distinct().collect() if 0 < r[0] < WIDTH))
+    sizes = listed.select(F.size("_tokens").alias("n")).where(F.col("n").between(LEAST, WIDTH - 1)).distinct()
+    short = tuple(sorted(r[0] for r in sizes.collect()))  # at most WIDTH - LEAST
     windows_of_items = cut_lineage(token_windows(listed, "item"), "item-windows")
     number = lambda flag: F.sum(F.col(flag).cast("long"))
     of_item = windows_of_items.groupBy("item").agg(number("typed").alias("n_windows"), number("plain").alias("n_plain"))
@@ -170,7 +174,8 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     item's typed windows, or RUN windows, and its slots are consistent: a clash is allowed only where all literal windows agree
     and no more than a fifth of the slots clash. kind is "verbatim" when no slot was changed, else "reparameterised".
     It is also reported, as verbatim, when as large a share of the plain windows is met at different places, whatever their case
-    and slots; hits and n_windows are those of the plain windows then. An item of fewer than WIDTH tokens is one plain window.
+    and slots; hits and n_windows are those of the plain windows then. An item of fewer than WIDTH tokens is one plain window; one of
+    fewer than LEAST ("yes", "the sea") is held only by a document that has these tokens and no others.
     Null or empty texts and items without a token are never reported; empty tables give none.
     """
     votes = alignments(docs, items)
