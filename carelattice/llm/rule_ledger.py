@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from carelattice.llm.small import free_prefix
 from carelattice.llm.words import BLANKS, fold_sum, let, windows, words
 
 WINDOW = 8
@@ -87,33 +88,34 @@ def repeated_words(hashes: Column) -> Column:
 def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words (long).
 
-    Whole texts are measured; a null text counts as empty, every measure is then 0. Columns of these names are replaced.
+    Whole texts are measured; a null text counts as empty, every measure is then 0. Columns of these names are replaced, all others may have any name.
     """
+    p = free_prefix(docs.columns)
     whole = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(whole, "\n"), lambda line: F.trim(line, F.lit(BLANKS)) != "")
     found = {
-        "n_words": F.size("_words"),
-        "word_chars": F.length(F.array_join("_words", "")),
+        "n_words": F.size(p + "words"),
+        "word_chars": F.length(F.array_join(p + "words", "")),
         "n_symbols": F.size(F.split(whole, "[#*$%&|<>]", -1)) - 1,
-        "n_lines": F.size("_lines"),
-        "n_dup_lines": F.size("_lines") - F.size(F.array_distinct("_lines")),
-        "n_repeat_words": repeated_words(F.col("_windows")),
+        "n_lines": F.size(p + "lines"),
+        "n_dup_lines": F.size(p + "lines") - F.size(F.array_distinct(p + "lines")),
+        "n_repeat_words": repeated_words(F.col(p + "windows")),
     }
     # out of an explode of one element, which no filter on a measure is pushed through: each is computed once
     once = F.explode(F.array(F.struct(*[value.cast("long").alias(name) for name, value in found.items()])))
     return (
         docs.drop(*found)
-        .withColumns({"_words": words(F.col(text)), "_lines": lines})
-        .withColumn("_hashes", F.transform("_words", lambda w: F.xxhash64(w)))
-        .withColumn("_windows", windows(F.col("_hashes"), WINDOW))
-        .withColumn("_found", once)
-        .withColumns({name: F.col(f"_found.{name}") for name in found})
-        .drop("_words", "_lines", "_hashes", "_windows", "_found")
+        .withColumns({p + "words": words(F.col(text)), p + "lines": lines})
+        .withColumn(p + "hashes", F.transform(p + "words", lambda w: F.xxhash64(w)))
+        .withColumn(p + "windows", windows(F.col(p + "hashes"), WINDOW))
+        .withColumn(p + "found", once)
+        .withColumns({name: F.col(f"{p}found.{name}") for name in found})
+        .drop(p + "words", p + "lines", p + "hashes", p + "windows", p + "found")
     )
 
 
 def ledger(docs: DataFrame, text: str = "text", checks: list[Rule] | None = None) -> DataFrame:
-    """``docs`` with its measurements and ``failed_bits``: bit b is set when rule b has failed."""
+    """``docs`` with its measurements and ``failed_bits``: bit b is set when rule b has failed. A column failed_bits is replaced."""
     checks = rules() if checks is None else checks
     bits = reduce(lambda a, b: a.bitwiseOR(b), (F.when(r.fails, F.lit(r.mask)).otherwise(F.lit(0)) for r in checks))
     return measure(docs, text).withColumn("failed_bits", bits.cast("long"))

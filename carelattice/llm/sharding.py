@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from carelattice.llm.small import free_prefix
 from carelattice.llm.words import fold_sum, let
 from carelattice.runtime import cut_lineage
 
@@ -143,41 +144,42 @@ def bucket_slots(rows: DataFrame, group: str, key: Column, order: list[Column],
 
     The rank is the number of rows in lower buckets plus the rank within the bucket.
     """
-    width = (1 << 62) // buckets + 1
-    keyed = rows.withColumn("_key", key).withColumn("_bucket", F.floor(F.col("_key") / F.lit(width)).cast("long"))
-    counts = keyed.groupBy(group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    offsets = counts.select(F.col(group), F.col("_bucket"), before.alias("_before"))
-    ranked = keyed.withColumn("_rank", F.row_number().over(Window.partitionBy(group, "_bucket").orderBy("_key", *order)) - 1)
-    return ranked.join(offsets, [group, "_bucket"]).withColumn("slot", F.col("_before") + F.col("_rank")).drop("_key", "_bucket", "_before", "_rank")
+    p, width = free_prefix(rows.columns), (1 << 62) // buckets + 1
+    keyed = rows.withColumn(p + "key", key).withColumn(p + "bucket", F.floor(F.col(p + "key") / F.lit(width)).cast("long"))
+    counts = keyed.groupBy(group, p + "bucket").agg(F.count(F.lit(1)).alias(p + "n"))
+    before = F.coalesce(F.sum(p + "n").over(Window.partitionBy(group).orderBy(p + "bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = counts.select(F.col(group), F.col(p + "bucket"), before.alias(p + "before"))
+    ranked = keyed.withColumn(p + "rank", F.row_number().over(Window.partitionBy(group, p + "bucket").orderBy(p + "key", *order)) - 1)
+    return ranked.join(offsets, [group, p + "bucket"]).withColumn("slot", F.col(p + "before") + F.col(p + "rank")).drop(p + "key", p + "bucket", p + "before", p + "rank")
 
 
 def shuffle_into_shards(rows: DataFrame, shards: int, seed: int = 0, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """``rows`` in uniformly random order over ``shards`` shards: adds shard (int) and slot (long, gapless from 0 per shard).
 
     Shard sizes differ by one row at most, whatever the values: null keys, repeated rows and hot keys are rows like any
-    other, an empty table gives an empty result. Existing columns shard and slot are replaced. The rows are staged once in
+    other, an empty table gives an empty result. Existing columns shard and slot are replaced, all others may have any name. The rows are staged once in
     the shared folder with their position, so that both passes and every retry see the same partitions.
     """
     if shards < 1:
         raise ValueError("shards must be positive")
     plain = rows.drop("shard", "slot")
+    p = free_prefix(plain.columns)
     staged = cut_lineage(
-        plain.withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright(F.col("_at"), 33)), "shard-rows"
+        plain.withColumn(p + "at", F.monotonically_increasing_id()).withColumn(p + "part", F.shiftright(F.col(p + "at"), 33)), "shard-rows"
     )
-    sizes = cut_lineage(staged.groupBy(F.col("_part").alias("part")).agg(F.count(F.lit(1)).alias("n")), "shard-sizes")
+    sizes = cut_lineage(staged.groupBy(F.col(p + "part").alias("part")).agg(F.count(F.lit(1)).alias("n")), "shard-sizes")
     facts = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.max("part"), F.lit(0)).alias("top")).first()
     total = facts["n"]
     matrix = communication(sizes, total, shards, seed, facts["top"] + 1)
-    matrix = matrix.select(F.col("part").alias("_part"), F.col("counts").alias("_counts"))
-    local = Window.partitionBy("_part").orderBy(F.xxhash64(F.lit(seed), F.lit("local"), "_at"), "_at")
-    ends = F.transform(F.sequence(F.lit(1), F.lit(shards)), lambda j: fold_sum(F.slice("_counts", F.lit(1), j)))
+    matrix = matrix.select(F.col("part").alias(p + "part"), F.col("counts").alias(p + "counts"))
+    local = Window.partitionBy(p + "part").orderBy(F.xxhash64(F.lit(seed), F.lit("local"), p + "at"), p + "at")
+    ends = F.transform(F.sequence(F.lit(1), F.lit(shards)), lambda j: fold_sum(F.slice(p + "counts", F.lit(1), j)))
     dealt = (
-        staged.withColumn("_rank", F.row_number().over(local) - 1)
-        .join(matrix.withColumn("_ends", ends), "_part")
-        .withColumn("shard", F.size(F.filter("_ends", lambda e: e <= F.col("_rank"))))
-        .drop("_rank", "_counts", "_ends", "_part")
+        staged.withColumn(p + "rank", F.row_number().over(local) - 1)
+        .join(matrix.withColumn(p + "ends", ends), p + "part")
+        .withColumn("shard", F.size(F.filter(p + "ends", lambda e: e <= F.col(p + "rank"))))
+        .drop(p + "rank", p + "counts", p + "ends", p + "part")
     )
-    key = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit("shard"), "_at"), 2)
+    key = F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit("shard"), p + "at"), 2)
     buckets = max(1, math.ceil(total / shards / bucket_rows))
-    return bucket_slots(dealt, "shard", key, [F.col("_at")], buckets).select(*plain.columns, F.col("shard").cast("int"), F.col("slot").cast("long"))
+    return bucket_slots(dealt, "shard", key, [F.col(p + "at")], buckets).select(*plain.columns, F.col("shard").cast("int"), F.col("slot").cast("long"))

@@ -28,3 +28,12 @@ def test_stage_keeps_columns(docs, odd_rows):
     kept = L.keep_passing(source)
     assert kept.columns == source.columns and 30 in {r["doc_id"] for r in kept.collect()}
     assert L.keep_passing(source.where("false")).collect() == []
+
+
+def test_columns_with_names_of_its_own(docs, odd_rows):
+    names = ("_words", "_lines", "_hashes", "_windows", "_found", "__words", "n_lines", "failed_bits")
+    source = docs(odd_rows).selectExpr("*", *[f"'own' AS `{n}`" for n in names])
+    got = L.ledger(source).collect()
+    assert len(got) == len(odd_rows)
+    for r in got:
+        assert all(r[n] == "own" for n in names[:6]) and r["n_lines"] >= 0 and r["failed_bits"] & 1 == (r["n_words"] < 20)

@@ -50,3 +50,10 @@ def test_query(spark):
     texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
     assert len(got) == len(texts) and {r["law"] for r in got} == {"rows"}
     assert all(r["size"] == len(texts[r["doc_id"]].encode()) + 16 and r["text_crc32"] == zlib.crc32(texts[r["doc_id"]].encode()) for r in got)
+
+
+def test_columns_with_names_of_its_own(docs):
+    names = ("_part", "_at", "_rank", "_counts", "_ends", "_key", "_bucket", "_before", "_n", "__at", "shard", "slot")
+    source = docs([(i, "x") for i in range(20)]).selectExpr("*", *[f"'own' AS `{n}`" for n in names])
+    got = sharding.shuffle_into_shards(source, shards=3, bucket_rows=4).collect()
+    assert all(r[n] == "own" for r in got for n in names[:10]) and Counter(r["shard"] for r in got) == {0: 7, 1: 7, 2: 6}
