@@ -207,7 +207,7 @@ def token_chunks(batches: Iterator[pa.RecordBatch], cache: WordHashes) -> Iterat
     """(batch, first row, hashes, ends) of about CHUNK tokens each; every document ends with END."""
     end = cache[END]
     for batch in batches:
-        parts, sizes, first = [], [], 0
+        parts, sizes, first, held = [], [], 0, 0
         column = batch.column("text")
         for i in range(batch.num_rows):
             words = (column[i].as_py() or b"").lower().split()
@@ -216,9 +216,10 @@ def token_chunks(batches: Iterator[pa.RecordBatch], cache: WordHashes) -> Iterat
             hashes[-1] = end
             parts.append(hashes)
             sizes.append(len(hashes))
-            if sum(sizes) >= CHUNK or i + 1 == batch.num_rows:
+            held += len(hashes)
+            if held >= CHUNK or i + 1 == batch.num_rows:
                 yield batch, first, np.concatenate(parts), np.cumsum(sizes) - 1
-                parts, sizes, first = [], [], i + 1
+                parts, sizes, first, held = [], [], i + 1, 0
 
 
 def _write_level(blocks: DataFrame, order: int, write) -> DataFrame:
