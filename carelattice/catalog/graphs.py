@@ -288,6 +288,18 @@ def g09(spark, sf):
     return hierarchy.ancestors(organization_tree(star_set(spark, sf, "Organization")), 5)
 
 
+@query(
+    "g09_subtree_rollup",
+    """SELECT root AS node, count(*) AS nodes, CAST(sum(coalesce(n, 0)) AS BIGINT) AS total FROM sub LEFT JOIN (SELECT org_id, count(*) AS n FROM role GROUP BY 1) r ON r.org_id = sub.node GROUP BY root""",
+    extra=""", sub AS (SELECT id AS root, id AS node FROM org UNION ALL SELECT s.root, o.id FROM sub s JOIN org o ON o.parent = s.node)""",
+)
+def g09_rollup(spark, sf):
+    """Organizations in every organization's subtree and the roles they have."""
+    resources = star_set(spark, sf, "Organization", "PractitionerRole")
+    roles = graph.role_nodes(resources).where("organization_id IS NOT NULL").groupBy(F.col("organization_id").alias("node")).agg(F.count(F.lit(1)).alias("weight"))
+    return hierarchy.rollup(hierarchy.intervals(organization_tree(resources)), roles)
+
+
 SOURCE, TARGET = "Practitioner/prac-00000003", "Practitioner/prac-00000101"
 
 

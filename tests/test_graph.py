@@ -106,6 +106,31 @@ def test_paths_against_brute_force(spark, rows, through):
     assert rows(got) == brute_paths(edges, seeds, 3, through)
 
 
+def test_intervals_and_rollup_against_brute_force(spark):
+    rng = random.Random(3)
+    up = {f"n{i:03d}": f"n{rng.randrange(i):03d}" if i and rng.random() < 0.9 else None for i in range(120)}
+    up |= {f"h{i}": "n000" for i in range(40)} | {"lost": "gone", "c1": "c2", "c2": "c1", "below": "c1"} | {f"d{i}": f"d{i - 1}" if i else None for i in range(30)}
+    nodes = spark.createDataFrame(list(up.items()), "id string, parent_id string")
+    good = {n for n in up if n not in ("c1", "c2", "below")}
+
+    def chain(n):
+        while n in good:
+            yield n
+            n = up[n]
+
+    below = {n: {m for m in good if n in chain(m)} for n in good}
+    got = {r.node: r for r in hierarchy.intervals(nodes).collect()}
+    assert set(got) == good and sorted(r.first for r in got.values()) == list(range(1, len(good) + 1))
+    for n, r in got.items():
+        assert {m for m, x in got.items() if r.first <= x.first <= r.last} == below[n] and r.depth == len(list(chain(n)))
+    weights = spark.createDataFrame([(n, k) for k, n in enumerate(sorted(good)) if k % 3] + [("n000", 5), ("unknown", 7)], "node string, weight bigint")
+    weight = {n: k for k, n in enumerate(sorted(good)) if k % 3}
+    weight["n000"] = weight.get("n000", 0) + 5
+    sums = {r.node: (r.nodes, r.total) for r in hierarchy.rollup(hierarchy.intervals(nodes), weights, block=16).collect()}
+    assert sums == {n: (len(below[n]), sum(weight.get(m, 0) for m in below[n])) for n in good}
+    assert hierarchy.intervals(nodes.where("false")).collect() == []
+
+
 def test_shortest_path_reads_a_hub_last(spark, monkeypatch):
     """Both ends hang on long, thin ways; the near end's way goes past a hub of thousands."""
     way = [(f"N/{i}", "R", f"N/{i + 1}", None) for i in range(6)]
