@@ -2,7 +2,9 @@
 
 A tree builder in one pass keeps the stack of open elements, closes and opens what the markup leaves out (paragraphs, list
 items, table rows and cells, the head), and hands text to the flow of the innermost cell. Elements that are never shown
-(scripts, styles, the head), ``hidden``, ``display: none`` and ``visibility: hidden`` emit nothing. Blocks begin new
+(scripts, styles, the head), ``hidden``, closed dialogs, ``display: none`` and ``visibility: hidden`` emit nothing. The last two count in a
+style attribute and in the rules of ``<style>`` whose selector is one tag, classes and ids together, by specificity and order; selectors
+that look at other elements or at states do not count. Blocks begin new
 lines, paragraphs and their like keep a blank line around them, list items are indented behind a bullet or number, ``pre`` keeps its
 white space, and the cells of a table are padded to common column widths, spans included. Nothing recurses, so nesting depth is
 bounded by memory only. Formulas (MathML) and the labels of inline SVG are running text, a blank between their parts. All visible text is emitted, in document order; a table's stray text comes before the table.
@@ -44,12 +46,41 @@ LISTS = frozenset("ul ol menu dir".split())
 SECTIONS = frozenset("thead tbody tfoot".split())
 CELLS = frozenset("td th".split())
 SCOPE = frozenset("table td th caption html template".split())
+STYLE = re.compile(r"<style\b([^>]*)>(.*?)(?:</style\b|\Z)", re.I | re.S)
+#: What stands in braces of its own conditions, and statements without braces.
+AT_RULES = re.compile(r"/\*.*?(?:\*/|\Z)|@[^{};]*(?:;|\{(?:[^{}]*\{[^{}]*\})*[^{}]*\})", re.S)
+RULE = re.compile(r"([^{}]+)\{([^{}]*)\}")
+SELECTOR = re.compile(r"(\*|[A-Za-z][\w-]*)?((?:[.#][\w-]+)*)")
+DECLARED = re.compile(r"(?:^|;)\s*(display|visibility)\s*:\s*([a-z-]+)\s*(!\s*important)?", re.I)
 #: Columns are padded up to this width; wider cells are written whole and not padded for.
 WIDEST = 80
 #: Limits of the HTML standard.
 MOST_COLUMNS, MOST_ROWS = 1000, 65534
 
 
+def hiding_rules(source: str) -> list[tuple]:
+    """(weight, tag, ids, classes, property, value) of the style sheets of a page, the weaker first; none when nothing is hidden."""
+    out = []
+    for attrs, sheet in STYLE.findall(source):
+        media = re.search(r"media\s*=\s*[\"']?([^\"'>]*)", attrs, re.I)
+        if media and not re.search(r"all|screen", media[1], re.I):
+            continue
+        for selectors, body in RULE.findall(AT_RULES.sub(" ", sheet)):
+            declared = DECLARED.findall(body)
+            for selector in selectors.split(",") if declared else ():
+                found = SELECTOR.fullmatch(selector.strip())
+                if not found or not found[0]:
+                    continue
+                parts = re.findall(r"[.#][\w-]+", found[2])
+                ids, classes = ({x[1:] for x in parts if x[0] == sign} for sign in "#.")
+                tag = (found[1] or "*").lower()
+                for name, value, important in declared:
+                    weight = (bool(important), len(ids), len(classes), tag != "*", len(out))
+                    out.append((weight, tag, ids, classes, name.lower(), value.lower()))
+    hides = any(value in ("none", "hidden", "collapse") for *_, value in out)
+    return sorted(out, key=lambda r: r[0]) if hides else []
+
+
 class Flow:
     """Lines of running text."""
 
@@ -180,7 +211,8 @@ def _number(value: str | None, default: int) -> int:
 
 
 class Page:
-    def __init__(self) -> None:
+    def __init__(self, rules: list[tuple]) -> None:
+        self.rules = rules
         self.flows = [Flow()]
         self.open = [Element("html", False, True, False)]
         self.count: dict[str, int] = {}
@@ -236,13 +268,22 @@ class Page:
         if (i := self.find(names, stop)) > 0:
             self.close(i)
 
+    def ruled(self, name: str, attrs: dict[str, str]) -> dict[str, str]:
+        """What the style sheets say about an element."""
+        out: dict[str, str] = {}
+        classes, own = set(attrs.get("class", "").split()), {attrs.get("id", "")}
+        for _, tag, ids, wanted, what, value in self.rules:
+            if tag in ("*", name) and ids <= own and wanted <= classes:
+                out[what] = value
+        return out
+
     # --- tokens
 
     def start(self, name: str, raw: str, ended: bool) -> None:
         if name in ("html", "body") and name != "body":
             return
         attrs: dict[str, str] = {}
-        if raw and TELLING.search(raw):
+        if raw and (self.rules or TELLING.search(raw)):
             for k, v in ATTR.findall(raw):
                 attrs.setdefault(k.lower(), html.unescape(v.strip("\"'")))
         if name not in IN_HEAD and name != "head":
@@ -282,7 +323,10 @@ class Page:
         foreign = self.foreign()
         if foreign:  # there they are attributes as well
             style += "".join(f";{k}:{attrs[k].strip().lower()}" for k in ("display", "visibility") if k in attrs and k + ":" not in style)
-        off = parent.off or name in NEVER or (foreign and name in NEVER_FOREIGN) or "hidden" in attrs or "display:none" in style
+        for k, v in self.ruled(name, attrs).items():
+            if k + ":" not in style:
+                style += f";{k}:{v}"
+        off = parent.off or name in NEVER or (name == "dialog" and "open" not in attrs) or (foreign and name in NEVER_FOREIGN) or "hidden" in attrs or "display:none" in style
         if parent.name == "details" and name != "summary" and parent.data is False:
             off = True
         seen = parent.seen
@@ -372,7 +416,7 @@ class Page:
 
 def rendered(source: str) -> str:
     """Visible text of a page."""
-    page, at, n = Page(), 0, len(source)
+    page, at, n = Page(hiding_rules(source)), 0, len(source)
     while at < n:
         begin = source.find("<", at)
         if begin < 0:

@@ -1,3 +1,6 @@
+import random
+from html.parser import HTMLParser
+
 import pytest
 
 from carelattice.llm import queries
@@ -51,3 +54,70 @@ def test_query_shows_every_word_outside_hidden_parts(spark):
     sources = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{sf}/pages.parquet").collect()}
     assert {r["page_id"]: r["text"] for r in got} == {i: rendered(h) for i, h in sources.items()}
     assert all("track(" not in r["text"] and "margin:0" not in r["text"] for r in got)
+
+
+@pytest.mark.parametrize(
+    ("source", "text"),
+    [
+        ("<style>.h, p.x{display:none}</style><div class='a h'>no</div><p class=x>no<p>yes", "yes"),
+        ("<style>#i { color: red; visibility : hidden }</style><span id=i>no<b style='visibility:visible'>yes</b></span>", "yes"),
+        ("<style>.h{display:none}.h{display:block}</style><p class=h>yes", "yes"),
+        ("<style>p.h{display:block}.h{display:none}</style><p class=h>yes<div class=h>no</div>", "yes"),
+        ("<style>.h{display:none !important}#i{display:block}</style><p class=h id=i>no</p>yes", "yes"),
+        ("<style>@media print{p{display:none}}/* p{display:none} */ @import 'x'; .a .b{display:none} .c:hover{display:none}</style><p class='a b c'>yes", "yes"),
+        ("<style media=print>p{display:none}</style><p>yes<p class=h style='display:block'>so</p><style>.h{display:none}</style>", "yes\n\nso"),
+        ("<dialog>no</dialog><dialog open>yes</dialog>", "yes"),
+        ("<style>p{display:none", ""),
+    ],
+)
+def test_style_sheets_and_dialogs(source, text):
+    assert rendered(source) == text
+
+
+class Walker(HTMLParser):
+    """Visible words of a well-formed page: a stack of (shown, seen) and nothing else."""
+
+    def __init__(self, hidden_classes):
+        super().__init__()
+        self.hidden, self.stack, self.words, self.raw = hidden_classes, [(True, True)], [], False
+
+    def handle_starttag(self, tag, attrs):
+        if tag in ("br", "hr", "img"):
+            return
+        attrs = dict(attrs)
+        shown, seen = self.stack[-1]
+        style = (attrs.get("style") or "").replace(" ", "")
+        gone = any(c in self.hidden for c in (attrs.get("class") or "").split()) and "display:" not in style
+        shown = shown and not (tag in ("script", "style", "template", "head") or "hidden" in attrs or "display:none" in style or gone or (tag == "dialog" and "open" not in attrs))
+        if "visibility:" in style:
+            seen = "visibility:visible" in style
+        self.stack.append((shown, seen))
+
+    def handle_endtag(self, tag):
+        self.stack.pop()
+
+    def handle_data(self, data):
+        if all(self.stack[-1]):
+            self.words += data.split()
+
+
+def test_visible_words_against_a_plain_walk():
+    rng = random.Random(11)
+    for _ in range(300):
+        count = iter(range(10_000))
+
+        def tree(depth, rng=rng, count=count):
+            out = ""
+            for _ in range(rng.randint(1, 4)):
+                out += rng.choice((f" w{next(count)} ", f" w{next(count)}<br> ", ""))
+                if depth and rng.random() < 0.8:
+                    tag = rng.choice(("div", "span", "section", "b", "dialog", "template", "article", "ul"))
+                    attr = rng.choice(("", "", " hidden", " style='display: none'", " style='visibility:hidden'", " style='visibility: visible'", " class='x h1'", " class=h2 style='display:block'", " open", " class=x"))
+                    inner = tree(depth - 1)
+                    out += f"<{tag}{attr}>" + (f"<li>{inner}</li>" if tag == "ul" else inner) + f"</{tag}>"
+            return out
+
+        source = "<html><head><style>.h1{display:none} .h2 { color:red; display : none }</style><title>no</title></head><body>" + tree(4) + "</body></html>"
+        walker = Walker({"h1", "h2"})
+        walker.feed(source)
+        assert [w for w in rendered(source).split() if w != "-"] == [w for w in walker.words if w != "no"], source
