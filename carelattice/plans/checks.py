@@ -45,7 +45,7 @@ RESULT_COLUMNS = [part.split()[0] for part in RESULT_SCHEMA.split(", ")]
 
 @dataclass(frozen=True)
 class Metric:
-    """One comparison. ``numerator``/``denominator`` are counts, ``value`` a ready number.
+    """One comparison. ``numerator``/``denominator`` are counts, their ratio is told times ``scale``; ``value`` is a ready number.
 
     ``owner`` names the resource behind an extreme; a failure's message tells it.
     """
@@ -60,6 +60,7 @@ class Metric:
     skip_below: int = 0
     empty: str = "ERROR"
     owner: Column | None = None
+    scale: float = 1.0
 
 
 @dataclass(frozen=True)
@@ -113,7 +114,7 @@ def _text(value: str | None) -> str:
     return "CAST(NULL AS STRING)" if value is None else "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _fixed(c: Check, m: Metric | None, forced: str | None = None, note: str | None = None) -> str:
+def known_parts(c: Check, m: Metric | None, forced: str | None = None, note: str | None = None) -> str:
     """The parts of a result row that are known beforehand, as one SQL struct."""
     if m is None:
         m = Metric("all", None, None, None)
@@ -133,7 +134,7 @@ def _fixed(c: Check, m: Metric | None, forced: str | None = None, note: str | No
     return "named_struct(" + ", ".join(f"'{k}', {v}" for k, v in parts.items()) + ")"
 
 
-def _measured(m: Metric) -> Column:
+def measured(m: Metric) -> Column:
     num = F.lit(None) if m.numerator is None else m.numerator
     den = F.lit(None) if m.denominator is None else m.denominator
     if m.value is not None:
@@ -141,7 +142,7 @@ def _measured(m: Metric) -> Column:
     elif m.denominator is None:
         observed = num
     else:
-        observed = F.try_divide(num, den)
+        observed = F.try_divide(num if m.scale == 1 else num * m.scale, den)
     return F.struct(
         num.cast("bigint").alias("numerator"),
         den.cast("bigint").alias("denominator"),
@@ -153,15 +154,15 @@ def _measured(m: Metric) -> Column:
 def _stack(aggregated: list[tuple[Check, list[Metric]]], source: DataFrame) -> DataFrame:
     """All metrics of one input in one aggregation, then one row each."""
     flat = [(c, m) for c, metrics in aggregated for m in metrics]
-    fixed = F.expr("array(" + ", ".join(_fixed(c, m) for c, m in flat) + ")")
+    fixed = F.expr("array(" + ", ".join(known_parts(c, m) for c, m in flat) + ")")
     return (
-        source.agg(F.array(*[_measured(m) for _, m in flat]).alias("m"))
+        source.agg(F.array(*[measured(m) for _, m in flat]).alias("m"))
         .select(F.inline(F.arrays_zip(fixed.alias("f"), F.col("m"))))
         .select("f.*", "m.*")
     )
 
 
-def _judge(metrics: DataFrame) -> DataFrame:
+def judge(metrics: DataFrame) -> DataFrame:
     seen, limit = F.col("observed"), F.col("threshold")
     holds = (
         F.when(F.col("op") == "<=", seen <= limit)
@@ -185,7 +186,7 @@ def _judge(metrics: DataFrame) -> DataFrame:
 
 
 def _verdict_row(spark, c: Check, status: str, note: str) -> DataFrame:
-    row = F.inline(F.expr(f"array({_fixed(c, None, status, note)})"))
+    row = F.inline(F.expr(f"array({known_parts(c, None, status, note)})"))
     return spark.range(1).select(row).selectExpr(
         "*", "CAST(NULL AS BIGINT) AS numerator", "CAST(NULL AS BIGINT) AS denominator", "CAST(NULL AS DOUBLE) AS observed", "CAST(NULL AS STRING) AS owner"
     )
@@ -250,7 +251,7 @@ def run_checks(
     out = None
     for _, job in plan_checks(dfs, config, names):
         out = job() if out is None else out.unionByName(job())
-    return _judge(out)
+    return judge(out)
 
 
 class ChecksFailed(Exception):
@@ -287,7 +288,7 @@ def run_suite(
 
     with ThreadPoolExecutor(parallel) as pool:
         found = [row for rows_ in pool.map(measure, plan_checks(dfs, config, names)) for row in rows_]
-    results = _judge(spark.createDataFrame(found, RAW_SCHEMA))
+    results = judge(spark.createDataFrame(found, RAW_SCHEMA))
     if raise_on_fail:
         failed = [row[0] for row in results.where("status = 'FAIL'").select("check_id").distinct().collect()]
         if failed:
@@ -386,8 +387,7 @@ def _q11(r, cfg):
     has = count_if(size0(r["communication"]) > 0)
     return [
         Metric(
-            "Practitioner", "language_pct", ">=", cfg["min_language_pct"], has, rows(),
-            value=F.try_divide(has * 100.0, rows()),
+            "Practitioner", "language_pct", ">=", cfg["min_language_pct"], has, rows(), scale=100.0,
         )
     ]
 
