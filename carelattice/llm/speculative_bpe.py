@@ -9,7 +9,8 @@ not met before are encoded together:
    is decided on the right edge of a's merge tree and the left edge of b's: both are undone step by step, the later merge
    first, and at each state a merge across the border must not come before the merges that use up its two sides (of equal
    ranks the left place merges first). All distinct pairs are walked at once, as array operations.
-3. Correct: words with an incompatible pair, and only these, are merged exactly, by a heap, in n log n.
+3. Correct: words with an incompatible pair, and only these, are merged exactly, all of them at once: each pass finds every word's
+   pair of the lowest rank and merges it wherever it stands. Very long words go one by one through a heap, in n log n.
 
 Texts are normalised and split as the vocabulary's file says: NFC, lower case, words by a fixed pattern, special tokens taken
 out of the raw text first. Characters outside long-settled Unicode blocks, where libraries of different Unicode versions
@@ -23,6 +24,7 @@ import json
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -42,6 +44,8 @@ SLICE = 512
 #: Words a task remembers before it starts anew, and the length from which a word is not remembered.
 REMEMBERED, LONG = 250_000, 64
 NEVER = 1 << 40
+#: Bytes of a word from which it is merged by a heap.
+HEAP = 512
 
 
 def byte_letters() -> list[str]:
@@ -98,6 +102,8 @@ class Bpe:
             if rank[t] >= 0:
                 raise ValueError("a token with two merges")
             left[t], right[t], rank[t] = vocab[a], vocab[b], k
+            if max(rank[left[t]], rank[right[t]]) >= k:
+                raise ValueError("a merge of tokens that are made later")
         made = np.flatnonzero(rank >= 0)
         pairs = left[made] << 32 | right[made]
         order = np.argsort(pairs)
@@ -178,21 +184,70 @@ class Bpe:
 
     def exact(self, word: bytes) -> list[int]:
         """Tokens of a word by merging the pair of the lowest rank, the leftmost of equals, until none is left."""
-        return merge(self.symbols([word])[0].tolist(), _pair_table(self))
+        return merge(self.symbols([word])[0].tolist(), self.table)
 
-    def encode_words(self, words: list[bytes]) -> tuple[list[np.ndarray], int]:
-        """Tokens of distinct non-empty words, and how many had to be merged exactly."""
+    def encode_all(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, int]:
+        """Tokens of non-empty words one after the other, where each word ends, and how many had to be merged exactly."""
         if not words:
-            return [], 0
+            return np.empty(0, np.int64), np.empty(0, np.int64), 0
         tokens, owner = self.propose(words)
         inner = np.flatnonzero(owner[1:] == owner[:-1])
         pair, back = np.unique(tokens[inner] << 32 | tokens[inner + 1], return_inverse=True)
         good = self.compatible(pair >> 32, pair & 0xFFFFFFFF)
-        failing = np.unique(owner[inner[~good[back]]]).tolist()
-        out = np.split(tokens, np.searchsorted(owner, np.arange(1, len(words))))
-        for k in failing:
-            out[k] = np.array(self.exact(words[k]), np.int64)
-        return out, len(failing)
+        failing = np.unique(owner[inner[~good[back]]])
+        fine = ~np.isin(owner, failing)
+        parts = [(owner[fine], tokens[fine])]
+        long = np.array([len(words[k]) >= HEAP for k in failing.tolist()], bool)
+        short = failing[~long]
+        own, found = self.merge_all([words[k] for k in short.tolist()])
+        parts.append((short[own], found))
+        for k in failing[long].tolist():
+            found = np.array(self.exact(words[k]), np.int64)
+            parts.append((np.full(len(found), k), found))
+        owner, tokens = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(owner, kind="stable")
+        return tokens[order], np.searchsorted(owner[order], np.arange(len(words)), side="right"), len(failing)
+
+    def encode_words(self, words: list[bytes]) -> tuple[list[np.ndarray], int]:
+        """Tokens of each word, and how many words had to be merged exactly."""
+        tokens, ends, failing = self.encode_all(words)
+        return np.split(tokens, ends[:-1]) if words else [], failing
+
+    def merge_all(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(word, token) of words by exact merging, in order of each word. No merge makes a pair of a lower rank, as parts are made before the whole, so a
+        word's best pair may be merged at all its places in one pass, from the left where places overlap."""
+        if not words:
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        tokens, begins = self.symbols(words)
+        owner = np.repeat(np.arange(len(words)), np.diff(begins))
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(tokens):
+            rank = np.full(len(tokens), NEVER)
+            same = np.flatnonzero(owner[1:] == owner[:-1])
+            rank[same] = self.merged(tokens[same], tokens[same + 1])
+            first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            best = np.repeat(np.minimum.reduceat(rank, first), np.diff(np.append(first, len(tokens))))
+            done.append((owner[best == NEVER], tokens[best == NEVER]))
+            hit = np.flatnonzero((rank == best) & (best < NEVER))
+            run = np.concatenate([[True], hit[1:] != hit[:-1] + 1]) if len(hit) else np.empty(0, bool)
+            at = np.arange(len(hit))
+            hit = hit[(at - np.maximum.accumulate(np.where(run, at, 0))) % 2 == 0]  # every other of places that overlap
+            tokens[hit] = self.of_rank[rank[hit]]
+            keep = best < NEVER
+            keep[hit + 1] = False
+            tokens, owner = tokens[keep], owner[keep]
+        owner, tokens = (np.concatenate(x) for x in zip(*done, strict=True))
+        return owner, tokens
+
+    @cached_property
+    def table(self) -> dict[int, tuple[int, int]]:
+        """The merges as a dictionary."""
+        return {p: (r, m) for p, r, m in zip(self.pairs.tolist(), self.rank[self.made].tolist(), self.made.tolist(), strict=True)}
+
+    @cached_property
+    def of_rank(self) -> np.ndarray:
+        """The token that the merge of each rank makes."""
+        return self.made[np.argsort(self.rank[self.made])]
 
 
 def _trie(order: list[int], left: np.ndarray, right: np.ndarray, rank: np.ndarray, table: dict[int, int], n: int) -> tuple[dict[int, int], np.ndarray]:
@@ -241,15 +296,6 @@ def merge(tokens: list[int], table: dict[int, tuple[int, int]]) -> list[int]:
     return [t for t in tokens if t >= 0]
 
 
-def _pair_table(bpe: Bpe) -> dict[int, tuple[int, int]]:
-    """The merges as a dictionary, made once per worker."""
-    known = bpe.__dict__.get("_table")
-    if known is None:
-        known = {p: (r, m) for p, r, m in zip(bpe.pairs.tolist(), bpe.rank[bpe.made].tolist(), bpe.made.tolist(), strict=True)}
-        object.__setattr__(bpe, "_table", known)
-    return known
-
-
 class Splitter:
     """Words of a text, with special tokens as numbers."""
 
@@ -322,8 +368,9 @@ def encode(docs: DataFrame, bpe: Bpe, text: str = "text", ids: str = "token_ids"
                     known.clear()
                 known |= {i: np.array([i], "<u4").tobytes() for i in tables.specials.values()}
                 new = list({w for words in split for w in words}.difference(known))
-                found, _ = tables.encode_words([w.encode("utf-8", "surrogateescape") for w in new])
-                known |= {w: f.astype("<u4").tobytes() for w, f in zip(new, found, strict=True)}
+                tokens, ends, _ = tables.encode_all([w.encode("utf-8", "surrogateescape") for w in new])
+                found, ends = tokens.astype("<u4").tobytes(), (4 * ends).tolist()
+                known |= {w: found[begin:end] for w, begin, end in zip(new, [0, *ends], ends, strict=False)}
                 blobs = [b"".join(map(known.__getitem__, words)) for words in split]
                 for w in new:
                     if len(w) > LONG:

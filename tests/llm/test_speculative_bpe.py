@@ -64,13 +64,16 @@ def test_every_word_equals_exact_merging_and_the_library(bpe, library):
     assert 0 < failing < len(split)
     for w, got in zip(split, found, strict=True):
         assert got.tolist() == bpe.exact(w.encode()) == ids_of(library, w), w
+    owner, tokens = bpe.merge_all([w.encode() for w in split])
+    for k, w in enumerate(split):
+        assert tokens[owner == k].tolist() == ids_of(library, w), w
 
 
 def test_pairs_are_compatible_exactly_when_they_are_an_encoding(bpe):
     rnd = np.random.default_rng(3)
     inner = np.flatnonzero([len(t) > 0 and not t.endswith(b"</w>") and not t.startswith(b"<|") for t in bpe.letters])
     a, b = rnd.choice(inner, 4000), rnd.choice(inner, 4000)
-    table, spelled = speculative_bpe._pair_table(bpe), {}
+    table, spelled = bpe.table, {}
 
     def spell(t):
         if t not in spelled:
