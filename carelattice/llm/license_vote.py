@@ -4,7 +4,8 @@ Rolling hashes of all word k-grams of a document are joined with the positions o
 hit votes for a diagonal (position in the document minus position in the template): text that follows a template puts all its
 votes on one diagonal, and an inserted or missing word moves the rest to a neighbouring one. Votes are counted per (document,
 template, diagonal), neighbouring diagonals are merged, and what remains is verified on the whole text by the share of
-template words found in order. Short phrases are looked up exactly at every place.
+template words found in order. Short phrases are looked up exactly at every place. Every text is read, cut into words and
+hashed once: what comes out is its row of numbers and its k-grams, of which the join keeps those of templates.
 
 Votes of k-grams miss text that changes a word every few words or inserts many. Therefore every stretch of twice a template's
 words that holds MATCHED of them, counted one by one and in any order, is verified as well: no stretch that verifies has fewer. There
@@ -25,11 +26,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from carelattice.llm.hashing import WordHashes, windows
-from carelattice.llm.small import if_few
 from carelattice.runtime import cut_lineage
 
 WORD = regex.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 UPPER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
+#: The same on UTF-8: ASCII that is no word becomes a blank, A-Z are lower-cased.
+PLAIN = bytes(b if b > 0x7F or chr(b).isdigit() or chr(b).islower() else b + 32 if chr(b).isupper() else 32 for b in range(256))
 K = 3
 #: Diagonals up to this far apart belong to one alignment.
 NEAR = 4
@@ -39,6 +41,8 @@ VOTES = 0.4
 MATCHED = 0.6
 #: Templates with fewer words are met without votes only where their own words stand.
 OWN_BELOW = 10
+#: Texts with spans up to which the list of their digests is broadcast (32 MB).
+BROADCAST_ROWS = 400_000
 
 #: Phrase and label, found wherever the words stand consecutively.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
@@ -68,6 +72,11 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.translate(UPPER))
 
 
+def tokens(text: bytes) -> list[bytes]:
+    """The words of a UTF-8 text, in UTF-8."""
+    return text.translate(PLAIN).split()
+
+
 def _hashes(words: list[str], cache: WordHashes) -> np.ndarray:
     return cache.of([w.encode("utf-8", "surrogatepass") for w in words])
 
@@ -89,62 +98,66 @@ def phrase_places(hashes: np.ndarray, phrase: np.ndarray) -> np.ndarray:
     return np.flatnonzero(hit)
 
 
-def phrases_found(rows: DataFrame, phrases=PHRASES) -> DataFrame:
-    """(row, doc_id, n_words, n_base, first_word, last_word, found array<string>, loose) per row of (row, doc_id, text).
+NUMBERS = ("n_words", "n_base", "first_word", "last_word")
+PLACES = "array<struct<label: string, start: long, end: long, share: double>>"
+
 
-    loose: the places (label, start, end, share) that follow a template whatever their votes.
+def read_once(rows: DataFrame, phrases=PHRASES, k: int = K) -> DataFrame:
+    """Two rows per row of (row, doc_id, text binary): its numbers (n_words, n_base, first_word, last_word, found, loose), and its grams.
+
+    grams: rolling hashes of all word k-grams. loose: the places (label, start, end, share) that follow a template whatever
+    their votes.
     """
-    numbers = ("n_words", "n_base", "first_word", "last_word")
     kind = rows.schema["doc_id"].dataType.simpleString()
     place = pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("share", pa.float64())])
+    lists = [pa.list_(pa.string()), pa.list_(place)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         known = [(label, _hashes(words_of(phrase), cache)) for phrase, label in phrases]
         follow = Loose(cache)
-        for batch in batches:
-            out: dict[str, list] = {c: [] for c in (*numbers, "found", "loose")}
-            for text in batch.column("text"):
-                words = words_of(text.as_py())
-                hashes = _hashes(words, cache)
-                out["loose"].append(follow.places(words, hashes))
-                places = [(label, phrase_places(hashes, p)) for label, p in known]
-                starts = np.concatenate([p for _, p in places])
-                out["n_words"].append(len(hashes))
-                out["n_base"].append(len(starts))
-                out["first_word"].append(int(starts.min()) if len(starts) else None)
-                out["last_word"].append(int(starts.max()) if len(starts) else None)
-                out["found"].append(sorted({label for label, p in places if len(p)}))
-            arrays = [pa.array(out[c], pa.int64()) for c in numbers] + [pa.array(out["found"], pa.list_(pa.string())), pa.array(out["loose"], pa.list_(place))]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), *arrays], names=["row", "doc_id", *out])
-
-    schema = f"row long, doc_id {kind}, " + ", ".join(f"{c} long" for c in numbers) + ", found array<string>, loose array<struct<label: string, start: long, end: long, share: double>>"
-    return rows.select("row", "doc_id", "text").mapInArrow(run, schema)
-
-
-def grams(rows: DataFrame, k: int = K) -> DataFrame:
-    """(row, grams array<long>): rolling hashes of all word k-grams per row of (row, text)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 batch = whole.slice(at, 512)
-                each = [windows(_hashes(words_of(t.as_py()), cache), k).astype(np.int64) for t in batch.column("text")]
+                out: dict[str, list] = {c: [] for c in (*NUMBERS, "found", "loose")}
+                each = []
+                for text in batch.column("text"):
+                    words = tokens(text.as_py())
+                    hashes = cache.of(words)
+                    each.append(windows(hashes, k).astype(np.int64))
+                    out["loose"].append(follow.places(words, hashes))
+                    places = [(label, phrase_places(hashes, p)) for label, p in known]
+                    starts = np.concatenate([p for _, p in places])
+                    out["n_words"].append(len(hashes))
+                    out["n_base"].append(len(starts))
+                    out["first_word"].append(int(starts.min()) if len(starts) else None)
+                    out["last_word"].append(int(starts.max()) if len(starts) else None)
+                    out["found"].append(sorted({label for label, p in places if len(p)}))
+                n, names = batch.num_rows, ["row", "doc_id", *out, "grams"]
+                numbers = [pa.array(out[c], pa.int64()) for c in NUMBERS] + [pa.array(out[c], t) for c, t in zip(("found", "loose"), lists, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), *numbers, pa.nulls(n, pa.list_(pa.int64()))], names=names)
                 ends = np.cumsum([0, *map(len, each)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(each)))
-                yield pa.RecordBatch.from_arrays([batch.column("row"), lists], names=["row", "grams"])
+                grams = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(each)))
+                none = [pa.nulls(n, batch.column("doc_id").type), *[pa.nulls(n, pa.int64())] * len(NUMBERS), *[pa.nulls(n, t) for t in lists]]
+                yield pa.RecordBatch.from_arrays([batch.column("row"), *none, grams], names=names)
+
+    schema = f"row string, doc_id {kind}, " + ", ".join(f"{c} long" for c in NUMBERS) + f", found array<string>, loose {PLACES}, grams array<long>"
+    return rows.select("row", "doc_id", "text").mapInArrow(run, schema)
 
-    return rows.mapInArrow(run, "row long, grams array<long>")
 
+def hits(read: DataFrame, templates=TEMPLATES, k: int = K) -> DataFrame:
+    """The rows of numbers of ``read``, and a row (row, pos, template, at) for every gram that a template has."""
+    places = read.sparkSession.createDataFrame(template_grams(templates, k), "h long, template int, at int")
+    numbers = [c for c in read.columns if c != "grams"]
+    joined = read.select(*numbers, F.posexplode_outer("grams").alias("pos", "h")).join(F.broadcast(places), "h", "left")
+    return joined.where("at IS NOT NULL OR n_words IS NOT NULL").drop("h")
 
-def spans(rolled: DataFrame, templates=TEMPLATES, k: int = K) -> DataFrame:
-    """(row, template, start, end, votes): merged diagonals of (row, grams) rows with enough votes, in words of the document."""
-    spark = rolled.sparkSession
-    places = spark.createDataFrame(template_grams(templates, k), "h long, template int, at int")
+
+def spans(found: DataFrame, templates=TEMPLATES, k: int = K) -> DataFrame:
+    """(row, template, start, end, votes): merged diagonals of hits (row, pos, template, at) with enough votes, in words of the document."""
+    spark = found.sparkSession
     sizes = spark.createDataFrame([(t, max(1, len(words_of(text)) - k + 1)) for t, (_, text) in enumerate(templates)], "template int, n_grams int")
-    hits = rolled.select("row", F.posexplode("grams").alias("pos", "h")).join(F.broadcast(places), "h")
-    once = hits.select("row", "template", (F.col("pos") - F.col("at")).alias("diagonal"), "pos").distinct()  # equal texts vote once
+    once = found.select("row", "template", (F.col("pos") - F.col("at")).alias("diagonal"), "pos").distinct()  # equal texts vote once
     votes = once.groupBy("row", "template", "diagonal").agg(F.count(F.lit(1)).alias("votes"), F.min("pos").alias("start"), F.max("pos").alias("end"))
     # a template's diagonals in one document: gaps over NEAR begin a new alignment
     order = Window.partitionBy("row", "template").orderBy("diagonal")
@@ -174,21 +187,36 @@ def stretches(hashes: np.ndarray, want: np.ndarray) -> Iterator[tuple[int, int]]
 
     Windows begin at a template word, so every window in which the words stand in order lies in one of them.
     """
-    need, width = least_matched(len(want)), 2 * len(want)
     kinds, most = np.unique(want, return_counts=True)
     at = np.minimum(np.searchsorted(kinds, hashes), len(kinds) - 1)
     places = np.flatnonzero(kinds[at] == hashes)
-    if len(places) < need:
+    return _runs(places, at[places], most, least_matched(len(want)), 2 * len(want))
+
+
+def _runs(places: np.ndarray, kind: np.ndarray, most: np.ndarray, need: int, width: int) -> Iterator[tuple[int, int]]:
+    """Runs of windows that begin at a place and hold ``need`` words; of a kind no more than ``most`` count.
+
+    A word counts in a window unless ``most`` of its kind stand before it there, so the windows it counts in begin at
+    neighbouring places: two marks per word and one running sum give all windows.
+    """
+    n = len(places)
+    if n < need:
         return
+    order = np.argsort(kind, kind="stable")
+    sorted_kind, sorted_places, at = kind[order], places[order], np.arange(n)
+    nth = at - np.searchsorted(sorted_kind, sorted_kind)
+    limit = most[sorted_kind]
+    before = np.empty(n, np.int64)  # the place of the word that shuts this one out
+    before[order] = np.where(nth >= limit, sorted_places[np.maximum(at - limit, 0)], -1)
+    low = np.searchsorted(places, np.maximum(before, places - width), side="right")
+    held = np.cumsum(np.bincount(low, minlength=n + 1) - np.bincount(at + 1, minlength=n + 1))[:n]
     ends = np.searchsorted(places, places + width)
     start = end = -1
-    for i in np.flatnonzero(ends - np.arange(len(places)) >= need):
-        held = np.bincount(at[places[i : ends[i]]], minlength=len(kinds))
-        if np.minimum(held, most).sum() >= need:
-            if start >= 0 and places[i] >= end:
-                yield start, end
-                start = -1
-            start, end = int(places[i]) if start < 0 else start, int(places[ends[i] - 1]) + 1
+    for i in np.flatnonzero(held >= need):
+        if start >= 0 and places[i] >= end:
+            yield start, end
+            start = -1
+        start, end = int(places[i]) if start < 0 else start, int(places[ends[i] - 1]) + 1
     if start >= 0:
         yield start, end
 
@@ -224,21 +252,33 @@ class Loose:
     """Places that follow a template whatever their votes."""
 
     def __init__(self, cache: WordHashes, templates=TEMPLATES) -> None:
-        self.wanted = [words_of(text) for _, text in templates]
-        self.each = list(zip([label for label, _ in templates], self.wanted, own_words(templates), [_hashes(want, cache) for want in self.wanted], strict=True))
-        self.known = np.unique(np.concatenate([code for *_, code in self.each]))
-        self.fewest = min(least_matched(len(want)) for want in self.wanted)
-
-    def places(self, words: list[str], hashes: np.ndarray) -> list[dict]:
+        self.labels, self.wanted, self.own = [label for label, _ in templates], [words_of(text) for _, text in templates], own_words(templates)
+        codes = [_hashes(want, cache) for want in self.wanted]
+        self.known = np.unique(np.concatenate(codes))
+        self.most = np.stack([np.bincount(np.searchsorted(self.known, code), minlength=len(self.known)) for code in codes])
+        self.must = np.stack([np.isin(self.known, _hashes(sorted(own), cache)) for own in self.own])
+        self.need = np.array([least_matched(len(want)) for want in self.wanted])
+
+    def places(self, words: list[bytes], hashes: np.ndarray) -> list[dict]:
+        """``words`` in UTF-8 and their hashes; a template whose words the whole text does not hold often enough is not looked for."""
         at = np.minimum(np.searchsorted(self.known, hashes), len(self.known) - 1)
-        if np.count_nonzero(self.known[at] == hashes) < self.fewest:
+        where = np.flatnonzero(self.known[at] == hashes)
+        if len(where) < self.need.min():
             return []
-        out = {(label, *place) for label, want, own, code in self.each for run in stretches(hashes, code) for place in followed(want, own, words, *run)}
+        kind = at[where]
+        counts = np.bincount(kind, minlength=len(self.known))
+        may = (np.minimum(counts, self.most).sum(axis=1) >= self.need) & ~(self.must & (counts == 0)).any(axis=1)
+        out, texts = set(), None
+        for t in np.flatnonzero(may):
+            own = self.most[t][kind] > 0
+            for run in _runs(where[own], kind[own], self.most[t], self.need[t], 2 * len(self.wanted[t])):
+                texts = texts or [w.decode("utf-8", "surrogatepass") for w in words]
+                out |= {(self.labels[t], *place) for place in followed(self.wanted[t], self.own[t], texts, *run)}
         return [{"label": label, "start": start, "end": end, "share": share} for label, start, end, share in sorted(out)]
 
 
 def verified(found: DataFrame, rows: DataFrame, templates=TEMPLATES) -> DataFrame:
-    """``found`` with the text of ``rows`` (row, text): spans whose words follow the template, with label and share."""
+    """``found`` with the text of ``rows`` (row, text binary): spans whose words follow the template, with label and share."""
     wanted = [words_of(text) for _, text in templates]
     labels = [label for label, _ in templates]
 
@@ -246,17 +286,17 @@ def verified(found: DataFrame, rows: DataFrame, templates=TEMPLATES) -> DataFram
         for batch in batches:
             out = []
             for row in batch.to_pylist():
-                words = words_of(row["text"] or "")
+                words = words_of(row["text"].decode("utf-8", "replace"))
                 for s in row["spans"]:
                     want = wanted[s["template"]]
                     got = words[max(0, s["start"] - len(want)) : s["end"] + len(want)]
                     share = sum(m.size for m in SequenceMatcher(None, want, got, autojunk=False).get_matching_blocks()) / len(want)
                     if share >= MATCHED:
                         out.append({"row": row["row"], "label": labels[s["template"]], "start": s["start"], "end": s["end"], "share": share})
-            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("row", pa.int64()), ("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("share", pa.float64())]))
+            yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("row", pa.string()), ("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("share", pa.float64())]))
 
     each = found.groupBy("row").agg(F.collect_list(F.struct("template", "start", "end")).alias("spans"))
-    return each.join(rows, "row").select("row", "spans", "text").mapInArrow(run, "row long, label string, start long, end long, share double")
+    return each.join(rows, "row").select("row", "spans", "text").mapInArrow(run, "row string, label string, start long, end long, share double")
 
 
 def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -264,16 +304,18 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFra
 
     score is the best share of a verified template, 1 where a phrase was found, else 0; spans lists the verified places as
     (label, start, end, share), ends exclusive, in words. Labels are distinct, sorted and comma-joined. Null and empty texts
-    have no words and no labels. Rows with equal texts share one vote, found by the hash of the text; rows that repeat a doc_id
+    have no words and no labels. Rows with equal texts share one vote, found by the MD5 of the text; rows that repeat a doc_id
     or have none are rows like any other. Other columns are ignored.
     """
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text")).withColumn("row", F.xxhash64("text"))
-    found = cut_lineage(spans(grams(rows.select("row", "text"))), "license-spans")
+    plain = F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary")
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), plain.alias("text")).withColumn("row", F.md5("text"))
+    read = cut_lineage(hits(read_once(rows)), "license-read")
+    found = cut_lineage(spans(read.where("at IS NOT NULL")), "license-spans")
     wanted = cut_lineage(found.select("row").distinct(), "license-rows")
-    texts = rows.join(if_few(wanted), "row", "left_semi").groupBy("row").agg(F.min("text").alias("text"))
+    texts = rows.select("row", "text").join(F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted, "row", "left_semi").groupBy("row").agg(F.min("text").alias("text"))
     sure = cut_lineage(verified(found, texts), "license-verified")
     per_row = sure.groupBy("row").agg(F.sort_array(F.collect_list(F.struct("label", "start", "end", "share"))).alias("voted"))
-    joined = phrases_found(rows).join(per_row, "row", "left").withColumn("voted", F.coalesce("voted", F.array().cast(per_row.schema["voted"].dataType)))
+    joined = read.where("n_words IS NOT NULL").join(per_row, "row", "left").withColumn("voted", F.coalesce("voted", F.array().cast(per_row.schema["voted"].dataType)))
     # a place that votes have found is told once, with the bounds of the votes
     told = lambda x: F.exists("voted", lambda v: (v["label"] == x["label"]) & (x["start"] < v["end"]) & (v["start"] < x["end"]))
     spans_ = F.sort_array(F.concat("voted", F.filter("loose", lambda x: ~told(x))))
