@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir``.
 
-    Only a local master, where all tasks share one machine, may go without: it takes a folder of its own in the warehouse.
-    On a cluster an unset folder is an error.
+    Only a local master, where all tasks share one machine, may go without: it takes a folder of its own in Spark's scratch
+    space. On a cluster an unset folder is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if path:
@@ -21,7 +21,7 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return os.path.join(spark.conf.get("spark.sql.warehouse.dir"), f"carelattice-{sc.applicationId}")
+    return os.path.join(sc.getConf().get("spark.local.dir", "/tmp"), f"carelattice-{sc.applicationId}")
 
 
 def new_shared_path(spark: SparkSession, name: str) -> str:
