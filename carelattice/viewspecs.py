@@ -1,17 +1,12 @@
 """The shipped view specifications: column name and path, in output order."""
 
-# fixed values: NPI and extension paths
-_NPI = "identifier.where(system='http://hl7.org/fhir/sid/us-npi').value.first()"
-_NDH = "http://hl7.org/fhir/us/ndh/StructureDefinition/"
-_CMS = "https://example.com/extension_url/"
-
 # fixed values: columns of the six views
 VIEW_COLUMNS = {
     "practitioner": (
         "Practitioner",
         [
             ("resource_uuid", "id"),
-            ("npi", _NPI),
+            ("npi", "identifier.where(system='http://hl7.org/fhir/sid/us-npi').value.first()"),
             ("active_status", "active"),
             ("first_name", "name[0].given[0]"),
             ("middle_name", "name[0].given[1]"),
@@ -24,11 +19,11 @@ VIEW_COLUMNS = {
             ("other_prefix", "name[1].prefix[0]"),
             ("other_non_clinical_suffix", "name[1].suffix[0]"),
             ("gender", "gender"),
-            ("is_cms_enrolled", f"extension.where(url='{_CMS}cms-enrolled').valueBoolean"),
-            ("is_cms_ial2_verified", f"extension.where(url='{_CMS}cms-ial2-verified').valueBoolean"),
+            ("is_cms_enrolled", "extension.where(url='https://example.com/extension_url/cms-enrolled').valueBoolean"),
+            ("is_cms_ial2_verified", "extension.where(url='https://example.com/extension_url/cms-ial2-verified').valueBoolean"),
             (
                 "is_participating_in_cms_aligned_data_networks",
-                f"extension.where(url='{_CMS}cms-aligned-data-networks').valueBoolean",
+                "extension.where(url='https://example.com/extension_url/cms-aligned-data-networks').valueBoolean",
             ),
         ],
     ),
@@ -46,21 +41,21 @@ VIEW_COLUMNS = {
             ("healthcare_service_reference", "healthcareService[0].reference"),
             (
                 "accepting_new_patients",
-                f"extension.where(url='{_NDH}base-ext-newpatients').valueBoolean.first()",
+                "extension.where(url='http://hl7.org/fhir/us/ndh/StructureDefinition/base-ext-newpatients').valueBoolean.first()",
             ),
-            ("rating", f"extension.where(url='{_NDH}base-ext-rating').valueInteger.first()"),
+            ("rating", "extension.where(url='http://hl7.org/fhir/us/ndh/StructureDefinition/base-ext-rating').valueInteger.first()"),
         ],
     ),
     "organization": (
         "Organization",
         [
             ("resource_uuid", "id"),
-            ("npi", _NPI),
+            ("npi", "identifier.where(system='http://hl7.org/fhir/sid/us-npi').value.first()"),
             ("active", "active"),
             ("name", "name"),
             (
                 "description",
-                f"extension.where(url='{_NDH}base-ext-org-description').valueString.first()",
+                "extension.where(url='http://hl7.org/fhir/us/ndh/StructureDefinition/base-ext-org-description').valueString.first()",
             ),
             ("part_of_reference", "partOf.reference"),
             ("organization_type_code", "type[0].coding[0].code"),
@@ -112,7 +107,7 @@ VIEW_COLUMNS = {
             ("address", "address"),
             (
                 "endpoint_rank",
-                f"extension.where(url='{_NDH}base-ext-endpoint-rank').valuePositiveInt.first()",
+                "extension.where(url='http://hl7.org/fhir/us/ndh/StructureDefinition/base-ext-endpoint-rank').valuePositiveInt.first()",
             ),
         ],
     ),
