@@ -25,7 +25,6 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,8 +41,6 @@ SHARD_TEXT = 32 << 20
 ROUNDS = 8
 #: Sequences a task can number.
 TASK_SPAN = 1 << 32
-#: Distinct words whose ids a worker remembers.
-REMEMBERED = 600_000
 NO_ID = -(1 << 63)
 
 
@@ -85,7 +82,7 @@ class Vocabulary:
 
 @lru_cache(1)
 def _encoder(path: str, pattern: str):
-    """Made once per worker; the ids of words already met are looked up, the memory of them is bounded."""
+    """Made once per worker."""
     import tiktoken
 
     with open(path, "rb") as f:
@@ -93,17 +90,7 @@ def _encoder(path: str, pattern: str):
     if max(ranks.values()) > 0xFFFF:
         raise ValueError("ids must fit 16 bits")
     own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    split = regex.compile(pattern).findall
-
-    class Words(dict):
-        def __missing__(self, word: str) -> bytes:
-            value = array("H", own.encode_ordinary(word)).tobytes()
-            if len(self) < REMEMBERED:
-                self[word] = value
-            return value
-
-    words = Words()
-    return lambda text: b"".join(map(words.__getitem__, split(text)))
+    return lambda text: array("H", own.encode_ordinary(text)).tobytes()
 
 
 def sequences(docs: DataFrame, vocabulary: Vocabulary, length: int, key: int, parts: int, shards: int) -> DataFrame:
@@ -191,11 +178,12 @@ def materialise(docs: DataFrame, folder: str | None = None, vocabulary: Vocabula
     """Write the sequences of ``docs`` (doc_id, text) in training order.
 
     Null and empty texts have no sequence; rows that repeat are separate documents; a null doc_id is kept as null; other
-    columns are ignored. An empty table gives empty shards. The driver sees one number per shard.
+    columns are ignored. An empty table gives empty shards. Ids are integers, or texts of integers; any other id is an error. The driver
+    sees one number per shard.
     """
     spark = docs.sparkSession
     folder = folder or new_shared_path(spark, "training-order")
-    plain = docs.select("doc_id", "text")
+    plain = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = plain.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).cast("long")).first()[0]
     shards, parts = max(1, -(-size // shard_text)), max(1, plain.rdd.getNumPartitions())
     dealt = sequences(plain, vocabulary or Vocabulary.public(), length, key, parts, shards).repartitionById(shards, F.col("shard"))
