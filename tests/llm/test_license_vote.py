@@ -72,3 +72,15 @@ def test_no_window_that_verifies_is_dropped():
                 exact.append(share)
         found = [x for s in L.stretches(L._hashes(words, cache), L._hashes(want, cache)) for x in L.followed(want, own, words, *s)]
         assert max((x[2] for x in found), default=0) == max(exact, default=0)
+
+
+def test_whole_licenses_in_a_file(docs):
+    whole = {label: text for label, text in reversed(L.TEMPLATES) if len(L.words_of(text)) > 80}
+    assert set(whole) == {"mit", "bsd", "isc", "zlib", "bsl-1.0", "unlicense"}
+    rows = [(k, f"Copyright 2020 Somebody\n\n{text}\n\nint main() {{ return {k}; }}\n" + "other words " * 50) for k, text in enumerate(whole.values())]
+    rows += [(50 + k, " ".join(w if i % 10 else "other" for i, w in enumerate(L.words_of(text)))) for k, text in enumerate(whole.values())]
+    got = {r["doc_id"]: r for r in L.scan(docs(rows)).collect()}
+    for k, label in enumerate(whole):
+        assert label in got[k]["labels"].split(",") and got[k]["score"] == 1.0
+        assert label in got[50 + k]["labels"].split(",") and 0.8 < got[50 + k]["score"] < 1
+    assert got[list(whole).index("zlib")]["labels"] == "zlib" and got[list(whole).index("isc")]["labels"] == "isc"
