@@ -9,13 +9,12 @@ set; every pair of a tuple of the first with a tuple of the second is a table ke
    row per key through the shuffle, then among the centres of the batches. A bucket never makes all its pairs.
 3. Pairs whose signatures agree five standard deviations below the threshold are dropped; all others are confirmed on
    the full sets, rebuilt from the whole texts. Members of a centre are dealt in blocks, the centre's text once per block.
-4. Confirmed links are contracted to components, and further rounds with other centres look only at pairs of different
-   components. A few rounds share one order of centres over all keys, which joins large groups at about one pair per
-   member; then the keys are spread over many orders, until a round finds nothing. A component leaves when its buckets hold no other, or a
-   round has found no link for it and those it shares buckets with.
-5. The rounds only make the components few. All documents whose buckets held several components before the first component
-   left for want of links are then joined by an exact prefix filter on their shingles, so that no pair of them is lost for
-   never having met a centre.
+4. Confirmed links are contracted to components; a further round, with another order of centres for all keys, looks only at pairs
+   of different components. That joins large groups at about one pair per member. A component leaves when its buckets hold
+   no other.
+5. The rounds, at most ``ROUNDS``, only make the components few. All documents whose buckets still hold several components
+   are then joined by an exact prefix filter on their shingles, so that no pair of them is lost for never having met a
+   centre. A shingle with many sets is dealt to cells of bounded size on both sides of the join.
 
 A pair with similarity s shares a key with probability 1 - 2(1 - s**rows)**side at least: 0.9999 at 0.75 and 0.99999 at 0.8
 with the defaults. Every pair that shares one ends in one component by the rounds, or is compared by the last step.
@@ -38,19 +37,20 @@ from carelattice.runtime import cut_lineage
 
 #: Members of a centre that are confirmed in one block; the centre's text travels once per block.
 BLOCK = 256
-#: Orders of centres over which the keys are spread in later rounds.
-ORDERS = 16
-#: Rounds at most in which all keys share one order of centres.
-SHARED_ROUNDS = 3
+#: Rounds of centres at most, before the exact join.
+ROUNDS = 3
 #: Cells at most of the table of shingle frequencies, two bytes each; every task of the last step holds it.
 MOST_CELLS = 1 << 23
 #: Cells in one row of that table.
 CELL_BLOCK = 1 << 14
-#: Indexed documents of a shingle that one group compares with all others; more are dealt to several groups.
-LEADS = 4096
+#: Sets of a shingle that are compared in one cell; sets of a shingle that has more are dealt to several.
+CELL_SETS = 4096
+#: Shingles up to which the list of those that are dealt is broadcast (32 MB).
+BROADCAST_SHINGLES = 1_000_000
 #: Pairs a task holds before it hands the distinct ones on.
 HELD_PAIRS = 1 << 20
 
+
 @dataclass(frozen=True)
 class Banding:
     """``percent``: similarity from which documents are linked; ``side`` tuples of ``rows`` minhashes in either collection."""
@@ -145,18 +145,13 @@ def _stars(keys, prio, ids, comps):
     return order[first], pairs
 
 
-def candidates(nodes: DataFrame, banding: Banding, round_: int, per_key: bool) -> DataFrame:
+def candidates(nodes: DataFrame, banding: Banding, round_: int) -> DataFrame:
     """Distinct pairs (a, b) of ``nodes`` (id, comp, sig) that a bucket's centre makes, components differing.
 
-    The centre is the member with the smallest hashed id, so most buckets of a group share it and few distinct pairs arise;
-    ``per_key`` the keys of a document draw theirs by ORDERS different orders.
+    The centre is the member with the smallest hashed id, so most buckets of a group share it and few distinct pairs arise.
     """
     schema = "k long, prio long, a long, b long, comp long"
 
-    def priority(ids: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        salted = ids.astype(np.uint64) + np.uint64(round_)
-        return mix(salted ^ (keys % np.uint64(ORDERS) << np.uint64(40)) if per_key else salted) >> np.uint64(1)
-
     def rows(k, prio, a, b, comp) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(k.astype(np.int64)), pa.array(prio.astype(np.int64)), pa.array(a), b, pa.array(comp)], names=["k", "prio", "a", "b", "comp"])
 
@@ -173,7 +168,7 @@ def candidates(nodes: DataFrame, banding: Banding, round_: int, per_key: bool) -
                 sigs = np.stack([np.frombuffer(s.as_py(), np.uint32) for s in batch.column("sig")])
                 keys = table_keys(sigs, banding)
                 ids, comps, keys = np.repeat(ids, keys.shape[1]), np.repeat(comps, keys.shape[1]), keys.ravel()
-                prio = priority(ids, keys)
+                prio = mix(ids.astype(np.uint64) + np.uint64(round_)) >> np.uint64(1)
                 firsts, pairs = _stars(keys, prio, ids, comps)
                 yield rows(keys[firsts], prio[firsts], ids[firsts], pa.nulls(len(firsts), pa.int64()), comps[firsts])
                 if len(pairs):
@@ -255,19 +250,10 @@ def _of_components(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.join(known("a"), "a").join(known("b"), "b")
 
 
-def _still_open(nodes: DataFrame, found: DataFrame, labels: DataFrame, links: DataFrame | None) -> DataFrame:
-    """Nodes that take part in the next round.
-
-    In a bucket of several components all of them appear in its pairs ``found``; a component without a pair that
-    still leads to another one is done. With ``links`` it also needs one of them, or such a pair with a component that has
-    one: a component stays in until a round finds no link for it or its neighbours.
-    """
-    pairs = _of_components(found, labels).select("comp_a", "comp_b").where("comp_a <> comp_b").distinct()
-    if links is not None:
-        gained = _of_components(links, labels).select(F.explode(F.array("comp_a", "comp_b")).alias("comp_a")).distinct()
-        both = pairs.unionByName(pairs.select(F.col("comp_b").alias("comp_a"), F.col("comp_a").alias("comp_b")))
-        pairs = both.join(gained, "comp_a", "left_semi")
-    comps = pairs.select(F.explode(F.array("comp_a", "comp_b")).alias("comp")).distinct()
+def _still_open(nodes: DataFrame, found: DataFrame, labels: DataFrame) -> DataFrame:
+    """Nodes of the components that a pair of ``found`` still leads out of; in a bucket of several components all appear there."""
+    unlike = _of_components(found, labels).where("comp_a <> comp_b").select("comp_a", "comp_b").distinct()
+    comps = unlike.select(F.explode(F.array("comp_a", "comp_b")).alias("comp")).distinct()
     ids = labels.join(comps, "comp", "left_semi").select("id")
     return cut_lineage(nodes.join(ids, "id", "left_semi"), "open-nodes")
 
@@ -302,13 +288,14 @@ def frequencies(texts: DataFrame, cells: int, banding: Banding) -> np.ndarray:
     return total.ravel()
 
 
-def _meeting(group, lead, n, pos, ids, comps, percent: int) -> Iterator[np.ndarray]:
-    """Pairs (a, b) of a leading row and a later one of its group that sizes, places and components allow.
+def _meeting(group, role, n, pos, ids, comps, percent: int) -> Iterator[np.ndarray]:
+    """Pairs (a, b) of a leading row (role 1 or 3) and a later follower (2 or 3) of its group that sizes, places and components allow.
 
     Arguments are flat, parallel and sorted by group, n and id. ``pos`` is the shingle's place in the set's order: if it is the
     first the pair has in common, no more than the smaller rest is common.
     """
-    left, step, out, held = np.flatnonzero(lead), 0, [], 0
+    left, step, out, held = np.flatnonzero(role & 1), 0, [], 0
+    follows = role > 1
     while len(left):
         step += 1
         left = left[left + step < len(group)]
@@ -316,7 +303,7 @@ def _meeting(group, lead, n, pos, ids, comps, percent: int) -> Iterator[np.ndarr
         near = (group[left] == group[right]) & (100 * n[left] >= percent * n[right])
         left, right = left[near], right[near]
         rest = np.minimum(n[left] - pos[left], n[right] - pos[right])
-        good = ((100 + percent) * rest >= percent * (n[left] + n[right])) & (comps[left] != comps[right])
+        good = ((100 + percent) * rest >= percent * (n[left] + n[right])) & (comps[left] != comps[right]) & follows[right]
         if good.any():
             out.append(np.stack([ids[left[good]], ids[right[good]]], axis=1))
             held += len(out[-1])
@@ -332,8 +319,9 @@ def prefix_pairs(nodes: DataFrame, texts: DataFrame, banding: Banding) -> DataFr
 
     Sets are ordered by the frequency of their shingles, rare ones first. Of a linked pair the larger set (or an equal one)
     has a shingle among its first n - percent * n + 1 that stands among the first n - 2 * percent / (1 + percent) * n + 1 of the other
-    (those are indexed): else too few are left to be common. Shingles of one set only are not sent. The indexed sets of a
-    frequent shingle are dealt to groups that all get its other sets.
+    (those are indexed): else too few are left to be common. Shingles of one set only are not sent. Of a shingle with
+    more than CELL_SETS sets the indexed ones and all are dealt to groups, each pair of groups is a cell of its own, and one
+    with sets of a single component is left out.
     """
     p = banding.percent
     source = cut_lineage(nodes.select("id", "comp").distinct().join(texts, "id"), "prefix-texts")
@@ -363,10 +351,10 @@ def prefix_pairs(nodes: DataFrame, texts: DataFrame, banding: Banding) -> DataFr
         held: list[np.ndarray] = []
 
         def pairs(rows: np.ndarray) -> Iterator[pa.RecordBatch]:
-            k, salt, lead, *rest = rows
+            k, salt, role, *rest = rows
             new = np.ones(len(k), bool)
             new[1:] = (k[1:] != k[:-1]) | (salt[1:] != salt[:-1])
-            for both in _meeting(np.cumsum(new), lead == 1, *rest, p):
+            for both in _meeting(np.cumsum(new), role, *rest, p):
                 yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
         for batch in batches:
@@ -382,14 +370,22 @@ def prefix_pairs(nodes: DataFrame, texts: DataFrame, banding: Banding) -> DataFr
             yield from pairs(np.concatenate(held, axis=1))
 
     posted = cut_lineage(source.mapInArrow(post, "k long, indexed long, n long, pos long, id long, comp long"), "prefixes")
-    frequent = cut_lineage(posted.where("indexed = 1").groupBy("k").agg(F.ceil(F.count(F.lit(1)) / LEADS).cast("long").alias("groups")).where("groups > 1"), "frequent-shingles")
-    if frequent.isEmpty():
-        dealt = posted.select("k", F.lit(0).cast("long").alias("salt"), F.col("indexed").alias("lead"), "n", "pos", "id", "comp")
+    share = lambda n: F.ceil(n / CELL_SETS).cast("long")
+    counted = posted.groupBy("k").agg(F.count(F.lit(1)).alias("sets"), F.sum("indexed").alias("leads"), (F.min("comp") != F.max("comp")).alias("several"))
+    frequent = cut_lineage(counted.where(F.col("sets") > CELL_SETS).select("k", share(F.col("leads")).alias("rows"), share(F.col("sets")).alias("columns"), "several"), "frequent-shingles")
+    n_frequent = frequent.count()
+    alone = F.array(F.struct(F.lit(0).cast("long").alias("salt"), (F.col("indexed") + 2).alias("role")))
+    if not n_frequent:
+        cells_of = posted.withColumn("cell", F.explode(alone))
     else:
-        groups = posted.join(F.broadcast(frequent), "k", "left").withColumn("groups", F.coalesce("groups", F.lit(1).cast("long")))
-        copies = groups.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("groups") - 1)))
-        own = (F.col("indexed") == 1) & (F.pmod(F.xxhash64("id"), F.col("groups")) == F.col("salt"))
-        dealt = copies.select("k", "salt", own.cast("long").alias("lead"), "n", "pos", "id", "comp")
+        count_to = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
+        own_row, own_column = F.pmod(F.xxhash64("id"), F.col("rows")), F.pmod(F.xxhash64("id", F.lit(1)), F.col("columns"))
+        leading = F.transform(count_to(F.col("columns")), lambda j: F.struct((own_row * F.col("columns") + j).alias("salt"), F.lit(1).cast("long").alias("role")))
+        following = F.transform(count_to(F.col("rows")), lambda i: F.struct((i * F.col("columns") + own_column).alias("salt"), F.lit(2).cast("long").alias("role")))
+        many = F.when(F.col("indexed") == 1, F.concat(leading, following)).otherwise(following)
+        known = posted.join(F.broadcast(frequent) if n_frequent <= BROADCAST_SHINGLES else frequent, "k", "left").where(F.coalesce("several", F.lit(True)) & F.coalesce(F.col("rows") > 0, F.lit(True)))
+        cells_of = known.withColumn("cell", F.explode(F.when(F.col("rows").isNull(), alone).otherwise(many)))
+    dealt = cells_of.select("k", F.col("cell.salt").alias("salt"), F.col("cell.role").alias("role"), "n", "pos", "id", "comp")
     sorted_ = dealt.repartition("k", "salt").sortWithinPartitions("k", "salt", "n", "id")
     return sorted_.mapInArrow(meet, "a long, b long").where("a <> b").distinct()
 
@@ -399,7 +395,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     Rows without text or words have an empty set, are linked with nothing and kept. Rows that repeat a doc_id count as one
     document with several texts. A row without doc_id cannot be named as a member: component_id is null, kept true. Fewer
-    than five words make one shingle of the whole sequence. Other columns are ignored; an empty table gives no rows.
+    than five words make one shingle of the whole sequence. Other columns are ignored; an empty table gives no rows. Ids are
+    integers, or texts of integers; any other id is an error.
     """
     banding = banding or Banding()
     plain = docs.select(F.col(f"`{doc_id}`").cast("long").alias("id"), F.col(f"`{text}`").cast("binary").alias("text"))
@@ -410,39 +407,36 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     members = cut_lineage(full.join(reps, sets).select("id", "n", "rep", F.when(F.col("id") == F.col("rep"), F.col("sig")).alias("sig")), "members")
     nodes = members.where("sig IS NOT NULL").select("id", "n", "sig", F.col("id").alias("comp"))
 
-    found = cut_lineage(candidates(nodes, banding, 1, per_key=False), "candidates")
+    found = cut_lineage(candidates(nodes, banding, 1), "candidates")
     touched = cut_lineage(found.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "touched")
     touched_n = touched.count()
     texts = cut_lineage(plain.join(if_few(touched, touched_n), "id", "left_semi"), "touched-texts")
     nodes = cut_lineage(nodes.join(touched, "id", "left_semi"), "touched-nodes")
     labels = nodes.select("id", "comp").distinct()
-    tried = waiting = None
-    round_, per_key = 1, False
+    tried, fresh = None, touched_n
 
     def contracted(links: DataFrame) -> DataFrame:
         merged = _of_components(links, labels).select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
         new = components(merged).select(F.col("node").alias("comp"), "component")
         return cut_lineage(labels.join(new, "comp", "left").select("id", F.coalesce("component", "comp").alias("comp")), "labels")
 
-    while touched_n:
-        fresh_pairs = found if tried is None else found.join(tried, ["a", "b"], "left_anti")
-        likely = cut_lineage(plausible(fresh_pairs, nodes, banding), "likely")
+    for round_ in range(1, ROUNDS + 1):
+        if not fresh:
+            break
+        if tried is not None:
+            found = cut_lineage(candidates(nodes.drop("comp").join(labels, "id"), banding, round_), "candidates")
+        untried = found if tried is None else found.join(tried, ["a", "b"], "left_anti")
+        likely = cut_lineage(plausible(untried, nodes, banding), "likely")
         links = cut_lineage(confirmed(likely, texts, banding), "links")
         fresh = links.count()
         tried = likely if tried is None else tried.unionByName(likely)
-        if per_key and not fresh:
-            break
         if fresh:
             labels = contracted(links)
-        nodes = _still_open(nodes, found, labels, links if per_key else None)
-        waiting = waiting if per_key else nodes
-        per_key = per_key or not fresh or round_ >= SHARED_ROUNDS
-        round_ += 1
-        found = cut_lineage(candidates(nodes.drop("comp").join(labels, "id"), banding, round_, per_key), "candidates")
-
-    if waiting is not None and not waiting.isEmpty():
-        left = prefix_pairs(waiting.drop("comp").join(labels, "id"), texts, banding).join(tried, ["a", "b"], "left_anti")
-        links = cut_lineage(confirmed(cut_lineage(plausible(left, waiting, banding), "likely"), texts, banding), "links")
+            nodes = _still_open(nodes, found, labels)
+
+    if touched_n and not nodes.isEmpty():
+        left = prefix_pairs(nodes.drop("comp").join(labels, "id"), texts, banding).join(tried, ["a", "b"], "left_anti")
+        links = cut_lineage(confirmed(cut_lineage(plausible(left, nodes, banding), "likely"), texts, banding), "links")
         if not links.isEmpty():
             labels = contracted(links)
 

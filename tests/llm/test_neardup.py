@@ -76,7 +76,7 @@ def test_pairs_within_a_template_below_the_threshold(docs):
 
 
 def test_frequent_shingles_are_dealt_to_groups(docs, monkeypatch):
-    monkeypatch.setattr(neardup, "LEADS", 2)
+    monkeypatch.setattr(neardup, "CELL_SETS", 2)
     rows = corpus(6)
     plain = docs(rows, 4).selectExpr("doc_id AS id", "CAST(text AS BINARY) AS text")
     pairs = {(r["a"], r["b"]) for r in neardup.prefix_pairs(plain.selectExpr("id", "id AS comp"), plain, neardup.Banding()).collect()}
