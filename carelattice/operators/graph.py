@@ -5,7 +5,7 @@ Nodes are keyed by ``Type/id`` text. Edges exist only where both ends do, and on
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -278,66 +278,107 @@ EDGE_RULES = {
 }
 
 
-def _edge_list(ids: Column, me: Column, other: str, rel: str, direction: str) -> Column:
-    def edge(i: Column) -> Column:
-        far = F.concat(F.lit(f"{other}/"), i)
-        src, dst = (far, me) if direction == "in" else (me, far)
-        return F.struct(src.alias("src"), F.lit(rel).alias("rel"), dst.alias("dst"))
+#: (type that holds the reference, relationship, type it names) of every rule
+LINK_TYPES = [(rtype, rel, other) for rtype, rules in EDGE_RULES.items() for _, _, other, rel, _ in rules] + [("Practitioner", "HAS_ENDPOINT", "Endpoint")]
+RELATIONSHIPS = tuple(sorted({rel for _, rel, _ in LINK_TYPES}))
+#: relationships whose ``src`` is the far end; the resource that holds the reference is ``dst``
+INWARD = tuple(sorted({rel for rules in EDGE_RULES.values() for *_, rel, direction in rules if direction == "in"}))
 
-    return F.transform(F.filter(ids, lambda i: i.isNotNull()), edge)
 
+def types_of(rels: Iterable[str]) -> list[str]:
+    """Resource types at either end of some relationships."""
+    return sorted({t for owner, rel, other in LINK_TYPES if rel in rels for t in (owner, other)})
 
-def wanted_edges(resources: Resources) -> DataFrame:
-    """Every reference as a distinct (src, rel, dst, rank), whether or not its target exists."""
+
+def relationships_at(rtype: str) -> tuple[str, ...]:
+    """Relationships that may touch a node of the type."""
+    return tuple(sorted({rel for owner, rel, other in LINK_TYPES if rtype in (owner, other)}))
+
+
+def _link_list(ids: Column, other: str, rel: str) -> Column:
+    def link(i: Column) -> Column:
+        return F.struct(F.lit(rel).alias("rel"), F.concat(F.lit(f"{other}/"), i).alias("far"), F.lit(None).cast("bigint").alias("rank"))
+
+    return F.transform(F.filter(ids, lambda i: i.isNotNull()), link)
+
+
+def _endpoint_links(extension: Column) -> Column:
+    return F.transform(
+        endpoint_refs(extension, K.ENDPOINT_REFERENCE_URLS),
+        lambda e: F.struct(
+            F.lit("HAS_ENDPOINT").alias("rel"), F.concat(F.lit("Endpoint/"), e["endpoint_id"]).alias("far"), e["rank"].cast("bigint").alias("rank")
+        ),
+    )
+
+
+def links_of(resources: Resources, rels: Iterable[str] | None = None) -> DataFrame | None:
+    """One row per line that refers to something: its node ``me`` and its ``links`` (rel, far, rank), whether or not the far end exists.
+
+    ``rels`` limits the relationships; types that have none of them are not read, fields that hold none not built.
+    """
     out = None
     for rtype, rules in EDGE_RULES.items():
-        if rtype not in resources:
+        rules = [rule for rule in rules if rels is None or rule[3] in rels]
+        own = rtype == "Practitioner" and (rels is None or "HAS_ENDPOINT" in rels)
+        if rtype not in resources or not (rules or own):
             continue
-        if rtype == "Practitioner":
-            refs = parse_resources(resources[rtype], rtype, ("id", "extension")).select(
-                F.col("r.id").alias("id"),
-                F.explode(endpoint_refs(F.col("r.extension"), K.ENDPOINT_REFERENCE_URLS)).alias("e"),
-            )
-            part = refs.select(
-                F.concat(F.lit("Practitioner/"), "id").alias("src"),
-                F.lit("HAS_ENDPOINT").alias("rel"),
-                F.concat(F.lit("Endpoint/"), "e.endpoint_id").alias("dst"),
-                F.col("e.rank").cast("bigint").alias("rank"),
-                F.col("e.endpoint_id").isNotNull().alias("_ok"),
-            ).where(F.col("id") != "").where("_ok").drop("_ok")
-        else:
-            fields = tuple({f for f, *_ in rules})
-            me = F.concat(F.lit(f"{rtype}/"), F.col("r.id"))
-            lists = [
-                _edge_list(ids(F.col(f"r.{field}")), me, other, rel, direction)
-                for field, ids, other, rel, direction in rules
-            ]
-            all_lists = F.flatten(F.array_compact(F.array(*lists)))
-            part = (
-                parse_resources(resources[rtype], rtype, ("id", *fields))
-                .where(F.col("r.id") != "")
-                .select(F.explode(all_lists).alias("e"))
-                .select("e.*", F.lit(None).cast("bigint").alias("rank"))
-            )
+        lists = [_link_list(ids(F.col(f"r.{field}")), other, rel) for field, ids, other, rel, _ in rules]
+        if own:
+            lists.append(_endpoint_links(F.col("r.extension")))
+        fields = sorted({field for field, *_ in rules} | ({"extension"} if own else set()))
+        part = (
+            parse_resources(resources[rtype], rtype, ("id", *fields))
+            .where(F.col("r.id") != "")
+            .select(F.concat(F.lit(f"{rtype}/"), F.col("r.id")).alias("me"), F.flatten(F.array_compact(F.array(*lists))).alias("links"))
+            .where(F.size("links") > 0)
+        )
         out = part if out is None else out.unionByName(part)
-    # equal edges differ at most in rank: the greatest is kept
-    return out.groupBy("src", "rel", "dst").agg(F.max("rank").alias("rank"))
+    return out
 
 
-def build_edges(resources: Resources, nodes: DataFrame | None = None) -> DataFrame:
-    """(src, rel, dst, rank) with both ends present.
+def _nodes(resources: Resources) -> DataFrame:
+    """(node) of every line with an id, repeated as often as the id is."""
+    out = None
+    for rtype, df in resources.items():
+        part = _with_id(df).where("id <> ''").select(F.concat(F.lit(f"{rtype}/"), "id").alias("node"))
+        out = part if out is None else out.unionByName(part)
+    return out
 
-    The end that owns the reference exists by construction; the other is looked up among the
-    nodes, salted because one organization may be named by a third of all roles.
+
+def build_edges(resources: Resources, rels: Iterable[str] | None = None) -> DataFrame:
+    """(src, rel, dst, rank) with both ends present, each once; ``rels`` limits the relationships.
+
+    The end that owns the reference exists by construction. Targets of the others are reduced to distinct ones and those that do not
+    exist, usually few, are taken out. Equal edges have one owner, so only links of an owner that occurs twice, or that names
+    a target twice, are grouped; all others leave without a shuffle.
     """
-    if nodes is None:
-        nodes = node_ids(resources)
-    edges = cut_lineage(wanted_edges(resources), "edges")
-    inward = F.col("rel").isin("HAS_ROLE", "HAS_AFFILIATION", "MANAGES")
-    far = edges.withColumn("far", F.when(inward, F.col("src")).otherwise(F.col("dst")))
-    return salted_lookup(far, nodes.select(F.col("node").alias("far")), "far").select(
-        "src", "rel", "dst", "rank"
-    )
+    rels = None if rels is None else set(rels)
+    links = links_of(resources, rels)
+    if links is None:
+        spark = next(iter(resources.values())).sparkSession
+        return spark.createDataFrame([], "src string, rel string, dst string, rank bigint")
+    links = cut_lineage(links, "links")
+    pairs = F.transform("links", lambda x: F.struct(x["rel"], x["far"]))
+    twice = links.select("me", (F.size(F.array_distinct(pairs)) < F.size("links")).alias("_same"))
+    repeated = cut_lineage(twice.groupBy("me").agg(F.count(F.lit(1)).alias("_n"), F.max("_same").alias("_same")).where("_n > 1 OR _same").select("me"), "repeated")
+    far_types = {other for _, rel, other in LINK_TYPES if rels is None or rel in rels}
+    named = links.select(F.explode("links.far").alias("far")).distinct()
+    known = _nodes({t: df for t, df in resources.items() if t in far_types})
+    if known is not None:
+        named = named.join(known.withColumnRenamed("node", "far"), "far", "left_anti")
+    missing = cut_lineage(named, "missing")
+
+    def pairs_of(rows: DataFrame) -> DataFrame:
+        return rows.select("me", F.explode("links").alias("e")).select("me", "e.*").join(missing, "far", "left_anti")
+
+    inward = F.col("rel").isin(*INWARD)
+    if repeated.isEmpty():
+        found = pairs_of(links)
+    else:
+        # equal edges differ at most in rank: the greatest is kept
+        again = pairs_of(links.join(repeated, "me", "left_semi")).groupBy("me", "far", "rel").agg(F.max("rank").alias("rank"))
+        found = pairs_of(links.join(repeated, "me", "left_anti")).select("me", "far", "rel", "rank").unionByName(again)
+    return found.select(F.when(inward, F.col("far")).otherwise(F.col("me")).alias("src"), "rel", F.when(inward, F.col("me")).otherwise(F.col("far")).alias("dst"), "rank")
 
 
 def node_type(node: Column) -> Column:

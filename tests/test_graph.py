@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from carelattice import constants as K
 from carelattice.operators import graph, hierarchy, subset
 from carelattice.operators.docgraph import filter_docgraph
 from carelattice.runtime import salted_lookup
@@ -292,3 +293,24 @@ def test_network_assembly_keeps_lonely_practitioners(spark, lines, rows):
     assert ("Practitioner/none", None, None, None, None) in got
     assert ("Practitioner/1", "PractitionerRole/r1", "Organization/o3", "Location/l2", None) in got
     assert len(got) == 3
+
+
+def test_edges_of_one_relationship_read_only_its_types(lines, rows):
+    resources = directory(lines)
+    whole = rows(graph.build_edges(resources).where("rel = 'PART_OF'"))
+    refused = F.raise_error(F.lit("not to be read")).cast("string")
+    for rtype in set(resources) - {"Organization", "Location"}:
+        resources[rtype] = resources[rtype].withColumn("id", refused).withColumn("value", refused)
+    assert rows(graph.build_edges(resources, ["PART_OF"])) == whole != []
+
+
+def test_equal_edges_of_a_line_and_of_two_lines_are_one(lines, rows):
+    def points(endpoint, rank):
+        return {"url": K.ENDPOINT_REFERENCE_URLS[0], "valueReference": {"reference": f"Endpoint/{endpoint}"}, "extension": [{"url": "rank", "valuePositiveInt": rank}]}
+
+    person = {"resourceType": "Practitioner", "id": "p"}
+    resources = {
+        "Practitioner": lines(person | {"extension": [points("e", 1), points("e", 3), points("f", 2), points("none", 1)]}, person | {"extension": [points("e", 2)]}),
+        "Endpoint": lines({"resourceType": "Endpoint", "id": "e"}, {"resourceType": "Endpoint", "id": "f"}, {"resourceType": "Endpoint", "id": "f"}),
+    }
+    assert rows(graph.build_edges(resources)) == [("Practitioner/p", "HAS_ENDPOINT", "Endpoint/e", 3), ("Practitioner/p", "HAS_ENDPOINT", "Endpoint/f", 2)]
