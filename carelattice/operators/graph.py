@@ -626,49 +626,54 @@ def shared_employer_counts(bridge: DataFrame) -> DataFrame:
     return bridge.groupBy("organization").agg(n.alias("practitioners"), (n * (n - 1) / 2).cast("bigint").alias("pairs"))
 
 
-def organizations_sharing(bridge: DataFrame, more_than: int = 5) -> DataFrame:
+def organizations_sharing(bridge: DataFrame, more_than: int = 5, frequent: int = 100) -> DataFrame:
     """Organization pairs with more than ``more_than`` practitioners in common.
 
-    Exact prefix filtering: with practitioners ordered from rare to frequent, two organizations
-    that share c of them must meet within the first size-c+1 of each. Very frequent practitioners
-    come last, so they make no candidate pairs. The join that finds candidates also counts what
-    their prefixes share; the few practitioners outside a prefix are looked up pair by pair.
+    Practitioners of at most ``frequent`` organizations are paired and counted directly. For the others exact prefix filtering:
+    with practitioners ordered from rare to frequent, two organizations that share c of them must meet outside the last c-1
+    of each, so up to c-1 frequent practitioners of an organization make no candidate pairs. The join that finds candidates
+    also counts what their prefixes share; what was left out is looked up for pairs that it could bring above the limit.
     """
     from pyspark.sql import Window
 
     c = more_than + 1
     bridge = cut_lineage(bridge)
-    frequency = bridge.groupBy("practitioner").agg(F.count(F.lit(1)).alias("f"))
-    size = bridge.groupBy("organization").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= c)
-    ranked = cut_lineage(salted_lookup(bridge, frequency, "practitioner"))
-    sized = salted_lookup(ranked, size, "organization")
+    n = F.count(F.lit(1))
+    small = cut_lineage(bridge.groupBy("organization").agg(n.alias("_n")).where(F.col("_n") < c).select("organization"))
+    often = cut_lineage(bridge.groupBy("practitioner").agg(n.alias("f")).where(F.col("f") > frequent))
+    large = bridge.join(small, "organization", "left_anti")
     # position from the frequent end, so that the window keeps at most c - 1 rows to drop
     order = Window.partitionBy("organization").orderBy(F.desc("f"), F.desc("practitioner"))
-    last = (
-        sized.withColumn("_r", F.row_number().over(order))
+    last = cut_lineage(
+        large.join(often, "practitioner")
+        .withColumn("_r", F.row_number().over(order))
         .where(F.col("_r") <= c - 1)
         .select("organization", "practitioner")
     )
-    prefix = cut_lineage(
-        sized.select("organization", "practitioner").join(last, ["organization", "practitioner"], "left_anti")
-    )
+    none_left_out = last.isEmpty()
+    prefix = large.select("organization", "practitioner")
+    if not none_left_out:
+        prefix = cut_lineage(prefix.join(last, ["organization", "practitioner"], "left_anti"))
     left = prefix.select("practitioner", F.col("organization").alias("organization_1"))
     right = prefix.select("practitioner", F.col("organization").alias("organization_2"))
     candidates = (
         left.join(right, "practitioner")
         .where("organization_1 < organization_2")
         .groupBy("organization_1", "organization_2")
-        .agg(F.count(F.lit(1)).alias("_common"))
+        .agg(n.alias("_common"))
     )
+    if none_left_out:
+        return candidates.where(F.col("_common") > more_than).withColumnRenamed("_common", "shared_practitioners")
     # what the prefixes did not count: the at most c - 1 frequent practitioners of either side
     tails = last.groupBy("organization").agg(F.collect_list("practitioner").alias("_tail"))
 
     def tail(i: int) -> DataFrame:
         return tails.select(F.col("organization").alias(f"organization_{i}"), F.col("_tail").alias(f"_tail_{i}"))
 
-    pairs = cut_lineage(candidates.join(tail(1), "organization_1", "left").join(tail(2), "organization_2", "left"))
+    known = candidates.join(tail(1), "organization_1", "left").join(tail(2), "organization_2", "left")
     empty = F.array().cast("array<string>")
     tail_1, tail_2 = (F.coalesce(F.col(f"_tail_{i}"), empty) for i in (1, 2))
+    pairs = cut_lineage(known.where(F.col("_common") + F.size(tail_1) + F.size(tail_2) > more_than))
 
     def questions(org: str, only: Column) -> Column:
         return F.transform(only, lambda p: F.struct(F.col(org).alias("organization"), p.alias("practitioner")))

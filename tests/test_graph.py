@@ -187,6 +187,18 @@ def test_organizations_sharing_against_brute_force(spark, rows, more_than):
     assert rows(graph.organizations_sharing(bridge, more_than)) == want
 
 
+@pytest.mark.parametrize("frequent", [1, 4, 11])
+@pytest.mark.parametrize("more_than", [1, 3, 5])
+def test_organizations_sharing_leaves_out_frequent_practitioners_only(spark, rows, more_than, frequent):
+    pairs = random_bridge(more_than) + [("p0", "lonely"), ("hub0", "lonely")]
+    members = {}
+    for p, o in pairs:
+        members.setdefault(o, set()).add(p)
+    want = [(a, b, len(members[a] & members[b])) for a, b in itertools.combinations(sorted(members), 2) if len(members[a] & members[b]) > more_than]
+    bridge = frame(spark, sorted(set(pairs)), "practitioner STRING, organization STRING")
+    assert rows(graph.organizations_sharing(bridge, more_than, frequent)) == want
+
+
 @pytest.mark.parametrize("limit", [3, 25, 100_000])
 def test_shared_employers_against_brute_force(spark, limit):
     pairs = random_bridge(9)
