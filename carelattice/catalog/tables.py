@@ -534,7 +534,6 @@ def a15(spark, sf):
 
 @query("a15_rejected_ids", "SELECT resource_type, id, reason FROM rejects WHERE stage = 'parse' AND resource_type IN ('Practitioner', 'PractitionerRole', 'Organization')", extra="," + TELECOM_SQL + "," + REJECTS_SQL)
 def a15_ids(spark, sf):
-    rejects = everything(spark, sf)["rejects"]
-    return rejects.where("stage = 'parse' AND resource_type IN ('Practitioner', 'PractitionerRole', 'Organization')").select("resource_type", "id", "reason")
+    return normalize.parse_rejects(star_set(spark, sf, "Practitioner", "PractitionerRole", "Organization")).select("resource_type", "id", "reason")
 
 

@@ -118,13 +118,23 @@ def _tables(
         .agg(F.sum("d.dropped").alias("dropped"))
         .select(F.lit(resource_type).alias("resource_type"), "path", "dropped")
     )
-    out["rejects"] = clean.where(F.col("reject_reason").isNotNull()).select(
+    out["rejects"] = refused(clean, resource_type)
+    return out
+
+
+def refused(records: DataFrame, resource_type: str) -> DataFrame:
+    """Records with a reject reason; of bare ``RECORDS`` only the columns it needs are built and nothing is written."""
+    return records.where(F.col("reject_reason").isNotNull()).select(
         F.lit(resource_type).alias("resource_type"),
         F.col("resource_uuid").alias("id"),
         F.lit("parse").alias("stage"),
         F.col("reject_reason").alias("reason"),
     )
-    return out
+
+
+def parse_rejects(resources: dict[str, DataFrame]) -> DataFrame:
+    """Resources refused by themselves, before any look at others: (resource_type, id, stage, reason)."""
+    return _union([refused(RECORDS[rtype](df), rtype) for rtype, df in resources.items()])
 
 
 def _table_name(resource_type: str) -> str:

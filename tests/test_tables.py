@@ -1,12 +1,13 @@
 import base64
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from carelattice import constants as K
 from carelattice.operators import views
-from carelattice.operators.normalize import NORMALIZERS, RECORDS, dropped_totals, failure_counts, normalize_all
+from carelattice.operators.normalize import NORMALIZERS, RECORDS, dropped_totals, failure_counts, normalize_all, parse_rejects
 from carelattice.operators.serialize import to_resource
 from carelattice.viewspecs import VIEW_COLUMNS, view_spec
 
@@ -174,3 +175,15 @@ def test_bridges_hold_each_pair_once(lines):
     twice = NORMALIZERS["Practitioner"](lines(PERSON, PERSON))
     assert twice["practitioner_telecom"].count() == 1 and twice["practitioner"].count() == 1
     assert twice["practitioner_telecom"].agg(F.max(F.length("telecom_key"))).first()[0] == 32
+
+
+def test_parse_rejects_write_nothing(spark, lines, rows):
+    resources = {
+        "Practitioner": lines(PERSON, {"resourceType": "Practitioner", "id": "p2"}),
+        "PractitionerRole": lines(role("r1", "p1", "o1"), {"resourceType": "PractitionerRole", "id": "r2"}, role("r3", "nobody", "o1")),
+    }
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir()) if shared.exists() else set()
+    got = rows(parse_rejects(resources), "resource_type", "id", "stage", "reason")
+    assert got == [("Practitioner", "p2", "parse", "missing NPI"), ("PractitionerRole", "r2", "parse", "missing practitioner or organization")]
+    assert (set(shared.iterdir()) if shared.exists() else set()) == before
