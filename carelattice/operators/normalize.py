@@ -28,7 +28,7 @@ from carelattice.functions.identity import dimension_key, npis, stable_uuid
 from carelattice.functions.refs import blank_to_null, ref_id
 from carelattice.runtime import cut_lineage
 from carelattice.sources.ndjson import parse_resources
-from carelattice.sources.tables import keep_one
+from carelattice.sources.tables import keep_one, repeats
 
 Tables = dict[str, DataFrame]
 
@@ -98,19 +98,19 @@ def _tables(
     """Split the records into entity, bridges, drops and rejects.
 
     The records are written once, to ``stage`` or the shared folder. Of several accepted versions of one id only the latest
-    counts, in the entity and in its bridges alike.
+    counts, in the entity and in its bridges alike. An owner is one row from there on, so a bridge is distinct within its row
+    and leaves without a shuffle.
     """
     clean = staged(clean, f"{stage}/{resource_type}") if stage else cut_lineage(clean, f"records-{resource_type}")
-    accepted = keep_one(clean.where(F.col("reject_reason").isNull()), "resource_uuid", F.col("version"))
+    accepted = clean.where(F.col("reject_reason").isNull())
+    if repeats(accepted, "resource_uuid"):
+        accepted = cut_lineage(keep_one(accepted, "resource_uuid", F.col("version")), f"latest-{resource_type}")
     name = _table_name(resource_type)
     out: Tables = {name: accepted.select("resource_uuid", *entity)}
     owner = f"{name}_uuid"
     for bridge, (array, fields) in bridges.items():
-        out[bridge] = (
-            accepted.select(F.col("resource_uuid").alias(owner), F.explode(array).alias("x"))
-            .select(owner, *[f(F.col("x")).alias(c) for c, f in fields.items()])
-            .distinct()
-        )
+        items = F.array_distinct(_items(array, fields))
+        out[bridge] = accepted.select(F.col("resource_uuid").alias(owner), F.explode(items).alias("x")).select(owner, "x.*")
     out["drops"] = (
         accepted.select(F.explode("drops").alias("d"))
         .where("d.dropped > 0")
@@ -137,6 +137,11 @@ def parse_rejects(resources: dict[str, DataFrame]) -> DataFrame:
     return _union([refused(RECORDS[rtype](df), rtype) for rtype, df in resources.items()])
 
 
+def _items(array: str, fields: dict) -> Column:
+    """The items of a list field as rows of a bridge."""
+    return F.transform(array, lambda x: F.struct(*[f(x).alias(c) for c, f in fields.items()]))
+
+
 def _table_name(resource_type: str) -> str:
     return {
         "Practitioner": "practitioner",
@@ -684,7 +689,7 @@ def resolve_roles(tables: Tables) -> Tables:
         F.col("resource_uuid").alias("practitioner_uuid")
     )
     wanted = roles.select("practitioner_uuid").distinct()
-    unknown = wanted.join(people, "practitioner_uuid", "left_anti")
+    unknown = cut_lineage(wanted.join(people, "practitioner_uuid", "left_anti"), "unknown")
     kept = roles.join(unknown, "practitioner_uuid", "left_anti").select(*roles.columns)
     refused = roles.join(unknown, "practitioner_uuid", "left_semi").select(
         F.lit("PractitionerRole").alias("resource_type"),
@@ -692,7 +697,7 @@ def resolve_roles(tables: Tables) -> Tables:
         F.lit("persist").alias("stage"),
         F.lit("missing practitioner").alias("reason"),
     )
-    gone = refused.select(F.col("id").alias("practitioner_role_uuid"))
+    gone = cut_lineage(refused.select(F.col("id").alias("practitioner_role_uuid")), "gone")
     bridges = {
         name: df.join(gone, "practitioner_role_uuid", "left_anti").select(*df.columns)
         for name, df in tables.items()
@@ -778,8 +783,11 @@ def dimensions(tables: Tables) -> Tables:
         ]
         return _union(parts).distinct() if parts else None
 
+    telecom = rows(("_telecom",), ["telecom_type", "telecom_value"])
+    if telecom is not None:
+        telecom = telecom.select(dimension_key(F.col("telecom_type"), F.col("telecom_value")).alias("telecom_key"), "telecom_type", "telecom_value")
     found = {
-        "telecom": rows(("_telecom",), ["telecom_key", "telecom_type", "telecom_value"]),
+        "telecom": telecom,
         "specialty": rows(("_specialty",), ["code"]),
         "clinician_type": rows(("_clinician_type",), ["code"]),
         "credential": rows(("_credential",), ["credential"]),

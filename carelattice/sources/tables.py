@@ -51,6 +51,11 @@ def export_csv(df: DataFrame, path: str, force: bool = False) -> str:
     return "empty" if back.isEmpty() else "written"
 
 
+def repeats(df: DataFrame, key: str) -> bool:
+    """True where some key, null included, occurs more than once; only the keys are shuffled."""
+    return not df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty()
+
+
 def keep_one(df: DataFrame, key: str | list[str], *order: Column) -> DataFrame:
     """One row per key: the greatest by ``order``, ties broken by the whole row.
 

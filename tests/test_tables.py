@@ -187,3 +187,10 @@ def test_parse_rejects_write_nothing(spark, lines, rows):
     got = rows(parse_rejects(resources), "resource_type", "id", "stage", "reason")
     assert got == [("Practitioner", "p2", "parse", "missing NPI"), ("PractitionerRole", "r2", "parse", "missing practitioner or organization")]
     assert (set(shared.iterdir()) if shared.exists() else set()) == before
+
+
+def test_bridges_leave_without_a_shuffle(lines):
+    numbers = [{"system": "phone", "value": v} for v in ("1", "2", "1")]
+    once = NORMALIZERS["Practitioner"](lines(PERSON | {"telecom": numbers}, PERSON | {"id": "p2"}))
+    plan = once["practitioner_telecom"]._jdf.queryExecution().executedPlan().toString()
+    assert once["practitioner_telecom"].count() == 3 and "Exchange" not in plan
