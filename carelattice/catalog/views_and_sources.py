@@ -132,7 +132,7 @@ def s04(spark, sf):
 def s05(spark, sf):
     names = ("practitioner_role.0.ndjson", "practitioner_role.1x.ndjson", "practitioner_role.x1.ndjson")
     # the third name is no shard and is left out
-    found = ndjson.read_directory(spark, write_named(spark, sf, dict.fromkeys(names, "PractitionerRole")))
+    found = ndjson.read_directory(spark, write_named(spark, sf, dict.fromkeys(names, "PractitionerRole"), "gzip"))
     return found.groupBy("file_type", "descriptor").agg(F.count(F.lit(1)).alias("lines"))
 
 

@@ -41,3 +41,12 @@ def test_registration_needs_no_session():
     code = "import __spark_entry__ as e; assert len(e.queries()) > 150 and len(e.oracle_sql()) > 150"
     root = Path(__file__).resolve().parent.parent
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=60)
+
+
+def test_named_shards_are_written_packed(spark):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.glob("named-*"))
+    assert entry.queries()["s05_snake_shards"](spark, SF).count() == 2
+    (root,) = set(shared.glob("named-*")) - before
+    parts = [p.name for p in root.glob("*/part-*")]
+    assert parts and all(p.endswith(".gz") for p in parts)
