@@ -11,7 +11,7 @@ set; every pair of a tuple of the first with a tuple of the second is a table ke
    the full sets, rebuilt from the whole texts. Members of a centre are dealt in blocks, the centre's text once per block.
 4. Confirmed links are contracted to components; a further round, with another order of centres for all keys, looks only at pairs
    of different components. That joins large groups at about one pair per member. A component leaves when its buckets hold
-   no other.
+   no other. Where a round finds few links, as among documents of one template just below the threshold, no more rounds follow.
 5. The rounds, at most ``ROUNDS``, only make the components few. All documents whose buckets still hold several components
    are then joined by an exact prefix filter on their shingles, so that no pair of them is lost for never having met a
    centre. A shingle with many sets is dealt to cells of bounded size on both sides of the join.
@@ -39,6 +39,8 @@ from carelattice.runtime import cut_lineage
 BLOCK = 256
 #: Rounds of centres at most, before the exact join.
 ROUNDS = 3
+#: A round with fewer links than a share of 1 / FEW of the open documents is the last one.
+FEW = 10
 #: Cells at most of the table of shingle frequencies, two bytes each; every task of the last step holds it.
 MOST_CELLS = 1 << 23
 #: Cells in one row of that table.
@@ -236,9 +238,14 @@ def confirmed(pairs: DataFrame, texts: DataFrame, banding: Banding) -> DataFrame
                     b_out.append(b)
             yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
 
-    blocks = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
-    centres = blocks.select(F.col("a"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), F.col("a").alias("id"))
-    members = pairs.join(blocks, "a").select("a", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("salt"), "b", F.col("b").alias("id"))
+    # most centres have one block: only the members of the others are joined to the number of blocks
+    counted = cut_lineage(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks")), "blocks")
+    large = counted.where("blocks > 1")
+    large = if_few(large, large.count())
+    centres = counted.select(F.col("a"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"), F.col("a").alias("id"))
+    whole = pairs.join(large, "a", "left_anti").select("a", F.lit(0).cast("long").alias("salt"), "b", F.col("b").alias("id"))
+    dealt = pairs.join(large, "a").select("a", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("salt"), "b", F.col("b").alias("id"))
+    members = whole.unionByName(dealt)
     rows = centres.unionByName(members).join(texts, "id").select("a", "salt", "b", "text")
     dealt = rows.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
     return dealt.mapInArrow(run, "a long, b long").distinct()
@@ -250,12 +257,14 @@ def _of_components(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.join(known("a"), "a").join(known("b"), "b")
 
 
-def _still_open(nodes: DataFrame, found: DataFrame, labels: DataFrame) -> DataFrame:
-    """Nodes of the components that a pair of ``found`` still leads out of; in a bucket of several components all appear there."""
-    unlike = _of_components(found, labels).where("comp_a <> comp_b").select("comp_a", "comp_b").distinct()
-    comps = unlike.select(F.explode(F.array("comp_a", "comp_b")).alias("comp")).distinct()
-    ids = labels.join(comps, "comp", "left_semi").select("id")
-    return cut_lineage(nodes.join(ids, "id", "left_semi"), "open-nodes")
+def _open(nodes: DataFrame, found: DataFrame, labels: DataFrame) -> DataFrame:
+    """Nodes of the components that ``found``, pairs of different components, leads out of.
+
+    In a bucket of several components the centre and a member of every other one are in ``found``, so all its components appear.
+    """
+    ids = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    comps = labels.join(ids, "id", "left_semi").select("comp").distinct()
+    return cut_lineage(nodes.join(labels.join(comps, "comp", "left_semi").select("id"), "id", "left_semi"), "open-nodes")
 
 
 def frequencies(texts: DataFrame, cells: int, banding: Banding) -> np.ndarray:
@@ -413,18 +422,20 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     texts = cut_lineage(plain.join(if_few(touched, touched_n), "id", "left_semi"), "touched-texts")
     nodes = cut_lineage(nodes.join(touched, "id", "left_semi"), "touched-nodes")
     labels = nodes.select("id", "comp").distinct()
-    tried, fresh = None, touched_n
+    tried, open_n = None, touched_n
 
     def contracted(links: DataFrame) -> DataFrame:
         merged = _of_components(links, labels).select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))
         new = components(merged).select(F.col("node").alias("comp"), "component")
         return cut_lineage(labels.join(new, "comp", "left").select("id", F.coalesce("component", "comp").alias("comp")), "labels")
 
-    for round_ in range(1, ROUNDS + 1):
-        if not fresh:
-            break
+    for round_ in range(1, ROUNDS + 2):
         if tried is not None:
             found = cut_lineage(candidates(nodes.drop("comp").join(labels, "id"), banding, round_), "candidates")
+            nodes = _open(nodes, found, labels)
+            open_n = nodes.count()
+        if not open_n or round_ > ROUNDS:
+            break
         untried = found if tried is None else found.join(tried, ["a", "b"], "left_anti")
         likely = cut_lineage(plausible(untried, nodes, banding), "likely")
         links = cut_lineage(confirmed(likely, texts, banding), "links")
@@ -432,9 +443,10 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         tried = likely if tried is None else tried.unionByName(likely)
         if fresh:
             labels = contracted(links)
-            nodes = _still_open(nodes, found, labels)
+        if fresh * FEW < open_n:
+            break
 
-    if touched_n and not nodes.isEmpty():
+    if open_n:
         left = prefix_pairs(nodes.drop("comp").join(labels, "id"), texts, banding).join(tried, ["a", "b"], "left_anti")
         links = cut_lineage(confirmed(cut_lineage(plausible(left, nodes, banding), "likely"), texts, banding), "links")
         if not links.isEmpty():

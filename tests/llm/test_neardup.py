@@ -83,3 +83,27 @@ def test_frequent_shingles_are_dealt_to_groups(docs, monkeypatch):
     sets = [(i, brute.shingle_set(t)) for i, t in rows]
     linked = {(i, j) for i, s in sets for j, u in sets if i < j and 4 * len(s & u) >= 3 * len(s | u)}
     assert linked and linked <= pairs
+
+
+def test_rounds_end_where_few_are_linked(docs, monkeypatch):
+    rng = random.Random(9)
+    template = [f"t{k}" for k in range(204)]
+    rows = []
+    for k in range(600):  # 0.73 to each other; every twentieth shares four more shingles with the one after it
+        private = [f"p{k}x{i}" for i in range(37)]
+        if k % 20 == 1:
+            private[:4] = [f"p{k - 1}x{i}" for i in range(4)]
+        rows.append((k, " ".join(template + private)))
+    rounds, real = [], neardup.candidates
+    monkeypatch.setattr(neardup, "candidates", lambda nodes, banding, round_: rounds.append(round_) or real(nodes, banding, round_))
+    got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs(rows, 5)).collect()}
+    assert got == {k: k - 1 if k % 20 == 1 else k for k in range(600)} and rounds == [1]
+
+
+def test_only_centres_of_several_blocks_are_dealt(docs, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 2)
+    rows = [(k, " ".join(f"w{i}" for i in range(40 + k % 3))) for k in range(12)]
+    texts = docs(rows).selectExpr("doc_id AS id", "CAST(text AS BINARY) AS text")
+    asked = [(0, k) for k in range(1, 8)] + [(8, 9), (10, 11)]
+    got = neardup.confirmed(texts.sparkSession.createDataFrame(asked, "a long, b long"), texts, neardup.Banding()).collect()
+    assert sorted(map(tuple, got)) == asked
