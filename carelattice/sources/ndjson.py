@@ -30,13 +30,16 @@ def read_lines(
 ) -> DataFrame:
     """Text lines with the file each came from; ``.gz`` files are unpacked by extension.
 
-    A folder named like a resource file, as Spark writes them, stands for the file.
+    A folder named like a resource file, as Spark writes them, stands for the file. Packed files are scanned apart: Spark sizes
+    tasks by the bytes of a scan, and beside plain files all packed ones, which cannot be split, would fill a single task.
     """
     reader = spark.read.option("recursiveFileLookup", str(recursive).lower())
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     file = F.regexp_replace(F.col("_metadata.file_path"), IN_FOLDER, "$1$2")
-    return reader.text(path).select("value", file.alias("source_file"))
+    found, packed = reader.text(path), F.col("_metadata.file_path").endswith(".gz")
+    plain, unpacked = (found.where(c).select("value", file.alias("source_file")) for c in (~packed, packed))
+    return plain.unionByName(unpacked)
 
 
 def walk_lines(spark: SparkSession, path: str) -> DataFrame:

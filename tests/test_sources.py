@@ -199,3 +199,12 @@ def test_write_modes(spark, tmp_path):
     assert tables.read_table(spark, path).count() == 3
     with pytest.raises(PySparkException):
         tables.write_table(df, path, "fail")
+
+
+def test_packed_files_are_dealt_apart_from_plain_ones(spark, tmp_path):
+    (tmp_path / "Location.ndjson").write_text(("x" * 999_999 + "\n") * 40)
+    for k in range(8):
+        (tmp_path / f"Endpoint.{k}.ndjson.gz").write_bytes(gzip.compress(f'{{"id":"e{k}"}}\n'.encode()))
+    found = ndjson.walk_lines(spark, str(tmp_path))
+    tasks = found.where("source_file LIKE '%.gz'").select(F.spark_partition_id().alias("task"), "value").collect()
+    assert len(tasks) == 8 and len({r["task"] for r in tasks}) == 8 and found.count() == 48
