@@ -519,18 +519,22 @@ def seeds_where(nodes: DataFrame, rtype: str, condition: Column) -> DataFrame:
     return nodes.where(condition).select(F.concat(F.lit(f"{rtype}/"), "id").alias("seed"))
 
 
-def practitioners_at_state(edges: DataFrame, locations: DataFrame, state: str) -> DataFrame:
-    """Distinct practitioners with a role at a location in the state."""
-    there = locations.where(F.col("state") == state).select(F.concat(F.lit("Location/"), "id").alias("dst"))
+def practitioners_at_state(edges: DataFrame, locations: DataFrame, state: str, people: DataFrame | None = None) -> DataFrame:
+    """Distinct practitioners with a role at a location in the state; ``people`` (seed) limits them to some.
+
+    Locations and people are written first, so that Spark knows how few they are and edges are reduced before any shuffle.
+    """
+    there = cut_lineage(locations.where(F.col("state") == state).select(F.concat(F.lit("Location/"), "id").alias("dst")), "state-locations")
+    held = edges.where("rel = 'HAS_ROLE'")
+    if people is not None:
+        held = held.join(cut_lineage(people.select(F.col("seed").alias("src")).distinct(), "people"), "src", "left_semi")
     roles = (
         edges.where((F.col("rel") == "AT_LOCATION") & F.col("src").startswith("PractitionerRole/"))
         .join(there, "dst", "left_semi")
         .select(F.col("src").alias("dst"))
         .distinct()
     )
-    return (
-        edges.where("rel = 'HAS_ROLE'").join(roles, "dst", "left_semi").select(F.col("src").alias("seed")).distinct()
-    )
+    return held.join(roles, "dst", "left_semi").select(F.col("src").alias("seed")).distinct()
 
 
 def _next_level(edges: DataFrame, levels: list[DataFrame]) -> DataFrame:

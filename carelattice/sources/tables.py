@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelattice.runtime import cut_lineage
+
 DOCGRAPH_SCHEMA = (
     "from_npi BIGINT, to_npi BIGINT, patient_count BIGINT, transaction_count BIGINT, "
     "average_day_wait DOUBLE, std_day_wait DOUBLE"
@@ -73,11 +75,15 @@ def _reduced(df: DataFrame, key: str | list[str], best_of, order: tuple[Column,
     """A narrow pass counts the keys; rows whose key occurs once pass straight on, whatever their width.
 
     The others, usually few, are reduced by an aggregate that combines map-side, so even a key with a third of all rows
-    reaches its reducer as one row per task. Null keys are one key. ``df`` is read three times: pass a table at rest, or
-    columns that are cheap to compute.
+    reaches its reducer as one row per task. Null keys are one key. The repeated keys are written first: Spark then knows how
+    few they are and shuffles no whole rows to find them; if there are none, ``df`` is the result. It is read up to three times:
+    pass a table at rest, or columns that are cheap to compute.
     """
     keys = [key] if isinstance(key, str) else list(key)
     repeated = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)])
+    repeated = cut_lineage(repeated, "repeated")
+    if repeated.isEmpty():
+        return df
     same = F.lit(True)
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))

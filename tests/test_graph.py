@@ -326,3 +326,14 @@ def test_equal_edges_of_a_line_and_of_two_lines_are_one(lines, rows):
         "Endpoint": lines({"resourceType": "Endpoint", "id": "e"}, {"resourceType": "Endpoint", "id": "f"}, {"resourceType": "Endpoint", "id": "f"}),
     }
     assert rows(graph.build_edges(resources)) == [("Practitioner/p", "HAS_ENDPOINT", "Endpoint/e", 3), ("Practitioner/p", "HAS_ENDPOINT", "Endpoint/f", 2)]
+
+
+def test_practitioners_at_state_of_some_people(spark, rows):
+    at = [(f"PractitionerRole/r{k}", "AT_LOCATION", f"Location/l{k % 2}", None) for k in range(6)]
+    held = [(f"Practitioner/p{k // 2}", "HAS_ROLE", f"PractitionerRole/r{k}", None) for k in range(5)]
+    edges = spark.createDataFrame(at + held, "src string, rel string, dst string, rank long")
+    places = spark.createDataFrame([("l0", "CA"), ("l1", "NY")], "id string, state string")
+    people = spark.createDataFrame([("Practitioner/p1",), ("Practitioner/p2",), ("Practitioner/p2",)], "seed string")
+    assert rows(graph.practitioners_at_state(edges, places, "CA")) == [("Practitioner/p0",), ("Practitioner/p1",), ("Practitioner/p2",)]
+    assert rows(graph.practitioners_at_state(edges, places, "CA", people)) == [("Practitioner/p1",), ("Practitioner/p2",)]
+    assert rows(graph.practitioners_at_state(edges, places, "NY", people)) == [("Practitioner/p1",)]

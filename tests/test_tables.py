@@ -9,6 +9,7 @@ from carelattice import constants as K
 from carelattice.operators import views
 from carelattice.operators.normalize import NORMALIZERS, RECORDS, dropped_totals, failure_counts, normalize_all, parse_rejects
 from carelattice.operators.serialize import to_resource
+from carelattice.sources.tables import keep_first, keep_one
 from carelattice.viewspecs import VIEW_COLUMNS, view_spec
 
 
@@ -194,3 +195,10 @@ def test_bridges_leave_without_a_shuffle(lines):
     once = NORMALIZERS["Practitioner"](lines(PERSON | {"telecom": numbers}, PERSON | {"id": "p2"}))
     plan = once["practitioner_telecom"]._jdf.queryExecution().executedPlan().toString()
     assert once["practitioner_telecom"].count() == 3 and "Exchange" not in plan
+
+
+def test_keep_one_shuffles_no_rows_where_nothing_repeats(spark, rows):
+    once = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "id string, v int")
+    assert keep_one(once, "id") is once and keep_first(once, ["id", "v"]) is once
+    twice = once.unionByName(spark.createDataFrame([(None, 5), ("a", 0)], "id string, v int"))
+    assert rows(keep_one(twice, "id")) == sorted([("a", 1), (None, 5), ("b", 3)], key=repr)
