@@ -31,6 +31,8 @@ LINK_FIELDS = {
     },
     "Endpoint": {"managingOrganization": "Organization"},
 }
+#: Targets up to which the list of them is broadcast, some 100 bytes each.
+BROADCAST_REFS = 2_000_000
 ADDRESSED_TYPES = ("Location", "Organization", "Practitioner")
 
 
@@ -64,8 +66,11 @@ def _refs_of(ids: DataFrame, rtype: str) -> DataFrame:
 
 
 def _touching(links: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Ids with a link into ``wanted``; a target that very many ids share is salted."""
-    return salted_lookup(links, wanted, "ref").select("id").distinct()
+    """Ids with a link into ``wanted``. Few targets are broadcast; else a target that very many ids share is salted."""
+    wanted = cut_lineage(wanted.distinct(), "wanted")
+    if wanted.count() <= BROADCAST_REFS:
+        return links.join(F.broadcast(wanted), "ref", "left_semi").select("id").distinct()
+    return salted_lookup(links.distinct(), wanted, "ref").select("id").distinct()
 
 
 def state_subset_ids(
@@ -90,8 +95,7 @@ def state_subset_ids(
         part = _read(resources[t], t).where(F.coalesce("id", F.lit("")) != "").withColumn("resource_type", F.lit(t))
         every = part if every is None else every.unionByName(part)
     every = cut_lineage(every, "subset-rows", "resource_type")
-    linked = every.select("resource_type", "id", F.explode("refs").alias("ref")).distinct()
-    linked = cut_lineage(linked, "subset-links", "resource_type")
+    linked = every.select("resource_type", "id", F.explode("refs").alias("ref"))
     rows = {t: every.where(F.col("resource_type") == t).select("id", "state") for t in types}
     links = {t: linked.where(F.col("resource_type") == t).select("id", "ref") for t in LINK_FIELDS}
 
@@ -112,7 +116,9 @@ def state_subset_ids(
     )
     affiliations = _touching(links["OrganizationAffiliation"], places.unionByName(owners))
 
-    referenced = links["PractitionerRole"].join(roles, "id", "left_semi").select("ref")
+    asked = ("Endpoint", "Practitioner") if expand else ("Endpoint",)
+    needed = F.substring_index("ref", "/", 1).isin(*asked)
+    referenced = links["PractitionerRole"].where(needed).join(roles, "id", "left_semi").select("ref")
     from_owners = links["Organization"].join(organizations if expand else added, "id", "left_semi").select("ref")
     all_refs_kept = cut_lineage(referenced.unionByName(from_owners).distinct())
 

@@ -337,3 +337,24 @@ def test_practitioners_at_state_of_some_people(spark, rows):
     assert rows(graph.practitioners_at_state(edges, places, "CA")) == [("Practitioner/p0",), ("Practitioner/p1",), ("Practitioner/p2",)]
     assert rows(graph.practitioners_at_state(edges, places, "CA", people)) == [("Practitioner/p1",), ("Practitioner/p2",)]
     assert rows(graph.practitioners_at_state(edges, places, "NY", people)) == [("Practitioner/p1",)]
+
+
+@pytest.mark.parametrize("limit", [0, 1_000])
+def test_subset_with_broadcast_and_shuffled_targets(lines, rows, monkeypatch, limit):
+    """Versions of one id, the second of which alone names the kept location or an endpoint."""
+    monkeypatch.setattr(subset, "BROADCAST_REFS", limit)
+    ref = lambda r: {"reference": r}
+    resources = {
+        "Location": lines({"id": "l1", "address": {"state": "WY"}}, {"id": "l2", "address": {"state": "CA"}}),
+        "Organization": lines({"id": "o1", "location": [ref("Location/l1"), ref("Location/l1")], "endpoint": [ref("Endpoint/e1")]}),
+        "Practitioner": lines({"id": "p1", "address": [{"state": "CA"}]}),
+        "PractitionerRole": lines(
+            {"id": "r1", "location": [ref("Location/l2")], "endpoint": [ref("Endpoint/e2")], "practitioner": ref("Practitioner/p1")}, {"id": "r1", "location": [ref("Location/l1")]},
+            *({"id": f"s{k}", "organization": ref("Organization/o1")} for k in range(9)), {"id": "r3", "location": [ref("Location/l2")], "endpoint": [ref("Endpoint/e3")]},
+        ),
+        "OrganizationAffiliation": lines({"id": "a1", "participatingOrganization": ref("Organization/o1")}),
+        "Endpoint": lines({"id": "e1"}, {"id": "e2"}, {"id": "e3"}),
+    }
+    kept = [("Location", "l1"), ("Organization", "o1"), *(("PractitionerRole", x) for x in ("r1", *(f"s{k}" for k in range(9)))), ("OrganizationAffiliation", "a1"), ("Endpoint", "e1"), ("Endpoint", "e2")]
+    assert rows(subset.state_subset_ids(resources, ["wy"])) == sorted(kept, key=repr)
+    assert rows(subset.state_subset_ids(resources, ["wy"], expand=True)) == sorted([*kept, ("Practitioner", "p1")], key=repr)
