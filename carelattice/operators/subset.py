@@ -160,6 +160,7 @@ def _tagged(parts: dict[str, DataFrame]) -> DataFrame:
 
 def lines_of(bronze: DataFrame, ids: DataFrame) -> DataFrame:
     """Whole lines of the chosen (resource_type, id), once each, text unchanged."""
+    ids = cut_lineage(ids, "subset-ids")
     return once_per_id(cut_lineage(bronze.join(ids, ["resource_type", "id"], "left_semi"), "subset-text"))
 
 

@@ -358,3 +358,11 @@ def test_subset_with_broadcast_and_shuffled_targets(lines, rows, monkeypatch, li
     kept = [("Location", "l1"), ("Organization", "o1"), *(("PractitionerRole", x) for x in ("r1", *(f"s{k}" for k in range(9)))), ("OrganizationAffiliation", "a1"), ("Endpoint", "e1"), ("Endpoint", "e2")]
     assert rows(subset.state_subset_ids(resources, ["wy"])) == sorted(kept, key=repr)
     assert rows(subset.state_subset_ids(resources, ["wy"], expand=True)) == sorted([*kept, ("Practitioner", "p1")], key=repr)
+
+
+def test_lines_of_a_subset_are_joined_to_written_ids(spark, rows, monkeypatch):
+    written, real = [], subset.cut_lineage
+    monkeypatch.setattr(subset, "cut_lineage", lambda df, name="stage", by=None: written.append(name) or real(df, name, by))
+    bronze = spark.createDataFrame([("A", "1", "x"), ("A", "1", "w"), ("A", "2", "y"), ("B", "1", "z")], "resource_type string, id string, value string")
+    assert rows(subset.lines_of(bronze, bronze.select("resource_type", "id").where("id = '1'"))) == [("A", "1", "w"), ("B", "1", "z")]
+    assert written[0] == "subset-ids"
