@@ -182,6 +182,11 @@ class Model:
 
 
 def _pairs(node: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (node, word), -1 allowed in either, and the place of every pair among them; packed in one integer where it fits."""
+    width = int(word.max(initial=0)) + 2
+    if (int(node.max(initial=0)) + 2) * width < 1 << 63:
+        packed, where = np.unique((node + 1) * width + word + 1, return_inverse=True)
+        return np.stack([packed // width - 1, packed % width - 1], axis=1), where
     return np.unique(np.stack([node, word], axis=1), axis=0, return_inverse=True)
 
 
@@ -223,25 +228,32 @@ def token_chunks(batches: Iterator[pa.RecordBatch], cache: WordHashes) -> Iterat
 
 
 def _write_level(blocks: DataFrame, order: int, write) -> DataFrame:
-    """Merge the blocks of every shard with ``write(shard, blobs) -> (n, nodes, masses)`` and read back what it reports."""
-    schema = "shard long, n long, node array<long>, mass array<double>"
+    """Merge the blocks of every shard with ``write(shard, blobs) -> (n, total, nodes, masses)`` and read back what it reports.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def done(shard: int, blobs: list[bytes]) -> pa.RecordBatch:
-            n, node, mass = write(shard, blobs)
-            return pa.RecordBatch.from_pylist([{"shard": shard, "n": n, "node": node, "mass": mass}], schema=out)
+    A row per shard has n and total, further ones the masses of its nodes, packed by blocks of BLOCK nodes.
+    """
+    schema = "shard long, n long, total long, block long, blob binary"
 
-        out = pa.schema([("shard", pa.int64()), ("n", pa.int64()), ("node", pa.list_(pa.int64())), ("mass", pa.list_(pa.float64()))])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(shard: int, blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+            n, total, node, mass = write(shard, blobs)
+            yield pa.RecordBatch.from_pylist([{"shard": shard, "n": n, "total": total}], schema=out)
+            cuts = np.searchsorted(node, np.arange(0, (int(node[-1]) // BLOCK + 2) * BLOCK, BLOCK)) if len(node) else []
+            for block, (first, last) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+                if first < last:
+                    yield pa.RecordBatch.from_pylist([{"shard": shard, "block": block, "blob": _masses(node[first:last] - block * BLOCK, mass[first:last])}], schema=out)
+
+        out = pa.schema([("shard", pa.int64()), ("n", pa.int64()), ("total", pa.int64()), ("block", pa.int64()), ("blob", pa.binary())])
         shard, blobs = None, []
         for batch in batches:
             for s, blob in zip(batch.column("shard").to_pylist(), batch.column("blob"), strict=True):
                 if s != shard and blobs:
-                    yield done(shard, blobs)
+                    yield from done(shard, blobs)
                     blobs = []
                 shard = s
                 blobs.append(blob.as_py())
         if blobs:
-            yield done(shard, blobs)
+            yield from done(shard, blobs)
 
     return cut_lineage(blocks.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, schema), f"lm-level-{order}")
 
@@ -254,6 +266,17 @@ def _blob(*arrays: np.ndarray) -> bytes:
     return zlib.compress(head + b"".join(c.tobytes() for c in cols), 1)
 
 
+def _masses(node: np.ndarray, mass: np.ndarray) -> bytes:
+    """Ascending places within a block and their masses; most masses are alike."""
+    return zlib.compress(len(node).to_bytes(8, "little") + node.astype(np.uint32).tobytes() + mass.astype(np.float64).tobytes(), 1)
+
+
+def _add_masses(blob: bytes, total: np.ndarray) -> None:
+    data = zlib.decompress(blob)
+    n = int.from_bytes(data[:8], "little")
+    total[np.frombuffer(data, np.uint32, n, 8)] += np.frombuffer(data, np.float64, n, 8 + 4 * n)
+
+
 def _unblob(blob: bytes, columns: int) -> list[np.ndarray]:
     data = zlib.decompress(blob)
     n, *sizes = np.frombuffer(data, np.int64, columns + 1)
@@ -280,7 +303,7 @@ def _summed(blobs: list[bytes], columns: int) -> list[np.ndarray]:
 def _offsets(report: DataFrame, shards: int) -> list[int]:
     """One number per shard; shards are millions of tokens each."""
     sizes = np.zeros(shards, np.int64)
-    for row in report.select("shard", "n").collect():
+    for row in report.where("n IS NOT NULL").select("shard", "n").collect():
         sizes[row["shard"]] = row["n"]
     return [0, *np.cumsum(sizes).tolist()]
 
@@ -302,11 +325,11 @@ def fit(train: DataFrame, order: int = 2, keep: int = 2, shards: int | None = No
         words, counts = _summed(blobs, 2)
         kind = np.uint32 if int(counts.max()) < 1 << 32 else np.int64
         write_arrays(f"{folder}/1/{shard}.ef", EliasFano.arrays(words, "words") | {"counts": counts.astype(kind)})
-        return len(words), [int(counts.sum())], [0.0]
+        return len(words), int(counts.sum()), np.empty(0, np.int64), np.empty(0)
 
     report = _write_level(train.mapInArrow(vocabulary, "shard long, blob binary"), 1, write_words)
     offsets = _offsets(report, n_shards)
-    tokens = report.agg(F.coalesce(F.sum(F.element_at("node", 1)), F.lit(0))).first()[0]
+    tokens = report.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
     levels = [Level(f"{folder}/1", 1, offsets)]
     for k in range(2, order + 1):
         if not offsets[-1]:
@@ -316,7 +339,7 @@ def fit(train: DataFrame, order: int = 2, keep: int = 2, shards: int | None = No
     return Model(tokens, levels[0].offsets[-1], levels)
 
 
-def _grouped(chunks, tokens: int = 8 * CHUNK):
+def _grouped(chunks, tokens: int = 4 * CHUNK):
     """Neighbouring chunks joined up to ``tokens`` tokens, to count more before anything is sent."""
     held, size = [], 0
     for _, _, hashes, ends in chunks:
@@ -372,48 +395,46 @@ def _next_level(train: DataFrame, model: Model, folder: str, k: int, keep: int,
         kept = n >= keep
         node, word, n = node[kept], word[kept], n[kept].astype(np.int64)
         if not len(node):
-            return 0, [], []
+            return 0, 0, np.empty(0, np.int64), np.empty(0)
         first = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
         last = np.concatenate([first[1:], [len(node)]]) - 1
         start = np.concatenate([[0], np.cumsum(word[last] + np.uint64(1), dtype=np.uint64)[:-1]]).astype(np.uint64)
-        owner = np.cumsum(np.isin(np.arange(len(node)), first)) - 1
+        owner = np.repeat(np.arange(len(first)), np.diff(np.concatenate([first, [len(node)]])))
         own = node[first].astype(np.int64)
         share = (n - DISCOUNT) / below.counts_of(own)[owner]
         arrays = EliasFano.arrays(node[first], "nodes") | EliasFano.arrays(np.concatenate([first, [len(node)]]), "pointers") | EliasFano.arrays(word + start[owner], "next")
         write_arrays(f"{folder}/{k}/{shard}.ef", arrays | {"logs": quantised(np.log10(share)), "counts": n.astype(np.uint32 if n.max() < 1 << 32 else np.int64)})
         # what is taken away is the quantised share, so that the weights close the sum exactly
-        return len(node), own.tolist(), np.add.reduceat(10 ** restored(quantised(np.log10(share))), first).tolist()
+        return len(node), int(n.sum()), own, np.add.reduceat(10 ** restored(quantised(np.log10(share))), first)
 
     report = _write_level(train.mapInArrow(count, "shard long, blob binary"), k, write)
     level = Level(f"{folder}/{k}", k, _offsets(report, shards))
-    mass = report.select(F.explode(F.arrays_zip("node", "mass")).alias("x")).groupBy("x.node").agg(F.sum("x.mass").alias("mass"))
     below.backoff = f"{folder}/{k - 1}-backoff"
     target, total = below.backoff, below.offsets[-1]
 
     def write_backoffs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, logs = None, None
+        block, taken = None, None
         done = []
 
         def flush():
             if block is not None:
-                write_arrays(f"{target}/{block}.q", {"logs": logs})
+                write_arrays(f"{target}/{block}.q", {"logs": quantised(np.log10(np.maximum(1 - taken, 10**LOWEST)))})
                 done.append(block)
 
         for batch in batches:
-            b, i, m = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("block", "node", "mass"))
-            for own in np.unique(b):
+            for own, blob in zip(batch.column("block").to_pylist(), batch.column("blob"), strict=True):
                 if own != block:
                     flush()
-                    block, logs = int(own), np.zeros(min(BLOCK, total - int(own) * BLOCK), np.uint16)
-                some = (b == own) & (i >= 0)
-                logs[i[some] - block * BLOCK] = quantised(np.log10(np.maximum(1 - m[some], 10**LOWEST)))
+                    block, taken = own, np.zeros(min(BLOCK, total - own * BLOCK))
+                if blob.is_valid:
+                    _add_masses(blob.as_py(), taken)
         flush()
         yield pa.RecordBatch.from_arrays([pa.array(done, pa.int64())], names=["block"])
 
-    # one row per block, so that blocks without successors exist as well
-    every = spark.range(-(-total // BLOCK)).select(F.col("id").alias("block"), F.lit(-1).cast("long").alias("node"), F.lit(0.0).alias("mass"))
-    rows = mass.select(F.floor(F.col("node") / BLOCK).cast("long").alias("block"), "node", "mass").unionByName(every)
-    cut_lineage(rows.repartition("block").sortWithinPartitions("block").mapInArrow(write_backoffs, "block long"), "lm-backoffs")
+    # one row per block, so that blocks without successors exist as well; shards in order, so that sums repeat
+    every = spark.range(-(-total // BLOCK)).select(F.col("id").alias("block"), F.lit(-1).cast("long").alias("shard"), F.lit(None).cast("binary").alias("blob"))
+    rows = report.where("block IS NOT NULL").select("block", "shard", "blob").unionByName(every)
+    cut_lineage(rows.repartition("block").sortWithinPartitions("block", "shard").mapInArrow(write_backoffs, "block long"), "lm-backoffs")
     return level
 
 

@@ -85,3 +85,24 @@ def test_elias_fano(tmp_path, n, top):
     assert (opened[np.arange(n)] == values).all()
     asked = np.concatenate([values, values[:-1] + np.uint64(1), rng.integers(0, top, 200, dtype=np.uint64, endpoint=True)])
     assert (opened.successor(asked) == np.searchsorted(values, asked)).all()
+
+
+@pytest.mark.parametrize("most", [50, 1 << 40])
+def test_pairs_packed_and_not(most):
+    rng = np.random.default_rng(most)
+    node, word = rng.integers(-1, most, 400), rng.integers(-1, most, 400)
+    pairs, where = G._pairs(node, word)
+    assert (pairs[where.ravel()] == np.stack([node, word], axis=1)).all() and len({*map(tuple, pairs.tolist())}) == len(pairs)
+
+
+def test_masses_leave_a_shard_in_small_rows(spark, monkeypatch):
+    monkeypatch.setattr(G, "BLOCK", 4)
+    blocks = spark.createDataFrame([(0, bytearray(b"x"))], "shard long, blob binary")
+    node = np.array([0, 3, 4, 13])
+    report = G._write_level(blocks, 2, lambda shard, blobs: (9, 11, node, node / 16)).collect()
+    assert [(r["n"], r["total"]) for r in report if r["block"] is None] == [(9, 11)]
+    total = np.zeros(16)
+    for r in report:
+        if r["block"] is not None:
+            G._add_masses(r["blob"], total[4 * r["block"] :])
+    assert total[node].tolist() == (node / 16).tolist() and {r["block"] for r in report} == {None, 0, 1, 3}
