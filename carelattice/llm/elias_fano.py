@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import os
 import uuid
+from functools import cached_property
 
 import numpy as np
 from pyarrow import fs
@@ -12,26 +13,35 @@ from pyarrow import fs
 ONE = np.uint64(1)
 
 
+#: Per byte, one for each, and the highest bit of each.
+BYTES, TOPS = np.uint64(0x0101010101010101), np.uint64(0x8080808080808080)
+#: Position of the k-th set bit of a byte, at 256 * k + byte.
+IN_BYTE = np.array([([i for i in range(8) if byte >> i & 1] + [0] * 8)[k] for k in range(8) for byte in range(256)], np.int64)
+
+
 def _select(words: np.ndarray, k: np.ndarray) -> np.ndarray:
     """Position of the k-th set bit (from 0) within each 64-bit word."""
-    at = np.zeros(len(k), np.uint64)
     k = k.astype(np.uint64)
-    for width in (32, 16, 8, 4, 2, 1):
-        low = np.bitwise_count(words & np.uint64((1 << width) - 1)).astype(np.uint64)
-        right = k >= low
-        at += np.where(right, np.uint64(width), np.uint64(0))
-        k = np.where(right, k - low, k)
-        words = np.where(right, words >> np.uint64(width), words)
-    return at.astype(np.int64)
+    # set bits up to each byte, that byte included
+    sums = words - (words >> ONE & np.uint64(0x5555555555555555))
+    sums = (sums & np.uint64(0x3333333333333333)) + (sums >> np.uint64(2) & np.uint64(0x3333333333333333))
+    sums = (sums + (sums >> np.uint64(4)) & np.uint64(0x0F0F0F0F0F0F0F0F)) * BYTES
+    place = np.bitwise_count((k * BYTES | TOPS) - sums & TOPS).astype(np.uint64) << np.uint64(3)
+    before = sums << np.uint64(8) >> place & np.uint64(255)
+    byte = words >> place & np.uint64(255)
+    return place.astype(np.int64) + IN_BYTE[(k - before << np.uint64(8) | byte).astype(np.int64)]
+
+
+def _trailing(words: np.ndarray) -> np.ndarray:
+    """Zeros below the lowest set bit; 64 where there is none."""
+    return np.bitwise_count(~words & words - ONE).astype(np.int64)
 
 
 class EliasFano:
-    """A non-decreasing sequence of unsigned integers in 2 + log2(universe / n) bits each, plus a rank directory."""
+    """A non-decreasing sequence of unsigned integers in 2 + log2(universe / n) bits each, plus rank directories."""
 
-    def __init__(self, n: int, shift: int, high: np.ndarray, ones: np.ndarray, low: np.ndarray) -> None:
-        self.n, self.shift, self.high, self.ones, self.low = n, shift, high, ones, low
-        # zeros before each word, for select of zeros
-        self.zeros = np.arange(len(ones), dtype=np.int64) * 64 - ones
+    def __init__(self, n: int, shift: int, high: np.ndarray, ones: np.ndarray, zeros: np.ndarray, low: np.ndarray) -> None:
+        self.n, self.shift, self.high, self.ones, self.zeros, self.low = n, shift, high, ones, zeros, low
 
     @classmethod
     def arrays(cls, values: np.ndarray, name: str) -> dict[str, np.ndarray]:
@@ -41,71 +51,113 @@ class EliasFano:
         shift = max(0, (top // max(n, 1)).bit_length() - 1)
         bits = (values >> np.uint64(shift)).astype(np.int64) + np.arange(n)
         size = ((top >> shift) + n) // 64 + 2
-        high = np.zeros(size, np.uint64)
-        np.bitwise_or.at(high, bits >> 6, ONE << (bits & 63).astype(np.uint64))
-        ones = np.concatenate([[0], np.cumsum(np.bitwise_count(high), dtype=np.int64)]).astype(np.int64)
+        high = np.zeros(size * 64, bool)
+        high[bits] = True
+        high = np.packbits(high, bitorder="little").view(np.uint64)
+        ones = np.concatenate([[0], np.cumsum(np.bitwise_count(high), dtype=np.int64)[:-1]])
         low = np.zeros(n * shift // 64 + 2, np.uint64)
-        if shift:
+        if shift and n:
             part = values & np.uint64((1 << shift) - 1)
             at = np.arange(n, dtype=np.int64) * shift
-            off = (at & 63).astype(np.uint64)
-            np.bitwise_or.at(low, at >> 6, part << off)
-            spill = (at & 63) + shift > 64
-            np.bitwise_or.at(low, (at[spill] >> 6) + 1, part[spill] >> (np.uint64(64) - off[spill]))
-        kind = np.uint32 if n < 1 << 32 else np.int64
-        return {f"{name}.meta": np.array([n, shift], np.int64), f"{name}.high": high, f"{name}.ones": ones[:-1].astype(kind), f"{name}.low": low}
+            word, off = at >> 6, (at & 63).astype(np.uint64)
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            low[word[first]] = np.bitwise_or.reduceat(part << off, first)
+            # at most one value reaches over into each word
+            spill = np.flatnonzero((at & 63) + shift > 64)
+            low[word[spill] + 1] |= part[spill] >> (np.uint64(64) - off[spill])
+        kind = np.uint32 if size * 64 < 1 << 32 else np.int64
+        return {
+            f"{name}.meta": np.array([n, shift], np.int64), f"{name}.high": high, f"{name}.ones": ones.astype(kind),
+            f"{name}.zeros": (np.arange(size) * 64 - ones).astype(kind), f"{name}.low": low,
+        }
 
     @classmethod
     def opened(cls, arrays: dict[str, np.ndarray], name: str) -> EliasFano:
         n, shift = (int(x) for x in arrays[f"{name}.meta"])
-        return cls(n, shift, arrays[f"{name}.high"], arrays[f"{name}.ones"], arrays[f"{name}.low"])
+        return cls(n, shift, *(arrays[f"{name}.{x}"] for x in ("high", "ones", "zeros", "low")))
 
     def _low(self, i: np.ndarray) -> np.ndarray:
         if not self.shift:
             return np.zeros(len(i), np.uint64)
         at = i * self.shift
         word, off = at >> 6, (at & 63).astype(np.uint64)
-        first = self.low[word] >> off
-        second = np.where(off > 0, self.low[word + 1] << ((np.uint64(64) - off) & np.uint64(63)), np.uint64(0))
-        return (first | second) & np.uint64((1 << self.shift) - 1)
+        # shifted in two steps, as 64 places at once are not defined
+        return (self.low[word] >> off | self.low[word + 1] << ONE << np.uint64(63) - off) & np.uint64((1 << self.shift) - 1)
+
+    def _one(self, k: np.ndarray) -> np.ndarray:
+        """Position of the k-th set bit."""
+        word = np.searchsorted(self.ones, k.astype(self.ones.dtype), "right") - 1
+        return (word << 6) + _select(self.high[word], k - self.ones[word])
+
+    def _zero(self, k: np.ndarray) -> np.ndarray:
+        """Position of the k-th clear bit."""
+        word = np.searchsorted(self.zeros, k.astype(self.zeros.dtype), "right") - 1
+        return (word << 6) + _select(~self.high[word], k - self.zeros[word])
+
+    def _value(self, i: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return (at - i).astype(np.uint64) << np.uint64(self.shift) | self._low(i)
 
     def __getitem__(self, i: np.ndarray) -> np.ndarray:
         """Values at indices ``i``, all within 0 to n - 1."""
         i = np.asarray(i, np.int64)
-        word = np.searchsorted(self.ones, i, "right") - 1
-        at = (word << 6) + _select(self.high[word], i - self.ones[word])
-        return ((at - i).astype(np.uint64) << np.uint64(self.shift)) | self._low(i)
-
-    def _bucket(self, h: np.ndarray) -> np.ndarray:
-        """Values whose high part is below ``h``."""
-        out = np.zeros(len(h), np.int64)
-        some = h > 0
-        k = h[some] - 1
-        word = np.searchsorted(self.zeros, k, "right") - 1
-        out[some] = (word << 6) + _select(~self.high[word], k - self.zeros[word]) - k
-        return out
+        return self._value(i, self._one(i))
+
+    def neighbours(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values at indices ``i`` and ``i + 1``, all within 0 to n - 1."""
+        i = np.asarray(i, np.int64)
+        at = self._one(i)
+        step = _trailing(self.high[at >> 6] >> (at & 63).astype(np.uint64) >> ONE)
+        then = at + 1 + step
+        far = np.flatnonzero(step == 64)
+        then[far] = self._one(i[far] + 1)
+        return self._value(i, at), self._value(i + 1, then)
+
+    @cached_property
+    def last(self) -> np.uint64:
+        return self[np.array([self.n - 1])][0]
+
+    def _bucket(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Index of the first value whose high part is ``h`` or more, and the end of those that have it."""
+        at = np.where(h > 0, self._zero(np.maximum(h, 1) - 1) + 1, 0)
+        length = _trailing(~self.high[at >> 6] >> (at & 63).astype(np.uint64))
+        lo = at - h
+        hi = lo + length
+        far = np.flatnonzero(length == 64)
+        hi[far] = self._zero(h[far]) - h[far]
+        return lo, hi
+
+    def _search(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Index of the first value >= x, none beyond the last one; the end of its bucket and the low part looked for."""
+        h, low = (x >> np.uint64(self.shift)).astype(np.int64), x & np.uint64((1 << self.shift) - 1)
+        lo, end = self._bucket(h)
+        some = np.flatnonzero(lo < end)
+        a, b, want = lo[some], end[some], low[some]
+        while len(some):  # binary search on the low parts of the bucket
+            mid = (a + b) >> 1
+            less = self._low(mid) < want
+            a, b = np.where(less, mid + 1, a), np.where(less, b, mid)
+            lo[some] = a
+            open_ = np.flatnonzero(a < b)
+            some, a, b, want = some[open_], a[open_], b[open_], want[open_]
+        return lo, end, low
 
     def successor(self, x: np.ndarray) -> np.ndarray:
         """Index of the first value >= x; n where there is none."""
         x = np.asarray(x, np.uint64)
         if not self.n:
             return np.zeros(len(x), np.int64)
-        last = int(self[np.array([self.n - 1])][0])
-        beyond = x > np.uint64(last)
-        x = np.minimum(x, np.uint64(last))
-        h = (x >> np.uint64(self.shift)).astype(np.int64)
-        lo, hi = self._bucket(h), self._bucket(h + 1)
-        low = x & np.uint64((1 << self.shift) - 1)
-        while True:  # binary search on the low parts of the bucket
-            open_ = lo < hi
-            if not open_.any():
-                break
-            mid = (lo + hi) >> 1
-            less = np.zeros(len(x), bool)
-            less[open_] = self._low(mid[open_]) < low[open_]
-            lo = np.where(open_ & less, mid + 1, lo)
-            hi = np.where(open_ & ~less, mid, hi)
-        return np.where(beyond, self.n, lo)
+        return np.where(x > self.last, self.n, self._search(np.minimum(x, self.last))[0])
+
+    def find(self, x: np.ndarray) -> np.ndarray:
+        """Index of the first value equal to x; -1 where there is none."""
+        x = np.asarray(x, np.uint64)
+        out = np.full(len(x), -1, np.int64)
+        if self.n:
+            lo, end, low = self._search(np.minimum(x, self.last))
+            some = np.flatnonzero((lo < end) & (x <= self.last))
+            some = some[self._low(lo[some]) == low[some]]
+            out[some] = lo[some]
+        return out
 
 
 def local_path(path: str) -> str | None:
@@ -138,7 +190,7 @@ def open_arrays(path: str) -> dict[str, np.ndarray]:
     """Arrays of a file: memory-mapped on a mounted file system, else read into memory."""
     name = local_path(path)
     if name is not None:
-        data = np.memmap(name, np.uint8, "r")
+        data = np.asarray(np.memmap(name, np.uint8, "r"))
     else:
         store, name = fs.FileSystem.from_uri(path)
         data = np.frombuffer(store.open_input_stream(name).readall(), np.uint8)

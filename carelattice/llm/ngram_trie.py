@@ -2,8 +2,8 @@
 
 Level 1 is the vocabulary: the sorted 64-bit hashes of all training tokens, with exact counts. Level k holds, per n-gram of
 order k - 1 (its node), the ids of the words that follow it. A level consists of Elias-Fano sequences: the nodes that have
-successors, monotone pointers to the first successor of each, and the successor ids, made monotone by starting each node above the last
-value of the one before. A query looks up the node, adds the node's start to the word id and makes one successor search.
+successors, the successor ids, made monotone by starting each node above the last value of the one before, and monotone pointers
+to these starts. A query looks up the node, adds the node's start to the word id and makes one search among the successors.
 Beside them lie the discounted probabilities and, per n-gram, its back-off weight, both quantised to 16 bits of log10.
 
 Smoothing is interpolated absolute discounting: P(w | context) = max(c - D, 0) / c(context) + B(context) P(w | shorter
@@ -18,18 +18,18 @@ tasks that score. Every file appears at once under its final name with the same
 
 from __future__ import annotations
 
-import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from functools import cached_property
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelattice.llm.elias_fano import EliasFano, open_arrays, write_arrays
-from carelattice.llm.hashing import WordHashes, mix
+from carelattice.llm.hashing import REMEMBERED, mix
 from carelattice.runtime import cut_lineage, new_shared_path
 
 #: The end token; no word holds a blank.
@@ -43,7 +43,9 @@ TOKENS_PER_SHARD = 4_000_000
 #: Back-off weights are written in blocks of so many nodes.
 BLOCK = 1 << 20
 #: Tokens that are looked up at once.
-CHUNK = 400_000
+CHUNK = 800_000
+#: Tokens that are counted before anything is sent.
+COUNTED = 1_600_000
 
 
 def quantised(log10: np.ndarray) -> np.ndarray:
@@ -54,6 +56,10 @@ def restored(q: np.ndarray) -> np.ndarray:
     return q.astype(np.float64) / 65535 * LOWEST
 
 
+#: Probability of each quantised value.
+PROBABILITY = 10 ** restored(np.arange(1 << 16))
+
+
 @dataclass
 class Level:
     """Files of one order. ``offsets``: id of the first n-gram of each shard, and the total at the end."""
@@ -79,7 +85,7 @@ class Level:
         return self._open[shard]
 
     def _by_shard(self, shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-        order = np.argsort(shard, kind="stable")
+        order = _order(shard)
         cuts = np.flatnonzero(np.diff(shard[order])) + 1
         for part in np.split(order, cuts):
             if len(part):
@@ -97,41 +103,41 @@ class Level:
         for shard, part in self._by_shard(shard_of(hashes, self.shards)):
             found = self.file(shard)
             if found:
-                at = np.minimum(found["words"].successor(hashes[part]), found["words"].n - 1)
-                hit = found["words"][at] == hashes[part]
-                out[part[hit]] = at[hit] + self.offsets[shard]
+                at = found["words"].find(hashes[part])
+                out[part] = np.where(at >= 0, at + self.offsets[shard], -1)
         return out
 
     def successors(self, nodes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the n-grams (node, word), -1 where not stored, and their discounted log10 probability."""
-        out, logs = np.full(len(nodes), -1, np.int64), np.full(len(nodes), -np.inf)
+        """Ids of the n-grams (node, word), -1 where not stored, and their discounted probability. Fast if nodes ascend."""
+        out, direct = np.full(len(nodes), -1, np.int64), np.zeros(len(nodes))
         for shard, part in self._by_shard(shard_of(pair_hash(nodes, words), self.shards)):
             found = self.file(shard)
             if not found:
                 continue
-            node, word = nodes[part].astype(np.uint64), words[part].astype(np.uint64)
-            at = np.minimum(found["nodes"].successor(node), found["nodes"].n - 1)
-            known = found["nodes"][at] == node
-            part, at, word = part[known], at[known], word[known]
-            first, last = found["pointers"][at].astype(np.int64), found["pointers"][at + 1].astype(np.int64)
-            start = np.where(first > 0, found["next"][np.maximum(first - 1, 0)] + np.uint64(1), np.uint64(0))
-            want = start + word
-            j = found["next"].successor(want)
-            hit = j < last
-            hit[hit] = found["next"][j[hit]] == want[hit]
-            out[part[hit]] = j[hit] + self.offsets[shard]
-            logs[part[hit]] = restored(found["logs"][j[hit]])
-        return out, logs
+            node = nodes[part]
+            # equal neighbours are looked up once
+            first = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+            at = found["nodes"].find(node[first])
+            times = np.diff(first, append=len(node))
+            part = part[np.repeat(at >= 0, times)]
+            start, end = (np.repeat(x, times[at >= 0]) for x in found["pointers"].neighbours(at[at >= 0]))
+            want = start + words[part].astype(np.uint64)
+            part, want = part[want < end], want[want < end]
+            at = found["next"].find(want)
+            part, at = part[at >= 0], at[at >= 0]
+            out[part] = at + self.offsets[shard]
+            direct[part] = PROBABILITY[found["logs"][at]]
+        return out, direct
 
     def backoffs(self, ids: np.ndarray) -> np.ndarray:
-        """log10 back-off weights of n-grams."""
-        out = np.zeros(len(ids))
+        """Back-off weights of n-grams."""
+        out = np.ones(len(ids))
         if self.backoff is not None:
             for block, part in self._by_shard(ids // BLOCK):
                 key = ("backoff", block)
                 if key not in self._open:
                     self._open[key] = open_arrays(f"{self.backoff}/{block}.q")["logs"]
-                out[part] = restored(self._open[key][ids[part] % BLOCK])
+                out[part] = PROBABILITY[self._open[key][ids[part] % BLOCK]]
         return out
 
 
@@ -147,38 +153,33 @@ class Model:
     def unknown(self) -> float:
         return PSEUDO / (self.tokens + PSEUDO * (self.distinct + 1))
 
-    def chunk(self, hashes: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Per token: whether it is known, log10 of its unigram and of its model probability. ``ends``: where documents end."""
-        unique, at = np.unique(hashes, return_inverse=True)
-        ids = self.levels[0].words(unique)
-        known = ids >= 0
-        counts = np.zeros(len(unique))
-        counts[known] = self.levels[0].counts_of(ids[known])
+    def words(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of word hashes, -1 for unknown words, their unigram probability and its log10."""
+        ids = self.levels[0].words(hashes)
+        counts = np.zeros(len(ids))
+        counts[ids >= 0] = self.levels[0].counts_of(ids[ids >= 0])
         unigram = (counts + PSEUDO) / (self.tokens + PSEUDO * (self.distinct + 1))
-        word, low = ids[at], unigram[at]
-        base = np.log10(low)
-        node = contexts(word, ends, self._end)
+        return ids, unigram, np.log10(unigram)
+
+    def chunk(self, word: np.ndarray, low: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """log10 of the model probability per token, from its id and unigram probability. ``ends``: where documents end."""
+        low, node = low.copy(), contexts(word, ends, self._end)
         for k, level in enumerate(self.levels[1:], 1):
             # distinct (context, word) of the chunk, looked up once
-            some = np.flatnonzero((node >= 0) & (word >= 0))
-            pairs, where = np.unique(node[some] * np.int64(self.distinct + 1) + word[some], return_inverse=True) if k == 1 else _pairs(node[some], word[some])
-            some_node, some_word = (pairs // (self.distinct + 1), pairs % (self.distinct + 1)) if k == 1 else pairs.T
-            found, logs = level.successors(some_node, some_word)
-            weight = np.ones(len(word))
-            has = node >= 0
-            u, back = np.unique(node[has], return_inverse=True)
-            weight[has] = (10 ** self.levels[k - 1].backoffs(u))[back]
-            direct = np.zeros(len(word))
-            direct[some] = (10**logs)[where]
-            low = direct + weight * low
+            some = np.flatnonzero(node >= 0)
+            pairs, where = _pairs(node[some], word[some])
+            known = np.flatnonzero(pairs[:, 1] >= 0)
+            found, direct = np.full(len(pairs), -1, np.int64), np.zeros(len(pairs))
+            found[known], direct[known] = level.successors(pairs[known, 0], pairs[known, 1])
+            low[some] = direct[where] + self.levels[k - 1].backoffs(pairs[:, 0])[where] * low[some]
             grams = np.full(len(word), -1, np.int64)
             grams[some] = found[where]
             node = contexts(grams, ends, -1)
-        return known[at], base, np.log10(low)
+        return np.log10(low)
 
     @cached_property
     def _end(self) -> int:
-        return int(self.levels[0].words(np.array([WordHashes()[END]], np.uint64))[0])
+        return int(self.levels[0].words(np.array([xxhash.xxh64_intdigest(END)], np.uint64))[0])
 
 
 def _pairs(node: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -186,7 +187,8 @@ def _pairs(node: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     width = int(word.max(initial=0)) + 2
     if (int(node.max(initial=0)) + 2) * width < 1 << 63:
         packed, where = np.unique((node + 1) * width + word + 1, return_inverse=True)
-        return np.stack([packed // width - 1, packed % width - 1], axis=1), where
+        high = packed // width
+        return np.stack([high - 1, packed - high * width - 1]).T, where
     return np.unique(np.stack([node, word], axis=1), axis=0, return_inverse=True)
 
 
@@ -199,6 +201,13 @@ def contexts(ids: np.ndarray, ends: np.ndarray, first: int) -> np.ndarray:
     return out
 
 
+def _order(shard: np.ndarray) -> np.ndarray:
+    """Stable order by shard; small numbers are sorted by digits, ascending ones not at all."""
+    if (shard[1:] >= shard[:-1]).all():
+        return np.arange(len(shard))
+    return np.argsort(shard.astype(np.uint16) if shard.max() < 1 << 16 else shard, kind="stable")
+
+
 def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     """Shard by the leading bits: ranges of hashes, equal shares of them."""
     return ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
@@ -208,23 +217,53 @@ def pair_hash(nodes: np.ndarray, words: np.ndarray) -> np.ndarray:
     return mix(mix(nodes.astype(np.uint64)) + words.astype(np.uint64))
 
 
-def token_chunks(batches: Iterator[pa.RecordBatch], cache: WordHashes) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(batch, first row, hashes, ends) of about CHUNK tokens each; every document ends with END."""
-    end = cache[END]
+class TaskWords(dict):
+    """Word (bytes) to its number among the words a task remembers, and what was looked up for each of them."""
+
+    def __init__(self) -> None:
+        self.hashes: list[int] = []
+        self.known: tuple[np.ndarray, ...] | None = None
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self.hashes)
+        self.hashes.append(xxhash.xxh64_intdigest(word))
+        return number
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
+
+    def values(self, lookup: Callable[[np.ndarray], tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        """Arrays by number; ``lookup`` takes the hashes of the words that came since the last call."""
+        done = len(self.known[0]) if self.known else 0
+        if self.known is None or done < len(self.hashes):
+            new = lookup(np.array(self.hashes[done:], np.uint64))
+            self.known = tuple(np.concatenate(both) for both in zip(self.known, new, strict=True)) if self.known else new
+        return self.known
+
+    def forget(self) -> None:
+        self.clear()
+        self.__init__()
+
+
+def token_chunks(batches: Iterator[pa.RecordBatch], table: TaskWords) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray, np.ndarray]]:
+    """(batch, first row, numbers of words, ends) of about CHUNK tokens each; every document ends with END.
+
+    Numbers hold until the next chunk: between two of them a large table starts anew.
+    """
     for batch in batches:
         parts, sizes, first, held = [], [], 0, 0
         column = batch.column("text")
         for i in range(batch.num_rows):
             words = (column[i].as_py() or b"").lower().split()
-            hashes = np.empty(len(words) + 1, np.uint64)
-            hashes[:-1] = cache.of(words)
-            hashes[-1] = end
-            parts.append(hashes)
-            sizes.append(len(hashes))
-            held += len(hashes)
+            words.append(END)
+            parts.append(table.of(words))
+            sizes.append(len(words))
+            held += len(words)
             if held >= CHUNK or i + 1 == batch.num_rows:
                 yield batch, first, np.concatenate(parts), np.cumsum(sizes) - 1
                 parts, sizes, first, held = [], [], i + 1, 0
+                if len(table) > REMEMBERED:
+                    table.forget()
 
 
 def _write_level(blocks: DataFrame, order: int, write) -> DataFrame:
@@ -258,31 +297,45 @@ def _write_level(blocks: DataFrame, order: int, write) -> DataFrame:
     return cut_lineage(blocks.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, schema), f"lm-level-{order}")
 
 
+@cache
+def _codec() -> pa.Codec:
+    return pa.Codec("zstd", compression_level=1)
+
+
+def _pressed(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + _codec().compress(data, asbytes=True)
+
+
+def _restored(blob: bytes) -> pa.Buffer:
+    return _codec().decompress(memoryview(blob)[8:], int.from_bytes(blob[:8], "little"))
+
+
 def _blob(*arrays: np.ndarray) -> bytes:
-    """Sorted integer columns, the first as differences, packed in the narrowest kinds that hold them."""
+    """Sorted integer columns, the first as differences, in the narrowest kinds that hold them, byte by byte of all values."""
     cols = [np.diff(arrays[0], prepend=arrays[0].dtype.type(0)), *arrays[1:]]
     cols = [c.astype(np.min_scalar_type(int(c.max()))) if len(c) else c.astype(np.uint8) for c in cols]
     head = np.array([len(arrays[0]), *[c.itemsize for c in cols]], np.int64).tobytes()
-    return zlib.compress(head + b"".join(c.tobytes() for c in cols), 1)
+    return _pressed(head + b"".join(c.view(np.uint8).reshape(-1, c.itemsize).T.tobytes() for c in cols))
 
 
 def _masses(node: np.ndarray, mass: np.ndarray) -> bytes:
     """Ascending places within a block and their masses; most masses are alike."""
-    return zlib.compress(len(node).to_bytes(8, "little") + node.astype(np.uint32).tobytes() + mass.astype(np.float64).tobytes(), 1)
+    return _pressed(len(node).to_bytes(8, "little") + node.astype(np.uint32).tobytes() + mass.astype(np.float64).tobytes())
 
 
 def _add_masses(blob: bytes, total: np.ndarray) -> None:
-    data = zlib.decompress(blob)
-    n = int.from_bytes(data[:8], "little")
+    data = _restored(blob)
+    n = int(np.frombuffer(data, np.int64, 1)[0])
     total[np.frombuffer(data, np.uint32, n, 8)] += np.frombuffer(data, np.float64, n, 8 + 4 * n)
 
 
 def _unblob(blob: bytes, columns: int) -> list[np.ndarray]:
-    data = zlib.decompress(blob)
+    data = _restored(blob)
     n, *sizes = np.frombuffer(data, np.int64, columns + 1)
     at, out = 8 * (columns + 1), []
     for size in sizes:
-        out.append(np.frombuffer(data, f"u{size}", n, at).astype(np.uint64))
+        planes = np.frombuffer(data, np.uint8, n * size, at).reshape(size, n)
+        out.append(planes.T.copy().view(f"u{size}").reshape(n).astype(np.uint64))
         at += int(n * size)
     out[0] = np.cumsum(out[0], dtype=np.uint64)
     return out
@@ -292,6 +345,17 @@ def _summed(blobs: list[bytes], columns: int) -> list[np.ndarray]:
     """Merged keys (all but the last column) in order, and the sums of the last column."""
     parts = [_unblob(b, columns) for b in blobs]
     cols = [np.concatenate([p[c] for p in parts]) for c in range(columns)]
+    del parts
+    width = int(cols[1].max()) + 1 if columns == 3 else 1
+    if columns == 2 or (int(cols[0].max()) + 1) * width < 1 << 64:
+        # one integer a key
+        key = cols[0] if columns == 2 else cols[0] * np.uint64(width) + cols[1]
+        order = np.argsort(key)
+        key, n = key[order], cols[-1][order]
+        del cols, order
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        key, n = key[starts], np.add.reduceat(n, starts)
+        return [key, n] if columns == 2 else [key // np.uint64(width), key % np.uint64(width), n]
     order = np.lexsort(cols[-2::-1])
     cols = [c[order] for c in cols]
     new = np.ones(len(cols[0]), bool)
@@ -317,13 +381,14 @@ def fit(train: DataFrame, order: int = 2, keep: int = 2, shards: int | None = No
     folder = new_shared_path(spark, "lm")
 
     def vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, hashes, _ in _grouped(token_chunks(batches, WordHashes())):
+        table = TaskWords()
+        for hashes, _ in _grouped((table.values(lambda h: (h,))[0][at], ends) for _, _, at, ends in token_chunks(batches, table)):
             unique, counts = np.unique(hashes, return_counts=True)
             yield from _dealt(shard_of(unique, n_shards), n_shards, unique, counts.astype(np.uint64))
 
     def write_words(shard: int, blobs: list[bytes]):
         words, counts = _summed(blobs, 2)
-        kind = np.uint32 if int(counts.max()) < 1 << 32 else np.int64
+        kind = np.min_scalar_type(int(counts.max()))
         write_arrays(f"{folder}/1/{shard}.ef", EliasFano.arrays(words, "words") | {"counts": counts.astype(kind)})
         return len(words), int(counts.sum()), np.empty(0, np.int64), np.empty(0)
 
@@ -335,26 +400,26 @@ def fit(train: DataFrame, order: int = 2, keep: int = 2, shards: int | None = No
         if not offsets[-1]:
             break
         partial = Model(tokens, levels[0].offsets[-1], levels)
-        levels.append(_next_level(train, partial, folder, k, keep, n_shards))
+        levels.append(_next_level(train, partial, folder, k, keep, n_shards, k == order))
     return Model(tokens, levels[0].offsets[-1], levels)
 
 
-def _grouped(chunks, tokens: int = 4 * CHUNK):
-    """Neighbouring chunks joined up to ``tokens`` tokens, to count more before anything is sent."""
+def _grouped(chunks: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Neighbouring chunks (values, ends) joined up to COUNTED tokens, to count more before anything is sent."""
     held, size = [], 0
-    for _, _, hashes, ends in chunks:
-        held.append((hashes, ends + size))
-        size += len(hashes)
-        if size >= tokens:
-            yield None, 0, np.concatenate([h for h, _ in held]), np.concatenate([e for _, e in held])
+    for values, ends in chunks:
+        held.append((values, ends + size))
+        size += len(values)
+        if size >= COUNTED:
+            yield np.concatenate([v for v, _ in held]), np.concatenate([e for _, e in held])
             held, size = [], 0
     if held:
-        yield None, 0, np.concatenate([h for h, _ in held]), np.concatenate([e for _, e in held])
+        yield np.concatenate([v for v, _ in held]), np.concatenate([e for _, e in held])
 
 
 def _dealt(shard: np.ndarray, shards: int, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
     """One block per shard of columns sorted by the first (and second) one."""
-    order = np.argsort(shard, kind="stable")
+    order = _order(shard)
     cuts = np.searchsorted(shard[order], np.arange(shards + 1))
     ids, blobs = [], []
     for s in range(shards):
@@ -365,13 +430,13 @@ def _dealt(shard: np.ndarray, shards: int, *columns: np.ndarray) -> Iterator[pa.
     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(blobs, pa.binary())], names=["shard", "blob"])
 
 
-def _next_level(train: DataFrame, model: Model, folder: str, k: int, keep: int, shards: int) -> Level:
+def _next_level(train: DataFrame, model: Model, folder: str, k: int, keep: int, shards: int, top: bool) -> Level:
     spark, below = train.sparkSession, model.levels[-1]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, _, hashes, ends in _grouped(token_chunks(batches, WordHashes())):
-            unique, at = np.unique(hashes, return_inverse=True)
-            word = model.levels[0].words(unique)[at]
+        table = TaskWords()
+        ids = lambda hashes: (model.levels[0].words(hashes),)
+        for word, ends in _grouped((table.values(ids)[0][at], ends) for _, _, at, ends in token_chunks(batches, table)):
             node = contexts(word, ends, model._end)
             for level in model.levels[1:]:
                 pairs, where = _pairs(node, word)
@@ -398,14 +463,16 @@ def _next_level(train: DataFrame, model: Model, folder: str, k: int, keep: int,
             return 0, 0, np.empty(0, np.int64), np.empty(0)
         first = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
         last = np.concatenate([first[1:], [len(node)]]) - 1
-        start = np.concatenate([[0], np.cumsum(word[last] + np.uint64(1), dtype=np.uint64)[:-1]]).astype(np.uint64)
+        start = np.concatenate([np.zeros(1, np.uint64), np.cumsum(word[last] + np.uint64(1), dtype=np.uint64)])
         owner = np.repeat(np.arange(len(first)), np.diff(np.concatenate([first, [len(node)]])))
         own = node[first].astype(np.int64)
         share = (n - DISCOUNT) / below.counts_of(own)[owner]
-        arrays = EliasFano.arrays(node[first], "nodes") | EliasFano.arrays(np.concatenate([first, [len(node)]]), "pointers") | EliasFano.arrays(word + start[owner], "next")
-        write_arrays(f"{folder}/{k}/{shard}.ef", arrays | {"logs": quantised(np.log10(share)), "counts": n.astype(np.uint32 if n.max() < 1 << 32 else np.int64)})
+        arrays = EliasFano.arrays(node[first], "nodes") | EliasFano.arrays(start, "pointers") | EliasFano.arrays(word + start[owner], "next")
+        logs = quantised(np.log10(share))
+        # counts are only asked for by the next level
+        write_arrays(f"{folder}/{k}/{shard}.ef", arrays | {"logs": logs} | ({} if top else {"counts": n.astype(np.min_scalar_type(int(n.max())))}))
         # what is taken away is the quantised share, so that the weights close the sum exactly
-        return len(node), int(n.sum()), own, np.add.reduceat(10 ** restored(quantised(np.log10(share))), first)
+        return len(node), int(n.sum()), own, np.add.reduceat(PROBABILITY[logs], first)
 
     report = _write_level(train.mapInArrow(count, "shard long, blob binary"), k, write)
     level = Level(f"{folder}/{k}", k, _offsets(report, shards))
@@ -444,8 +511,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keys) + ", n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, first, hashes, ends in token_chunks(batches, WordHashes()):
-            known, base, full = model.chunk(hashes, ends)
+        table = TaskWords()
+        for batch, first, at, ends in token_chunks(batches, table):
+            word, unigram, base = (values[at] for values in table.values(model.words))
+            known, full = word >= 0, model.chunk(word, unigram, ends)
             starts = np.concatenate([[0], ends[:-1] + 1])
             sums = [np.diff(np.concatenate([[0], ends + 1])), *(np.add.reduceat(x, starts) for x in (known.astype(np.int64), base, full))]
             rows = batch.slice(first, len(ends))
