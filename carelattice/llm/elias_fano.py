@@ -126,12 +126,12 @@ class EliasFano:
         hi[far] = self._zero(h[far]) - h[far]
         return lo, hi
 
-    def _search(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Index of the first value >= x, none beyond the last one; the end of its bucket and the low part looked for."""
+    def _search(self, x: np.ndarray, back: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per value the first index in its bucket, short of the last ``back`` ones, whose low part is no less; the bucket's end, the low part."""
         h, low = (x >> np.uint64(self.shift)).astype(np.int64), x & np.uint64((1 << self.shift) - 1)
         lo, end = self._bucket(h)
-        some = np.flatnonzero(lo < end)
-        a, b, want = lo[some], end[some], low[some]
+        some = np.flatnonzero(lo < end - back)
+        a, b, want = lo[some], end[some] - back, low[some]
         while len(some):  # binary search on the low parts of the bucket
             mid = (a + b) >> 1
             less = self._low(mid) < want
@@ -146,14 +146,15 @@ class EliasFano:
         x = np.asarray(x, np.uint64)
         if not self.n:
             return np.zeros(len(x), np.int64)
-        return np.where(x > self.last, self.n, self._search(np.minimum(x, self.last))[0])
+        return np.where(x > self.last, self.n, self._search(np.minimum(x, self.last), 0)[0])
 
     def find(self, x: np.ndarray) -> np.ndarray:
         """Index of the first value equal to x; -1 where there is none."""
         x = np.asarray(x, np.uint64)
         out = np.full(len(x), -1, np.int64)
         if self.n:
-            lo, end, low = self._search(np.minimum(x, self.last))
+            # the last value of a bucket need not be compared twice
+            lo, end, low = self._search(np.minimum(x, self.last), 1)
             some = np.flatnonzero((lo < end) & (x <= self.last))
             some = some[self._low(lo[some]) == low[some]]
             out[some] = lo[some]

@@ -11,25 +11,26 @@ context), down to the add-0.1 unigrams. n-grams of order 2 and above that are se
 their mass is in B, so the probabilities of all words still add up to one.
 
 Spark counts and shuffles: a task counts the n-grams of its documents and sends each shard one compact block, so a very
-frequent word or pair costs one entry per block. Shards take n-grams by a hash of (node, word), not by context; the successors
-of a frequent word are spread over all of them. A shard is written as one file in the shared folder and memory-mapped by the
+frequent word or pair costs one entry per block. Shards take ranges of nodes, so that neighbours in a block are close and a node is
+looked up in one place; the successors of frequent nodes are spread over all shards by a hash of (node, word). A shard is written as one file in the shared folder and memory-mapped by the
 tasks that score. Every file appears at once under its final name with the same content, however often its task runs.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelattice.llm.elias_fano import EliasFano, open_arrays, write_arrays
-from carelattice.llm.hashing import REMEMBERED, mix
+from carelattice.llm.hashing import mix
 from carelattice.runtime import cut_lineage, new_shared_path
 
 #: The end token; no word holds a blank.
@@ -42,10 +43,12 @@ LOWEST = -16.0
 TOKENS_PER_SHARD = 4_000_000
 #: Back-off weights are written in blocks of so many nodes.
 BLOCK = 1 << 20
-#: Tokens that are looked up at once.
-CHUNK = 800_000
+#: Bytes of text that are taken apart and looked up at once; a document is never divided.
+CHUNK = 5_000_000
 #: Tokens that are counted before anything is sent.
 COUNTED = 1_600_000
+#: A node with more than this part of a shard's tokens is frequent; there are about as many of them a shard at most.
+FREQUENT = 64
 
 
 def quantised(log10: np.ndarray) -> np.ndarray:
@@ -60,13 +63,51 @@ def restored(q: np.ndarray) -> np.ndarray:
 PROBABILITY = 10 ** restored(np.arange(1 << 16))
 
 
+@dataclass
+class Nodes:
+    """How the nodes of a level are dealt to its shards: ranges of ids, but the ``frequent`` ones to all shards."""
+
+    total: int
+    shards: int
+    frequent: np.ndarray
+
+    def start(self, shard: np.ndarray | int) -> np.ndarray | int:
+        return -(-shard * self.total // self.shards)
+
+    @property
+    def width(self) -> int:
+        return -(-self.total // self.shards)
+
+    def places(self, nodes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Shard of each n-gram, and the number of its node there: place in the range, frequent ones above all of them."""
+        shard = nodes * self.shards // max(1, self.total)
+        key = nodes - self.start(shard)
+        if len(self.frequent):
+            at = np.minimum(np.searchsorted(self.frequent, nodes), len(self.frequent) - 1)
+            some = np.flatnonzero(self.frequent[at] == nodes)
+            shard[some] = shard_of(pair_hash(nodes[some], words[some]), self.shards)
+            key[some] = self.width + at[some]
+        return shard, key
+
+    def ids(self, shard: int, keys: np.ndarray) -> np.ndarray:
+        out = keys + self.start(shard)
+        spread = keys >= self.width
+        out[spread] = self.frequent[keys[spread] - self.width]
+        return out
+
+
 @dataclass
 class Level:
-    """Files of one order. ``offsets``: id of the first n-gram of each shard, and the total at the end."""
+    """Files of one order. ``offsets``: id of the first n-gram of each shard, and the total at the end.
+
+    ``frequent``: ascending ids of the n-grams that are frequent as nodes of the next level.
+    """
 
     folder: str
     order: int
     offsets: list[int]
+    frequent: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
+    nodes: Nodes | None = None
     backoff: str | None = None
     _open: dict = field(default_factory=dict, repr=False)
 
@@ -110,11 +151,12 @@ class Level:
     def successors(self, nodes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the n-grams (node, word), -1 where not stored, and their discounted probability. Fast if nodes ascend."""
         out, direct = np.full(len(nodes), -1, np.int64), np.zeros(len(nodes))
-        for shard, part in self._by_shard(shard_of(pair_hash(nodes, words), self.shards)):
+        shards, keys = self.nodes.places(nodes, words)
+        for shard, part in self._by_shard(shards):
             found = self.file(shard)
             if not found:
                 continue
-            node = nodes[part]
+            node = keys[part]
             # equal neighbours are looked up once
             first = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
             at = found["nodes"].find(node[first])
@@ -172,9 +214,10 @@ class Model:
             found, direct = np.full(len(pairs), -1, np.int64), np.zeros(len(pairs))
             found[known], direct[known] = level.successors(pairs[known, 0], pairs[known, 1])
             low[some] = direct[where] + self.levels[k - 1].backoffs(pairs[:, 0])[where] * low[some]
-            grams = np.full(len(word), -1, np.int64)
-            grams[some] = found[where]
-            node = contexts(grams, ends, -1)
+            if k + 1 < len(self.levels):
+                grams = np.full(len(word), -1, np.int64)
+                grams[some] = found[where]
+                node = contexts(grams, ends, -1)
         return np.log10(low)
 
     @cached_property
@@ -184,11 +227,10 @@ class Model:
 
 def _pairs(node: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct (node, word), -1 allowed in either, and the place of every pair among them; packed in one integer where it fits."""
-    width = int(word.max(initial=0)) + 2
-    if (int(node.max(initial=0)) + 2) * width < 1 << 63:
-        packed, where = np.unique((node + 1) * width + word + 1, return_inverse=True)
-        high = packed // width
-        return np.stack([high - 1, packed - high * width - 1]).T, where
+    bits = (int(word.max(initial=0)) + 1).bit_length()
+    if (int(node.max(initial=0)) + 2) << bits < 1 << 63:
+        packed, where = np.unique((node + 1) << bits | word + 1, return_inverse=True)
+        return np.stack([(packed >> bits) - 1, (packed & (1 << bits) - 1) - 1]).T, where
     return np.unique(np.stack([node, word], axis=1), axis=0, return_inverse=True)
 
 
@@ -217,66 +259,49 @@ def pair_hash(nodes: np.ndarray, words: np.ndarray) -> np.ndarray:
     return mix(mix(nodes.astype(np.uint64)) + words.astype(np.uint64))
 
 
-class TaskWords(dict):
-    """Word (bytes) to its number among the words a task remembers, and what was looked up for each of them."""
-
-    def __init__(self) -> None:
-        self.hashes: list[int] = []
-        self.known: tuple[np.ndarray, ...] | None = None
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self.hashes)
-        self.hashes.append(xxhash.xxh64_intdigest(word))
-        return number
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
-
-    def values(self, lookup: Callable[[np.ndarray], tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-        """Arrays by number; ``lookup`` takes the hashes of the words that came since the last call."""
-        done = len(self.known[0]) if self.known else 0
-        if self.known is None or done < len(self.hashes):
-            new = lookup(np.array(self.hashes[done:], np.uint64))
-            self.known = tuple(np.concatenate(both) for both in zip(self.known, new, strict=True)) if self.known else new
-        return self.known
-
-    def forget(self) -> None:
-        self.clear()
-        self.__init__()
-
-
-def token_chunks(batches: Iterator[pa.RecordBatch], table: TaskWords) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray, np.ndarray]]:
-    """(batch, first row, numbers of words, ends) of about CHUNK tokens each; every document ends with END.
-
-    Numbers hold until the next chunk: between two of them a large table starts anew.
-    """
+def _tokens(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of distinct words, the place of every token among them, and where documents end; every document ends with END."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(text))
+    words = lists.flatten().dictionary_encode()
+    distinct, at = words.dictionary.view(pa.binary()).to_numpy(zero_copy_only=False), words.indices.to_numpy()
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in (*distinct, END)), np.uint64, len(distinct) + 1)
+    # white space at either end of a text leaves an empty word
+    kept = at != next(iter(np.flatnonzero(distinct == b"")), -1)
+    before = np.concatenate([[0], np.cumsum(kept)])
+    upto = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+    ends = before[upto[1:]] + np.arange(len(text))
+    out = np.full(before[-1] + len(text), len(distinct), np.int32)
+    inner = np.ones(len(out), bool)
+    inner[ends] = False
+    out[inner] = at[kept]
+    return hashes, out, ends
+
+
+def token_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, np.ndarray]]:
+    """(rows, hashes of distinct words, places of tokens among them, ends) of about CHUNK bytes of text each."""
     for batch in batches:
-        parts, sizes, first, held = [], [], 0, 0
-        column = batch.column("text")
-        for i in range(batch.num_rows):
-            words = (column[i].as_py() or b"").lower().split()
-            words.append(END)
-            parts.append(table.of(words))
-            sizes.append(len(words))
-            held += len(words)
-            if held >= CHUNK or i + 1 == batch.num_rows:
-                yield batch, first, np.concatenate(parts), np.cumsum(sizes) - 1
-                parts, sizes, first, held = [], [], i + 1, 0
-                if len(table) > REMEMBERED:
-                    table.forget()
+        text = pc.fill_null(batch.column("text").cast(pa.binary()), b"")
+        sizes = pc.binary_length(text).to_numpy()
+        group = np.cumsum(sizes + 1, dtype=np.int64) // CHUNK
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
+        for first, last in zip(cuts[:-1], cuts[1:], strict=True):
+            if first < last:
+                yield batch.slice(first, last - first), *_tokens(text.slice(first, last - first).view(pa.string()))
 
 
 def _write_level(blocks: DataFrame, order: int, write) -> DataFrame:
     """Merge the blocks of every shard with ``write(shard, blobs) -> (n, total, nodes, masses)`` and read back what it reports.
 
-    A row per shard has n and total, further ones the masses of its nodes, packed by blocks of BLOCK nodes.
+    A row per shard has n and total, further ones the masses of its nodes, packed by blocks of BLOCK nodes. ``write`` may add the
+    places of frequent n-grams in the shard; they stand in a row of block -1.
     """
     schema = "shard long, n long, total long, block long, blob binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def done(shard: int, blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
-            n, total, node, mass = write(shard, blobs)
+            n, total, node, mass, *frequent = write(shard, blobs)
             yield pa.RecordBatch.from_pylist([{"shard": shard, "n": n, "total": total}], schema=out)
+            yield from (pa.RecordBatch.from_pylist([{"shard": shard, "block": -1, "blob": f.astype(np.int64).tobytes()}], schema=out) for f in frequent)
             cuts = np.searchsorted(node, np.arange(0, (int(node[-1]) // BLOCK + 2) * BLOCK, BLOCK)) if len(node) else []
             for block, (first, last) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
                 if first < last:
@@ -310,26 +335,26 @@ def _restored(blob: bytes) -> pa.Buffer:
     return _codec().decompress(memoryview(blob)[8:], int.from_bytes(blob[:8], "little"))
 
 
-def _blob(*arrays: np.ndarray) -> bytes:
+def _blob(*arrays: np.ndarray, values: np.ndarray = np.empty(0)) -> bytes:
     """Sorted integer columns, the first as differences, in the narrowest kinds that hold them, byte by byte of all values."""
     cols = [np.diff(arrays[0], prepend=arrays[0].dtype.type(0)), *arrays[1:]]
     cols = [c.astype(np.min_scalar_type(int(c.max()))) if len(c) else c.astype(np.uint8) for c in cols]
     head = np.array([len(arrays[0]), *[c.itemsize for c in cols]], np.int64).tobytes()
-    return _pressed(head + b"".join(c.view(np.uint8).reshape(-1, c.itemsize).T.tobytes() for c in cols))
+    return _pressed(head + b"".join(c.view(np.uint8).reshape(-1, c.itemsize).T.tobytes() for c in cols) + values.tobytes())
 
 
 def _masses(node: np.ndarray, mass: np.ndarray) -> bytes:
-    """Ascending places within a block and their masses; most masses are alike."""
-    return _pressed(len(node).to_bytes(8, "little") + node.astype(np.uint32).tobytes() + mass.astype(np.float64).tobytes())
+    """Ascending places within a block and their masses; these are few different numbers."""
+    values, at = np.unique(mass, return_inverse=True)
+    return _blob(node.astype(np.uint64), at, values=values.astype(np.float64))
 
 
 def _add_masses(blob: bytes, total: np.ndarray) -> None:
-    data = _restored(blob)
-    n = int(np.frombuffer(data, np.int64, 1)[0])
-    total[np.frombuffer(data, np.uint32, n, 8)] += np.frombuffer(data, np.float64, n, 8 + 4 * n)
+    node, at, values = _unblob(blob, 2, values=True)
+    total[node.astype(np.int64)] += values[at.astype(np.int64)]
 
 
-def _unblob(blob: bytes, columns: int) -> list[np.ndarray]:
+def _unblob(blob: bytes, columns: int, values: bool = False) -> list[np.ndarray]:
     data = _restored(blob)
     n, *sizes = np.frombuffer(data, np.int64, columns + 1)
     at, out = 8 * (columns + 1), []
@@ -338,7 +363,7 @@ def _unblob(blob: bytes, columns: int) -> list[np.ndarray]:
         out.append(planes.T.copy().view(f"u{size}").reshape(n).astype(np.uint64))
         at += int(n * size)
     out[0] = np.cumsum(out[0], dtype=np.uint64)
-    return out
+    return [*out, np.frombuffer(data, np.uint8, offset=at).copy().view(np.float64)] if values else out
 
 
 def _summed(blobs: list[bytes], columns: int) -> list[np.ndarray]:
@@ -346,16 +371,16 @@ def _summed(blobs: list[bytes], columns: int) -> list[np.ndarray]:
     parts = [_unblob(b, columns) for b in blobs]
     cols = [np.concatenate([p[c] for p in parts]) for c in range(columns)]
     del parts
-    width = int(cols[1].max()) + 1 if columns == 3 else 1
-    if columns == 2 or (int(cols[0].max()) + 1) * width < 1 << 64:
+    bits = np.uint64(int(cols[1].max()).bit_length() if columns == 3 else 0)
+    if columns == 2 or (int(cols[0].max()) + 1) << int(bits) < 1 << 64:
         # one integer a key
-        key = cols[0] if columns == 2 else cols[0] * np.uint64(width) + cols[1]
+        key = cols[0] if columns == 2 else cols[0] << bits | cols[1]
         order = np.argsort(key)
         key, n = key[order], cols[-1][order]
         del cols, order
         starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         key, n = key[starts], np.add.reduceat(n, starts)
-        return [key, n] if columns == 2 else [key // np.uint64(width), key % np.uint64(width), n]
+        return [key, n] if columns == 2 else [key >> bits, key & (np.uint64(1) << bits) - np.uint64(1), n]
     order = np.lexsort(cols[-2::-1])
     cols = [c[order] for c in cols]
     new = np.ones(len(cols[0]), bool)
@@ -372,17 +397,23 @@ def _offsets(report: DataFrame, shards: int) -> list[int]:
     return [0, *np.cumsum(sizes).tolist()]
 
 
+def _frequent(report: DataFrame, offsets: list[int]) -> np.ndarray:
+    """Ids of frequent n-grams, about FREQUENT a shard at most."""
+    rows = report.where("block = -1").select("shard", "blob").collect()
+    return np.sort(np.concatenate([np.empty(0, np.int64), *(np.frombuffer(r["blob"], np.int64) + offsets[r["shard"]] for r in rows)]))
+
+
 def fit(train: DataFrame, order: int = 2, keep: int = 2, shards: int | None = None) -> Model:
     """Model of the rows of ``train`` (text binary, null: empty). An empty table gives a model of unknown words only."""
     spark = train.sparkSession
     train = train.select("text")
     total_bytes = train.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).cast("long")).first()[0]
     n_shards = shards or max(1, round(total_bytes / 6 / TOKENS_PER_SHARD))
+    often = max(1, total_bytes // 6 // n_shards // FREQUENT)
     folder = new_shared_path(spark, "lm")
 
     def vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = TaskWords()
-        for hashes, _ in _grouped((table.values(lambda h: (h,))[0][at], ends) for _, _, at, ends in token_chunks(batches, table)):
+        for hashes, _ in _grouped((hashes[at], ends) for _, hashes, at, ends in token_chunks(batches)):
             unique, counts = np.unique(hashes, return_counts=True)
             yield from _dealt(shard_of(unique, n_shards), n_shards, unique, counts.astype(np.uint64))
 
@@ -390,17 +421,17 @@ def fit(train: DataFrame, order: int = 2, keep: int = 2, shards: int | None = No
         words, counts = _summed(blobs, 2)
         kind = np.min_scalar_type(int(counts.max()))
         write_arrays(f"{folder}/1/{shard}.ef", EliasFano.arrays(words, "words") | {"counts": counts.astype(kind)})
-        return len(words), int(counts.sum()), np.empty(0, np.int64), np.empty(0)
+        return len(words), int(counts.sum()), np.empty(0, np.int64), np.empty(0), np.flatnonzero(counts > often)
 
     report = _write_level(train.mapInArrow(vocabulary, "shard long, blob binary"), 1, write_words)
     offsets = _offsets(report, n_shards)
     tokens = report.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
-    levels = [Level(f"{folder}/1", 1, offsets)]
+    levels = [Level(f"{folder}/1", 1, offsets, _frequent(report, offsets))]
     for k in range(2, order + 1):
         if not offsets[-1]:
             break
         partial = Model(tokens, levels[0].offsets[-1], levels)
-        levels.append(_next_level(train, partial, folder, k, keep, n_shards, k == order))
+        levels.append(_next_level(train, partial, folder, k, keep, n_shards, often, k == order))
     return Model(tokens, levels[0].offsets[-1], levels)
 
 
@@ -417,10 +448,10 @@ def _grouped(chunks: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[
         yield np.concatenate([v for v, _ in held]), np.concatenate([e for _, e in held])
 
 
-def _dealt(shard: np.ndarray, shards: int, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """One block per shard of columns sorted by the first (and second) one."""
+def _dealt(shard: np.ndarray, shards: int, *columns: np.ndarray, kinds: int = 1) -> Iterator[pa.RecordBatch]:
+    """One block per shard of columns sorted by the first (and second) one; shards are numbered in steps of ``kinds``."""
     order = _order(shard)
-    cuts = np.searchsorted(shard[order], np.arange(shards + 1))
+    cuts = np.searchsorted(shard[order], np.arange(shards + 1) * kinds)
     ids, blobs = [], []
     for s in range(shards):
         part = order[cuts[s] : cuts[s + 1]]
@@ -430,13 +461,12 @@ def _dealt(shard: np.ndarray, shards: int, *columns: np.ndarray) -> Iterator[pa.
     yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(blobs, pa.binary())], names=["shard", "blob"])
 
 
-def _next_level(train: DataFrame, model: Model, folder: str, k: int, keep: int, shards: int, top: bool) -> Level:
+def _next_level(train: DataFrame, model: Model, folder: str, k: int, keep: int, shards: int, often: int, top: bool) -> Level:
     spark, below = train.sparkSession, model.levels[-1]
+    nodes = Nodes(below.offsets[-1], shards, below.frequent)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = TaskWords()
-        ids = lambda hashes: (model.levels[0].words(hashes),)
-        for word, ends in _grouped((table.values(ids)[0][at], ends) for _, _, at, ends in token_chunks(batches, table)):
+        for word, ends in _grouped((model.levels[0].words(hashes)[at], ends) for _, hashes, at, ends in token_chunks(batches)):
             node = contexts(word, ends, model._end)
             for level in model.levels[1:]:
                 pairs, where = _pairs(node, word)
@@ -453,7 +483,9 @@ def _next_level(train: DataFrame, model: Model, folder: str, k: int, keep: int,
                 both, n = np.unique(np.stack([node, word], axis=1), axis=0, return_counts=True)
                 node, word = both.T
             if len(node):
-                yield from _dealt(shard_of(pair_hash(node, word), shards), shards, node, word, n.astype(np.uint64))
+                shard, key = nodes.places(node.astype(np.int64), word.astype(np.int64))
+                # frequent nodes come last in a shard, as their numbers are above the others
+                yield from _dealt(2 * shard + (key >= nodes.width), shards, key.astype(np.uint64), word, n.astype(np.uint64), kinds=2)
 
     def write(shard: int, blobs: list[bytes]):
         node, word, n = _summed(blobs, 3)
@@ -465,17 +497,20 @@ def _next_level(train: DataFrame, model: Model, folder: str, k: int, keep: int,
         last = np.concatenate([first[1:], [len(node)]]) - 1
         start = np.concatenate([np.zeros(1, np.uint64), np.cumsum(word[last] + np.uint64(1), dtype=np.uint64)])
         owner = np.repeat(np.arange(len(first)), np.diff(np.concatenate([first, [len(node)]])))
-        own = node[first].astype(np.int64)
+        own = nodes.ids(shard, node[first].astype(np.int64))
         share = (n - DISCOUNT) / below.counts_of(own)[owner]
         arrays = EliasFano.arrays(node[first], "nodes") | EliasFano.arrays(start, "pointers") | EliasFano.arrays(word + start[owner], "next")
         logs = quantised(np.log10(share))
         # counts are only asked for by the next level
         write_arrays(f"{folder}/{k}/{shard}.ef", arrays | {"logs": logs} | ({} if top else {"counts": n.astype(np.min_scalar_type(int(n.max())))}))
+        ascending = np.argsort(own)
         # what is taken away is the quantised share, so that the weights close the sum exactly
-        return len(node), int(n.sum()), own, np.add.reduceat(PROBABILITY[logs], first)
+        report = len(node), int(n.sum()), own[ascending], np.add.reduceat(PROBABILITY[logs], first)[ascending]
+        return report if top else (*report, np.flatnonzero(n > often))
 
     report = _write_level(train.mapInArrow(count, "shard long, blob binary"), k, write)
-    level = Level(f"{folder}/{k}", k, _offsets(report, shards))
+    offsets = _offsets(report, shards)
+    level = Level(f"{folder}/{k}", k, offsets, _frequent(report, offsets), nodes)
     below.backoff = f"{folder}/{k - 1}-backoff"
     target, total = below.backoff, below.offsets[-1]
 
@@ -500,7 +535,7 @@ def _next_level(train: DataFrame, model: Model, folder: str, k: int, keep: int,
 
     # one row per block, so that blocks without successors exist as well; shards in order, so that sums repeat
     every = spark.range(-(-total // BLOCK)).select(F.col("id").alias("block"), F.lit(-1).cast("long").alias("shard"), F.lit(None).cast("binary").alias("blob"))
-    rows = report.where("block IS NOT NULL").select("block", "shard", "blob").unionByName(every)
+    rows = report.where("block >= 0").select("block", "shard", "blob").unionByName(every)
     cut_lineage(rows.repartition("block").sortWithinPartitions("block", "shard").mapInArrow(write_backoffs, "block long"), "lm-backoffs")
     return level
 
@@ -511,13 +546,11 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keys) + ", n_tokens long, n_known long, train_tokens long, base_score double, score double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = TaskWords()
-        for batch, first, at, ends in token_chunks(batches, table):
-            word, unigram, base = (values[at] for values in table.values(model.words))
+        for rows, hashes, at, ends in token_chunks(batches):
+            word, unigram, base = (values[at] for values in model.words(hashes))
             known, full = word >= 0, model.chunk(word, unigram, ends)
             starts = np.concatenate([[0], ends[:-1] + 1])
             sums = [np.diff(np.concatenate([[0], ends + 1])), *(np.add.reduceat(x, starts) for x in (known.astype(np.int64), base, full))]
-            rows = batch.slice(first, len(ends))
             arrays = [rows.column(c) for c in keys] + [pa.array(sums[0]), pa.array(sums[1]), pa.array(np.full(len(ends), model.tokens)), pa.array(sums[2]), pa.array(sums[3])]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keys, "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 

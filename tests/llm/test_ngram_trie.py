@@ -3,10 +3,13 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
+from carelattice.llm import elias_fano, queries
 from carelattice.llm import ngram_trie as G
-from carelattice.llm import queries
 from carelattice.llm.elias_fano import EliasFano, open_arrays, write_arrays
 
 END = b" end "
@@ -106,3 +109,65 @@ def test_masses_leave_a_shard_in_small_rows(spark, monkeypatch):
         if r["block"] is not None:
             G._add_masses(r["blob"], total[4 * r["block"] :])
     assert total[node].tolist() == (node / 16).tolist() and {r["block"] for r in report} == {None, 0, 1, 3}
+
+
+@pytest.mark.parametrize("chunk", [1, 50, 1 << 30])
+def test_chunks_hold_the_words_of_python(monkeypatch, chunk):
+    monkeypatch.setattr(G, "CHUNK", chunk)
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.choice([*b" \t\n\r\x0b\x0cABab\x00\x1c\x1f\x85\xa0\xc3\xa9"], rng.integers(0, 12)).tolist()) for _ in range(600)]
+    texts += [None, b"", b" ", "\u00a0\u2003x\u00c9 ".encode()]
+    batch = pa.record_batch({"text": pa.array(texts, pa.binary())})
+    got = []
+    for rows, hashes, at, ends in G.token_chunks(iter([batch, batch.slice(0, 0)])):
+        assert rows.num_rows == len(ends)
+        got += [part.tolist() for part in np.split(hashes[at], ends + 1)[:-1]]
+    assert got == [[xxhash.xxh64_intdigest(w) for w in [*(t or b"").lower().split(), END]] for t in texts]
+
+
+@pytest.mark.parametrize("large", [False, True])
+def test_find_and_neighbours(tmp_path, large):
+    rng = np.random.default_rng(5)
+    # a dense run, so that buckets reach over words, and thin values around it
+    values = np.unique(np.concatenate([rng.integers(0, 1 << (63 if large else 20), 500, dtype=np.uint64), np.arange(7000, 9000, dtype=np.uint64)]))
+    write_arrays(str(tmp_path / "x.ef"), EliasFano.arrays(values, "x"))
+    opened = EliasFano.opened(open_arrays(str(tmp_path / "x.ef")), "x")
+    asked = np.concatenate([values, values + np.uint64(1), values - np.uint64(1), np.array([0, (1 << 64) - 1], np.uint64)])
+    place = {int(v): i for i, v in enumerate(values)}
+    assert opened.find(asked).tolist() == [place.get(int(v), -1) for v in asked]
+    here, then = opened.neighbours(np.arange(len(values) - 1))
+    assert (here == values[:-1]).all() and (then == values[1:]).all()
+
+
+def _skewed(spark, docs):
+    texts = [" ".join(f"the {'of' if k % 3 else 'and'} w{(k * 7 + j * j) % 61}" for j in range(25)) + f" x{k} y{k}" for k in range(90)]
+    rows = docs(list(enumerate(texts))).select("doc_id", F.col("text").cast("binary").alias("text"))
+    return texts, rows, G.fit(rows.select("text"), order=3, keep=1, shards=5)
+
+
+def test_frequent_nodes_are_spread_and_others_stand_in_one_shard(spark, docs):
+    texts, rows, model = _skewed(spark, docs)
+    plain = Plain(texts, 3, 1)
+    for r in G.score(rows, model).collect():
+        assert r["score"] == pytest.approx(plain.score(texts[r["doc_id"]]), abs=5e-4 * r["n_tokens"])
+    for below, level in zip(model.levels, model.levels[1:]):
+        assert 0 < len(below.frequent) < below.offsets[-1]
+        node, word = (x.ravel() for x in np.meshgrid(np.arange(below.offsets[-1]), np.arange(model.distinct), indexing="ij"))
+        shard, key = level.nodes.places(node, word)
+        for s in range(5):
+            assert (level.nodes.ids(s, key[shard == s]) == node[shard == s]).all()
+        shards = {int(n): set(shard[node == n].tolist()) for n in np.unique(node)}
+        assert all(len(found) == (5 if n in below.frequent else 1) for n, found in shards.items())
+
+
+def test_a_lookup_takes_few_searches(spark, docs, monkeypatch):
+    _, _, model = _skewed(spark, docs)
+    selected, select = [], elias_fano._select
+    monkeypatch.setattr(elias_fano, "_select", lambda words, k: selected.append(len(k)) or select(words, k))
+    for below, level in zip(model.levels, model.levels[1:]):
+        node, word = (x.ravel() for x in np.meshgrid(np.arange(below.offsets[-1]), np.arange(model.distinct), indexing="ij"))
+        found, _ = level.successors(node, word)
+        assert sorted(found[found >= 0].tolist()) == list(range(level.offsets[-1]))
+        # one for the node, one for its start, one for the word, and a few per shard
+        assert sum(selected) <= 3 * len(node) + 50
+        selected.clear()
