@@ -37,40 +37,67 @@ def _trailing(words: np.ndarray) -> np.ndarray:
     return np.bitwise_count(~words & words - ONE).astype(np.int64)
 
 
-class EliasFano:
-    """A non-decreasing sequence of unsigned integers in 2 + log2(universe / n) bits each, plus rank directories."""
-
-    def __init__(self, n: int, shift: int, high: np.ndarray, ones: np.ndarray, zeros: np.ndarray, low: np.ndarray) -> None:
-        self.n, self.shift, self.high, self.ones, self.zeros, self.low = n, shift, high, ones, zeros, low
-
-    @classmethod
-    def arrays(cls, values: np.ndarray, name: str) -> dict[str, np.ndarray]:
-        values = values.astype(np.uint64)
-        n = len(values)
-        top = int(values[-1]) + 1 if n else 1
-        shift = max(0, (top // max(n, 1)).bit_length() - 1)
-        bits = (values >> np.uint64(shift)).astype(np.int64) + np.arange(n)
-        size = ((top >> shift) + n) // 64 + 2
-        high = np.zeros(size * 64, bool)
+class Growing:
+    """An Elias-Fano sequence that takes its values in pieces; the first piece decides the width of the low parts."""
+
+    def __init__(self) -> None:
+        self.n, self.shift = 0, 0
+        #: Full words, and the one that the next piece goes on with.
+        self.high, self.low, self.high_rest, self.low_rest = [], [], np.uint64(0), np.uint64(0)
+        self.high_words = 0
+
+    def add(self, values: np.ndarray) -> None:
+        """Non-decreasing values, none below those added before."""
+        values, n = values.astype(np.uint64), len(values)
+        if not n:
+            return
+        if not self.n:
+            self.shift = max(0, ((int(values[-1]) + 1) // n).bit_length() - 1)
+        bits = (values >> np.uint64(self.shift)).astype(np.int64) + np.arange(self.n, self.n + n) - 64 * self.high_words
+        high = np.zeros((int(bits[-1]) >> 6) * 64 + 64, bool)
         high[bits] = True
         high = np.packbits(high, bitorder="little").view(np.uint64)
-        ones = np.concatenate([[0], np.cumsum(np.bitwise_count(high), dtype=np.int64)[:-1]])
-        low = np.zeros(n * shift // 64 + 2, np.uint64)
-        if shift and n:
-            part = values & np.uint64((1 << shift) - 1)
-            at = np.arange(n, dtype=np.int64) * shift
+        high[0] |= self.high_rest
+        self.high.append(high[:-1])
+        self.high_words, self.high_rest = self.high_words + len(high) - 1, high[-1]
+        if self.shift:
+            part = values & np.uint64((1 << self.shift) - 1)
+            at = np.arange(n, dtype=np.int64) * self.shift + (self.n * self.shift & 63)
             word, off = at >> 6, (at & 63).astype(np.uint64)
+            low = np.zeros((int(at[-1]) + self.shift >> 6) + 1, np.uint64)
             first = np.flatnonzero(np.diff(word, prepend=-1))
             low[word[first]] = np.bitwise_or.reduceat(part << off, first)
             # at most one value reaches over into each word
-            spill = np.flatnonzero((at & 63) + shift > 64)
+            spill = np.flatnonzero((at & 63) + self.shift > 64)
             low[word[spill] + 1] |= part[spill] >> (np.uint64(64) - off[spill])
-        kind = np.uint32 if size * 64 < 1 << 32 else np.int64
+            low[0] |= self.low_rest
+            self.low.append(low[:-1])
+            self.low_rest = low[-1]
+        self.n += n
+
+    def arrays(self, name: str) -> dict[str, np.ndarray]:
+        high = np.concatenate([*self.high, np.array([self.high_rest, 0, 0], np.uint64)])
+        low = np.concatenate([*self.low, np.array([self.low_rest, 0], np.uint64)])
+        ones = np.concatenate([[0], np.cumsum(np.bitwise_count(high), dtype=np.int64)[:-1]])
+        kind = np.uint32 if len(high) * 64 < 1 << 32 else np.int64
         return {
-            f"{name}.meta": np.array([n, shift], np.int64), f"{name}.high": high, f"{name}.ones": ones.astype(kind),
-            f"{name}.zeros": (np.arange(size) * 64 - ones).astype(kind), f"{name}.low": low,
+            f"{name}.meta": np.array([self.n, self.shift], np.int64), f"{name}.high": high, f"{name}.ones": ones.astype(kind),
+            f"{name}.zeros": (np.arange(len(high)) * 64 - ones).astype(kind), f"{name}.low": low,
         }
 
+
+class EliasFano:
+    """A non-decreasing sequence of unsigned integers in 2 + log2(universe / n) bits each, plus rank directories."""
+
+    def __init__(self, n: int, shift: int, high: np.ndarray, ones: np.ndarray, zeros: np.ndarray, low: np.ndarray) -> None:
+        self.n, self.shift, self.high, self.ones, self.zeros, self.low = n, shift, high, ones, zeros, low
+
+    @classmethod
+    def arrays(cls, values: np.ndarray, name: str) -> dict[str, np.ndarray]:
+        growing = Growing()
+        growing.add(values)
+        return growing.arrays(name)
+
     @classmethod
     def opened(cls, arrays: dict[str, np.ndarray], name: str) -> EliasFano:
         n, shift = (int(x) for x in arrays[f"{name}.meta"])

@@ -12,8 +12,9 @@ their mass is in B, so the probabilities of all words still add up to one.
 
 Spark counts and shuffles: a task counts the n-grams of its documents and sends each shard one compact block, so a very
 frequent word or pair costs one entry per block. Shards take ranges of nodes, so that neighbours in a block are close and a node is
-looked up in one place; the successors of frequent nodes are spread over all shards by a hash of (node, word). A shard is written as one file in the shared folder and memory-mapped by the
-tasks that score. Every file appears at once under its final name with the same content, however often its task runs.
+looked up in one place; the successors of frequent nodes are spread over all shards by a hash of (node, word). A few neighbouring
+shards are merged one after the other and written as one file in the shared folder, memory-mapped by the tasks that score. Every
+file appears at once under its final name with the same content, however often its task runs.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carelattice.llm.elias_fano import EliasFano, open_arrays, write_arrays
+from carelattice.llm.elias_fano import EliasFano, Growing, open_arrays, write_arrays
 from carelattice.llm.hashing import mix
 from carelattice.runtime import cut_lineage, new_shared_path
 
@@ -41,6 +42,8 @@ DISCOUNT = 0.75
 LOWEST = -16.0
 #: Tokens of the training text per shard.
 TOKENS_PER_SHARD = 4_000_000
+#: More shards than this share files, up to as many a file: searches in few large files cost less than in many small ones.
+FILES, SHARDS_PER_FILE = 32, 8
 #: Back-off weights are written in blocks of so many nodes.
 BLOCK = 1 << 20
 #: Bytes of text that are taken apart and looked up at once; a document is never divided.
@@ -78,6 +81,10 @@ class Nodes:
     def width(self) -> int:
         return -(-self.total // self.shards)
 
+    def in_file(self, shard: np.ndarray | int, keys: np.ndarray, per_file: int) -> np.ndarray:
+        """Numbers of nodes among all of the shards in a file."""
+        return keys + shard % per_file * (self.width + len(self.frequent))
+
     def places(self, nodes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Shard of each n-gram, and the number of its node there: place in the range, frequent ones above all of them."""
         shard = nodes * self.shards // max(1, self.total)
@@ -108,6 +115,7 @@ class Level:
     offsets: list[int]
     frequent: np.ndarray = field(default_factory=lambda: np.empty(0, np.int64))
     nodes: Nodes | None = None
+    per_file: int = 1
     backoff: str | None = None
     _open: dict = field(default_factory=dict, repr=False)
 
@@ -118,12 +126,17 @@ class Level:
     def __getstate__(self):
         return self.__dict__ | {"_open": {}}
 
-    def file(self, shard: int) -> dict:
-        if shard not in self._open:
-            arrays = open_arrays(f"{self.folder}/{shard}.ef") if self.offsets[shard + 1] > self.offsets[shard] else {}
+    @cached_property
+    def starts(self) -> np.ndarray:
+        """Id of the first n-gram of each file, and the total at the end."""
+        return np.array([*self.offsets[: -1 : self.per_file], self.offsets[-1]])
+
+    def file(self, number: int) -> dict:
+        if number not in self._open:
+            arrays = open_arrays(f"{self.folder}/{number}.ef") if self.starts[number + 1] > self.starts[number] else {}
             names = {k.rpartition(".")[0] for k in arrays if k.endswith(".meta")}
-            self._open[shard] = arrays | {n: EliasFano.opened(arrays, n) for n in names}
-        return self._open[shard]
+            self._open[number] = arrays | {n: EliasFano.opened(arrays, n) for n in names}
+        return self._open[number]
 
     def _by_shard(self, shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
         order = _order(shard)
@@ -134,26 +147,27 @@ class Level:
 
     def counts_of(self, ids: np.ndarray) -> np.ndarray:
         out = np.zeros(len(ids), np.int64)
-        for shard, part in self._by_shard(np.searchsorted(self.offsets, ids, "right") - 1):
-            out[part] = self.file(shard)["counts"][ids[part] - self.offsets[shard]]
+        for number, part in self._by_shard(np.searchsorted(self.starts, ids, "right") - 1):
+            out[part] = self.file(number)["counts"][ids[part] - self.starts[number]]
         return out
 
     def words(self, hashes: np.ndarray) -> np.ndarray:
         """Ids of word hashes, -1 for unknown words (order 1)."""
         out = np.full(len(hashes), -1, np.int64)
-        for shard, part in self._by_shard(shard_of(hashes, self.shards)):
-            found = self.file(shard)
+        for number, part in self._by_shard(shard_of(hashes, self.shards) // self.per_file):
+            found = self.file(number)
             if found:
-                at = found["words"].find(hashes[part])
-                out[part] = np.where(at >= 0, at + self.offsets[shard], -1)
+                at = found["words"].find(hashes[part] - least_hash(number * self.per_file, self.shards))
+                out[part] = np.where(at >= 0, at + self.starts[number], -1)
         return out
 
     def successors(self, nodes: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the n-grams (node, word), -1 where not stored, and their discounted probability. Fast if nodes ascend."""
         out, direct = np.full(len(nodes), -1, np.int64), np.zeros(len(nodes))
         shards, keys = self.nodes.places(nodes, words)
-        for shard, part in self._by_shard(shards):
-            found = self.file(shard)
+        keys = self.nodes.in_file(shards, keys, self.per_file)
+        for number, part in self._by_shard(shards // self.per_file):
+            found = self.file(number)
             if not found:
                 continue
             node = keys[part]
@@ -167,7 +181,7 @@ class Level:
             part, want = part[want < end], want[want < end]
             at = found["next"].find(want)
             part, at = part[at >= 0], at[at >= 0]
-            out[part] = at + self.offsets[shard]
+            out[part] = at + self.starts[number]
             direct[part] = PROBABILITY[found["logs"][at]]
         return out, direct
 
@@ -255,6 +269,11 @@ def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
     return ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
 
 
+def least_hash(shard: int, shards: int) -> np.uint64:
+    """Smallest hash that ``shard_of`` gives this shard."""
+    return np.uint64(-(-(shard << 32) // shards) << 32)
+
+
 def pair_hash(nodes: np.ndarray, words: np.ndarray) -> np.ndarray:
     return mix(mix(nodes.astype(np.uint64)) + words.astype(np.uint64))
 
@@ -289,7 +308,34 @@ def token_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordB
                 yield batch.slice(first, last - first), *_tokens(text.slice(first, last - first).view(pa.string()))
 
 
-def _write_level(blocks: DataFrame, order: int, write) -> DataFrame:
+class Files:
+    """Files of one level: arrays of a few neighbouring shards, which come in order, are joined in each."""
+
+    def __init__(self, folder: str, per_file: int) -> None:
+        self.folder, self.per_file, self.number = folder, per_file, None
+
+    def enter(self, shard: int) -> None:
+        if shard // self.per_file != self.number:
+            self.close()
+            self.number, self.top, self.sequences, self.plain = shard // self.per_file, 0, {}, {}
+
+    def add(self, sequences: dict[str, np.ndarray], plain: dict[str, np.ndarray]) -> None:
+        for name, values in sequences.items():
+            self.sequences.setdefault(name, Growing()).add(values)
+        for name, values in plain.items():
+            self.plain.setdefault(name, []).append(values)
+
+    def close(self) -> None:
+        if self.number is not None and self.sequences:
+            if "pointers" in self.sequences:
+                # the end of the last node
+                self.sequences["pointers"].add(np.array([self.top]))
+            arrays = {k: v for name, growing in self.sequences.items() for k, v in growing.arrays(name).items()}
+            write_arrays(f"{self.folder}/{self.number}.ef", arrays | {name: np.concatenate(parts) for name, parts in self.plain.items()})
+        self.number = None
+
+
+def _write_level(blocks: DataFrame, order: int, write, files: Files | None = None) -> DataFrame:
     """Merge the blocks of every shard with ``write(shard, blobs) -> (n, total, nodes, masses)`` and read back what it reports.
 
     A row per shard has n and total, further ones the masses of its nodes, packed by blocks of BLOCK nodes. ``write`` may add the
@@ -318,8 +364,10 @@ def _write_level(blocks: DataFrame, order: int, write) -> DataFrame:
                 blobs.append(blob.as_py())
         if blobs:
             yield from done(shard, blobs)
+        if files:
+            files.close()
 
-    return cut_lineage(blocks.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, schema), f"lm-level-{order}")
+    return cut_lineage(blocks.repartition(F.expr(f"shard div {files.per_file if files else 1}")).sortWithinPartitions("shard").mapInArrow(run, schema), f"lm-level-{order}")
 
 
 @cache
@@ -410,6 +458,7 @@ def fit(train: DataFrame, order: int = 2, keep: int = 2, shards: int | None = No
     total_bytes = train.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).cast("long")).first()[0]
     n_shards = shards or max(1, round(total_bytes / 6 / TOKENS_PER_SHARD))
     often = max(1, total_bytes // 6 // n_shards // FREQUENT)
+    per_file = min(SHARDS_PER_FILE, -(-n_shards // FILES))
     folder = new_shared_path(spark, "lm")
 
     def vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -417,16 +466,18 @@ def fit(train: DataFrame, order: int = 2, keep: int = 2, shards: int | None = No
             unique, counts = np.unique(hashes, return_counts=True)
             yield from _dealt(shard_of(unique, n_shards), n_shards, unique, counts.astype(np.uint64))
 
+    files = Files(f"{folder}/1", per_file)
+
     def write_words(shard: int, blobs: list[bytes]):
         words, counts = _summed(blobs, 2)
-        kind = np.min_scalar_type(int(counts.max()))
-        write_arrays(f"{folder}/1/{shard}.ef", EliasFano.arrays(words, "words") | {"counts": counts.astype(kind)})
+        files.enter(shard)
+        files.add({"words": words - least_hash(shard // per_file * per_file, n_shards)}, {"counts": counts.astype(np.min_scalar_type(int(counts.max())))})
         return len(words), int(counts.sum()), np.empty(0, np.int64), np.empty(0), np.flatnonzero(counts > often)
 
-    report = _write_level(train.mapInArrow(vocabulary, "shard long, blob binary"), 1, write_words)
+    report = _write_level(train.mapInArrow(vocabulary, "shard long, blob binary"), 1, write_words, files)
     offsets = _offsets(report, n_shards)
     tokens = report.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
-    levels = [Level(f"{folder}/1", 1, offsets, _frequent(report, offsets))]
+    levels = [Level(f"{folder}/1", 1, offsets, _frequent(report, offsets), per_file=per_file)]
     for k in range(2, order + 1):
         if not offsets[-1]:
             break
@@ -463,7 +514,8 @@ def _dealt(shard: np.ndarray, shards: int, *columns: np.ndarray, kinds: int = 1)
 
 def _next_level(train: DataFrame, model: Model, folder: str, k: int, keep: int, shards: int, often: int, top: bool) -> Level:
     spark, below = train.sparkSession, model.levels[-1]
-    nodes = Nodes(below.offsets[-1], shards, below.frequent)
+    nodes, per_file = Nodes(below.offsets[-1], shards, below.frequent), below.per_file
+    files = Files(f"{folder}/{k}", per_file)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for word, ends in _grouped((model.levels[0].words(hashes)[at], ends) for _, hashes, at, ends in token_chunks(batches)):
@@ -495,22 +547,24 @@ def _next_level(train: DataFrame, model: Model, folder: str, k: int, keep: int,
             return 0, 0, np.empty(0, np.int64), np.empty(0)
         first = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
         last = np.concatenate([first[1:], [len(node)]]) - 1
-        start = np.concatenate([np.zeros(1, np.uint64), np.cumsum(word[last] + np.uint64(1), dtype=np.uint64)])
+        files.enter(shard)
+        start = np.concatenate([np.zeros(1, np.uint64), np.cumsum(word[last] + np.uint64(1), dtype=np.uint64)]) + np.uint64(files.top)
+        files.top = int(start[-1])
         owner = np.repeat(np.arange(len(first)), np.diff(np.concatenate([first, [len(node)]])))
         own = nodes.ids(shard, node[first].astype(np.int64))
         share = (n - DISCOUNT) / below.counts_of(own)[owner]
-        arrays = EliasFano.arrays(node[first], "nodes") | EliasFano.arrays(start, "pointers") | EliasFano.arrays(word + start[owner], "next")
         logs = quantised(np.log10(share))
+        sequences = {"nodes": nodes.in_file(shard, node[first].astype(np.int64), per_file), "pointers": start[:-1], "next": word + start[owner]}
         # counts are only asked for by the next level
-        write_arrays(f"{folder}/{k}/{shard}.ef", arrays | {"logs": logs} | ({} if top else {"counts": n.astype(np.min_scalar_type(int(n.max())))}))
+        files.add(sequences, {"logs": logs} | ({} if top else {"counts": n.astype(np.min_scalar_type(int(n.max())))}))
         ascending = np.argsort(own)
         # what is taken away is the quantised share, so that the weights close the sum exactly
         report = len(node), int(n.sum()), own[ascending], np.add.reduceat(PROBABILITY[logs], first)[ascending]
         return report if top else (*report, np.flatnonzero(n > often))
 
-    report = _write_level(train.mapInArrow(count, "shard long, blob binary"), k, write)
+    report = _write_level(train.mapInArrow(count, "shard long, blob binary"), k, write, files)
     offsets = _offsets(report, shards)
-    level = Level(f"{folder}/{k}", k, offsets, _frequent(report, offsets), nodes)
+    level = Level(f"{folder}/{k}", k, offsets, _frequent(report, offsets), nodes, per_file)
     below.backoff = f"{folder}/{k - 1}-backoff"
     target, total = below.backoff, below.offsets[-1]
 

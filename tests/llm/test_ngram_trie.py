@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from carelattice.llm import elias_fano, queries
 from carelattice.llm import ngram_trie as G
-from carelattice.llm.elias_fano import EliasFano, open_arrays, write_arrays
+from carelattice.llm.elias_fano import EliasFano, Growing, open_arrays, write_arrays
 
 END = b" end "
 
@@ -139,14 +139,29 @@ def test_find_and_neighbours(tmp_path, large):
     assert (here == values[:-1]).all() and (then == values[1:]).all()
 
 
+@pytest.mark.parametrize("top", [9, 1 << 20, 1 << 60])
+def test_a_sequence_in_pieces(tmp_path, top):
+    rng = np.random.default_rng(top % 1000)
+    values = np.sort(rng.integers(0, top, 1500, dtype=np.uint64))
+    growing = Growing()
+    for piece in np.split(values, [0, 700, 701, 764, 764, 1200]):
+        growing.add(piece)
+    write_arrays(str(tmp_path / "x.ef"), growing.arrays("x"))
+    opened = EliasFano.opened(open_arrays(str(tmp_path / "x.ef")), "x")
+    assert (opened[np.arange(1500)] == values).all() and (opened.successor(values) == np.searchsorted(values, values)).all()
+
+
 def _skewed(spark, docs):
     texts = [" ".join(f"the {'of' if k % 3 else 'and'} w{(k * 7 + j * j) % 61}" for j in range(25)) + f" x{k} y{k}" for k in range(90)]
     rows = docs(list(enumerate(texts))).select("doc_id", F.col("text").cast("binary").alias("text"))
     return texts, rows, G.fit(rows.select("text"), order=3, keep=1, shards=5)
 
 
-def test_frequent_nodes_are_spread_and_others_stand_in_one_shard(spark, docs):
+@pytest.mark.parametrize("files", [32, 2])
+def test_frequent_nodes_are_spread_and_others_stand_in_one_shard(spark, docs, monkeypatch, files):
+    monkeypatch.setattr(G, "FILES", files)
     texts, rows, model = _skewed(spark, docs)
+    assert [len(level.starts) - 1 for level in model.levels] == [5 if files == 32 else 2] * 3
     plain = Plain(texts, 3, 1)
     for r in G.score(rows, model).collect():
         assert r["score"] == pytest.approx(plain.score(texts[r["doc_id"]]), abs=5e-4 * r["n_tokens"])
